@@ -4,8 +4,8 @@ from .readings import (
     ISO_TIMESTAMP,
     NULL_TOKENS,
     event_time,
+    is_number,
     null_tokens,
-    parse_value,
     slice_of,
 )
 from .text import fmt_value, quoted
@@ -25,11 +25,11 @@ __all__ = [
     "event_time",
     "fmt_value",
     "is_known_priority",
+    "is_number",
     "normal_priority",
     "null_tokens",
     "op_case",
     "op_column",
-    "parse_value",
     "priority_rank",
     "quoted",
     "slice_of",

@@ -8,33 +8,42 @@ from pyspark.sql import functions as F
 # Texts that stand for a missing field.
 NULL_TOKENS = ("", "NA", "NaN", "null")
 
-# ISO-8601 date and time (seconds, fraction and zone optional), plain number.
+# ISO-8601 date and time, with seconds, fraction and zone optional.
 ISO_TIMESTAMP = (
     r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?(Z|[+-]\d{2}:?\d{2})?$"
 )
-NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
+NOT_IN_A_NUMBER = "[^0-9.eE+-]"
 
 
 def null_tokens(field: Column) -> Column:
     return F.when(~field.isin(*NULL_TOKENS), field)
 
 
-def parse_value(text: Column) -> Column:
-    """Double, or null where the text is no finite decimal number."""
-    number = F.when(text.rlike(NUMBER), text.try_cast("double"))
-    return F.when(F.abs(number) < float("inf"), number)
+def is_number(name: str) -> Column:
+    """Whether a text is a finite decimal number; the cast alone takes ``5d`` or ``nan``."""
+    return F.expr(
+        f"""coalesce(abs(try_cast({name} AS double)) < double('Infinity'), false)
+        AND NOT {name} RLIKE '{NOT_IN_A_NUMBER}'"""
+    )
 
 
-def event_time(text: Column) -> Column:
+def event_time(name: str) -> Column:
     """Timestamp, or null where the text is no ISO-8601 date and time.
 
-    The plain cast reads the usual forms; minutes followed by a zone need a pattern.
+    The plain cast reads the usual forms but also ``10:00`` or ``2026``; fixed places of
+    the separators settle ``yyyy-MM-ddTHH:mm:ssZ`` and a pattern all other forms. Minutes
+    followed by a zone are what the cast cannot read.
     """
-    minutes = F.try_to_timestamp(
-        F.replace(text, F.lit(" "), F.lit("T")), F.lit("yyyy-MM-dd'T'HH:mm[XXX][XX]")
-    )
-    return F.when(
-        text.rlike(ISO_TIMESTAMP), F.coalesce(text.try_cast("timestamp"), minutes)
+    return F.expr(
+        f"""CASE
+        WHEN length({name}) = 20 AND endswith({name}, 'Z')
+            AND substr({name}, 5, 1) = '-' AND substr({name}, 8, 1) = '-'
+            AND substr({name}, 14, 1) = ':' AND substr({name}, 17, 1) = ':'
+            THEN try_cast({name} AS timestamp)
+        WHEN {name} RLIKE r'{ISO_TIMESTAMP}' THEN coalesce(
+            try_cast({name} AS timestamp),
+            try_to_timestamp(replace({name}, ' ', 'T'), "yyyy-MM-dd'T'HH:mm[XXX][XX]"))
+        END"""
     )
 
 

@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import (
+    NULL_TOKENS,
     event_time,
     is_known_priority,
+    is_number,
     normal_priority,
     null_tokens,
-    parse_value,
 )
 from ..schemas import CORRUPT, MANDATORY, REJECTS, TELEMETRY
 
@@ -29,30 +30,30 @@ def sanitize(raw: DataFrame) -> Sanitized:
         return Sanitized(
             spark.createDataFrame([], TELEMETRY), spark.createDataFrame([], REJECTS)
         )
-    parsed = _parse(raw)
-    well_formed = (
+    named = _named(raw)
+    number = _number(raw)
+    clean = named.filter(
         F.col("timestamp").isNotNull()
-        & F.col("sensor_id").isNotNull()
-        & F.col("parsed_value").isNotNull()
-        & is_known_priority(F.col("known_priority"))
-        & F.col("event_time").isNotNull()
-    )
-    clean = parsed.filter(well_formed).select(
+        & _present("sensor_id")
+        & number
+        & is_known_priority(_priority())
+        & event_time("timestamp").isNotNull()
+    ).select(
         "timestamp",
         "sensor_id",
-        F.col("parsed_value").alias("value"),
-        F.col("known_priority").alias("priority"),
-        "event_time",
+        F.col("value").try_cast("double").alias("value"),
+        _priority().alias("priority"),
+        event_time("timestamp").alias("event_time"),
         "seq",
     )
     rejects = (
-        parsed.withColumn("reject_reason", _reason(CORRUPT in raw.columns))
+        named.withColumn("reject_reason", _reason(number, CORRUPT in raw.columns))
         .filter(F.col("reject_reason").isNotNull())
         .select(
-            "timestamp",
-            "sensor_id",
-            F.col("value").cast("string").alias("value"),
-            "priority",
+            null_tokens(F.col("timestamp")).alias("timestamp"),
+            null_tokens(F.col("sensor_id")).alias("sensor_id"),
+            null_tokens(F.col("value").cast("string")).alias("value"),
+            null_tokens(F.col("priority")).alias("priority"),
             "seq",
             "reject_reason",
         )
@@ -64,43 +65,43 @@ def reject_counts(rejects: DataFrame) -> DataFrame:
     return rejects.groupBy("reject_reason").agg(F.count("*").alias("rows"))
 
 
-def _parse(raw: DataFrame) -> DataFrame:
-    text = {name: null_tokens(F.col(name)) for name in ("timestamp", "sensor_id")}
-    numeric = dict(raw.dtypes)["value"] != "string"
-    value = F.col("value") if numeric else null_tokens(F.col("value"))
-    finite = F.when(F.abs(value.cast("double")) < float("inf"), value.cast("double"))
-    priority = (
-        null_tokens(F.col("priority")) if "priority" in raw.columns else F.lit(None)
-    ).cast("string")
-    seq = F.col("seq") if "seq" in raw.columns else F.monotonically_increasing_id()
-    named = raw.select(
-        text["timestamp"].alias("timestamp"),
-        text["sensor_id"].alias("sensor_id"),
-        value.alias("value"),
-        priority.alias("priority"),
-        seq.alias("seq"),
+def _named(raw: DataFrame) -> DataFrame:
+    """The telemetry columns, with a priority and an arrival number in any case."""
+    return raw.select(
+        *MANDATORY,
+        (F.col("priority") if "priority" in raw.columns else F.lit(None))
+        .cast("string")
+        .alias("priority"),
+        F.col("seq") if "seq" in raw.columns else F.monotonically_increasing_id().alias("seq"),
         *([CORRUPT] if CORRUPT in raw.columns else []),
-        (finite if numeric else parse_value(value)).alias("parsed_value"),
-    )
-    return named.withColumns(
-        {
-            "known_priority": normal_priority(F.col("priority")),
-            "event_time": event_time(F.col("timestamp")),
-        }
     )
 
 
-def _reason(has_corrupt: bool) -> Column:
+def _number(raw: DataFrame) -> Column:
+    """Whether the value is a finite number. A null token is none, like any other text."""
+    if dict(raw.dtypes)["value"] == "string":
+        return is_number("value")
+    return F.coalesce(F.abs(F.col("value").cast("double")) < float("inf"), F.lit(False))
+
+
+def _present(name: str) -> Column:
+    return F.coalesce(~F.col(name).isin(*NULL_TOKENS), F.lit(False))
+
+
+def _priority() -> Column:
+    return normal_priority(null_tokens(F.col("priority")))
+
+
+def _reason(number: Column, has_corrupt: bool) -> Column:
     """First failing check; a damaged line counts as malformed if fields are gone."""
-    missing = (
-        F.col("timestamp").isNull() | F.col("sensor_id").isNull() | F.col("value").isNull()
-    )
+    value = F.col("value").cast("string")
+    missing = ~(_present("timestamp") & _present("sensor_id")) | null_tokens(value).isNull()
     reason = F
     if has_corrupt:
         reason = reason.when(missing & F.col(CORRUPT).isNotNull(), "malformed")
     return (
         reason.when(missing, "schema_missing_field")
-        .when(~is_known_priority(F.col("known_priority")), "schema_priority")
-        .when(F.col("parsed_value").isNull(), "type_value")
-        .when(F.col("event_time").isNull(), "type_timestamp")
+        .when(~is_known_priority(_priority()), "schema_priority")
+        .when(~number, "type_value")
+        .when(event_time("timestamp").isNull(), "type_timestamp")
     )

@@ -3,7 +3,9 @@
 A sensor may hold a large share of all readings, so a window over a whole sensor would
 be one giant task. The scan works on (sensor, arrival slice) groups instead: a slice is
 a bounded range of ``seq``. Inside a group plain windows do the work; what crosses a
-slice edge is carried by a summary with one row per (sensor, slice).
+slice edge is carried by a summary with one row per (sensor, slice). Sensors go by
+their number (``watch``); those without any rule share one number and are not scanned
+for anything.
 """
 
 from __future__ import annotations
@@ -19,6 +21,9 @@ from ..plans.rules import RuleSet
 
 Stage = Callable[[DataFrame, str], DataFrame]
 
+# A staged summary up to this many rows (well under 200 MB) is broadcast.
+BROADCAST_ROWS = 1_000_000
+
 
 @dataclass(frozen=True)
 class State:
@@ -30,7 +35,7 @@ class State:
 
 @dataclass(frozen=True)
 class Scan:
-    """``rows``: readings with ``slice``, ``diff`` and one ``streak_<slot>`` per slot."""
+    """``rows``: readings with ``watch``, ``slice``, ``diff`` and a ``streak_<slot>`` per slot."""
 
     rows: DataFrame
     summary: DataFrame | None
@@ -44,14 +49,21 @@ def scan(
     stage: Stage | None = None,
 ) -> Scan:
     """Add scan columns. ``slice_rows=None`` is the plain per-sensor window."""
-    sliced = df.withColumn(
-        "slice",
-        F.lit(0).cast("bigint") if slice_rows is None else slice_of(F.col("seq"), slice_rows),
+    whole = F.lit(0).cast("bigint")
+    sliced = df.withColumns(
+        {
+            "watch": rules.watch(),
+            "slice": whole if slice_rows is None else slice_of(F.col("seq"), slice_rows),
+        }
     )
     slots = rules.streak_slots()
     if not slots and not rules.of_type("step_difference"):
         return Scan(stage(sliced, "scanned") if stage else sliced, None)
 
+    if stage and slice_rows is not None:
+        # Whole slices per task: a timestamp's sensors stay together in the staged table,
+        # so that later per-timestamp aggregates combine almost fully before a shuffle.
+        sliced = sliced.repartition("slice")
     scanned = _inside_slices(sliced, rules)
     if stage:
         scanned = stage(scanned, "scanned")
@@ -59,9 +71,11 @@ def scan(
     if stage:
         summary = stage(summary, "summary")
     carry = summary.select(
-        "sensor_id", "slice", "entry_value", *(f"entry_{j}" for j in range(len(slots)))
+        "watch", "slice", "entry_value", *(f"entry_{j}" for j in range(len(slots)))
     )
-    joined = scanned.join(carry, ["sensor_id", "slice"])
+    if stage and summary.count() <= BROADCAST_ROWS:
+        carry = F.broadcast(carry)
+    joined = scanned.join(carry, ["watch", "slice"])
     before = F.coalesce(F.col("previous"), F.col("entry_value"), F.col("value"))
     streaks = {
         f"streak_{j}": F.when(
@@ -91,14 +105,17 @@ def state_out(scanned: Scan, rules: RuleSet, state: State | None) -> State:
         empty = spark.createDataFrame([], "sensor_id string, last_value double")
         none = spark.createDataFrame([], "rule_id string, sensor_id string, streak bigint")
         return State(state.step if state else empty, state.streak if state else none)
-    last = scanned.summary.groupBy("sensor_id").agg(
+    sensors = rules.sensor_numbers()
+    last = scanned.summary.groupBy("watch").agg(
         F.max_by("last_value", "slice").alias("last_value"),
         *(F.max_by(f"exit_{j}", "slice").alias(f"exit_{j}") for j in range(len(slots))),
     )
+    names = F.array(*(F.lit(s) for s in sensors))
+    last = last.filter("watch >= 0").withColumn("sensor_id", names[F.col("watch")])
     step = last.filter(F.col("sensor_id").isin(step_sensors)).select("sensor_id", "last_value")
     entries = [
         F.when(
-            F.col("sensor_id") == sensor,
+            F.col("watch") == sensors[sensor],
             F.struct(F.lit(rule.rule_id).alias("rule_id"), F.col(f"exit_{j}").alias("streak")),
         )
         for j, slot in enumerate(slots)
@@ -118,22 +135,23 @@ def state_out(scanned: Scan, rules: RuleSet, state: State | None) -> State:
 
 def _inside_slices(sliced: DataFrame, rules: RuleSet) -> DataFrame:
     """Windows inside a (sensor, slice) group: one exchange, one sort."""
-    w = Window.partitionBy("sensor_id", "slice").orderBy("seq")
+    w = Window.partitionBy("watch", "slice").orderBy("seq")
     so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     numbered = sliced.withColumns(
         {"previous": F.lag("value").over(w), "rn": F.row_number().over(w).cast("bigint")}
     )
+    numbers = rules.sensor_numbers()
     last_ok = {
-        f"last_ok_{j}": F.max(F.when(~_breach(slot), F.col("rn"))).over(so_far)
+        f"last_ok_{j}": F.max(F.when(~_breach(slot, numbers), F.col("rn"))).over(so_far)
         for j, slot in enumerate(rules.streak_slots())
     }
     return numbered.withColumns(last_ok) if last_ok else numbered
 
 
-def _breach(slot: dict) -> Column:
+def _breach(slot: dict, numbers: dict[str, int]) -> Column:
     case = F
     for sensor, rule in slot.items():
-        case = case.when(F.col("sensor_id") == sensor, rule.holds(F.col("value")))
+        case = case.when(F.col("watch") == numbers[sensor], rule.holds(F.col("value")))
     return case.otherwise(F.lit(False))
 
 
@@ -143,14 +161,14 @@ def _across_slices(scanned: DataFrame, slots: int, entry: DataFrame | None) -> D
     entry_<j> counts the breaches right before the slice, so it is the rows since the
     last good reading of any earlier slice, plus the carried streak if there is none.
     """
-    parts = scanned.groupBy("sensor_id", "slice").agg(
+    parts = scanned.groupBy("watch", "slice").agg(
         # Counting a column keeps both readers of the slices on the same shuffle.
         F.count("timestamp").alias("n"),
         F.max_by("value", "seq").alias("last_value"),
         *(F.max(f"last_ok_{j}").alias(f"last_ok_{j}") for j in range(slots)),
     )
     if entry is not None:
-        parts = parts.join(F.broadcast(entry), "sensor_id", "left")
+        parts = parts.join(F.broadcast(entry), "watch", "left")
     else:
         parts = parts.withColumns(
             {
@@ -158,7 +176,7 @@ def _across_slices(scanned: DataFrame, slots: int, entry: DataFrame | None) -> D
                 **{f"state_{j}": F.lit(0).cast("bigint") for j in range(slots)},
             }
         )
-    w = Window.partitionBy("sensor_id").orderBy("slice")
+    w = Window.partitionBy("watch").orderBy("slice")
     earlier = w.rowsBetween(Window.unboundedPreceding, -1)
     placed = parts.withColumn("rows_before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
     placed = placed.withColumn(
@@ -177,7 +195,7 @@ def _across_slices(scanned: DataFrame, slots: int, entry: DataFrame | None) -> D
         for j in range(slots)
     }
     return placed.withColumns(exits).select(
-        "sensor_id",
+        "watch",
         "slice",
         "last_value",
         "entry_value",
@@ -191,7 +209,6 @@ def _entry_state(rules: RuleSet, state: State | None) -> DataFrame | None:
     if state is None:
         return None
     slots = rules.streak_slots()
-    sensors = sorted(rules.by_sensor())
     empty = [F.lit(None).cast("bigint").alias(f"state_{j}") for j in range(len(slots))]
     step = state.step.select("sensor_id", F.col("last_value").alias("state_value"), *empty)
     streak = state.streak.select(
@@ -205,8 +222,9 @@ def _entry_state(rules: RuleSet, state: State | None) -> DataFrame | None:
     )
     return (
         step.unionByName(streak)
-        .filter(F.col("sensor_id").isin(sensors))
-        .groupBy("sensor_id")
+        .withColumn("watch", rules.watch())
+        .filter("watch >= 0")
+        .groupBy("watch")
         .agg(
             F.max("state_value").alias("state_value"),
             *(F.max(f"state_{j}").alias(f"state_{j}") for j in range(len(slots))),

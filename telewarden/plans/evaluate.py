@@ -13,11 +13,14 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import PRIORITY_RANK, fmt_value, quoted
+from ..functions import PRIORITY_RANK, fmt_value, quoted, slice_of
 from ..operators.scan import Scan, Stage, State, scan, state_out
 from .rules import Rule, RuleSet
 
-SLICE_ROWS = 1_000_000
+# Rows per arrival slice, and most readings a nominal line may hold.
+SLICE_ROWS = 250_000
+MAX_LINE = 1_000_000
+# Rules per word of fired bits.
 WORD = 62
 
 
@@ -38,8 +41,8 @@ class Result:
         return self.stage(facts, "moments") if self.stage else facts
 
     @cached_property
-    def alarms(self) -> DataFrame:
-        """Sorted alarms of base and correlation rules."""
+    def found(self) -> DataFrame:
+        """Alarms of base and correlation rules, in no order."""
         alarms = base_alarms(self.fired, self.rules)
         if self.rules.correlations:
             facts = (
@@ -48,7 +51,12 @@ class Result:
                 else timestamp_facts(self.fired, self.rules, ["timestamp"])
             )
             alarms = alarms.unionByName(correlation_alarms(facts, self.rules))
-        return sort_alarms(alarms)
+        return self.stage(alarms, "alarms") if self.stage else alarms
+
+    @cached_property
+    def alarms(self) -> DataFrame:
+        """Sorted alarms. The range sort reads its input twice, hence the staging."""
+        return sort_alarms(self.found)
 
     @cached_property
     def valid(self) -> DataFrame:
@@ -90,6 +98,7 @@ def fire(rows: DataFrame, rules: RuleSet) -> DataFrame:
     slot_of = {
         rule.rule_id: j for j, slot in enumerate(rules.streak_slots()) for rule in slot.values()
     }
+    numbers = rules.sensor_numbers()
     zero = F.lit(0).cast("bigint")
     columns = {}
     for number, name in enumerate(words(rules)):
@@ -103,7 +112,7 @@ def fire(rows: DataFrame, rules: RuleSet) -> DataFrame:
                         _fires(rule, slot_of), F.lit(1 << bit).cast("bigint")
                     ).otherwise(zero)
             if bits is not zero:
-                case = case.when(F.col("sensor_id") == sensor, bits)
+                case = case.when(F.col("watch") == numbers[sensor], bits)
         columns[name] = zero if case is F else case.otherwise(zero)
     return rows.withColumns(columns).drop(
         "diff", *(f"streak_{j}" for j in range(len(rules.streak_slots())))
@@ -126,7 +135,7 @@ def base_alarms(fired: DataFrame, rules: RuleSet) -> DataFrame:
             "sensor_id",
             fmt_value("value").alias("value"),
             "seq",
-            F.expr(f"inline({_fired_rules(rules)})"),
+            F.expr(f"inline({_fired_rules(rules)})").alias("rule_id", "priority", "rank", "bit"),
         )
         .select("timestamp", "rule_id", "priority", "sensor_id", "value", "rank", "seq")
     )
@@ -138,9 +147,10 @@ def timestamp_facts(fired: DataFrame, rules: RuleSet, keys: list[str]) -> DataFr
     Every aggregate has a fixed size and is combined before the shuffle, so one
     timestamp may hold any share of the data.
     """
+    numbers = rules.sensor_numbers()
     firsts = []
     for i, sensor in enumerate(_parents(rules)):
-        mine = F.col("sensor_id") == sensor
+        mine = F.col("watch") == numbers[sensor]
         seq = F.when(mine, F.col("seq"))
         firsts.append(F.min_by("value", seq).alias(f"first_{i}"))
         firsts.append(F.min(seq).alias(f"first_seq_{i}"))
@@ -208,13 +218,14 @@ def anomalous_timestamps(moments: DataFrame, rules: RuleSet) -> DataFrame:
 
 
 def nominal_rows(
-    fired: DataFrame, moments: DataFrame, rules: RuleSet, max_line: int = SLICE_ROWS
+    fired: DataFrame, moments: DataFrame, rules: RuleSet, max_line: int = MAX_LINE
 ) -> DataFrame:
     """Readings of timestamps without any alarm, with ``line`` for packing.
 
     The verdict of a timestamp is spread over its (timestamp, slice) keys, and readings
     meet it on both, so a hot timestamp is shuffled in slice-sized groups. ``line`` is 0
-    unless the timestamp exceeds ``max_line`` readings; then each slice is a line.
+    unless the timestamp exceeds ``max_line`` readings; then it is packed into several
+    lines, one per arrival range of that length.
     """
     w = Window.partitionBy("timestamp")
     verdict = moments.select(
@@ -226,11 +237,17 @@ def nominal_rows(
     keep = verdict.filter(~F.col("anomalous")).select(
         "timestamp",
         "slice",
-        F.when(F.col("total") > max_line, F.col("slice"))
-        .otherwise(F.lit(0).cast("bigint"))
-        .alias("line"),
+        (F.col("total") > max_line).alias("split"),
+    )
+    line = F.when(F.col("split"), slice_of(F.col("seq"), max_line)).otherwise(
+        F.lit(0).cast("bigint")
+    )
+    return (
+        fired.drop(*words(rules))
+        .join(keep, ["timestamp", "slice"])
+        .withColumn("line", line)
+        .drop("slice", "split", "watch")
     )
-    return fired.drop(*words(rules)).join(keep, ["timestamp", "slice"]).drop("slice")
 
 
 def _fires(rule: Rule, slot_of: dict[str, int]) -> Column:
@@ -242,18 +259,25 @@ def _fires(rule: Rule, slot_of: dict[str, int]) -> Column:
 
 
 def _fired_rules(rules: RuleSet) -> str:
-    """Array of the rules whose bit is set."""
-    found = ["cast(array() AS array<struct<rule_id:string,priority:string,rank:int,bit:int>>)"]
-    for number, name in enumerate(words(rules)):
-        group = rules.base[number * WORD : (number + 1) * WORD]
-        entries = ", ".join(
-            f"named_struct('rule_id', {quoted(rule.rule_id)}, 'priority', '{rule.priority}',"
-            f" 'rank', {PRIORITY_RANK[rule.priority]}, 'bit', {bit})"
-            for bit, rule in enumerate(group)
-        )
-        if entries:
-            found.append(f"filter(array({entries}), r -> getbit({name}, r.bit) = 1)")
-    return f"concat({', '.join(found)})"
+    """Array of the rules whose bit is set, looked up among the sensor's own rules."""
+    place = {rule.rule_id: divmod(i, WORD) for i, rule in enumerate(rules.base)}
+    numbers = rules.sensor_numbers()
+    cases = []
+    for sensor, group in rules.by_sensor().items():
+        found = []
+        for number, name in enumerate(words(rules)):
+            entries = ", ".join(
+                f"named_struct('rule_id', {quoted(rule.rule_id)}, 'priority', '{rule.priority}',"
+                f" 'rank', {PRIORITY_RANK[rule.priority]}, 'bit', {place[rule.rule_id][1]})"
+                for rule in group
+                if place[rule.rule_id][0] == number
+            )
+            if entries:
+                found.append(f"filter(array({entries}), r -> getbit({name}, r.bit) = 1)")
+        case = found[0] if len(found) == 1 else f"concat({', '.join(found)})"
+        cases.append(f"WHEN watch = {numbers[sensor]} THEN {case}")
+    none = "cast(array() AS array<struct<rule_id:string,priority:string,rank:int,bit:int>>)"
+    return f"CASE {' '.join(cases)} ELSE {none} END" if cases else none
 
 
 def _parents(rules: RuleSet) -> list[str]:

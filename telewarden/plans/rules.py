@@ -159,6 +159,22 @@ class RuleSet:
             groups.setdefault(rule.sensor_id, []).append(rule)
         return groups
 
+    def sensor_numbers(self) -> dict[str, int]:
+        """A small number for every sensor some rule looks at."""
+        sensors = {r.sensor_id for r in self.base}
+        sensors.update(s for r in self.correlations for s in self.parent_sensors(r))
+        return {sensor: number for number, sensor in enumerate(sorted(sensors))}
+
+    def watch(self) -> Column:
+        """The number of the reading's sensor; all unwatched sensors share -1.
+
+        Text is compared once per reading; windows, sorts and rule tests use the number.
+        """
+        case = F
+        for sensor, number in self.sensor_numbers().items():
+            case = case.when(F.col("sensor_id") == sensor, F.lit(number))
+        return F.lit(-1) if case is F else case.otherwise(F.lit(-1))
+
     def streak_slots(self) -> list[dict[str, Rule]]:
         """Stateful rules laid out so that each slot has at most one rule per sensor.
 

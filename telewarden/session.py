@@ -14,6 +14,7 @@ def local_session(cores: str = "8", partitions: int = 8, memory: str = "16g") ->
         SparkSession.builder.master(f"local[{cores}]")
         .appName("telewarden")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.session.timeZone", "UTC")
@@ -52,7 +53,11 @@ class Staging:
 
     def drop(self) -> None:
         """Remove this run's staged tables."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        path.getFileSystem(conf).delete(path, True)
+        remove(self.spark, self.root)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder this package has written, on whatever file system it is."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    target.getFileSystem(conf).delete(target, True)

@@ -8,13 +8,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fmt_value, slice_of
-from ..plans.evaluate import SLICE_ROWS
+from ..plans.evaluate import MAX_LINE
 from ..schemas import ALARMS
 
 logger = logging.getLogger(__name__)
 
 
-def pack_nominal(valid: DataFrame, max_line: int = SLICE_ROWS) -> DataFrame:
+def pack_nominal(valid: DataFrame, max_line: int = MAX_LINE) -> DataFrame:
     """``timestamp, status, sensor_string``: readings sorted by sensor, then arrival.
 
     One line per (timestamp, line). Nominal rows bring ``line`` from the evaluation, so a

@@ -18,7 +18,7 @@ def load_sensors(spark: SparkSession, path: str) -> DataFrame:
     """Sensor dimension; an empty catalogue is an error."""
     import yaml
 
-    text = spark.read.option("wholetext", True).text(path).first()
+    text = spark.read.text(path, wholetext=True).first()
     config = yaml.safe_load(text.value if text else "") or {}
     sensors = config.get("sensors") or []
     if not sensors:
