@@ -158,7 +158,7 @@ def main(argv: list[str] | None = None) -> None:
     sensors = load_sensors(spark, args.sensors_path).count()
     monitor = Monitor(
         spark, _rules(spark, args.rules_path), args.output_path, f"{args.output_path}/state",
-        args.delay_seconds, sensors, args.slice_rows or SLICE_ROWS,
+        args.delay_seconds, sensors, args.slice_rows or SLICE_ROWS, text=True,
     )
     stream = read_stream(spark, args.input_path, args.format, args.max_files_per_trigger)
     monitor.start(stream, f"{args.output_path}/checkpoint").awaitTermination()

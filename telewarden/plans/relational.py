@@ -153,8 +153,9 @@ def _hits(df: DataFrame, rules: DataFrame, measure: str) -> DataFrame:
         F.col("operator").alias("op"), F.col("value").alias("threshold"),
     )
     return (
-        df.join(wanted, "sensor_id")
-        .filter(op_case(F.col(measure), F.col("op"), F.col("threshold")))
+        df.select("timestamp", "sensor_id", "value", "seq", F.col(measure).alias("measure"))
+        .join(wanted, "sensor_id")
+        .filter(op_case(F.col("measure"), F.col("op"), F.col("threshold")))
         .select("timestamp", "rule_id", "priority", "sensor_id", "value", "seq")
     )
 

@@ -10,7 +10,7 @@ replayed batch rereads the state before it and overwrites its own folders.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.sanitize import sanitize
@@ -34,6 +34,7 @@ class Monitor:
     ``delay_seconds`` holds timestamps back until a reading that much newer has been
     seen; the newest timestamp is always held. With ``total_sensors`` a held timestamp
     closes early once it and all older ones have a reading of that many sensors.
+    ``text`` also writes the semicolon-separated lines.
     """
 
     def __init__(
@@ -45,6 +46,7 @@ class Monitor:
         delay_seconds: int = 0,
         total_sensors: int | None = None,
         slice_rows: int = SLICE_ROWS,
+        text: bool = False,
     ):
         if delay_seconds < 0:
             raise ValueError(f"delay_seconds must not be negative, got {delay_seconds}")
@@ -57,6 +59,7 @@ class Monitor:
         self.delay_seconds = delay_seconds
         self.total_sensors = total_sensors
         self.slice_rows = slice_rows
+        self.text = text
 
     def start(self, stream: DataFrame, checkpoint: str):
         """Run over what the stream holds now; start again later to continue."""
@@ -73,7 +76,7 @@ class Monitor:
 
     def flush(self, batch_id: int | None = None) -> None:
         """Evaluate what is still held back, at the end of a finite input."""
-        last = self._last_batch()
+        last, _ = self._committed()
         if last is None:
             return
         empty = self.spark.createDataFrame([], TELEMETRY).drop("event_time", "seq")
@@ -90,7 +93,7 @@ class Monitor:
 
     def state(self, batch_id: int | None = None) -> State:
         """State after a batch (the last one by default)."""
-        batch = self._last_batch() if batch_id is None else batch_id
+        batch = self._committed()[0] if batch_id is None else batch_id
         return State(
             self._state("step", batch, STEP_STATE), self._state("streak", batch, STREAK_STATE)
         )
@@ -101,8 +104,7 @@ class Monitor:
 
     def _run(self, raw: DataFrame, batch_id: int, close_all: bool) -> None:
         staging = Staging(self.spark)
-        previous = self._last_batch(before=batch_id)
-        closed_to = self._boundary(previous)
+        previous, closed_to = self._committed(before=batch_id)
         moment = F.unix_micros("event_time")
         try:
             cleaned = sanitize(raw)
@@ -126,14 +128,13 @@ class Monitor:
                 self.slice_rows,
                 staging,
             )
-            self._write_outputs(result, batch_id)
+            found = self._write_outputs(result, batch_id)
             self._write_quarantine(cleaned.rejects, numbered.filter("late"), batch_id)
             after = result.state_out
             held = on_time.filter(moment >= boundary)
             self._put(after.step, "step", batch_id)
             self._put(after.streak, "streak", batch_id)
             self._put(held.drop("order", "late"), "pending", batch_id)
-            found = self._output("alarms", batch_id, ALARMS).count()
             facts = numbered.agg(
                 F.lit(boundary).cast("bigint").alias("boundary"),
                 F.lit(batch_id).cast("bigint").alias("batch_id"),
@@ -168,16 +169,20 @@ class Monitor:
             held_from = newest + 1 if first_open is None else first_open
         return max(held_from, closed_to)
 
-    def _write_outputs(self, result: Result, batch_id: int) -> None:
-        self._out(result.alarms, "alarms", batch_id)
+    def _write_outputs(self, result: Result, batch_id: int) -> int:
+        """Write both outputs; the number of alarms comes back."""
+        counted = Observation()
+        alarms = result.alarms.observe(counted, F.count(F.lit(1)).alias("alarms"))
+        self._out(alarms, "alarms", batch_id)
         self._out(pack_nominal(result.valid).orderBy("timestamp", "line"), "nominal", batch_id)
-        alarm_lines(self._output("alarms", batch_id, ALARMS)).write.mode("overwrite").text(
-            f"{self.output}/alarms_text/batch_id={batch_id}"
-        )
-        packed = self._output("nominal", batch_id, NOMINAL)
-        nominal_lines(packed).write.mode("overwrite").text(
-            f"{self.output}/nominal_text/batch_id={batch_id}"
-        )
+        if self.text:
+            lines = {
+                "alarms_text": alarm_lines(self._output("alarms", batch_id, ALARMS)),
+                "nominal_text": nominal_lines(self._output("nominal", batch_id, NOMINAL)),
+            }
+            for name, df in lines.items():
+                df.write.mode("overwrite").text(f"{self.output}/{name}/batch_id={batch_id}")
+        return counted.get["alarms"]
 
     def _write_quarantine(self, rejects: DataFrame, late: DataFrame, batch_id: int) -> None:
         too_late = late.select(
@@ -211,20 +216,18 @@ class Monitor:
         schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in TELEMETRY)
         return self._state("pending", batch, f"{schema}, batch_id bigint")
 
-    def _boundary(self, batch: int | None) -> int:
-        if batch is None:
-            return BEGINNING
-        return self._state("boundary", batch, BOUNDARY).first().boundary
-
-    def _last_batch(self, before: int | None = None) -> int | None:
-        """Latest committed batch; the boundary of a batch is written last."""
+    def _committed(self, before: int | None = None) -> tuple[int | None, int]:
+        """Latest committed batch and its boundary; a batch writes its boundary last."""
         try:
             done = self.metrics()
         except AnalysisException:
-            return None
+            return None, BEGINNING
         if before is not None:
             done = done.filter(F.col("batch_id") < before)
-        return done.agg(F.max("batch_id").alias("b")).first().b
+        row = done.agg(
+            F.max("batch_id").alias("batch"), F.max_by("boundary", "batch_id").alias("boundary")
+        ).first()
+        return (None, BEGINNING) if row.batch is None else (row.batch, row.boundary)
 
     def _forget(self, batch_id: int) -> None:
         """Drop state no replay can need any more."""
