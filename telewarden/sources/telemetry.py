@@ -6,6 +6,8 @@ plus ``seq``, a unique increasing arrival number. Rule evaluation follows ``seq`
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +18,7 @@ from ..schemas import CORRUPT, PACKET
 FILE_SPAN = 1 << 42
 MAX_FILES = 1 << 21
 ROW_BITS = (1 << 33) - 1
+SCHEME = re.compile(r"^(\w+):/+")
 
 
 def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -29,6 +32,8 @@ def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
         .option("header", True)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
+        # With pruning a short line goes unnoticed if an unread column is what it lacks.
+        .option("columnPruning", False)
         .csv(path)
     )
     return _with_file_seq(lines)
@@ -108,12 +113,13 @@ def _with_file_seq(df: DataFrame) -> DataFrame:
         return df.select(*columns, position.alias("seq"))
     spark = df.sparkSession
     numbers = spark.createDataFrame(
-        [(name, number * FILE_SPAN) for number, name in enumerate(files)],
+        [(SCHEME.sub(r"\1:/", name), number * FILE_SPAN) for number, name in enumerate(files)],
         "file string, first_seq bigint",
     )
-    placed = df.select(
-        *columns, F.col("_metadata.file_path").alias("file"), position.alias("position")
-    )
-    return placed.join(F.broadcast(numbers), "file").select(
-        *columns, (F.col("first_seq") + F.col("position")).alias("seq")
+    # The two file names differ in the slashes after the scheme.
+    name = F.regexp_replace(F.col("_metadata.file_path"), SCHEME.pattern, "$1:/")
+    placed = df.select(*columns, name.alias("file"), position.alias("position"))
+    first_seq = F.coalesce("first_seq", F.raise_error(F.lit("reading of an unlisted file")))
+    return placed.join(F.broadcast(numbers), "file", "left").select(
+        *columns, (first_seq + F.col("position")).alias("seq")
     )
