@@ -18,7 +18,7 @@ from telewarden.operators.sanitize import reject_counts, sanitize
 from telewarden.plans.evaluate import SLICE_ROWS, evaluate
 from telewarden.plans.rules import RuleSet, normalise_rules
 from telewarden.session import Staging, remove
-from telewarden.sinks import alarm_lines, write_nominal
+from telewarden.sinks import write_alarms, write_nominal
 from telewarden.sources import load_rules, load_sensors, read_csv, read_json, read_stream
 from telewarden.streaming import Monitor
 
@@ -35,6 +35,7 @@ class Summary:
     rows: int = 0
     sensors: int = 0
     alarms: int = 0
+    nominal: int = 0
     seconds: float = 0.0
     rejects: dict[str, int] = field(default_factory=dict)
 
@@ -96,10 +97,8 @@ def run_readings(
             stage=staging,
         )
         summary.rows = read.get["rows"]
-        summary.alarms = result.found.count()
-        if summary.alarms:
-            alarm_lines(result.alarms).write.mode("append").text(f"{output_path}/alarms")
-        write_nominal(result.valid, f"{output_path}/valid_data")
+        summary.alarms = write_alarms(result.alarms, f"{output_path}/alarms")
+        summary.nominal = write_nominal(result.valid, f"{output_path}/valid_data")
         if quarantine:
             rejects = cleaned.rejects
             summary.rejects = {r.reject_reason: r.rows for r in reject_counts(rejects).collect()}

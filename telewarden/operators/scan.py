@@ -134,8 +134,11 @@ def state_out(scanned: Scan, rules: RuleSet, state: State | None) -> State:
 
 
 def _inside_slices(sliced: DataFrame, rules: RuleSet) -> DataFrame:
-    """Windows inside a (sensor, slice) group: one exchange, one sort."""
-    w = Window.partitionBy("watch", "slice").orderBy("seq")
+    """Windows inside a (slice, sensor) group: one exchange, one sort.
+
+    The slice comes first in the sort, so that readings of one time stay close together.
+    """
+    w = Window.partitionBy("slice", "watch").orderBy("seq")
     so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     numbered = sliced.withColumns(
         {"previous": F.lag("value").over(w), "rn": F.row_number().over(w).cast("bigint")}

@@ -18,7 +18,7 @@ from ..operators.scan import Scan, Stage, State, scan, state_out
 from .rules import Rule, RuleSet
 
 # Rows per arrival slice, and most readings a nominal line may hold.
-SLICE_ROWS = 250_000
+SLICE_ROWS = 100_000
 MAX_LINE = 1_000_000
 # Rules per word of fired bits.
 WORD = 62

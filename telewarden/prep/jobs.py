@@ -13,6 +13,7 @@ from ..plans.rules import RuleSet
 ANOMALY_OFFSET = {">": 20.0, "<": -20.0}
 ANOMALY_PERCENT = 2
 GLITCH = "GLITCH_OR_NIL"
+BLOCK_SLICES = 4096
 # Timestamps that retiming replaces; other rows keep what they have.
 RETIMED = r"^[0-9]{4}-[01][0-9]-[0-3][0-9]T[0-2][0-9]:[0-5][0-9]:[0-5][0-9]Z"
 
@@ -63,16 +64,21 @@ def replicate(df: DataFrame, copies: int, span: int, shift_seconds: int = 0) ->
 
 
 def row_numbers(df: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """``row``: 0-based place in ``seq`` order, without one global window.
+    """``row``: 0-based place in ``seq`` order, without one global window over rows.
 
-    Rows are numbered inside bounded slices; a table of slice sizes gives the offsets.
+    Rows are numbered inside bounded slices. Slice offsets come from slice counts inside
+    blocks of slices, block offsets from the few block counts.
     """
     sliced = df.withColumn("slice", slice_of(F.col("seq"), slice_rows))
-    earlier = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        sliced.groupBy("slice")
-        .agg(F.count("*").alias("n"))
-        .select("slice", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset"))
+    block = slice_of(F.col("slice"), slice_rows * BLOCK_SLICES)
+    counts = sliced.groupBy("slice").agg(F.count("*").alias("n")).withColumn("block", block)
+    before_block = _sum_before(Window.orderBy("block"))
+    blocks = counts.groupBy("block").agg(F.sum("n").alias("n")).select(
+        "block", before_block.alias("block_offset")
+    )
+    offsets = counts.join(blocks, "block").select(
+        "slice",
+        (F.col("block_offset") + _sum_before(Window.partitionBy("block").orderBy("slice"))).alias("offset"),
     )
     place = F.row_number().over(Window.partitionBy("slice").orderBy("seq"))
     return (
@@ -83,6 +89,10 @@ def row_numbers(df: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
     )
 
 
+def _sum_before(w) -> Column:
+    return F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+
 def retime(df: DataFrame, base: str, per_second: int, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """Replace ISO timestamps by ``base`` + floor(row / per_second) seconds."""
     numbered = row_numbers(df, slice_rows)

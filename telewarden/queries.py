@@ -11,12 +11,12 @@ from . import prep
 from .functions import fmt_value
 from .operators import completeness
 from .operators.sanitize import reject_counts, sanitize
-from .operators.scan import State, scan
+from .operators.scan import scan
 from .plans import relational
-from .plans.evaluate import Result, anomalous_timestamps, evaluate
+from .plans.evaluate import SLICE_ROWS, Result, anomalous_timestamps, evaluate
 from .plans.rules import Rule, RuleSet, normalise_rules, order_rules
-from .session import Staging, shared_dir
-from .sinks import nominal_lines, pack_nominal, write_alarms, write_nominal
+from .session import Staging
+from .sinks import pack_nominal, write_alarms, write_nominal
 from .sources import from_table, read_csv, read_json, read_stream, with_time_seq
 from .streaming import Monitor
 
@@ -169,8 +169,8 @@ def data_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def slice_rows(df: DataFrame) -> int:
-    """Slices for the segmented forms: 64 whatever the size, so that edges are met."""
-    return max(100, df.count() // 64)
+    """Slice length that meets edges in small tables and keeps the bound in large ones."""
+    return min(SLICE_ROWS, max(100, df.count() // 64))
 
 
 def judged(spark: SparkSession, sf: str, *rules: Rule) -> Result:
@@ -208,13 +208,13 @@ def unknown_operator(spark, sf):
     )
 
 
-def _diffs(df: DataFrame, rows: int | None) -> DataFrame:
+def _diffs(df: DataFrame, rows: int) -> DataFrame:
     rules = RuleSet.of(Rule(s, "step_difference", "LOW", s, ">", 0.0) for s in SENSORS)
     return scan(df, rules, slice_rows=rows).rows.select("seq", "sensor_id", "diff")
 
 
 def step_difference(spark, sf):
-    return _diffs(telemetry(spark, sf), None)
+    return _diffs(telemetry(spark, sf), SLICE_ROWS)
 
 
 def segmented_step(spark, sf):
@@ -228,7 +228,7 @@ def step_cold_start(spark, sf):
     return judged(spark, sf, *rules).alarms
 
 
-def _streaks(df: DataFrame, rows: int | None) -> DataFrame:
+def _streaks(df: DataFrame, rows: int) -> DataFrame:
     rules = RuleSet.of(Rule(s, "stateful", "LOW", s, "<", 35.0, 3) for s in SENSORS)
     return scan(df, rules, slice_rows=rows).rows.select(
         "seq", "sensor_id", F.col("streak_0").alias("streak")
@@ -236,7 +236,7 @@ def _streaks(df: DataFrame, rows: int | None) -> DataFrame:
 
 
 def stateful_streak(spark, sf):
-    return _streaks(telemetry(spark, sf), None)
+    return _streaks(telemetry(spark, sf), SLICE_ROWS)
 
 
 def segmented_streak(spark, sf):

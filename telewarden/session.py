@@ -56,8 +56,17 @@ class Staging:
         remove(self.spark, self.root)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target, system = _file_system(spark, path)
+    return system.exists(target)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder this package has written, on whatever file system it is."""
+    target, system = _file_system(spark, path)
+    system.delete(target, True)
+
+
+def _file_system(spark: SparkSession, path: str):
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    target.getFileSystem(conf).delete(target, True)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

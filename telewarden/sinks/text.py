@@ -4,32 +4,39 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions import fmt_value, slice_of
 from ..plans.evaluate import MAX_LINE
 from ..schemas import ALARMS
+from ..session import exists, remove
 
 logger = logging.getLogger(__name__)
 
 
-def pack_nominal(valid: DataFrame, max_line: int = MAX_LINE) -> DataFrame:
+def pack_nominal(valid: DataFrame, max_line: int = MAX_LINE, ordered: bool = False) -> DataFrame:
     """``timestamp, status, sensor_string``: readings sorted by sensor, then arrival.
 
     One line per (timestamp, line). Nominal rows bring ``line`` from the evaluation, so a
     line never gathers more than ``max_line`` readings; other frames get it here.
+    ``ordered`` spreads the readings by ranges instead of hashes, which leaves the lines
+    in global order without shuffling them again.
     """
     if "seq" not in valid.columns:
         valid = valid.withColumn("seq", F.monotonically_increasing_id())
     if "line" not in valid.columns:
         valid = _with_line(valid, max_line)
+    if ordered:
+        valid = valid.select("timestamp", "line", "sensor_id", "seq", "value").repartitionByRange(
+            "timestamp", "line"
+        )
     reading = F.struct(
         "sensor_id",
         "seq",
         F.concat("sensor_id", F.lit(":"), fmt_value("value")).alias("text"),
     )
-    return (
+    packed = (
         valid.groupBy("timestamp", "line")
         .agg(F.sort_array(F.collect_list(reading)).alias("readings"))
         .select(
@@ -39,38 +46,45 @@ def pack_nominal(valid: DataFrame, max_line: int = MAX_LINE) -> DataFrame:
             "line",
         )
     )
+    return packed.sortWithinPartitions("timestamp", "line") if ordered else packed
 
 
 def nominal_lines(packed: DataFrame) -> DataFrame:
-    return packed.orderBy("timestamp", "line").select(
-        F.concat_ws(";", "timestamp", "status", "sensor_string").alias("value")
-    )
+    return packed.select(F.concat_ws(";", "timestamp", "status", "sensor_string").alias("value"))
 
 
 def alarm_lines(alarms: DataFrame) -> DataFrame:
     return alarms.select(F.concat_ws(";", *ALARMS.fieldNames()).alias("value"))
 
 
-def write_nominal(valid: DataFrame, path: str, mode: str = "append") -> bool:
-    """Write packed lines in timestamp order; nothing is written for an empty frame."""
-    if not valid.columns or valid.isEmpty():
-        return False
-    nominal_lines(pack_nominal(valid)).write.mode(mode).text(path)
-    return True
+def write_nominal(valid: DataFrame, path: str, mode: str = "append") -> int:
+    """Write packed lines in timestamp order; the number of lines comes back."""
+    if not valid.columns:
+        return 0
+    return _write_lines(nominal_lines(pack_nominal(valid, ordered=True)), path, mode)
 
 
-def write_alarms(alarms: DataFrame, path: str, mode: str = "append") -> bool:
+def write_alarms(alarms: DataFrame, path: str, mode: str = "append") -> int:
     """Write sorted alarm lines; a frame without the five columns is refused."""
     if not alarms.columns:
-        return False
+        return 0
     missing = [name for name in ALARMS.fieldNames() if name not in alarms.columns]
     if missing:
         logger.error("alarms not written, missing columns: %s", ", ".join(missing))
-        return False
-    if alarms.isEmpty():
-        return False
-    alarm_lines(alarms).write.mode(mode).text(path)
-    return True
+        return 0
+    return _write_lines(alarm_lines(alarms), path, mode)
+
+
+def _write_lines(lines: DataFrame, path: str, mode: str) -> int:
+    """One pass: count while writing; an empty frame leaves no folder behind."""
+    spark = lines.sparkSession
+    before = exists(spark, path)
+    counted = Observation()
+    lines.observe(counted, F.count(F.lit(1)).alias("lines")).write.mode(mode).text(path)
+    written = counted.get["lines"]
+    if not written and not before:
+        remove(spark, path)
+    return written
 
 
 def _with_line(valid: DataFrame, max_line: int) -> DataFrame:

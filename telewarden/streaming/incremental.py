@@ -174,11 +174,13 @@ class Monitor:
         counted = Observation()
         alarms = result.alarms.observe(counted, F.count(F.lit(1)).alias("alarms"))
         self._out(alarms, "alarms", batch_id)
-        self._out(pack_nominal(result.valid).orderBy("timestamp", "line"), "nominal", batch_id)
+        self._out(pack_nominal(result.valid, ordered=True), "nominal", batch_id)
         if self.text:
             lines = {
-                "alarms_text": alarm_lines(self._output("alarms", batch_id, ALARMS)),
-                "nominal_text": nominal_lines(self._output("nominal", batch_id, NOMINAL)),
+                "alarms_text": alarm_lines(result.alarms),
+                "nominal_text": nominal_lines(
+                    self._output("nominal", batch_id, NOMINAL).orderBy("timestamp", "line")
+                ),
             }
             for name, df in lines.items():
                 df.write.mode("overwrite").text(f"{self.output}/{name}/batch_id={batch_id}")
