@@ -314,8 +314,8 @@ ORACLE = {
     "missing_priority": f"""WITH {TEL}, {DIRTY} SELECT 'LOW' AS priority, count(*) AS readings FROM dirty
         WHERE timestamp IS NOT NULL AND sensor_id IS NOT NULL AND value IS NOT NULL
         AND seq % 40 NOT IN (1, 2, 3, 6, 15, 17, 18, 19, 21)""",
-    "missing_mandatory": f"""WITH {TEL} SELECT timestamp, sensor_id, value, priority, seq
-        FROM tel WHERE false""",
+    "missing_mandatory": f"""WITH {TEL}, {DIRTY} SELECT sensor_id, count(*) AS readings,
+        CAST(0 AS BIGINT) AS kept FROM dirty GROUP BY sensor_id, seq % 40 = 11""",
     "dirty_alarms": all_alarms(f"{TEL}, {DIRTY}, {CLEAN}", "clean"),
     "rule_rejects": f"""WITH {SUPPLIER_RULES}
         SELECT rule_id, reason, pos FROM judged WHERE reason IS NOT NULL

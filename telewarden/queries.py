@@ -365,8 +365,15 @@ def missing_priority(spark, sf):
 
 
 def missing_mandatory(spark, sf):
-    """Without a mandatory column nothing is left."""
-    return sanitize(dirty(spark, sf).drop("value")).clean.drop("event_time")
+    """Without a mandatory column nothing is left of what came in."""
+    raw = dirty(spark, sf)
+    kept = sanitize(raw.drop("value")).clean.groupBy("sensor_id").agg(F.count("*").alias("kept"))
+    came = raw.groupBy("sensor_id").agg(F.count("*").alias("readings"))
+    return came.join(kept, "sensor_id", "left").select(
+        F.nullif("sensor_id", F.lit("")).alias("sensor_id"),
+        "readings",
+        F.coalesce("kept", F.lit(0).cast("bigint")).alias("kept"),
+    )
 
 
 def dirty_alarms(spark, sf):

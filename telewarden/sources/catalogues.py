@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 
 from ..schemas import RULES, SENSORS
 
+try:
+    import yaml
+except ImportError:
+    yaml = None
+
 
 def load_rules(spark: SparkSession, path: str) -> DataFrame:
     """Raw rules with ``pos``, their place in the file."""
@@ -16,8 +21,8 @@ def load_rules(spark: SparkSession, path: str) -> DataFrame:
 
 def load_sensors(spark: SparkSession, path: str) -> DataFrame:
     """Sensor dimension; an empty catalogue is an error."""
-    import yaml
-
+    if yaml is None:
+        raise ImportError("reading a sensor catalogue needs PyYAML")
     text = spark.read.text(path, wholetext=True).first()
     config = yaml.safe_load(text.value if text else "") or {}
     sensors = config.get("sensors") or []
