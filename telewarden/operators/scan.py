@@ -35,9 +35,13 @@ class State:
 
 @dataclass(frozen=True)
 class Scan:
-    """``rows``: readings with ``watch``, ``slice``, ``diff`` and a ``streak_<slot>`` per slot."""
+    """``rows``: readings with ``watch``, ``slice``, ``diff`` and a ``streak_<slot>`` per slot.
+
+    ``readings`` are the same rows without the scan, for those who need no scan column.
+    """
 
     rows: DataFrame
+    readings: DataFrame
     summary: DataFrame | None
 
 
@@ -58,7 +62,8 @@ def scan(
     )
     slots = rules.streak_slots()
     if not slots and not rules.of_type("step_difference"):
-        return Scan(stage(sliced, "scanned") if stage else sliced, None)
+        rows = stage(sliced, "scanned") if stage else sliced
+        return Scan(rows, rows, None)
 
     if stage and slice_rows is not None:
         # Whole slices per task: a timestamp's sensors stay together in the staged table,
@@ -90,7 +95,8 @@ def scan(
         *(f"last_ok_{j}" for j in range(len(slots))),
         *(f"entry_{j}" for j in range(len(slots))),
     )
-    return Scan(rows, summary)
+    readings = scanned.select(*df.columns, "watch", "slice") if stage else sliced
+    return Scan(rows, readings, summary)
 
 
 def state_out(scanned: Scan, rules: RuleSet, state: State | None) -> State:

@@ -61,7 +61,7 @@ class Result:
     @cached_property
     def valid(self) -> DataFrame:
         """Readings of timestamps without any alarm."""
-        return nominal_rows(self.fired, self.moments, self.rules)
+        return nominal_rows(self.scanned.readings, self.moments, self.rules)
 
     @cached_property
     def state_out(self) -> State:
@@ -127,15 +127,19 @@ def any_fired(rules: RuleSet) -> Column:
 
 
 def base_alarms(fired: DataFrame, rules: RuleSet) -> DataFrame:
-    """One row per (base rule, reading)."""
+    """One row per (base rule, reading).
+
+    The rule tells the sensor's name, so the readings' own need not be shuffled along.
+    """
     return (
         fired.filter(any_fired(rules))
         .select(
             "timestamp",
-            "sensor_id",
             fmt_value("value").alias("value"),
             "seq",
-            F.expr(f"inline({_fired_rules(rules)})").alias("rule_id", "priority", "rank", "bit"),
+            F.expr(f"inline({_fired_rules(rules)})").alias(
+                "rule_id", "priority", "sensor_id", "rank", "bit"
+            ),
         )
         .select("timestamp", "rule_id", "priority", "sensor_id", "value", "rank", "seq")
     )
@@ -218,7 +222,7 @@ def anomalous_timestamps(moments: DataFrame, rules: RuleSet) -> DataFrame:
 
 
 def nominal_rows(
-    fired: DataFrame, moments: DataFrame, rules: RuleSet, max_line: int = MAX_LINE
+    readings: DataFrame, moments: DataFrame, rules: RuleSet, max_line: int = MAX_LINE
 ) -> DataFrame:
     """Readings of timestamps without any alarm, with ``line`` for packing.
 
@@ -243,8 +247,7 @@ def nominal_rows(
         F.lit(0).cast("bigint")
     )
     return (
-        fired.drop(*words(rules))
-        .join(keep, ["timestamp", "slice"])
+        readings.join(keep, ["timestamp", "slice"])
         .withColumn("line", line)
         .drop("slice", "split", "watch")
     )
@@ -268,7 +271,8 @@ def _fired_rules(rules: RuleSet) -> str:
         for number, name in enumerate(words(rules)):
             entries = ", ".join(
                 f"named_struct('rule_id', {quoted(rule.rule_id)}, 'priority', '{rule.priority}',"
-                f" 'rank', {PRIORITY_RANK[rule.priority]}, 'bit', {place[rule.rule_id][1]})"
+                f" 'sensor_id', {quoted(sensor)}, 'rank', {PRIORITY_RANK[rule.priority]},"
+                f" 'bit', {place[rule.rule_id][1]})"
                 for rule in group
                 if place[rule.rule_id][0] == number
             )
@@ -276,7 +280,8 @@ def _fired_rules(rules: RuleSet) -> str:
                 found.append(f"filter(array({entries}), r -> getbit({name}, r.bit) = 1)")
         case = found[0] if len(found) == 1 else f"concat({', '.join(found)})"
         cases.append(f"WHEN watch = {numbers[sensor]} THEN {case}")
-    none = "cast(array() AS array<struct<rule_id:string,priority:string,rank:int,bit:int>>)"
+    fields = "rule_id:string,priority:string,sensor_id:string,rank:int,bit:int"
+    none = f"cast(array() AS array<struct<{fields}>>)"
     return f"CASE {' '.join(cases)} ELSE {none} END" if cases else none
 
 

@@ -118,7 +118,7 @@ def test_hot_timestamp_is_packed_in_several_whole_lines(spark):
     df = frame(spark, rows)
     rules = RuleSet.of([])
     result = evaluate(df, rules, slice_rows=8)
-    packed = pack_nominal(nominal_rows(result.fired, result.moments, rules, max_line=16)).collect()
+    packed = pack_nominal(nominal_rows(result.scanned.readings, result.moments, rules, max_line=16)).collect()
     assert [p.sensor_string for p in packed if p.timestamp == "T2"] == ["S0:1.0|S1:2.0"]
     hot = [p.sensor_string.split("|") for p in packed if p.timestamp == "T1"]
     assert sorted(len(line) for line in hot) == [8, 16, 16]
