@@ -11,8 +11,7 @@ import logging
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from telewarden.operators.sanitize import reject_counts, sanitize
 from telewarden.plans.evaluate import SLICE_ROWS, evaluate
@@ -88,15 +87,9 @@ def run_readings(
             remove(spark, f"{output_path}/{name}")
     try:
         cleaned = sanitize(raw)
-        read = Observation("readings")
         clean = cleaned.clean.select("timestamp", "sensor_id", "value", "seq")
-        result = evaluate(
-            clean.observe(read, F.count(F.lit(1)).alias("rows")),
-            rules,
-            slice_rows=slice_rows,
-            stage=staging,
-        )
-        summary.rows = read.get["rows"]
+        result = evaluate(clean, rules, slice_rows=slice_rows, stage=staging)
+        summary.rows = result.scanned.readings.count()
         summary.alarms = write_alarms(result.alarms, f"{output_path}/alarms")
         summary.nominal = write_nominal(result.valid, f"{output_path}/valid_data")
         if quarantine:

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 
 def local_session(cores: str = "8", partitions: int = 8, memory: str = "16g") -> SparkSession:
@@ -56,6 +57,14 @@ class Staging:
         remove(self.spark, self.root)
 
 
+def observed(observation: Observation, name: str) -> int:
+    """A count taken while writing. A plan found empty reports nothing, which is 0."""
+    try:
+        return observation.get[name]
+    except (Py4JJavaError, KeyError):
+        return 0
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     target, system = _file_system(spark, path)
     return system.exists(target)

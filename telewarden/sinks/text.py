@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import fmt_value, slice_of
 from ..plans.evaluate import MAX_LINE
 from ..schemas import ALARMS
-from ..session import exists, remove
+from ..session import exists, observed, remove
 
 logger = logging.getLogger(__name__)
 
@@ -81,7 +81,7 @@ def _write_lines(lines: DataFrame, path: str, mode: str) -> int:
     before = exists(spark, path)
     counted = Observation()
     lines.observe(counted, F.count(F.lit(1)).alias("lines")).write.mode(mode).text(path)
-    written = counted.get["lines"]
+    written = observed(counted, "lines")
     if not written and not before:
         remove(spark, path)
     return written

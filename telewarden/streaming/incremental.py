@@ -18,7 +18,7 @@ from ..operators.scan import State
 from ..plans.evaluate import SLICE_ROWS, Result, evaluate
 from ..plans.rules import RuleSet
 from ..schemas import ALARMS, REJECTS, STEP_STATE, STREAK_STATE, TELEMETRY
-from ..session import Staging, remove
+from ..session import Staging, observed, remove
 from ..sinks import alarm_lines, nominal_lines, pack_nominal
 
 # Boundaries are event times in microseconds since the epoch.
@@ -184,7 +184,7 @@ class Monitor:
             }
             for name, df in lines.items():
                 df.write.mode("overwrite").text(f"{self.output}/{name}/batch_id={batch_id}")
-        return counted.get["alarms"]
+        return observed(counted, "alarms")
 
     def _write_quarantine(self, rejects: DataFrame, late: DataFrame, batch_id: int) -> None:
         too_late = late.select(

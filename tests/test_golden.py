@@ -118,3 +118,19 @@ def test_no_alarm_writes_no_alarm_folder(spark, tmp_path):
     run(spark, str(tmp_path / "in.csv"), str(out), str(tmp_path / "rules.json"), str(tmp_path / "sensors.yaml"))
     assert not (out / "alarms").exists()
     assert lines_of(out / "valid_data") == [f"{moment(1)};NOMINAL;S1:1.0|S2:9.0|S3:0.0"]
+
+
+@pytest.mark.parametrize("text", [
+    "timestamp,sensor_id,value,priority\n",
+    "timestamp,sensor_id,value,priority\nGARBAGE\n",
+    "timestamp,sensor_id,priority\n2026-05-01T10:00:01Z,S1,LOW\n",
+])
+def test_input_without_a_single_clean_row(spark, tmp_path, text):
+    write_case(tmp_path, {}, RULES_2)
+    (tmp_path / "in.csv").write_text(text)
+    out = tmp_path / "out"
+    summary = run(
+        spark, str(tmp_path / "in.csv"), str(out), str(tmp_path / "rules.json"), str(tmp_path / "sensors.yaml")
+    )
+    assert (summary.rows, summary.alarms, summary.nominal) == (0, 0, 0)
+    assert not (out / "alarms").exists() and not (out / "valid_data").exists()
