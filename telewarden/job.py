@@ -1,6 +1,6 @@
 """Batch and streaming jobs: files in, nominal lines and alarm lines out.
 
-spark-submit telewarden/job.py --input_path ... --output_path ... --rules_path ...
+spark-submit job.py --input_path ... --output_path ... --rules_path ...
     --sensors_path ... [--format csv|json] [--mode overwrite|append] [--quarantine]
 """
 
@@ -156,7 +156,3 @@ def main(argv: list[str] | None = None) -> None:
     monitor.start(stream, f"{args.output_path}/checkpoint").awaitTermination()
     if args.flush:
         monitor.flush()
-
-
-if __name__ == "__main__":
-    main()
