@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import Staging
@@ -171,3 +174,69 @@ def components(edges: DataFrame, staging: Staging, name: str) -> DataFrame:
         if new.filter("component != was").isEmpty():
             return state
     raise RuntimeError("links did not settle in 100 rounds")
+
+
+def dealt(rows: DataFrame, keys: list[str], who: str, most: int, staging: Staging, name: str, counted: DataFrame | None = None) -> DataFrame:
+    """Deal the rows of each key into pairs of parts, so that any two rows of a key meet in some pair.
+
+    A key with at most ``most`` rows is one part. A larger one has several, chosen by the hash of
+    ``who``, and each row goes to the pairs (p, q), p <= q, of its part with every part. Rows of the
+    same part are to be compared in the pair (p, p) alone. ``counted`` may be the bare key columns.
+    """
+    count = (rows if counted is None else counted).groupBy(*keys).agg(F.count("*").alias("n"))
+    parts = F.ceil(F.col("n") / most).cast("int").alias("parts")
+    large = staging(count.filter(F.col("n") > most).select(*keys, parts), name)
+    return (
+        rows.join(large, keys, "left")
+        .withColumn("parts", F.coalesce("parts", F.lit(1)))
+        .withColumn("part", F.pmod(F.xxhash64(who), F.col("parts")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        .withColumn("p", F.least("part", "other"))
+        .withColumn("q", F.greatest("part", "other"))
+        .drop("parts", "other")
+    )
+
+
+def together(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of the same keys side by side in one partition."""
+    return rows.repartition(*keys).sortWithinPartitions(*keys)
+
+
+def whole_runs(batches: Iterable[pa.RecordBatch], keys: int) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Tables of whole runs of equal values in the first columns, with the bounds of the runs."""
+    rest: list[pa.RecordBatch] = []
+
+    def ready(table: pa.Table, final: bool):
+        change = np.zeros(max(len(table) - 1, 0), bool)
+        for i in range(keys):
+            values = table.column(i).to_numpy()
+            change |= values[1:] != values[:-1]
+        starts = np.concatenate([[0], np.flatnonzero(change) + 1])
+        return starts, len(table) if final else int(starts[-1])
+
+    for batch in batches:
+        if not len(batch):
+            continue
+        table = pa.Table.from_batches([*rest, batch])
+        starts, cut = ready(table, False)
+        if cut:
+            yield table.slice(0, cut).combine_chunks(), starts
+        rest = table.slice(cut).combine_chunks().to_batches()
+    if rest:
+        table = pa.Table.from_batches(rest)
+        starts, cut = ready(table, True)
+        yield table, np.append(starts, cut)
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once a session."""
+    context = spark.sparkContext
+    if getattr(context, "_telewarden_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    target = Path(tempfile.mkdtemp(prefix="telewarden-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(target))
+    context._telewarden_shipped = True

@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, pii, wordpiece
+from . import bpe, lattice, pii, simhash, wordpiece
+from .common import ship
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
@@ -20,6 +22,15 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_embedding_near_dedup(spark, sf):
+    return lattice.near_duplicates(spark, table(spark, sf, "embeddings"))
+
+
+def op3_simhash_near_dedup(spark, sf):
+    found = simhash.near_duplicates(spark, table(spark, sf, "documents"))
+    return found.select("doc_id", simhash.hexadecimal().alias("fingerprint"), "component_id")
+
+
 def op5_pii(spark, sf):
     return pii.digests(pii.detect(table(spark, sf, "documents")))
 
@@ -34,6 +45,6 @@ def op9_token_counts(spark, sf):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_pii, op6_bpe, op9_token_counts)
+    f.__name__: f for f in (op2_embedding_near_dedup, op3_simhash_near_dedup, op5_pii, op6_bpe, op9_token_counts)
 }
 ORACLE: dict[str, str] = {}
