@@ -35,16 +35,20 @@ def slices(batches: Iterable[pa.RecordBatch], column: int, limit: int = SLICE_BY
             yield batch.slice(start, end - start)
 
 
-def map_text(df: DataFrame, work: Callable[[list], Iterable], schema: str, columns: list[str]) -> DataFrame:
-    """Apply ``work`` to Arrow slices of ``columns``, the last of which is the text.
+def map_text(
+    df: DataFrame, work: Callable[[], Callable], schema: str, columns: list[str], limit: int = SLICE_BYTES
+) -> DataFrame:
+    """Give Arrow slices of ``columns``, the last of which is the text, to what ``work`` makes once a task.
 
-    ``work`` is made once a task by calling it without arguments; it gets a record batch and gives one.
+    What it makes takes a record batch and gives some; if it has ``last``, that gives the final ones.
     """
 
     def run(batches):
         step = work()
-        for part in slices(batches, len(columns) - 1):
+        for part in slices(batches, len(columns) - 1, limit):
             yield from step(part)
+        if hasattr(step, "last"):
+            yield from step.last()
 
     return df.select(*columns).mapInArrow(run, schema)
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, lattice, pii, simhash, wordpiece
+from . import bpe, lattice, licenses, pii, simhash, wordpiece
 from .common import ship
 
 
@@ -44,7 +44,11 @@ def op9_token_counts(spark, sf):
     return wordpiece.token_counts(spark, table(spark, sf, "documents"), entries)
 
 
+def op10_license_scans(spark, sf):
+    return licenses.scan(spark, table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_embedding_near_dedup, op3_simhash_near_dedup, op5_pii, op6_bpe, op9_token_counts)
+    f.__name__: f for f in (op2_embedding_near_dedup, op3_simhash_near_dedup, op5_pii, op6_bpe, op9_token_counts, op10_license_scans)
 }
 ORACLE: dict[str, str] = {}
