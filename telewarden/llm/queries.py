@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bpe, lattice, licenses, pii, simhash, wordpiece
-from .common import ship
+from . import bpe, langid, lattice, licenses, pii, quality, simhash, wordpiece
+from .common import held_out, ship
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -22,6 +23,15 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_quality_classifier(spark, sf):
+    docs = table(spark, sf, "documents")
+    model = quality.fit(spark, docs, table(spark, sf, "labels"))
+    scored = quality.score(docs, model)
+    return scored.select(
+        "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted")
+    )
+
+
 def op2_embedding_near_dedup(spark, sf):
     return lattice.near_duplicates(spark, table(spark, sf, "embeddings"))
 
@@ -39,6 +49,12 @@ def op6_bpe(spark, sf):
     return bpe.digests(bpe.encode(spark, table(spark, sf, "documents"), vocabulary_path(), decoded=True))
 
 
+def op7_language_id(spark, sf):
+    docs = table(spark, sf, "documents")
+    found = langid.predict(docs, langid.fit(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op9_token_counts(spark, sf):
     entries = wordpiece.byte_entries(vocabulary_path())
     return wordpiece.token_counts(spark, table(spark, sf, "documents"), entries)
@@ -49,6 +65,10 @@ def op10_license_scans(spark, sf):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_embedding_near_dedup, op3_simhash_near_dedup, op5_pii, op6_bpe, op9_token_counts, op10_license_scans)
+    f.__name__: f
+    for f in (
+        op1_quality_classifier, op2_embedding_near_dedup, op3_simhash_near_dedup, op5_pii, op6_bpe, op7_language_id,
+        op9_token_counts, op10_license_scans,
+    )
 }
 ORACLE: dict[str, str] = {}
