@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, lattice, licenses, pii, quality, simhash, wordpiece
+from . import bpe, decontamination, html_text, langid, lattice, licenses, pii, quality, simhash, wordpiece
 from .common import held_out, ship
 
 
@@ -41,6 +41,10 @@ def op3_simhash_near_dedup(spark, sf):
     return found.select("doc_id", simhash.hexadecimal().alias("fingerprint"), "component_id")
 
 
+def op4_html_extraction(spark, sf):
+    return html_text.extract(table(spark, sf, "pages"))
+
+
 def op5_pii(spark, sf):
     return pii.digests(pii.detect(table(spark, sf, "documents")))
 
@@ -55,6 +59,10 @@ def op7_language_id(spark, sf):
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op8_decontamination(spark, sf):
+    return decontamination.matches(spark, table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
 def op9_token_counts(spark, sf):
     entries = wordpiece.byte_entries(vocabulary_path())
     return wordpiece.token_counts(spark, table(spark, sf, "documents"), entries)
@@ -67,8 +75,8 @@ def op10_license_scans(spark, sf):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_quality_classifier, op2_embedding_near_dedup, op3_simhash_near_dedup, op5_pii, op6_bpe, op7_language_id,
-        op9_token_counts, op10_license_scans,
+        op1_quality_classifier, op2_embedding_near_dedup, op3_simhash_near_dedup, op4_html_extraction, op5_pii,
+        op6_bpe, op7_language_id, op8_decontamination, op9_token_counts, op10_license_scans,
     )
 }
 ORACLE: dict[str, str] = {}
