@@ -270,10 +270,11 @@ def decode(spark: SparkSession, rows: DataFrame, path: str, key: str = "doc_id")
     return rows.select(key, "ids").mapInArrow(run, f"key {kind}, text string").withColumnRenamed("key", key)
 
 
-def digests(encoded: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Token counts and hashes of ids and decoded texts."""
+def digests(encoded: DataFrame, key: str = "doc_id", *more: str) -> DataFrame:
+    """Token counts and hashes of ids and decoded texts, with more columns if asked for."""
     return encoded.select(
         key,
+        *more,
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
