@@ -220,9 +220,13 @@ def joined(spans: Column) -> Column:
 def digests(found: DataFrame, key: str = "doc_id") -> DataFrame:
     """Counts of the base kinds, the hash of the base spans and the text of all spans."""
     base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     return found.select(
         key,
-        *(F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS[:4]),
+        *(count(kind) for kind in KINDS[:4]),
         F.sha2(joined(base), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
     )
