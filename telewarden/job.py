@@ -2,6 +2,7 @@
 
 spark-submit job.py --input_path ... --output_path ... --rules_path ...
     --sensors_path ... [--format csv|json] [--mode overwrite|append] [--quarantine]
+    [--rules_as_table]
 """
 
 from __future__ import annotations
@@ -11,20 +12,21 @@ import logging
 import time
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
-from telewarden.operators.sanitize import reject_counts, sanitize
+from telewarden.operators.sanitize import REASONS, counted, mark, sanitize, split
+from telewarden.plans import relational
 from telewarden.plans.evaluate import SLICE_ROWS, evaluate
 from telewarden.plans.rules import RuleSet, normalise_rules
-from telewarden.session import Staging, remove
-from telewarden.sinks import write_alarms, write_nominal
+from telewarden.schemas import MANDATORY
+from telewarden.session import Staging, observed_row
+from telewarden.sinks import Publication, write_alarms, write_nominal
 from telewarden.sources import load_rules, load_sensors, read_csv, read_json, read_stream
 from telewarden.streaming import Monitor
 
 logger = logging.getLogger(__name__)
 
-BYTES_PER_ROW = 32
-MAX_SLICES = 65_536
+OUTPUTS = ("alarms", "valid_data", "quarantine")
 
 
 @dataclass
@@ -48,16 +50,15 @@ def run(
     fmt: str = "csv",
     mode: str = "overwrite",
     quarantine: bool = False,
-    slice_rows: int | None = None,
+    slice_rows: int = SLICE_ROWS,
+    rules_as_table: bool = False,
 ) -> Summary:
     """Evaluate all readings of ``input_path``; alarms and nominal lines go to folders."""
     started = time.perf_counter()
     sensors = load_sensors(spark, sensors_path).count()
     raw = read_csv(spark, input_path) if fmt == "csv" else read_json(spark, input_path)
-    summary = run_readings(
-        spark, raw, output_path, _rules(spark, rules_path), mode, quarantine,
-        slice_rows or suited_slice_rows(spark, input_path),
-    )
+    rules = _rule_table(spark, rules_path) if rules_as_table else _rules(spark, rules_path)
+    summary = run_readings(spark, raw, output_path, rules, mode, quarantine, slice_rows)
     summary.sensors = sensors
     summary.seconds = time.perf_counter() - started
     logger.info("%s", summary)
@@ -68,49 +69,51 @@ def run_readings(
     spark: SparkSession,
     raw: DataFrame,
     output_path: str,
-    rules: RuleSet,
+    rules: RuleSet | DataFrame,
     mode: str = "overwrite",
     quarantine: bool = False,
     slice_rows: int = SLICE_ROWS,
 ) -> Summary:
-    """The batch job over raw readings.
+    """The batch job over raw readings; ``rules`` is a compiled set or a normalised table.
 
-    The scanned readings are staged once; alarms, the verdict per timestamp and the
-    nominal lines are then read from that table.
+    The raw input is read once: rejects are counted on the way, and with ``quarantine`` the
+    marked rows are staged so that both sides come from them. The scanned readings and the
+    hits are staged; all outputs are read from those and published together.
     """
-    if mode not in ("overwrite", "append"):
-        raise ValueError(f"mode must be overwrite or append, got {mode}")
     summary = Summary()
     staging = Staging(spark)
-    if mode == "overwrite":
-        for name in ("alarms", "valid_data", "quarantine"):
-            remove(spark, f"{output_path}/{name}")
+    seen = Observation()
     try:
-        cleaned = sanitize(raw)
-        clean = cleaned.clean.select("timestamp", "sensor_id", "value", "seq")
-        result = evaluate(clean, rules, slice_rows=slice_rows, stage=staging)
-        summary.rows = result.scanned.readings.count()
-        summary.alarms = write_alarms(result.alarms, f"{output_path}/alarms")
-        summary.nominal = write_nominal(result.valid, f"{output_path}/valid_data")
-        if quarantine:
-            rejects = cleaned.rejects
-            summary.rejects = {r.reject_reason: r.rows for r in reject_counts(rejects).collect()}
-            if summary.rejects:
-                rejects.write.mode(mode).parquet(f"{output_path}/quarantine")
+        with Publication(spark, output_path, OUTPUTS, mode) as publication:
+            if any(name not in raw.columns for name in MANDATORY):
+                parts = sanitize(raw)
+            else:
+                marked = counted(mark(raw), seen)
+                parts = split(staging(marked, "marked") if quarantine else marked)
+            clean = parts.clean.select("timestamp", "sensor_id", "value", "seq")
+            if isinstance(rules, RuleSet):
+                result = evaluate(clean, rules, slice_rows=slice_rows, stage=staging)
+            else:
+                result = relational.evaluate(clean, rules, slice_rows=slice_rows, stage=staging)
+            summary.rows = result.readings.count()
+            summary.alarms = write_alarms(result.alarms, publication.path("alarms"))
+            summary.nominal = write_nominal(result.valid, publication.path("valid_data"), stage=staging)
+            counts = observed_row(seen)
+            summary.rejects = {r: counts[r] for r in REASONS if counts.get(r)}
+            if quarantine and summary.rejects:
+                parts.rejects.write.parquet(publication.path("quarantine"))
     finally:
         staging.drop()
+    if summary.rejects:
+        logger.warning("rejected rows: %s", summary.rejects)
     return summary
 
 
-def suited_slice_rows(spark: SparkSession, path: str) -> int:
-    """Slice length for an input: at most about 65,536 slices, but no tiny ones.
-
-    The carry summary has a row per sensor and slice; so it stays small at any scale.
-    """
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    length = sum(system.getContentSummary(f.getPath()).getLength() for f in system.globStatus(target))
-    return max(SLICE_ROWS, length // BYTES_PER_ROW // MAX_SLICES)
+def _rule_table(spark: SparkSession, path: str) -> DataFrame:
+    valid, rejects = normalise_rules(load_rules(spark, path))
+    for row in rejects.groupBy("reason").count().collect():
+        logger.warning("%s rules dropped: %s", row["count"], row.reason)
+    return valid
 
 
 def _rules(spark: SparkSession, path: str) -> RuleSet:
@@ -132,27 +135,30 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--format", choices=("csv", "json"), default="csv")
     parser.add_argument("--mode", choices=("overwrite", "append"), default="overwrite")
     parser.add_argument("--quarantine", action="store_true", help="also write rejected rows")
-    parser.add_argument("--slice_rows", type=int, help="readings per arrival slice")
+    parser.add_argument("--slice_rows", type=int, default=SLICE_ROWS, help="readings per arrival slice")
+    parser.add_argument("--rules_as_table", action="store_true", help="join rules instead of compiling them")
     parser.add_argument("--stream", action="store_true", help="incremental run with state")
     parser.add_argument("--delay_seconds", type=int, default=0)
     parser.add_argument("--max_files_per_trigger", type=int)
+    parser.add_argument("--trigger", help="keep running with this interval, such as '10 seconds'")
     parser.add_argument("--flush", action="store_true", help="close held timestamps at the end")
     args = parser.parse_args(argv)
-    if args.slice_rows is not None and args.slice_rows <= 0:
+    if args.slice_rows <= 0:
         parser.error("slice_rows must be positive")
     spark = SparkSession.builder.appName("telewarden").getOrCreate()
     if not args.stream:
         run(
             spark, args.input_path, args.output_path, args.rules_path, args.sensors_path,
-            args.format, args.mode, args.quarantine, args.slice_rows,
+            args.format, args.mode, args.quarantine, args.slice_rows, args.rules_as_table,
         )
+        Staging.drop_all()
         return
     sensors = load_sensors(spark, args.sensors_path).count()
     monitor = Monitor(
         spark, _rules(spark, args.rules_path), args.output_path, f"{args.output_path}/state",
-        args.delay_seconds, sensors, args.slice_rows or SLICE_ROWS, text=True,
+        args.delay_seconds, sensors, args.slice_rows, text=True,
     )
     stream = read_stream(spark, args.input_path, args.format, args.max_files_per_trigger)
-    monitor.start(stream, f"{args.output_path}/checkpoint").awaitTermination()
+    monitor.start(stream, f"{args.output_path}/checkpoint", args.trigger).awaitTermination()
     if args.flush:
         monitor.flush()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import (
@@ -15,7 +15,11 @@ from ..functions import (
     normal_priority,
     null_tokens,
 )
-from ..schemas import CORRUPT, MANDATORY, REJECTS, TELEMETRY
+from ..schemas import ARRIVAL, CORRUPT, MANDATORY, REJECTS, TELEMETRY
+
+
+# Reasons in the order of the checks.
+REASONS = ("malformed", "schema_missing_field", "schema_priority", "type_value", "type_timestamp")
 
 
 class Sanitized(NamedTuple):
@@ -23,6 +27,43 @@ class Sanitized(NamedTuple):
     rejects: DataFrame
 
 
+def mark(raw: DataFrame) -> DataFrame:
+    """Every row with its reason, null for a clean one; the mandatory columns must be there."""
+    return _named(raw).withColumn("reject_reason", _reason(_number(raw), CORRUPT in raw.columns))
+
+
+def counted(marked: DataFrame, observation: Observation) -> DataFrame:
+    """The same rows; running them counts all rows and the rejects by reason."""
+    reasons = (F.count_if(F.col("reject_reason") == r).alias(r) for r in REASONS)
+    return marked.observe(observation, F.count(F.lit(1)).alias("rows"), *reasons)
+
+
+def split(marked: DataFrame) -> Sanitized:
+    """Clean readings and rejects of marked rows."""
+    extra = [ARRIVAL] if ARRIVAL in marked.columns else []
+    clean = marked.filter(F.col("reject_reason").isNull()).select(
+        "timestamp",
+        "sensor_id",
+        F.col("value").try_cast("double").alias("value"),
+        _priority().alias("priority"),
+        event_time("timestamp").alias("event_time"),
+        "seq",
+        *extra,
+    )
+    return Sanitized(clean, _rejects(marked))
+
+
+def _rejects(marked: DataFrame) -> DataFrame:
+    return marked.filter(F.col("reject_reason").isNotNull()).select(
+        null_tokens(F.col("timestamp")).alias("timestamp"),
+        null_tokens(F.col("sensor_id")).alias("sensor_id"),
+        null_tokens(F.col("value").cast("string")).alias("value"),
+        null_tokens(F.col("priority")).alias("priority"),
+        "seq",
+        "reject_reason",
+    )
+
+
 def sanitize(raw: DataFrame) -> Sanitized:
     """Clean readings and rejects; a missing mandatory column leaves nothing."""
     spark = raw.sparkSession
@@ -45,20 +86,9 @@ def sanitize(raw: DataFrame) -> Sanitized:
         _priority().alias("priority"),
         event_time("timestamp").alias("event_time"),
         "seq",
+        *([ARRIVAL] if ARRIVAL in raw.columns else []),
     )
-    rejects = (
-        named.withColumn("reject_reason", _reason(number, CORRUPT in raw.columns))
-        .filter(F.col("reject_reason").isNotNull())
-        .select(
-            null_tokens(F.col("timestamp")).alias("timestamp"),
-            null_tokens(F.col("sensor_id")).alias("sensor_id"),
-            null_tokens(F.col("value").cast("string")).alias("value"),
-            null_tokens(F.col("priority")).alias("priority"),
-            "seq",
-            "reject_reason",
-        )
-    )
-    return Sanitized(clean, rejects)
+    return Sanitized(clean, _rejects(mark(raw)))
 
 
 def reject_counts(rejects: DataFrame) -> DataFrame:
@@ -73,7 +103,7 @@ def _named(raw: DataFrame) -> DataFrame:
         .cast("string")
         .alias("priority"),
         F.col("seq") if "seq" in raw.columns else F.monotonically_increasing_id().alias("seq"),
-        *([CORRUPT] if CORRUPT in raw.columns else []),
+        *(name for name in (CORRUPT, ARRIVAL) if name in raw.columns),
     )
 
 

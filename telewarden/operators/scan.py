@@ -3,9 +3,9 @@
 A sensor may hold a large share of all readings, so a window over a whole sensor would
 be one giant task. The scan works on (sensor, arrival slice) groups instead: a slice is
 a bounded range of ``seq``. Inside a group plain windows do the work; what crosses a
-slice edge is carried by a summary with one row per (sensor, slice). Sensors go by
-their number (``watch``); those without any rule share one number and are not scanned
-for anything.
+slice edge is carried by a summary with one row per (sensor, slice), and what crosses a
+block of slices by one with a row per (sensor, block). Sensors go by their number
+(``watch``); those without any rule share one number.
 """
 
 from __future__ import annotations
@@ -21,8 +21,12 @@ from ..plans.rules import RuleSet
 
 Stage = Callable[[DataFrame, str], DataFrame]
 
-# A staged summary up to this many rows (well under 200 MB) is broadcast.
-BROADCAST_ROWS = 1_000_000
+# A staged summary of at most this many bytes is broadcast.
+BROADCAST_BYTES = 64 << 20
+# A fixed-width column of a broadcast row takes eight bytes, and as many for the table around it.
+ROW_BYTES = 16
+# Slices per block of the summary.
+BLOCK_SLICES = 4096
 
 
 @dataclass(frozen=True)
@@ -72,13 +76,14 @@ def scan(
     scanned = _inside_slices(sliced, rules)
     if stage:
         scanned = stage(scanned, "scanned")
-    summary = _across_slices(scanned, len(slots), _entry_state(rules, state))
+    block_rows = None if slice_rows is None else slice_rows * BLOCK_SLICES
+    summary = across_slices(scanned, len(slots), _entry_state(rules, state), block_rows)
     if stage:
         summary = stage(summary, "summary")
     carry = summary.select(
         "watch", "slice", "entry_value", *(f"entry_{j}" for j in range(len(slots)))
     )
-    if stage and summary.count() <= BROADCAST_ROWS:
+    if stage and summary.count() * ROW_BYTES * len(carry.columns) <= BROADCAST_BYTES:
         carry = F.broadcast(carry)
     joined = scanned.join(carry, ["watch", "slice"])
     before = F.coalesce(F.col("previous"), F.col("entry_value"), F.col("value"))
@@ -117,7 +122,7 @@ def state_out(scanned: Scan, rules: RuleSet, state: State | None) -> State:
         *(F.max_by(f"exit_{j}", "slice").alias(f"exit_{j}") for j in range(len(slots))),
     )
     names = F.array(*(F.lit(s) for s in sensors))
-    last = last.filter("watch >= 0").withColumn("sensor_id", names[F.col("watch")])
+    last = last.filter("watch >= 0").withColumn("sensor_id", F.get(names, F.col("watch")))
     step = last.filter(F.col("sensor_id").isin(step_sensors)).select("sensor_id", "last_value")
     entries = [
         F.when(
@@ -134,8 +139,8 @@ def state_out(scanned: Scan, rules: RuleSet, state: State | None) -> State:
     else:
         streak = spark.createDataFrame([], "rule_id string, sensor_id string, streak bigint")
     if state is not None:
-        step = _keep_old(step, state.step, ["sensor_id"], "last_value")
-        streak = _keep_old(streak, state.streak, ["rule_id", "sensor_id"], "streak")
+        step = keep_old(step, state.step, ["sensor_id"], "last_value")
+        streak = keep_old(streak, state.streak, ["rule_id", "sensor_id"], "streak")
     return State(step, streak)
 
 
@@ -164,11 +169,15 @@ def _breach(slot: dict, numbers: dict[str, int]) -> Column:
     return case.otherwise(F.lit(False))
 
 
-def _across_slices(scanned: DataFrame, slots: int, entry: DataFrame | None) -> DataFrame:
+def across_slices(
+    scanned: DataFrame, slots: int, entry: DataFrame | None, block_rows: int | None
+) -> DataFrame:
     """One row per (sensor, slice): what enters and leaves it.
 
     entry_<j> counts the breaches right before the slice, so it is the rows since the
     last good reading of any earlier slice, plus the carried streak if there is none.
+    Rows and good readings are counted inside blocks of slices first, then over blocks,
+    so no window holds more than a block of slices or all blocks of a sensor.
     """
     parts = scanned.groupBy("watch", "slice").agg(
         # Counting a column keeps both readers of the slices on the same shuffle.
@@ -176,27 +185,61 @@ def _across_slices(scanned: DataFrame, slots: int, entry: DataFrame | None) -> D
         F.max_by("value", "seq").alias("last_value"),
         *(F.max(f"last_ok_{j}").alias(f"last_ok_{j}") for j in range(slots)),
     )
+    block = F.lit(0).cast("bigint") if block_rows is None else slice_of(F.col("slice"), block_rows)
+    inside = Window.partitionBy("watch", "block").orderBy("slice")
+    earlier = inside.rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.withColumn("block", block).withColumns(
+        {
+            "in_before": F.coalesce(F.sum("n").over(earlier), F.lit(0)),
+            "in_value": F.lag("last_value").over(inside),
+        }
+    )
+    parts = parts.withColumns(
+        {
+            f"in_good_{j}": F.max(F.col("in_before") + F.col(f"last_ok_{j}")).over(earlier)
+            for j in range(slots)
+        }
+    )
+    blocks = parts.groupBy("watch", "block").agg(
+        F.sum("n").alias("n"),
+        F.max_by("last_value", "slice").alias("last_value"),
+        *(
+            F.max(F.col("in_before") + F.col(f"last_ok_{j}")).alias(f"good_{j}")
+            for j in range(slots)
+        ),
+    )
+    over = Window.partitionBy("watch").orderBy("block")
+    sooner = over.rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumns(
+        {
+            "rows_before": F.coalesce(F.sum("n").over(sooner), F.lit(0)),
+            "block_value": F.lag("last_value").over(over),
+        }
+    )
+    blocks = blocks.select(
+        "watch", "block", "rows_before", "block_value",
+        *(
+            F.max(F.col("rows_before") + F.col(f"good_{j}")).over(sooner).alias(f"good_{j}")
+            for j in range(slots)
+        ),
+    )
     if entry is not None:
-        parts = parts.join(F.broadcast(entry), "watch", "left")
+        blocks = blocks.join(entry, "watch", "left")
     else:
-        parts = parts.withColumns(
+        blocks = blocks.withColumns(
             {
                 "state_value": F.lit(None).cast("double"),
                 **{f"state_{j}": F.lit(0).cast("bigint") for j in range(slots)},
             }
         )
-    w = Window.partitionBy("watch").orderBy("slice")
-    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
-    placed = parts.withColumn("rows_before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-    placed = placed.withColumn(
-        "entry_value", F.coalesce(F.lag("last_value").over(w), F.col("state_value"))
+    placed = parts.join(blocks, ["watch", "block"]).withColumn(
+        "entry_value", F.coalesce("in_value", "block_value", "state_value")
     )
+    before = F.col("rows_before") + F.col("in_before")
     for j in range(slots):
-        good = F.max(F.col("rows_before") + F.col(f"last_ok_{j}")).over(earlier)
+        good = F.greatest(F.col(f"good_{j}"), F.col("rows_before") + F.col(f"in_good_{j}"))
         carried = -F.coalesce(F.col(f"state_{j}"), F.lit(0).cast("bigint"))
-        placed = placed.withColumn(
-            f"entry_{j}", F.col("rows_before") - F.coalesce(good, carried)
-        )
+        placed = placed.withColumn(f"entry_{j}", before - F.coalesce(good, carried))
     exits = {
         f"exit_{j}": F.when(
             F.col(f"last_ok_{j}").isNull(), F.col("n") + F.col(f"entry_{j}")
@@ -241,7 +284,7 @@ def _entry_state(rules: RuleSet, state: State | None) -> DataFrame | None:
     )
 
 
-def _keep_old(new: DataFrame, old: DataFrame, keys: list[str], value: str) -> DataFrame:
+def keep_old(new: DataFrame, old: DataFrame, keys: list[str], value: str) -> DataFrame:
     return (
         new.select(*keys, F.col(value).alias("new"))
         .join(old.select(*keys, F.col(value).alias("old")), keys, "full_outer")

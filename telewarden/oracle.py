@@ -13,11 +13,11 @@ ORD = """ord AS (SELECT o_orderkey AS seq,
     o_orderpriority AS sensor_id, o_totalprice AS value FROM orders)"""
 
 DIRTY = """dirty AS (SELECT seq,
-    CASE seq % 40 WHEN 1 THEN 'TIME_STAMP_MALFORMED' WHEN 2 THEN '12' WHEN 3 THEN '10:00'
+    CASE seq % 40 WHEN 1 THEN 'sometime' WHEN 2 THEN '12' WHEN 3 THEN '10:00'
         WHEN 4 THEN substr(timestamp, 1, 16) || 'Z' WHEN 5 THEN NULL
         WHEN 6 THEN substr(timestamp, 1, 7) ELSE timestamp END AS timestamp,
     CASE WHEN seq % 40 IN (10, 11) THEN NULL ELSE sensor_id END AS sensor_id,
-    CASE seq % 40 WHEN 15 THEN 'SENSOR_BROKEN' WHEN 16 THEN NULL WHEN 17 THEN '5d'
+    CASE seq % 40 WHEN 15 THEN 'out of order' WHEN 16 THEN NULL WHEN 17 THEN '5d'
         WHEN 18 THEN ' 1.5' WHEN 19 THEN 'inf' WHEN 20 THEN '1e2' WHEN 21 THEN '0x1p3'
         ELSE CAST(value AS VARCHAR) END AS value,
     CASE WHEN seq % 40 = 25 THEN 'CRITICAL' WHEN seq % 40 IN (26, 27) THEN NULL
@@ -115,12 +115,13 @@ def judged(rules=BASE, tel: str = TEL, source: str = "tel", streaks=BASE_STREAKS
     return f"{tel}, {scanned(source, streaks)}, {hits(rules)}"
 
 
-def all_alarms(tel: str = TEL, source: str = "tel") -> str:
-    correlations = " UNION ALL ".join(correlation(r) for r in (R5, R6, R7, R8, R9))
-    return (
-        f"WITH {judged(BASE, tel, source)}, {fired(FLAGS)} "
-        f"{base_alarms()} UNION ALL {correlations}"
-    )
+def all_alarms(tel: str = TEL, source: str = "tel", numbered: bool = False) -> str:
+    """Alarms of all rules; numbered ones also tell the arrival of their reading."""
+    found = [base_alarms(), *(correlation(r) for r in (R5, R6, R7, R8, R9))]
+    if numbered:
+        arrival = ["seq", *["NULL"] * 5]
+        found = [sql.replace("AS value", f"AS value, {seq} AS seq", 1) for sql, seq in zip(found, arrival)]
+    return f"WITH {judged(BASE, tel, source)}, {fired(FLAGS)} " + " UNION ALL ".join(found)
 
 
 def one_correlation(rule) -> str:
@@ -216,20 +217,19 @@ DATA_RULES = f"""WITH {TEL},
     UNION ALL SELECT timestamp, 'C_' || sensor_id, 'MEDIUM', sensor_id, value, seq FROM streaks WHERE streak >= 4),
   firsts AS (SELECT timestamp, sensor_id, CAST(arg_min(value, seq) AS VARCHAR) AS first FROM tel GROUP BY ALL),
   both_fired AS (SELECT timestamp, sensor_id FROM hits WHERE rule_id[1:2] IN ('A_', 'B_')
-    GROUP BY timestamp, sensor_id HAVING count(DISTINCT rule_id) = 2)
-  {base_alarms()} UNION ALL
+    GROUP BY timestamp, sensor_id HAVING count(DISTINCT rule_id) = 2),
+  nested AS (SELECT timestamp, sensor_id FROM both_fired
+    UNION SELECT timestamp, sensor_id FROM hits WHERE rule_id[1:2] = 'C_')"""
+
+TABLE_ALARMS = f"""{DATA_RULES} {base_alarms()} UNION ALL
   SELECT b.timestamp, 'D_' || b.sensor_id, 'HIGH', b.sensor_id || ',' || b.sensor_id, first || ',' || first
-    FROM both_fired b JOIN firsts f ON f.timestamp = b.timestamp AND f.sensor_id = b.sensor_id"""
+    FROM both_fired b JOIN firsts f ON f.timestamp = b.timestamp AND f.sensor_id = b.sensor_id
+  UNION ALL SELECT n.timestamp, 'E_' || n.sensor_id, 'MEDIUM',
+    concat_ws(',', n.sensor_id, n.sensor_id, n.sensor_id, 'UNKNOWN'), concat_ws(',', first, first, first, 'NaN')
+    FROM nested n JOIN firsts f ON f.timestamp = n.timestamp AND f.sensor_id = n.sensor_id"""
 
 CATALOGUE = "(VALUES ('click'), ('error'), ('purchase'), ('signup'), ('view'), ('refund')) c(sensor_id)"
 
-SAMPLED = "((seq % 99991) * 7919 + {salt} * 104729) % 100 < {percent}"
-
-
-def sampled(salt: int, percent: int) -> str:
-    return SAMPLED.format(salt=salt, percent=percent)
-
-
 COPIES = f"""{TEL}, span AS (SELECT max(event_id) + 1 AS s FROM events),
   copies AS (SELECT c.copy * s + seq AS seq, timestamp, sensor_id, value, priority, c.copy
     FROM tel, span, (VALUES (0), (1), (2)) c(copy))"""
@@ -256,7 +256,7 @@ ORACLE = {
     "segmented_step": f"WITH {TEL}, {scanned('tel', {})} SELECT seq, sensor_id, diff FROM scanned",
     "step_cold_start": f"""WITH {TEL}, {scanned('tel', {})}
         SELECT timestamp, 'S_' || sensor_id AS rule_id, 'LOW' AS priority, sensor_id,
-        CAST(value AS VARCHAR) AS value FROM scanned WHERE diff < 46.88""",
+        CAST(value AS VARCHAR) AS value FROM scanned WHERE diff < 41.5""",
     "stateful_streak": f"""WITH {TEL}, {scanned('tel', STREAK_35)}
         SELECT seq, sensor_id, CAST(streak_s AS BIGINT) AS streak FROM scanned""",
     "segmented_streak": f"""WITH {TEL}, {scanned('tel', STREAK_35)}
@@ -327,7 +327,43 @@ ORACLE = {
         r.sensor_id, CAST(l_quantity AS VARCHAR) AS value, l_orderkey AS seq
         FROM lineitem JOIN valid r ON r.sensor_id = 'S' || l_suppkey AND r.type = 'simple'
         WHERE {OP_HOLDS.format(m='l_quantity')}""",
-    "rules_table_alarms": DATA_RULES,
+    "rules_table_alarms": TABLE_ALARMS,
+    "rules_table_nominal": f"""{DATA_RULES} SELECT timestamp, 'NOMINAL' AS status,
+        string_agg(sensor_id || ':' || CAST(value AS VARCHAR), '|' ORDER BY sensor_id, seq) AS sensor_string
+        FROM tel WHERE timestamp NOT IN (SELECT timestamp FROM hits) GROUP BY timestamp""",
+    "rules_table_state": f"""{DATA_RULES} SELECT 'C_' || sensor_id AS rule_id, sensor_id,
+        CAST(arg_max(streak, seq) AS BIGINT) AS streak FROM streaks GROUP BY sensor_id""",
+    "alarm_positions": f"""SELECT CAST(row_number() OVER (ORDER BY timestamp,
+            CASE priority WHEN 'HIGH' THEN 1 WHEN 'MEDIUM' THEN 2 ELSE 3 END, rule_id, sensor_id, seq) - 1
+            AS BIGINT) AS row, concat_ws(';', timestamp, rule_id, priority, sensor_id, value) AS line
+        FROM ({all_alarms(numbered=True)})""",
+    "nominal_positions": f"""SELECT CAST(row_number() OVER (ORDER BY timestamp) - 1 AS BIGINT) AS row,
+        concat_ws(';', timestamp, status, sensor_string) AS line FROM ({PACKED})""",
+    "rule_positions": f"""WITH {SUPPLIER_RULES} SELECT CAST(row_number() OVER (ORDER BY
+            CASE priority WHEN 'HIGH' THEN 1 WHEN 'MEDIUM' THEN 2 ELSE 3 END, pos) - 1 AS BIGINT) AS row,
+        rule_id, priority FROM valid""",
+    "damaged_csv": f"""WITH {TEL} SELECT CASE seq % 10 WHEN 2 THEN 'malformed' ELSE 'clean' END AS outcome,
+        CASE seq % 10 WHEN 1 THEN 'LOW' WHEN 2 THEN NULL WHEN 3 THEN 'HIGH' ELSE priority END AS priority,
+        count(*) AS rows FROM tel GROUP BY ALL""",
+    "rules_json": f"""WITH {SUPPLIER_RULES}
+        SELECT rule_id, type, priority, logic, operator, value FROM valid""",
+    "sensors_yaml": """SELECT replace(n_name, ' ', '_') AS id, CAST(NULL AS VARCHAR) AS sampling_rate,
+        'r' || n_regionkey AS unit, 'N-1' AS spacecraft_id FROM nation""",
+    "absent_sensor": f"""WITH {TEL} SELECT sensor_id, arg_max(value, seq) AS last_value
+        FROM tel WHERE sensor_id = 'click' GROUP BY sensor_id UNION ALL SELECT 'refund', 7.5""",
+    "no_rules": f"""WITH {TEL} SELECT timestamp, 'NOMINAL' AS status,
+        string_agg(sensor_id || ':' || CAST(value AS VARCHAR), '|' ORDER BY sensor_id, seq) AS sensor_string
+        FROM tel GROUP BY timestamp""",
+    "published_lines": f"""SELECT line, 2 * count(*) AS copies FROM (
+        SELECT concat_ws(';', timestamp, rule_id, priority, sensor_id, value) AS line FROM ({all_alarms()})
+        UNION ALL SELECT concat_ws(';', timestamp, status, sensor_string) FROM ({PACKED})) GROUP BY line""",
+    "refused_outputs": f"""SELECT rule_id, count(*) AS alarms, CAST(0 AS BIGINT) AS lines,
+        false AS left_behind FROM ({all_alarms()}) GROUP BY rule_id""",
+    "counted_rejects": f"""WITH {TEL}, {DIRTY}, {REJECTS} SELECT reject_reason, count(*) AS rows,
+        count(*) AS counted FROM rejects WHERE reject_reason IS NOT NULL GROUP BY reject_reason""",
+    "late_readings": f"""WITH {TEL} SELECT timestamp, sensor_id, CAST(value AS VARCHAR) AS value, priority,
+        'late' AS reject_reason FROM tel WHERE seq % 97 = 0""",
+    "bounded_stream": f"WITH {TEL}, {hits([R1, R4], 'tel')} {base_alarms()}",
     "completeness_report": f"""WITH {TEL} SELECT t.timestamp, c.sensor_id
         FROM (SELECT DISTINCT timestamp FROM tel) t CROSS JOIN {CATALOGUE}
         WHERE NOT EXISTS (SELECT 1 FROM tel WHERE tel.timestamp = t.timestamp
@@ -340,13 +376,6 @@ ORACLE = {
         r AS (SELECT seq - seq % 1000 AS batch, count(*) AS rows FROM tel GROUP BY 1),
         a AS (SELECT seq - seq % 1000 AS batch, count(*) AS alarms FROM hits GROUP BY 1)
         SELECT r.batch, rows, coalesce(alarms, 0) AS alarms FROM r LEFT JOIN a ON a.batch = r.batch""",
-    "inject_anomalies": f"""WITH {TEL} SELECT seq, sensor_id, CASE
-        WHEN sensor_id = 'purchase' AND {sampled(0, 2)} THEN 170.0
-        WHEN sensor_id = 'view' AND {sampled(1, 2)} THEN 0.0
-        WHEN sensor_id = 'error' AND {sampled(2, 2)} THEN 120.0 ELSE value END AS value FROM tel""",
-    "inject_damage": f"""WITH {TEL} SELECT seq,
-        CASE WHEN {sampled(2, 2)} THEN 'GLITCH_OR_NIL' ELSE CAST(value AS VARCHAR) END AS value,
-        CASE WHEN {sampled(1, 2)} THEN NULL ELSE priority END AS priority FROM tel""",
     "replicate": f"""WITH {COPIES} SELECT seq, sensor_id, value,
         strftime(CAST(replace(timestamp, 'Z', '') AS TIMESTAMP) + to_hours(copy), '%Y-%m-%dT%H:%M:%SZ')
         AS timestamp FROM copies""",

@@ -1,25 +1,25 @@
 """Evaluate a compiled rule catalogue over telemetry.
 
-Rules become column expressions. Which rules fired on a reading is kept as bits, so
-"which rules fired at this timestamp" is a mergeable ``bit_or`` and no timestamp is ever
-collected. Readings are then judged per timestamp by a join on (timestamp, slice).
+Rules become column expressions. Which rules fired on a reading is kept as bits. Readings on
+which any did are the hits; "which rules fired at this timestamp" is a mergeable ``bit_or`` over
+them, and no timestamp is ever collected. All outputs follow from the readings and the hits.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import PRIORITY_RANK, fmt_value, quoted, slice_of
+from ..functions import PRIORITY_RANK, fmt_value, quoted
 from ..operators.scan import Scan, Stage, State, scan, state_out
 from .rules import Rule, RuleSet
 
-# Rows per arrival slice, and most readings a nominal line may hold.
+# Rows per arrival slice.
 SLICE_ROWS = 100_000
-MAX_LINE = 1_000_000
 # Rules per word of fired bits.
 WORD = 62
 
@@ -34,23 +34,30 @@ class Result:
     state_in: State | None = None
     stage: Stage | None = None
 
+    @property
+    def readings(self) -> DataFrame:
+        return self.scanned.readings
+
+    @cached_property
+    def hits(self) -> DataFrame:
+        """Readings on which a base rule fired, with the fired bits."""
+        columns = ("timestamp", "watch", "value", "seq", *words(self.rules))
+        hits = self.fired.filter(any_fired(self.rules)).select(*columns)
+        return self.stage(hits, "hits") if self.stage else hits
+
     @cached_property
-    def moments(self) -> DataFrame:
-        """Facts per (timestamp, slice)."""
-        facts = timestamp_facts(self.fired, self.rules, ["timestamp", "slice"])
-        return self.stage(facts, "moments") if self.stage else facts
+    def anomalous(self) -> DataFrame:
+        """Timestamps with any alarm."""
+        return self.hits.select("timestamp").distinct()
 
     @cached_property
     def found(self) -> DataFrame:
         """Alarms of base and correlation rules, in no order."""
-        alarms = base_alarms(self.fired, self.rules)
+        alarms = base_alarms(self.hits, self.rules)
         if self.rules.correlations:
-            facts = (
-                merge_facts(self.moments, self.rules)
-                if self.stage
-                else timestamp_facts(self.fired, self.rules, ["timestamp"])
-            )
-            alarms = alarms.unionByName(correlation_alarms(facts, self.rules))
+            facts = timestamp_facts(self.hits, self.rules)
+            firsts = first_values(self.scanned.readings, self.rules)
+            alarms = alarms.unionByName(correlation_alarms(facts, firsts, self.rules))
         return self.stage(alarms, "alarms") if self.stage else alarms
 
     @cached_property
@@ -61,7 +68,7 @@ class Result:
     @cached_property
     def valid(self) -> DataFrame:
         """Readings of timestamps without any alarm."""
-        return nominal_rows(self.scanned.readings, self.moments, self.rules)
+        return nominal_rows(self.scanned.readings, self.anomalous)
 
     @cached_property
     def state_out(self) -> State:
@@ -77,7 +84,7 @@ def evaluate(
 ) -> Result:
     """Judge ``df`` (timestamp, sensor_id, value, seq, ...) by a compiled catalogue.
 
-    ``stage`` writes the scanned readings and the per-timestamp facts once so that the
+    ``stage`` writes the scanned readings, the hits and the unsorted alarms once so that the
     outputs share them; without it every output is an independent lazy plan.
     """
     scanned = scan(df, rules, state, slice_rows, stage)
@@ -126,64 +133,59 @@ def any_fired(rules: RuleSet) -> Column:
     return test
 
 
-def base_alarms(fired: DataFrame, rules: RuleSet) -> DataFrame:
+def base_alarms(hits: DataFrame, rules: RuleSet) -> DataFrame:
     """One row per (base rule, reading).
 
     The rule tells the sensor's name, so the readings' own need not be shuffled along.
     """
-    return (
-        fired.filter(any_fired(rules))
-        .select(
-            "timestamp",
-            fmt_value("value").alias("value"),
-            "seq",
-            F.expr(f"inline({_fired_rules(rules)})").alias(
-                "rule_id", "priority", "sensor_id", "rank", "bit"
-            ),
-        )
-        .select("timestamp", "rule_id", "priority", "sensor_id", "value", "rank", "seq")
-    )
+    return hits.select(
+        "timestamp",
+        fmt_value("value").alias("value"),
+        "seq",
+        F.expr(f"inline({_fired_rules(rules)})").alias(
+            "rule_id", "priority", "sensor_id", "rank", "bit"
+        ),
+    ).select("timestamp", "rule_id", "priority", "sensor_id", "value", "rank", "seq")
+
+
+def timestamp_facts(hits: DataFrame, rules: RuleSet) -> DataFrame:
+    """Fired bits per timestamp, combined before the shuffle."""
+    return hits.groupBy("timestamp").agg(*(F.bit_or(name).alias(name) for name in words(rules)))
 
 
-def timestamp_facts(fired: DataFrame, rules: RuleSet, keys: list[str]) -> DataFrame:
-    """Per key: row count, fired bits, first reading of each parent sensor.
+def first_values(readings: DataFrame, rules: RuleSet) -> DataFrame:
+    """Per timestamp the first reading of each parent sensor.
 
     Every aggregate has a fixed size and is combined before the shuffle, so one
     timestamp may hold any share of the data.
     """
     numbers = rules.sensor_numbers()
-    firsts = []
-    for i, sensor in enumerate(_parents(rules)):
-        mine = F.col("watch") == numbers[sensor]
-        seq = F.when(mine, F.col("seq"))
-        firsts.append(F.min_by("value", seq).alias(f"first_{i}"))
-        firsts.append(F.min(seq).alias(f"first_seq_{i}"))
-    return fired.groupBy(*keys).agg(
-        F.count("*").alias("n"),
-        *(F.bit_or(name).alias(name) for name in words(rules)),
-        *firsts,
+    parents = _parents(rules)
+    return (
+        readings.filter(F.col("watch").isin([numbers[s] for s in parents]))
+        .groupBy("timestamp")
+        .agg(
+            *(
+                F.min_by("value", F.when(F.col("watch") == numbers[s], F.col("seq"))).alias(f"first_{i}")
+                for i, s in enumerate(parents)
+            )
+        )
     )
 
 
-def merge_facts(moments: DataFrame, rules: RuleSet) -> DataFrame:
-    """Facts per timestamp out of facts per (timestamp, slice)."""
-    parents = range(len(_parents(rules)))
-    return moments.groupBy("timestamp").agg(
-        F.sum("n").alias("n"),
-        *(F.bit_or(name).alias(name) for name in words(rules)),
-        *(F.min_by(f"first_{i}", f"first_seq_{i}").alias(f"first_{i}") for i in parents),
-    )
-
+def correlation_alarms(facts: DataFrame, firsts: DataFrame, rules: RuleSet) -> DataFrame:
+    """One row per (correlation rule, timestamp) at which it holds.
 
-def correlation_alarms(facts: DataFrame, rules: RuleSet) -> DataFrame:
-    """One row per (correlation rule, timestamp) at which it holds."""
+    Facts and first values have one row per timestamp, so their join has no hot key.
+    """
     place = {sensor: i for i, sensor in enumerate(_parents(rules))}
     bits = {
         rule.rule_id: F.expr(f"getbit(fired_{i // WORD}, {i % WORD}) = 1")
         for i, rule in enumerate(rules.base)
     }
     hits = rules.correlation_hits(bits)
-    shown = facts.filter(any_fired(rules)).withColumns(
+    holding = facts.filter(reduce(or_, hits.values()))
+    shown = holding.join(firsts, "timestamp", "left").withColumns(
         {
             f"text_{i}": F.coalesce(fmt_value(f"first_{i}"), F.lit("NaN"))
             for i in place.values()
@@ -217,40 +219,13 @@ def sort_alarms(alarms: DataFrame) -> DataFrame:
     ).select("timestamp", "rule_id", "priority", "sensor_id", "value")
 
 
-def anomalous_timestamps(moments: DataFrame, rules: RuleSet) -> DataFrame:
-    return moments.filter(any_fired(rules)).select("timestamp").distinct()
+def nominal_rows(readings: DataFrame, anomalous: DataFrame) -> DataFrame:
+    """Readings of timestamps without any alarm, with ``slice`` for packing.
 
-
-def nominal_rows(
-    readings: DataFrame, moments: DataFrame, rules: RuleSet, max_line: int = MAX_LINE
-) -> DataFrame:
-    """Readings of timestamps without any alarm, with ``line`` for packing.
-
-    The verdict of a timestamp is spread over its (timestamp, slice) keys, and readings
-    meet it on both, so a hot timestamp is shuffled in slice-sized groups. ``line`` is 0
-    unless the timestamp exceeds ``max_line`` readings; then it is packed into several
-    lines, one per arrival range of that length.
+    Anomalous timestamps are distinct, so a hot timestamp is hot on the readings' side alone,
+    where Spark can split it.
     """
-    w = Window.partitionBy("timestamp")
-    verdict = moments.select(
-        "timestamp",
-        "slice",
-        F.sum("n").over(w).alias("total"),
-        F.bool_or(any_fired(rules)).over(w).alias("anomalous"),
-    )
-    keep = verdict.filter(~F.col("anomalous")).select(
-        "timestamp",
-        "slice",
-        (F.col("total") > max_line).alias("split"),
-    )
-    line = F.when(F.col("split"), slice_of(F.col("seq"), max_line)).otherwise(
-        F.lit(0).cast("bigint")
-    )
-    return (
-        readings.join(keep, ["timestamp", "slice"])
-        .withColumn("line", line)
-        .drop("slice", "split", "watch")
-    )
+    return readings.join(anomalous, "timestamp", "left_anti").drop("watch")
 
 
 def _fires(rule: Rule, slot_of: dict[str, int]) -> Column:

@@ -1,134 +1,190 @@
-"""Evaluate a rule catalogue as data, for catalogues too large to compile.
+"""Evaluate a rule catalogue as a table, for catalogues too large to compile.
 
-Rules are a table joined to the readings by sensor. Correlations are joins and counts
-over the distinct (timestamp, rule) pairs that fired. No join carries a hint: Spark
-broadcasts a rule table whose known size is below its threshold, else it shuffles.
+Rules are joined to the readings by sensor, once for all kinds. Carries between arrival slices are
+those of the compiled scan, by sensor for steps and by rule for streaks. Correlations are joins and
+counts over the distinct (timestamp, rule) pairs that fired, one level of nesting after another. No
+join carries a hint: Spark broadcasts a rule table whose staged size is below its threshold; else it
+shuffles, and splits the readings of a hot sensor.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import cached_property, reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fmt_value, op_case, priority_rank, slice_of
-from .evaluate import SLICE_ROWS, sort_alarms
-from .rules import MAX_CATALOGUE, UNKNOWN_SENSOR
+from ..operators.scan import BLOCK_SLICES, Stage, State, across_slices, keep_old
+from ..session import Staging
+from .evaluate import SLICE_ROWS, nominal_rows, sort_alarms
+from .rules import UNKNOWN_SENSOR
+
+HIT = ("timestamp", "rule_id", "priority", "sensor_id", "value", "seq")
 
 
 def simple_hits(df: DataFrame, rules: DataFrame) -> DataFrame:
     """One row per (simple rule, reading) that fires."""
-    return _hits(df, rules.filter("type = 'simple'"), "value")
-
-
-def step_hits(df: DataFrame, rules: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """One row per (step rule, reading); the first reading of a sensor has step 0."""
-    steps = rules.filter("type = 'step_difference'")
-    return _hits(_with_diff(df, slice_rows), steps, "diff")
-
-
-def streak_hits(df: DataFrame, rules: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """One row per (stateful rule, reading) whose streak is long enough."""
-    stateful = rules.filter("type = 'stateful'").select(
-        "rule_id", "sensor_id", "priority", "consecutive_measurements",
-        F.col("operator").alias("op"), F.col("value").alias("threshold"),
-    )
-    watched = (
-        df.select("timestamp", "sensor_id", "value", "seq")
-        .join(stateful, "sensor_id")
-        .withColumns(
-            {
-                "ok": ~op_case(F.col("value"), F.col("op"), F.col("threshold")),
-                "slice": slice_of(F.col("seq"), slice_rows),
-            }
+    wanted = _wanted(rules.filter("type = 'simple'"))
+    met = df.select("timestamp", "sensor_id", "value", "seq").join(wanted, "sensor_id")
+    return met.filter(op_case(F.col("value"), F.col("op"), F.col("threshold"))).select(*HIT)
+
+
+@dataclass
+class TableResult:
+    """Outcome of a catalogue that stays a table; everything shared is staged."""
+
+    readings: DataFrame
+    rules: DataFrame
+    steps: DataFrame
+    judged: DataFrame
+    streaks: DataFrame
+    state_in: State | None
+    stage: Stage
+
+    @cached_property
+    def hits(self) -> DataFrame:
+        """One row per (base rule, reading) that fires."""
+        instant = self.judged.filter("type <> 'stateful'").select(*HIT)
+        streak = F.when(F.col("last_ok_0").isNull(), F.col("rn") + F.col("entry_0")).otherwise(
+            F.col("rn") - F.col("last_ok_0")
         )
-        .drop("op", "threshold")
-    )
-    keys = ["rule_id", "sensor_id", "slice"]
-    w = Window.partitionBy(*keys).orderBy("seq")
-    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    scanned = watched.withColumn("rn", F.row_number().over(w).cast("bigint")).withColumn(
-        "last_ok", F.max(F.when(F.col("ok"), F.col("rn"))).over(so_far)
-    )
-    parts = scanned.groupBy(*keys).agg(F.count("*").alias("n"), F.max("last_ok").alias("last_ok"))
-    earlier = (
-        Window.partitionBy("rule_id", "sensor_id")
-        .orderBy("slice")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    entries = parts.withColumn(
-        "before", F.coalesce(F.sum("n").over(earlier), F.lit(0))
-    ).withColumn(
-        "entry",
-        F.col("before")
-        - F.coalesce(F.max(F.col("before") + F.col("last_ok")).over(earlier), F.lit(0)),
-    )
-    streak = F.when(F.col("last_ok").isNull(), F.col("rn") + F.col("entry")).otherwise(
-        F.col("rn") - F.col("last_ok")
-    )
-    return (
-        scanned.join(entries.select(*keys, "entry"), keys)
-        .filter(streak >= F.col("consecutive_measurements"))
-        .select("timestamp", "rule_id", "priority", "sensor_id", "value", "seq")
-    )
+        entries = self.streaks.select(F.col("watch").alias("rule_id"), "slice", "entry_0")
+        long = (
+            self.judged.filter("type = 'stateful'")
+            .join(entries, ["rule_id", "slice"])
+            .filter(streak >= F.col("consecutive_measurements"))
+        )
+        return self.stage(instant.unionByName(long.select(*HIT)), "hits")
+
+    @cached_property
+    def found(self) -> DataFrame:
+        shown = self.hits.withColumn("value", fmt_value("value"))
+        correlated = correlation_alarms(self.readings, self.hits, self.rules, self.stage)
+        found = shown.unionByName(correlated).withColumn("rank", priority_rank(F.col("priority")))
+        return self.stage(found, "alarms")
+
+    @cached_property
+    def alarms(self) -> DataFrame:
+        return sort_alarms(self.found)
+
+    @cached_property
+    def anomalous(self) -> DataFrame:
+        return self.hits.select("timestamp").distinct()
+
+    @cached_property
+    def valid(self) -> DataFrame:
+        return nominal_rows(self.readings, self.anomalous)
+
+    @cached_property
+    def state_out(self) -> State:
+        """State after the readings; a sensor without readings keeps what it had."""
+        wanted = self.rules.filter("type = 'step_difference'").select("sensor_id").distinct()
+        last = self.steps.groupBy(F.col("watch").alias("sensor_id")).agg(F.max_by("last_value", "slice").alias("last_value"))
+        step = last.join(wanted, "sensor_id", "left_semi")
+        names = self.rules.filter("type = 'stateful'").select("rule_id", "sensor_id")
+        ends = self.streaks.groupBy(F.col("watch").alias("rule_id")).agg(F.max_by("exit_0", "slice").alias("streak"))
+        streak = names.join(ends, "rule_id").select("rule_id", "sensor_id", "streak")
+        if self.state_in is not None:
+            step = keep_old(step, self.state_in.step, ["sensor_id"], "last_value")
+            streak = keep_old(streak, self.state_in.streak, ["rule_id", "sensor_id"], "streak")
+        return State(step, streak)
+
+
+def evaluate(
+    df: DataFrame, rules: DataFrame, state: State | None = None, slice_rows: int = SLICE_ROWS, stage: Stage | None = None
+) -> TableResult:
+    """Judge ``df`` by a normalised rule table; the readings are scanned once."""
+    stage = stage or Staging(df.sparkSession)
+    rules = stage(rules, "rules")
+    block_rows = slice_rows * BLOCK_SLICES
+    sliced = df.select("timestamp", "sensor_id", "value", "seq").withColumn("slice", slice_of(F.col("seq"), slice_rows))
+    inside = Window.partitionBy("slice", "sensor_id").orderBy("seq")
+    readings = stage(sliced.withColumn("previous", F.lag("value").over(inside)), "readings")
+    before = None
+    if state is not None:
+        before = state.step.select(F.col("sensor_id").alias("watch"), F.col("last_value").alias("state_value"))
+    steps = stage(across_slices(readings.withColumn("watch", F.col("sensor_id")), 0, before, block_rows), "steps")
+    entry = steps.select(F.col("watch").alias("sensor_id"), "slice", "entry_value")
+    stepped = readings.join(entry, ["sensor_id", "slice"]).withColumn(
+        "diff", F.col("value") - F.coalesce("previous", "entry_value", "value")
+    )
+    met = stepped.join(_wanted(rules.filter("type <> 'correlation'")), "sensor_id")
+    measure = F.when(F.col("type") == "step_difference", F.col("diff")).otherwise(F.col("value"))
+    met = met.withColumn("holds", op_case(measure, F.col("op"), F.col("threshold")))
+    met = met.filter((F.col("type") == "stateful") | F.col("holds"))
+    run = Window.partitionBy("rule_id", "slice").orderBy("seq")
+    so_far = run.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    met = met.withColumn("rn", F.row_number().over(run).cast("bigint")).withColumn(
+        "last_ok_0", F.max(F.when(~F.col("holds"), F.col("rn"))).over(so_far)
+    )
+    judged = stage(
+        met.select(*HIT, "slice", "type", "consecutive_measurements", "rn", "last_ok_0"), "judged"
+    )
+    if state is not None:
+        before = state.streak.select(
+            F.col("rule_id").alias("watch"), F.lit(None).cast("double").alias("state_value"), F.col("streak").alias("state_0")
+        )
+    stateful = judged.filter("type = 'stateful'").withColumn("watch", F.col("rule_id"))
+    streaks = stage(across_slices(stateful, 1, before, block_rows), "streaks")
+    return TableResult(readings.drop("previous").withColumn("watch", F.lit(-1)), rules, steps, judged, streaks, state, stage)
 
 
-def base_hits(df: DataFrame, rules: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
-    return (
-        simple_hits(df, rules)
-        .unionByName(step_hits(df, rules, slice_rows))
-        .unionByName(streak_hits(df, rules, slice_rows))
-    )
+def alarms(df: DataFrame, rules: DataFrame, slice_rows: int = SLICE_ROWS, stage: Stage | None = None) -> DataFrame:
+    """Sorted alarms of a normalised rule table."""
+    return evaluate(df, rules, slice_rows=slice_rows, stage=stage).alarms
 
 
-def correlation_hits(df: DataFrame, hits: DataFrame, rules: DataFrame) -> DataFrame:
-    """Alarms of correlations over base rules: a join, a count, and the parents' first values.
+def correlation_alarms(readings: DataFrame, hits: DataFrame, rules: DataFrame, stage: Stage) -> DataFrame:
+    """Alarms of correlations, with the first value of each sensor behind them.
 
     Needs only distinct (timestamp, rule) pairs, at most one per rule and timestamp.
     """
-    correlations = rules.filter("type = 'correlation'")
-    conditions = correlations.select(
-        F.col("rule_id").alias("correlation"),
-        "logic",
-        "priority",
-        F.size(F.array_distinct("conditions")).alias("needed"),
-        F.posexplode("conditions").alias("place", "condition"),
-    )
-    distinct = conditions.select("correlation", "logic", "needed", "condition").distinct()
-    held = (
-        hits.select("timestamp", F.col("rule_id").alias("condition"))
-        .distinct()
-        .join(distinct, "condition")
-        .groupBy("timestamp", "correlation", "logic", "needed")
-        .agg(F.count("*").alias("fired"))
-        .filter((F.col("logic") == "OR") | (F.col("fired") == F.col("needed")))
-        .select("timestamp", "correlation")
-    )
-    sensors = rules.filter("type <> 'correlation'").select(
-        F.col("rule_id").alias("condition"), "sensor_id"
-    )
-    parents = conditions.join(sensors, "condition", "left").select(
-        "correlation",
-        "priority",
-        "place",
-        F.coalesce("sensor_id", F.lit(UNKNOWN_SENSOR)).alias("sensor_id"),
+    fired = stage(hits.select("timestamp", "rule_id").distinct(), "fired")
+    held = []
+    sensors = None
+    for number, (level, known) in enumerate(correlation_levels(rules, stage)):
+        needs = level.select(
+            F.col("rule_id").alias("correlation"),
+            "logic",
+            F.size(F.array_distinct("conditions")).alias("needed"),
+            F.explode(F.array_distinct("conditions")).alias("rule_id"),
+        )
+        now = (
+            fired.join(needs, "rule_id")
+            .groupBy("timestamp", "correlation", "logic", "needed")
+            .agg(F.count("*").alias("count"))
+            .filter((F.col("logic") == "OR") | (F.col("count") == F.col("needed")))
+            .select("timestamp", F.col("correlation").alias("rule_id"))
+        )
+        now = stage(now, f"fired_{number}")
+        held.append(now)
+        fired = fired.unionByName(now)
+        sensors = known
+    schema = "timestamp string, rule_id string, priority string, sensor_id string, value string, seq bigint"
+    if not held:
+        return readings.sparkSession.createDataFrame([], schema)
+    parents = (
+        rules.filter("type = 'correlation'")
+        .join(sensors, "rule_id")
+        .select("rule_id", "priority", F.posexplode("sensors").alias("place", "sensor_id"))
     )
-    watched = parents.select("sensor_id").distinct()
     firsts = (
-        df.join(watched, "sensor_id", "left_semi")
+        readings.join(parents.select("sensor_id").distinct(), "sensor_id", "left_semi")
         .groupBy("timestamp", "sensor_id")
         .agg(F.min_by("value", "seq").alias("value"))
     )
-    shown = F.struct(
-        "place", "sensor_id", F.coalesce(fmt_value("value"), F.lit("NaN")).alias("value")
-    )
+    shown = F.struct("place", "sensor_id", F.coalesce(fmt_value("value"), F.lit("NaN")).alias("value"))
     return (
-        held.join(parents, "correlation")
+        reduce(DataFrame.unionByName, held)
+        .join(parents, "rule_id")
         .join(firsts, ["timestamp", "sensor_id"], "left")
-        .groupBy("timestamp", "correlation", "priority")
-        .agg(F.sort_array(F.collect_list(shown)).alias("parents"))
+        .groupBy("timestamp", "rule_id", "priority")
+        .agg(F.sort_array(F.collect_list(shown)).alias("parents"))  # as long as the rule's conditions
         .select(
             "timestamp",
-            F.col("correlation").alias("rule_id"),
+            "rule_id",
             "priority",
             F.array_join("parents.sensor_id", ",").alias("sensor_id"),
             F.array_join("parents.value", ",").alias("value"),
@@ -137,50 +193,44 @@ def correlation_hits(df: DataFrame, hits: DataFrame, rules: DataFrame) -> DataFr
     )
 
 
-def alarms(df: DataFrame, rules: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """Sorted alarms of a normalised rule table."""
-    if rules.limit(MAX_CATALOGUE + 1).count() > MAX_CATALOGUE:
-        raise ValueError(f"rule catalogue exceeds {MAX_CATALOGUE} rules")
-    hits = base_hits(df, rules, slice_rows)
-    shown = hits.withColumn("value", fmt_value("value"))
-    found = shown.unionByName(correlation_hits(df, hits, rules))
-    return sort_alarms(found.withColumn("rank", priority_rank(F.col("priority"))))
-
-
-def _hits(df: DataFrame, rules: DataFrame, measure: str) -> DataFrame:
-    wanted = rules.select(
-        "rule_id", "sensor_id", "priority",
-        F.col("operator").alias("op"), F.col("value").alias("threshold"),
-    )
-    return (
-        df.select("timestamp", "sensor_id", "value", "seq", F.col(measure).alias("measure"))
-        .join(wanted, "sensor_id")
-        .filter(op_case(F.col("measure"), F.col("op"), F.col("threshold")))
-        .select("timestamp", "rule_id", "priority", "sensor_id", "value", "seq")
-    )
-
+def correlation_levels(rules: DataFrame, stage: Stage):
+    """Correlations by depth, each level with the sensors behind every rule known by then.
 
-def _with_diff(df: DataFrame, slice_rows: int) -> DataFrame:
-    """Step against the sensor's previous reading, across slices."""
-    keys = ["sensor_id", "slice"]
-    sliced = df.select("timestamp", "sensor_id", "value", "seq").withColumn(
-        "slice", slice_of(F.col("seq"), slice_rows)
-    )
-    w = Window.partitionBy(*keys).orderBy("seq")
-    entries = (
-        sliced.groupBy(*keys)
-        .agg(F.max_by("value", "seq").alias("last_value"))
-        .select(
-            *keys,
-            F.lag("last_value")
-            .over(Window.partitionBy("sensor_id").orderBy("slice"))
-            .alias("entry_value"),
+    A rule's turn comes when its conditions are known or named nowhere in the catalogue; rules in a
+    cycle, and those that need them, never have one.
+    """
+    named = rules.select(F.col("rule_id").alias("condition"))
+    waiting = rules.filter("type = 'correlation'").select("rule_id", "logic", "conditions")
+    known = rules.filter("type <> 'correlation'").select("rule_id", F.array("sensor_id").alias("sensors"))
+    number = 0
+    while not waiting.isEmpty():
+        conditions = waiting.select("rule_id", F.posexplode("conditions").alias("place", "condition"))
+        behind = known.select(F.col("rule_id").alias("condition"), "sensors")
+        placed = conditions.join(behind, "condition", "left").join(
+            named.withColumn("is_named", F.lit(True)), "condition", "left"
         )
-    )
-    return (
-        sliced.withColumn("previous", F.lag("value").over(w))
-        .join(entries, keys)
-        .withColumn(
-            "diff", F.col("value") - F.coalesce("previous", "entry_value", "value")
+        ready = (
+            placed.groupBy("rule_id")
+            .agg(
+                F.bool_and(F.col("sensors").isNotNull() | F.col("is_named").isNull()).alias("ready"),
+                F.sort_array(
+                    F.collect_list(F.struct("place", F.coalesce("sensors", F.array(F.lit(UNKNOWN_SENSOR))).alias("sensors")))
+                ).alias("parts"),  # as long as the rule's conditions
+            )
+            .filter("ready")
+            .select("rule_id", F.flatten("parts.sensors").alias("sensors"))
         )
+        ready = stage(ready, f"level_{number}")
+        if ready.isEmpty():
+            return
+        known = stage(known.unionByName(ready), f"known_{number}")
+        yield waiting.join(ready, "rule_id", "left_semi"), known
+        waiting = stage(waiting.join(ready, "rule_id", "left_anti"), f"waiting_{number}")
+        number += 1
+
+
+def _wanted(rules: DataFrame) -> DataFrame:
+    return rules.select(
+        "rule_id", "type", "sensor_id", "priority", "consecutive_measurements",
+        F.col("operator").alias("op"), F.col("value").alias("threshold"),
     )

@@ -15,8 +15,6 @@ from ..schemas import RULES
 
 BASE_TYPES = ("simple", "step_difference", "stateful")
 UNKNOWN_SENSOR = "UNKNOWN"
-MAX_COMPILED_RULES = 200
-MAX_CATALOGUE = 1_000_000
 
 
 def normalise_rules(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -127,10 +125,12 @@ class RuleSet:
 
     @classmethod
     def collect(cls, valid: DataFrame) -> RuleSet:
-        """Bring a normalised catalogue to the driver, its size checked."""
-        rows = order_rules(valid).limit(MAX_CATALOGUE + 1).collect()
-        if len(rows) > MAX_CATALOGUE:
-            raise ValueError(f"rule catalogue exceeds {MAX_CATALOGUE} rules")
+        """Bring a normalised catalogue to the driver, as the compiled form needs it.
+
+        Every rule becomes an expression of the plan. A catalogue of many hundreds of rules is
+        better judged as a table (``relational.evaluate``), which leaves it in Spark.
+        """
+        rows = order_rules(valid).collect()
         return cls.of(
             Rule(
                 row.rule_id,
@@ -146,10 +146,6 @@ class RuleSet:
             for row in rows
         )
 
-    @property
-    def compilable(self) -> bool:
-        return len(self.base) + len(self.correlations) <= MAX_COMPILED_RULES
-
     def of_type(self, kind: str) -> list[Rule]:
         return [r for r in self.base if r.type == kind]
 

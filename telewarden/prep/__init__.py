@@ -1,12 +1,5 @@
-"""Jobs that prepare telemetry: anomalies, damage, copies, new times, grids."""
+"""Jobs that prepare telemetry: copies, new times, grids."""
 
-from .jobs import (
-    best_batch,
-    grid,
-    inject_anomalies,
-    inject_damage,
-    replicate,
-    retime,
-)
+from .jobs import best_batch, grid, replicate, retime
 
-__all__ = ["best_batch", "grid", "inject_anomalies", "inject_damage", "replicate", "retime"]
+__all__ = ["best_batch", "grid", "replicate", "retime"]

@@ -1,52 +1,15 @@
-"""Data preparation as DataFrame jobs. All samples are a fixed function of ``seq``."""
+"""Data preparation as DataFrame jobs."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import slice_of
-from ..plans.evaluate import SLICE_ROWS
-from ..plans.rules import RuleSet
+from ..functions import event_time
+from ..operators.numbering import Stage, row_numbers
 
-# Distance of an injected value from its threshold, share in percent.
-ANOMALY_OFFSET = {">": 20.0, "<": -20.0}
-ANOMALY_PERCENT = 2
-GLITCH = "GLITCH_OR_NIL"
-BLOCK_SLICES = 4096
-# Timestamps that retiming replaces; other rows keep what they have.
-RETIMED = r"^[0-9]{4}-[01][0-9]-[0-3][0-9]T[0-2][0-9]:[0-5][0-9]:[0-5][0-9]Z"
-
-
-def sampled(seq: Column, salt: int, percent: int) -> Column:
-    """Deterministic sample by a multiplicative hash of the row number."""
-    return ((seq % 99991) * 7919 + salt * 104729) % 100 < percent
-
-
-def inject_anomalies(df: DataFrame, rules: RuleSet, percent: int = ANOMALY_PERCENT) -> DataFrame:
-    """Push a share of each simple and stateful rule's readings past its threshold.
-
-    A reading chosen by several rules takes the value of the last one.
-    """
-    case = F.col("value")
-    for salt, rule in enumerate(r for r in rules.base if r.type in ("simple", "stateful")):
-        if rule.operator in ANOMALY_OFFSET:
-            chosen = (F.col("sensor_id") == rule.sensor_id) & sampled(F.col("seq"), salt, percent)
-            target = rule.value + ANOMALY_OFFSET[rule.operator]
-            case = F.when(chosen, F.lit(target)).otherwise(case)
-    return df.withColumn("value", case)
-
-
-def inject_damage(df: DataFrame, percent: int = 1) -> DataFrame:
-    """Blank the priority of one sample and put text into the value of another."""
-    return df.withColumns(
-        {
-            "priority": F.when(sampled(F.col("seq"), 1, percent), F.lit(None)).otherwise(F.col("priority")),
-            "value": F.when(sampled(F.col("seq"), 2, percent), F.lit(GLITCH)).otherwise(
-                F.col("value").cast("string")
-            ),
-        }
-    )
+# Length of yyyy-MM-ddTHH:mm:ssZ; retiming replaces such times, other rows keep what they have.
+ISO_LENGTH = 20
 
 
 def replicate(df: DataFrame, copies: int, span: int, shift_seconds: int = 0) -> DataFrame:
@@ -63,44 +26,14 @@ def replicate(df: DataFrame, copies: int, span: int, shift_seconds: int = 0) ->
     return copied.withColumn("seq", F.col("copy").cast("bigint") * span + F.col("seq")).drop("copy")
 
 
-def row_numbers(df: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """``row``: 0-based place in ``seq`` order, without one global window over rows.
-
-    Rows are numbered inside bounded slices. Slice offsets come from slice counts inside
-    blocks of slices, block offsets from the few block counts.
-    """
-    sliced = df.withColumn("slice", slice_of(F.col("seq"), slice_rows))
-    block = slice_of(F.col("slice"), slice_rows * BLOCK_SLICES)
-    counts = sliced.groupBy("slice").agg(F.count("*").alias("n")).withColumn("block", block)
-    before_block = _sum_before(Window.orderBy("block"))
-    blocks = counts.groupBy("block").agg(F.sum("n").alias("n")).select(
-        "block", before_block.alias("block_offset")
-    )
-    offsets = counts.join(blocks, "block").select(
-        "slice",
-        (F.col("block_offset") + _sum_before(Window.partitionBy("block").orderBy("slice"))).alias("offset"),
-    )
-    place = F.row_number().over(Window.partitionBy("slice").orderBy("seq"))
-    return (
-        sliced.withColumn("place", place)
-        .join(offsets, "slice")
-        .withColumn("row", F.col("offset") + F.col("place") - 1)
-        .drop("slice", "place", "offset")
-    )
-
-
-def _sum_before(w) -> Column:
-    return F.coalesce(F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-
-
-def retime(df: DataFrame, base: str, per_second: int, slice_rows: int = SLICE_ROWS) -> DataFrame:
+def retime(df: DataFrame, base: str, per_second: int, stage: Stage) -> DataFrame:
     """Replace ISO timestamps by ``base`` + floor(row / per_second) seconds."""
-    numbered = row_numbers(df, slice_rows)
+    numbered = row_numbers(df, stage)
     whole = ((F.col("row") - F.col("row") % per_second) / per_second).cast("bigint")
     moved = F.timestamp_seconds(F.unix_seconds(F.to_timestamp(F.lit(base))) + whole)
+    good = (F.length("timestamp") == ISO_LENGTH) & event_time("timestamp").isNotNull()
     return numbered.withColumn(
-        "timestamp",
-        F.when(F.col("timestamp").rlike(RETIMED), _iso(moved)).otherwise(F.col("timestamp")),
+        "timestamp", F.when(good, _iso(moved)).otherwise(F.col("timestamp"))
     ).drop("row")
 
 

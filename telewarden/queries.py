@@ -9,15 +9,26 @@ from pyspark.sql import functions as F
 
 from . import prep
 from .functions import fmt_value
+from .job import run_readings
 from .operators import completeness
+from .operators.numbering import INDEX
+from .operators.numbering import row_numbers as row_numbers_of
 from .operators.sanitize import reject_counts, sanitize
-from .operators.scan import scan
+from .operators.scan import State, scan
 from .plans import relational
-from .plans.evaluate import SLICE_ROWS, Result, anomalous_timestamps, evaluate
+from .plans.evaluate import SLICE_ROWS, Result, evaluate
 from .plans.rules import Rule, RuleSet, normalise_rules, order_rules
-from .session import Staging
+from .session import Staging, exists
 from .sinks import pack_nominal, write_alarms, write_nominal
-from .sources import from_table, read_csv, read_json, read_stream, with_time_seq
+from .sources import (
+    from_table,
+    load_rules,
+    load_sensors,
+    read_csv,
+    read_json,
+    read_stream,
+    with_time_seq,
+)
 from .streaming import Monitor
 
 SENSORS = ["click", "error", "purchase", "signup", "view"]
@@ -79,7 +90,7 @@ def dirty(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("seq") % 40
     return telemetry(spark, sf).select(
         "seq",
-        F.when(k == 1, "TIME_STAMP_MALFORMED")
+        F.when(k == 1, "sometime")
         .when(k == 2, "12")
         .when(k == 3, "10:00")
         .when(k == 4, F.concat(F.substring("timestamp", 1, 16), F.lit("Z")))
@@ -88,7 +99,7 @@ def dirty(spark: SparkSession, sf: str) -> DataFrame:
         .otherwise(F.col("timestamp"))
         .alias("timestamp"),
         F.when(k == 10, F.lit(None)).when(k == 11, "").otherwise(F.col("sensor_id")).alias("sensor_id"),
-        F.when(k == 15, "SENSOR_BROKEN")
+        F.when(k == 15, "out of order")
         .when(k == 16, "NaN")
         .when(k == 17, "5d")
         .when(k == 18, " 1.5")
@@ -128,7 +139,7 @@ def supplier_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def data_rules(spark: SparkSession, sf: str) -> DataFrame:
-    """Rules whose thresholds come from the events: simple, step, stateful, correlation."""
+    """Rules whose thresholds come from the events: simple, step, stateful, nested and cyclic correlations."""
     sensors = (
         table(spark, sf, "events")
         .groupBy("event_type")
@@ -155,12 +166,18 @@ def data_rules(spark: SparkSession, sf: str) -> DataFrame:
         )
 
     top = F.col("top")
-    pair = F.array(*(F.concat(F.lit(p), F.col("event_type")) for p in ("A_", "B_")))
+
+    def named(*prefixes):
+        return F.array(*(F.concat(F.lit(p), F.col("event_type")) for p in prefixes))
+
+    pair, nested, cycle = named("A_", "B_"), named("D_", "C_", "absent_"), named("A_", "F_")
     parts = [
         rule("A_", "simple", ">", top * 0.5, None, None, nothing, "HIGH"),
         rule("B_", "step_difference", "<", top * -0.25, None, None, nothing, "LOW"),
         rule("C_", "stateful", "<", top * 0.125, 4, None, nothing, "MEDIUM"),
         rule("D_", "correlation", None, F.lit(None).cast("double"), None, "AND", pair, "HIGH"),
+        rule("E_", "correlation", None, F.lit(None).cast("double"), None, "OR", nested, "MEDIUM"),
+        rule("F_", "correlation", None, F.lit(None).cast("double"), None, "AND", cycle, "LOW"),
     ]
     raw = parts[0]
     for part in parts[1:]:
@@ -168,9 +185,8 @@ def data_rules(spark: SparkSession, sf: str) -> DataFrame:
     return normalise_rules(raw)[0]
 
 
-def slice_rows(df: DataFrame) -> int:
-    """Slice length that meets edges in small tables and keeps the bound in large ones."""
-    return min(SLICE_ROWS, max(100, df.count() // 64))
+# Slice length that meets edges in small tables.
+SHORT_SLICE = 500
 
 
 def judged(spark: SparkSession, sf: str, *rules: Rule) -> Result:
@@ -219,12 +235,12 @@ def step_difference(spark, sf):
 
 def segmented_step(spark, sf):
     df = telemetry(spark, sf)
-    return _diffs(df, slice_rows(df))
+    return _diffs(df, SHORT_SLICE)
 
 
 def step_cold_start(spark, sf):
     """A `<` step rule fires on the first reading of a sensor, whose step is 0."""
-    rules = [Rule(f"S_{s}", "step_difference", "LOW", s, "<", 46.88) for s in SENSORS]
+    rules = [Rule(f"S_{s}", "step_difference", "LOW", s, "<", 41.5) for s in SENSORS]
     return judged(spark, sf, *rules).alarms
 
 
@@ -241,7 +257,7 @@ def stateful_streak(spark, sf):
 
 def segmented_streak(spark, sf):
     df = telemetry(spark, sf)
-    return _streaks(df, slice_rows(df))
+    return _streaks(df, SHORT_SLICE)
 
 
 def stateful_rule(spark, sf):
@@ -261,12 +277,12 @@ CARRY = RuleSet.of(
 
 def streak_carry_out(spark, sf):
     df = telemetry(spark, sf)
-    return evaluate(df, CARRY, slice_rows=slice_rows(df)).state_out.streak
+    return evaluate(df, CARRY, slice_rows=SHORT_SLICE).state_out.streak
 
 
 def last_value_carry_out(spark, sf):
     df = telemetry(spark, sf)
-    return evaluate(df, CARRY, slice_rows=slice_rows(df)).state_out.step
+    return evaluate(df, CARRY, slice_rows=SHORT_SLICE).state_out.step
 
 
 def two_part_carry_in(spark, sf):
@@ -298,8 +314,7 @@ def corr_nested(spark, sf):
 
 
 def anomalous(spark, sf):
-    result = judged(spark, sf, *BASE)
-    return anomalous_timestamps(result.moments, result.rules)
+    return judged(spark, sf, *BASE).anomalous
 
 
 def nominal_rows(spark, sf):
@@ -307,7 +322,7 @@ def nominal_rows(spark, sf):
 
 
 def nominal_packed(spark, sf):
-    return pack_nominal(judged(spark, sf, *BASE, R5).valid).drop("line")
+    return pack_nominal(judged(spark, sf, *BASE, R5).valid)
 
 
 def alarms_sorted(spark, sf):
@@ -316,12 +331,12 @@ def alarms_sorted(spark, sf):
 
 def orders_alarms(spark, sf):
     df = orders(spark, sf)
-    return evaluate(df, ORDER_RULES, slice_rows=slice_rows(df)).alarms
+    return evaluate(df, ORDER_RULES, slice_rows=SHORT_SLICE).alarms
 
 
 def orders_nominal(spark, sf):
     df = orders(spark, sf)
-    return pack_nominal(evaluate(df, ORDER_RULES, slice_rows=slice_rows(df)).valid).drop("line")
+    return pack_nominal(evaluate(df, ORDER_RULES, slice_rows=SHORT_SLICE).valid)
 
 
 def orders_by_event_time(spark, sf):
@@ -335,7 +350,7 @@ def orders_by_event_time(spark, sf):
 def split_counts(spark, sf):
     """Readings on either side of the split, per sensor."""
     result = evaluate(telemetry(spark, sf), ALL)
-    bad = anomalous_timestamps(result.moments, result.rules).withColumn("side", F.lit("anomalous"))
+    bad = result.anomalous.withColumn("side", F.lit("anomalous"))
     sides = telemetry(spark, sf).join(bad, "timestamp", "left")
     return sides.groupBy("sensor_id", F.coalesce("side", F.lit("nominal")).alias("side")).agg(
         F.count("*").alias("readings")
@@ -405,7 +420,20 @@ def rules_table_join(spark, sf):
 
 def rules_table_alarms(spark, sf):
     df = telemetry(spark, sf)
-    return relational.alarms(df, data_rules(spark, sf), slice_rows(df))
+    return relational.alarms(df, data_rules(spark, sf), SHORT_SLICE)
+
+
+def rules_table_nominal(spark, sf):
+    df = telemetry(spark, sf)
+    return pack_nominal(relational.evaluate(df, data_rules(spark, sf), slice_rows=SHORT_SLICE).valid)
+
+
+def rules_table_state(spark, sf):
+    """Streaks left by the rule table, judged in two parts."""
+    df, rules, half = telemetry(spark, sf), data_rules(spark, sf), 40 * SHORT_SLICE
+    first = relational.evaluate(df.filter(F.col("seq") < half), rules, slice_rows=SHORT_SLICE)
+    rest = df.filter(F.col("seq") >= half)
+    return relational.evaluate(rest, rules, first.state_out, SHORT_SLICE).state_out.streak
 
 
 def completeness_report(spark, sf):
@@ -427,15 +455,6 @@ def batch_metrics(spark, sf):
     return completeness.batch_metrics(rows, result.found, batch)
 
 
-def inject_anomalies(spark, sf):
-    return prep.inject_anomalies(telemetry(spark, sf), ALL).select("seq", "sensor_id", "value")
-
-
-def inject_damage(spark, sf):
-    damaged = prep.inject_damage(telemetry(spark, sf), 2)
-    return damaged.select("seq", "value", "priority")
-
-
 def replicate(spark, sf):
     df = telemetry(spark, sf)
     span = df.agg(F.max("seq").alias("m")).first().m + 1
@@ -447,17 +466,15 @@ def replicated_alarms(spark, sf):
     """Three copies of the body in a row: times recur, arrival order decides."""
     df = telemetry(spark, sf)
     span = df.agg(F.max("seq").alias("m")).first().m + 1
-    return evaluate(prep.replicate(df, 3, span), ALL, slice_rows=slice_rows(df)).alarms
+    return evaluate(prep.replicate(df, 3, span), ALL, slice_rows=SHORT_SLICE).alarms
 
 
 def row_numbers(spark, sf):
-    df = orders(spark, sf)
-    return prep.jobs.row_numbers(df, slice_rows(df)).select("seq", "row")
+    return row_numbers_of(orders(spark, sf), Staging(spark)).select("seq", "row")
 
 
 def retime(spark, sf):
-    df = dirty(spark, sf)
-    moved = prep.retime(df, "2026-05-01T00:00:00Z", 12, slice_rows(df))
+    moved = prep.retime(dirty(spark, sf), "2026-05-01T00:00:00Z", 12, Staging(spark))
     return moved.select("seq", "timestamp")
 
 
@@ -494,12 +511,12 @@ def _as_files(spark, sf, name: str, fmt: str) -> str:
 def csv_scan(spark, sf):
     """CSV in, sanitized rows out; the row number restores the arrival order."""
     clean = sanitize(read_csv(spark, _as_files(spark, sf, "telemetry_csv", "csv"))).clean
-    return prep.jobs.row_numbers(clean).select("row", "timestamp", "sensor_id", "value", "priority")
+    return row_numbers_of(clean, Staging(spark)).select("row", "timestamp", "sensor_id", "value", "priority")
 
 
 def json_scan(spark, sf):
     clean = sanitize(read_json(spark, _as_files(spark, sf, "telemetry_json", "json"))).clean
-    return prep.jobs.row_numbers(clean).select("row", "timestamp", "sensor_id", "value", "priority")
+    return row_numbers_of(clean, Staging(spark)).select("row", "timestamp", "sensor_id", "value", "priority")
 
 
 def alarm_lines_written(spark, sf):
@@ -515,6 +532,158 @@ def nominal_lines_written(spark, sf):
     return spark.read.text(path).select(F.col("value").alias("line"))
 
 
+def _file_rows(spark, path: str) -> DataFrame:
+    """Lines of a folder with their place, files in name order."""
+    place = F.col("_metadata.file_block_start") + F.monotonically_increasing_id().bitwiseAND(F.lit(INDEX))
+    rows = spark.read.text(path).select(
+        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"), place.alias("position")
+    )
+    return row_numbers_of(rows, Staging(spark), ["file", "position"]).select("row", "line")
+
+
+def alarm_positions(spark, sf):
+    """Written alarm lines with their place over all part files."""
+    path = f"{Staging(spark).root}/alarms"
+    write_alarms(evaluate(telemetry(spark, sf), ALL).alarms, path)
+    return _file_rows(spark, path)
+
+
+def nominal_positions(spark, sf):
+    staging = Staging(spark)
+    write_nominal(judged(spark, sf, *BASE, R5).valid, f"{staging.root}/valid_data", stage=staging)
+    return _file_rows(spark, f"{staging.root}/valid_data")
+
+
+def rule_positions(spark, sf):
+    """Rules with their place in the order of evaluation."""
+    ordered = order_rules(normalise_rules(supplier_rules(spark, sf))[0])
+    at = ordered.select("rule_id", "priority", F.monotonically_increasing_id().alias("at"))
+    return row_numbers_of(Staging(spark)(at, "rules"), Staging(spark), ["at"]).select("row", "rule_id", "priority")
+
+
+def damaged_csv(spark, sf):
+    """CSV lines that lack a field, are noise or leave a quote open."""
+    path = f"{Staging(spark).root}/damaged"
+    k = F.col("seq") % 10
+    full = F.concat_ws(",", "timestamp", "sensor_id", F.col("value").cast("string"))
+    line = (
+        F.when(k == 1, full)
+        .when(k == 2, F.concat(F.lit("noise "), F.col("seq")))
+        .when(k == 3, F.concat(full, F.lit(',"HIGH')))
+        .otherwise(F.concat_ws(",", full, "priority"))
+    )
+    lines = telemetry(spark, sf).select(line.alias("timestamp,sensor_id,value,priority"))
+    plain = {"header": True, "sep": "\u0001", "quote": "", "escapeQuotes": False}
+    lines.write.options(**plain).csv(path)
+    clean, rejects = sanitize(read_csv(spark, path))
+    outcome = clean.select(F.lit("clean").alias("outcome"), "priority").unionByName(
+        rejects.select(F.col("reject_reason").alias("outcome"), F.lit(None).cast("string").alias("priority"))
+    )
+    return outcome.groupBy("outcome", "priority").agg(F.count("*").alias("rows"))
+
+
+def rules_json(spark, sf):
+    """The supplier rules written as JSON arrays, one a file, and read back."""
+    path = f"{Staging(spark).root}/rules"
+    raw = supplier_rules(spark, sf)
+    columns = [c for c in raw.columns if c != "pos"]
+    block = F.floor(F.col("pos") / (29 * 40))
+    arrays = raw.groupBy(block.alias("block")).agg(
+        F.sort_array(F.collect_list(F.struct("pos", F.struct(*columns).alias("rule")))).alias("rules")
+    )
+    arrays.select(F.to_json("rules.rule")).write.option("maxRecordsPerFile", 1).text(path)
+    valid = order_rules(normalise_rules(load_rules(spark, path))[0])
+    return valid.select("rule_id", "type", "priority", "logic", "operator", "value")
+
+
+def sensors_yaml(spark, sf):
+    """The nations as a sensor catalogue in YAML, read back."""
+    path = f"{Staging(spark).root}/sensors"
+    entry = F.format_string("- {id: %s, unit: r%d}", F.regexp_replace("n_name", " ", "_"), "n_regionkey")
+    lines = table(spark, sf, "nation").agg(F.array_sort(F.collect_list(entry)).alias("lines"))
+    text = F.concat(F.lit("sensors:\n"), F.array_join("lines", "\n"), F.lit("\nspacecraft_id: N-1"))
+    lines.select(text).write.text(path)
+    return load_sensors(spark, path)
+
+
+def absent_sensor(spark, sf):
+    """Last values after readings among which one watched sensor is missing: it keeps its own."""
+    rules = RuleSet.of((R3, Rule("gone", "step_difference", "LOW", "refund", ">", 1.0)))
+    state = State(
+        spark.createDataFrame([("refund", 7.5), ("click", 0.0)], "sensor_id string, last_value double"),
+        spark.createDataFrame([], "rule_id string, sensor_id string, streak bigint"),
+    )
+    return evaluate(telemetry(spark, sf), rules, state, SHORT_SLICE).state_out.step
+
+
+def no_rules(spark, sf):
+    """Without rules every timestamp is nominal."""
+    return pack_nominal(judged(spark, sf).valid)
+
+
+def published_lines(spark, sf):
+    """Two whole runs that overwrite, then one that appends: each line twice."""
+    staging = Staging(spark)
+    output = f"{staging.root}/out"
+    raw = telemetry(spark, sf).withColumn("value", F.col("value").cast("string"))
+    for mode in ("overwrite", "overwrite", "append"):
+        run_readings(spark, raw, output, ALL, mode, slice_rows=SHORT_SLICE)
+    lines = spark.read.text([f"{output}/alarms", f"{output}/valid_data"])
+    return lines.groupBy(F.col("value").alias("line")).agg(F.count("*").alias("copies"))
+
+
+def refused_outputs(spark, sf):
+    """Frames that must not be written: without a column, and without rows."""
+    root = Staging(spark).root
+    result = evaluate(telemetry(spark, sf), ALL)
+    lines = write_alarms(result.alarms.drop("rule_id"), f"{root}/refused")
+    lines += write_nominal(result.valid.filter("false"), f"{root}/empty")
+    left = any(exists(spark, f"{root}/{name}") for name in ("refused", "empty"))
+    counted = result.found.groupBy("rule_id").agg(F.count("*").alias("alarms"))
+    return counted.withColumns({"lines": F.lit(lines).cast("bigint"), "left_behind": F.lit(left)})
+
+
+def counted_rejects(spark, sf):
+    """Rejects that a run counts on its way, next to the quarantine it writes."""
+    staging = Staging(spark)
+    summary = run_readings(
+        spark, dirty(spark, sf), f"{staging.root}/out", ALL, quarantine=True, slice_rows=SHORT_SLICE
+    )
+    written = spark.read.parquet(f"{staging.root}/out/quarantine").groupBy("reject_reason").agg(F.count("*").alias("rows"))
+    on_the_way = F.create_map(*(F.lit(x) for item in summary.rejects.items() for x in item))
+    return written.withColumn("counted", on_the_way[F.col("reject_reason")].cast("bigint"))
+
+
+def _packets(spark, sf) -> DataFrame:
+    return telemetry(spark, sf).select(
+        "timestamp", "sensor_id", F.col("value").cast("string").alias("value"), "priority", "seq"
+    )
+
+
+def late_readings(spark, sf):
+    """Readings that come again after a flush are late, in whatever batch."""
+    root = Staging(spark).root
+    monitor = Monitor(spark, ALL, f"{root}/out", f"{root}/state")
+    packets = _packets(spark, sf)
+    monitor.process(packets, 0)
+    monitor.flush()
+    monitor.flush()
+    monitor.process(packets.filter("seq % 97 = 0"), 1)
+    return monitor.quarantine().select("timestamp", "sensor_id", "value", "priority", "reject_reason")
+
+
+def bounded_stream(spark, sf):
+    """The packets read one file at a time; all is held until the flush."""
+    root = Staging(spark).root
+    for part in range(3):
+        _packets(spark, sf).filter(F.col("seq") % 3 == part).drop("seq").write.mode("append").json(f"{root}/packets")
+    monitor = Monitor(spark, RuleSet.of((R1, R4)), f"{root}/out", f"{root}/state", delay_seconds=10**9)
+    stream = read_stream(spark, f"{root}/packets", "json", max_files_per_trigger=1)
+    monitor.start(stream, f"{root}/checkpoint").awaitTermination()
+    monitor.flush()
+    return monitor.alarms()
+
+
 def _streamed(spark, sf) -> Monitor:
     """The telemetry as JSON packets: two runs of the stream and a final flush."""
     source = f"{Staging(spark).root}/packets"
@@ -537,7 +706,7 @@ def stream_alarms(spark, sf):
 
 
 def stream_nominal(spark, sf):
-    return _streamed(spark, sf).nominal().drop("line")
+    return _streamed(spark, sf).nominal()
 
 
 def stream_state(spark, sf):
@@ -555,8 +724,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         sanitize_clean, sanitize_rejects, rejects_by_reason, missing_priority,
         missing_mandatory, dirty_alarms, rule_rejects, rule_order, rules_table_join,
         rules_table_alarms, completeness_report, sensor_counts, unknown_sensors,
-        batch_metrics, inject_anomalies, inject_damage, replicate, replicated_alarms,
+        batch_metrics, replicate, replicated_alarms,
         row_numbers, retime, grid, best_batch, csv_scan, json_scan, alarm_lines_written,
-        nominal_lines_written, stream_alarms, stream_nominal, stream_state,
+        nominal_lines_written, stream_alarms, stream_nominal, stream_state, rules_table_nominal,
+        rules_table_state, alarm_positions, nominal_positions, rule_positions, damaged_csv, rules_json,
+        sensors_yaml, absent_sensor, no_rules, published_lines, refused_outputs, counted_rejects,
+        late_readings, bounded_stream,
     )
 }

@@ -4,6 +4,8 @@ from pyspark.sql import types as T
 
 MANDATORY = ("timestamp", "sensor_id", "value")
 CORRUPT = "_corrupt"
+# Order of files in a stream; only streamed readings have it.
+ARRIVAL = "arrival"
 
 TELEMETRY = T.StructType(
     [

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkAssertionError
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 
@@ -43,9 +44,12 @@ class Staging:
     A staged table is read back with column pruning and outlives lost executors.
     """
 
+    made: list[Staging] = []
+
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/staged-{uuid.uuid4().hex}"
+        Staging.made.append(self)
 
     def __call__(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
@@ -55,14 +59,26 @@ class Staging:
     def drop(self) -> None:
         """Remove this run's staged tables."""
         remove(self.spark, self.root)
+        if self in Staging.made:
+            Staging.made.remove(self)
 
+    @classmethod
+    def drop_all(cls) -> None:
+        """Remove every staged table of this process, once no frame that reads one is needed."""
+        for staging in list(cls.made):
+            staging.drop()
 
-def observed(observation: Observation, name: str) -> int:
-    """A count taken while writing. A plan found empty reports nothing, which is 0."""
+
+def observed_row(observation: Observation) -> dict[str, int]:
+    """Counts taken while writing. A plan found empty reports nothing."""
     try:
-        return observation.get[name]
-    except (Py4JJavaError, KeyError):
-        return 0
+        return dict(observation.get)
+    except (Py4JJavaError, AttributeError, AssertionError, PySparkAssertionError):
+        return {}
+
+
+def observed(observation: Observation, name: str) -> int:
+    return observed_row(observation).get(name, 0)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -76,6 +92,26 @@ def remove(spark: SparkSession, path: str) -> None:
     system.delete(target, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder; the target's parent is made if it is absent."""
+    here, system = _file_system(spark, source)
+    there, _ = _file_system(spark, target)
+    system.mkdirs(there.getParent())
+    if not system.rename(here, there):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, none if it is absent."""
+    target, system = _file_system(spark, path)
+    return sorted(f.getPath().getName() for f in system.listStatus(target)) if system.exists(target) else []
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    target, system = _file_system(spark, path)
+    system.create(target, True).close()
+
+
 def _file_system(spark: SparkSession, path: str):
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

@@ -1,5 +1,14 @@
-"""Text outputs: packed nominal lines and alarm lines."""
+"""Text outputs: packed nominal lines and alarm lines, published together."""
 
+from .publish import Publication, recover
 from .text import alarm_lines, nominal_lines, pack_nominal, write_alarms, write_nominal
 
-__all__ = ["alarm_lines", "nominal_lines", "pack_nominal", "write_alarms", "write_nominal"]
+__all__ = [
+    "Publication",
+    "alarm_lines",
+    "nominal_lines",
+    "pack_nominal",
+    "recover",
+    "write_alarms",
+    "write_nominal",
+]

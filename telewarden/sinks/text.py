@@ -4,49 +4,71 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions import fmt_value, slice_of
-from ..plans.evaluate import MAX_LINE
+from ..plans.evaluate import SLICE_ROWS
 from ..schemas import ALARMS
 from ..session import exists, observed, remove
 
 logger = logging.getLogger(__name__)
 
+# Longest text of a row in bytes, with room for the other columns.
+MAX_BYTES = (1 << 31) - (1 << 16)
 
-def pack_nominal(valid: DataFrame, max_line: int = MAX_LINE, ordered: bool = False) -> DataFrame:
-    """``timestamp, status, sensor_string``: readings sorted by sensor, then arrival.
 
-    One line per (timestamp, line). Nominal rows bring ``line`` from the evaluation, so a
-    line never gathers more than ``max_line`` readings; other frames get it here.
-    ``ordered`` spreads the readings by ranges instead of hashes, which leaves the lines
-    in global order without shuffling them again.
+def nominal_pieces(valid: DataFrame) -> DataFrame:
+    """Readings of one (timestamp, sensor, arrival slice) as one text, by arrival.
+
+    A slice is bounded, and so is what a piece gathers.
     """
     if "seq" not in valid.columns:
         valid = valid.withColumn("seq", F.monotonically_increasing_id())
-    if "line" not in valid.columns:
-        valid = _with_line(valid, max_line)
-    if ordered:
-        valid = valid.select("timestamp", "line", "sensor_id", "seq", "value").repartitionByRange(
-            "timestamp", "line"
-        )
-    reading = F.struct(
-        "sensor_id",
-        "seq",
-        F.concat("sensor_id", F.lit(":"), fmt_value("value")).alias("text"),
+    if "slice" not in valid.columns:
+        valid = valid.withColumn("slice", slice_of(F.col("seq"), SLICE_ROWS))
+    text = F.concat("sensor_id", F.lit(":"), fmt_value("value"))
+    return (
+        valid.select("timestamp", "sensor_id", "slice", "seq", text.alias("text"))
+        .groupBy("timestamp", "sensor_id", "slice")
+        .agg(F.expr("listagg(text, '|') WITHIN GROUP (ORDER BY seq)").alias("piece"))
     )
+
+
+def join_pieces(pieces: DataFrame, ordered: bool = False) -> DataFrame:
+    """``timestamp, status, sensor_string``: one line per timestamp, sorted by sensor, then arrival.
+
+    ``ordered`` spreads the pieces by ranges of timestamps, which leaves the lines in global
+    order without another shuffle.
+    """
+    if ordered:
+        pieces = pieces.repartitionByRange("timestamp")
+    part = F.struct("sensor_id", "slice", "piece")
     packed = (
-        valid.groupBy("timestamp", "line")
-        .agg(F.sort_array(F.collect_list(reading)).alias("readings"))
+        pieces.groupBy("timestamp")
+        .agg(F.sort_array(F.collect_list(part)).alias("parts"))
         .select(
             "timestamp",
             F.lit("NOMINAL").alias("status"),
-            F.array_join(F.col("readings.text"), "|").alias("sensor_string"),
-            "line",
+            F.array_join(F.col("parts.piece"), "|").alias("sensor_string"),
         )
     )
-    return packed.sortWithinPartitions("timestamp", "line") if ordered else packed
+    return packed.sortWithinPartitions("timestamp") if ordered else packed
+
+
+def pack_nominal(valid: DataFrame, ordered: bool = False) -> DataFrame:
+    """One line per timestamp, packed in two levels."""
+    return join_pieces(nominal_pieces(valid), ordered)
+
+
+def check_lines(pieces: DataFrame) -> None:
+    """Fail with the timestamp's name if its line is longer than a row can hold."""
+    size = F.sum(F.octet_length("piece") + 1)
+    longest = (
+        pieces.groupBy("timestamp").agg(size.alias("bytes")).filter(F.col("bytes") > MAX_BYTES).first()
+    )
+    if longest is not None:
+        raise ValueError(f"the nominal line of {longest.timestamp} has {longest.bytes} bytes, more than a row holds")
 
 
 def nominal_lines(packed: DataFrame) -> DataFrame:
@@ -57,11 +79,18 @@ def alarm_lines(alarms: DataFrame) -> DataFrame:
     return alarms.select(F.concat_ws(";", *ALARMS.fieldNames()).alias("value"))
 
 
-def write_nominal(valid: DataFrame, path: str, mode: str = "append") -> int:
-    """Write packed lines in timestamp order; the number of lines comes back."""
+def write_nominal(valid: DataFrame, path: str, mode: str = "append", stage=None) -> int:
+    """Write packed lines in timestamp order; the number of lines comes back.
+
+    ``stage`` keeps the pieces, which the range shuffle reads twice, and has them checked.
+    """
     if not valid.columns:
         return 0
-    return _write_lines(nominal_lines(pack_nominal(valid, ordered=True)), path, mode)
+    pieces = nominal_pieces(valid)
+    if stage:
+        pieces = stage(pieces, "pieces")
+        check_lines(pieces)
+    return _write_lines(nominal_lines(join_pieces(pieces, ordered=True)), path, mode)
 
 
 def write_alarms(alarms: DataFrame, path: str, mode: str = "append") -> int:
@@ -85,19 +114,3 @@ def _write_lines(lines: DataFrame, path: str, mode: str) -> int:
     if not written and not before:
         remove(spark, path)
     return written
-
-
-def _with_line(valid: DataFrame, max_line: int) -> DataFrame:
-    """Lines for a frame that did not come out of the evaluation."""
-    keyed = valid.withColumn("slice", slice_of(F.col("seq"), max_line))
-    total = F.sum("n").over(Window.partitionBy("timestamp"))
-    lines = (
-        keyed.groupBy("timestamp", "slice")
-        .agg(F.count("*").alias("n"))
-        .select(
-            "timestamp",
-            "slice",
-            F.when(total > max_line, F.col("slice")).otherwise(F.lit(0).cast("bigint")).alias("line"),
-        )
-    )
-    return keyed.join(lines, ["timestamp", "slice"]).drop("slice")

@@ -6,23 +6,21 @@ plus ``seq``, a unique increasing arrival number. Rule evaluation follows ``seq`
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import CORRUPT, PACKET
+from ..operators.numbering import INDEX, running_sum
+from ..schemas import ARRIVAL, CORRUPT, PACKET
+from ..session import Staging
 
-# seq = file number * 2^42 + position in the file: 2^21 files of up to 4 TB.
-FILE_SPAN = 1 << 42
-MAX_FILES = 1 << 21
-ROW_BITS = (1 << 33) - 1
-SCHEME = re.compile(r"^(\w+):/+")
+# A file's numbers begin after the bytes of all earlier files, with room for this many rows each:
+# a task that reads many small files counts its rows through all of them.
+FILE_ROOM = 1 << 31
 
 
 def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """CSV with a header; columns are taken by name, every one as text."""
+    """CSV with a header, every column as text. Files whose header differs are refused."""
     names = spark.read.option("header", True).csv(path).columns
     schema = T.StructType(
         [T.StructField(name, T.StringType()) for name in [*names, CORRUPT]]
@@ -34,9 +32,10 @@ def read_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
         .option("columnNameOfCorruptRecord", CORRUPT)
         # With pruning a short line goes unnoticed if an unread column is what it lacks.
         .option("columnPruning", False)
+        .option("enforceSchema", False)
         .csv(path)
     )
-    return _with_file_seq(lines)
+    return _with_file_seq(lines, path)
 
 
 def read_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -47,13 +46,16 @@ def read_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
         .option("columnNameOfCorruptRecord", CORRUPT)
         .json(path)
     )
-    return _with_file_seq(packets)
+    return _with_file_seq(packets, path)
 
 
 def read_stream(
     spark: SparkSession, path: str, fmt: str = "json", max_files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Packets (or CSV lines in the same column order) landing in a folder."""
+    """Packets (or CSV lines in the same column order) landing in a folder.
+
+    ``arrival`` orders splits by the time their file was written, its name and their place in it.
+    """
     reader = (
         spark.readStream.schema(PACKET)
         .option("mode", "PERMISSIVE")
@@ -61,9 +63,10 @@ def read_stream(
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    if fmt == "csv":
-        return reader.option("header", True).csv(path)
-    return reader.format(fmt).load(path)
+    rows = reader.option("header", True).csv(path) if fmt == "csv" else reader.format(fmt).load(path)
+    written = F.lpad(F.unix_micros("_metadata.file_modification_time").cast("string"), 20, "0")
+    start = F.lpad(F.col("_metadata.file_block_start").cast("string"), 20, "0")
+    return rows.select("*", F.concat_ws(" ", written, "_metadata.file_path", start).alias(ARRIVAL))
 
 
 def from_table(
@@ -96,30 +99,29 @@ def with_time_seq(df: DataFrame, order: list[str | Column], stage) -> DataFrame:
     return stage(numbered, "time_seq")
 
 
-def _with_file_seq(df: DataFrame) -> DataFrame:
-    """Arrival number: files in name order, then line order.
+def _position() -> Column:
+    """Place of a row in its file.
 
     The row counter of a Spark partition stays below half the split size, so adding it
-    to the split's byte offset keeps line order across splits. The file list is already
-    on the driver and its length is checked.
+    to the split's byte offset keeps line order across splits.
+    """
+    return F.col("_metadata.file_block_start") + F.monotonically_increasing_id().bitwiseAND(F.lit(INDEX))
+
+
+def _with_file_seq(df: DataFrame, path: str | list[str]) -> DataFrame:
+    """Arrival number: files in name order, then line order.
+
+    Files are numbered by a Spark job over their names and lengths.
     """
-    files = sorted(df.inputFiles())
-    if len(files) > MAX_FILES:
-        raise ValueError(f"{len(files)} input files, at most {MAX_FILES} can be numbered")
-    columns = df.columns
-    row = F.monotonically_increasing_id().bitwiseAND(F.lit(ROW_BITS))
-    position = F.col("_metadata.file_block_start") + row
-    if len(files) <= 1:
-        return df.select(*columns, position.alias("seq"))
     spark = df.sparkSession
-    numbers = spark.createDataFrame(
-        [(SCHEME.sub(r"\1:/", name), number * FILE_SPAN) for number, name in enumerate(files)],
-        "file string, first_seq bigint",
-    )
-    # The two file names differ in the slashes after the scheme.
-    name = F.regexp_replace(F.col("_metadata.file_path"), SCHEME.pattern, "$1:/")
-    placed = df.select(*columns, name.alias("file"), position.alias("position"))
-    first_seq = F.coalesce("first_seq", F.raise_error(F.lit("reading of an unlisted file")))
-    return placed.join(F.broadcast(numbers), "file", "left").select(
-        *columns, (first_seq + F.col("position")).alias("seq")
+    columns = df.columns
+    files = spark.read.format("binaryFile").load(path)
+    files = files.select(
+        F.col("_metadata.file_path").alias("file"), (F.col("_metadata.file_size") + FILE_ROOM).alias("room")
     )
+    if len(files.head(2)) < 2:
+        return df.select(*columns, _position().alias("seq"))
+    numbers = running_sum(files, ["file"], "room", Staging(spark), "files").select("file", "before")
+    read = df.select(*columns, F.col("_metadata.file_path").alias("file"), _position().alias("position"))
+    first_seq = F.coalesce("before", F.raise_error(F.lit("reading of an unlisted file")))
+    return read.join(numbers, "file", "left").select(*columns, (first_seq + F.col("position")).alias("seq"))

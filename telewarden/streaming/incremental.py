@@ -1,15 +1,15 @@
 """Micro-batch evaluation with state tables.
 
-Every micro-batch runs the batch plan over its closed timestamps. What must survive is
-kept in parquet tables per batch id: last values, streaks, readings of timestamps that
-are still open, and the boundary up to which timestamps are closed. A batch writes its
-outputs into folders named by its id and commits by writing its boundary last, so a
-replayed batch rereads the state before it and overwrites its own folders.
+Every micro-batch runs the batch plan over its closed timestamps. What must survive is kept in
+parquet tables per commit: last values, streaks, readings of timestamps that are still open, and the
+boundary up to which timestamps are closed. Commits have numbers of their own, so that a flush can
+stand between two batches of a stream. A commit writes its outputs into folders named by its number
+and its boundary last; until then the state before it is the latest, and a replayed batch overwrites
+the same folders. A batch that was committed is not judged again. Outputs are only ever added.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,15 +17,18 @@ from ..operators.sanitize import sanitize
 from ..operators.scan import State
 from ..plans.evaluate import SLICE_ROWS, Result, evaluate
 from ..plans.rules import RuleSet
-from ..schemas import ALARMS, REJECTS, STEP_STATE, STREAK_STATE, TELEMETRY
-from ..session import Staging, observed, remove
+from ..schemas import ALARMS, ARRIVAL, REJECTS, STEP_STATE, STREAK_STATE, TELEMETRY
+from ..session import Staging, children, observed, remove
 from ..sinks import alarm_lines, nominal_lines, pack_nominal
 
 # Boundaries are event times in microseconds since the epoch.
-BOUNDARY = "boundary bigint, batch_id bigint, rows bigint, late bigint, alarms bigint"
-NOMINAL = "timestamp string, status string, sensor_string string, line bigint"
+BOUNDARY = "boundary bigint, batch_id bigint, rows bigint, late bigint, alarms bigint, source string, source_batch bigint"
+NOMINAL = "timestamp string, status string, sensor_string string"
 BEGINNING = -(1 << 62)
-KEPT_BATCHES = 2
+# Named for batches outside a stream.
+DIRECT = "direct"
+# Commits whose state stays: the latest and the one before, for a reader that has just begun.
+KEPT_COMMITS = 2
 
 
 class Monitor:
@@ -61,26 +64,40 @@ class Monitor:
         self.slice_rows = slice_rows
         self.text = text
 
-    def start(self, stream: DataFrame, checkpoint: str):
-        """Run over what the stream holds now; start again later to continue."""
+    def start(self, stream: DataFrame, checkpoint: str, trigger: str | None = None):
+        """Run over what the stream holds now, or with ``trigger`` every such interval until stopped."""
+
+        def process(raw: DataFrame, batch_id: int) -> None:
+            self.process(raw, batch_id, checkpoint)
+
+        interval = {"processingTime": trigger} if trigger else {"availableNow": True}
         return (
-            stream.writeStream.foreachBatch(self.process)
+            stream.writeStream.foreachBatch(process)
             .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
+            .trigger(**interval)
             .start()
         )
 
-    def process(self, raw: DataFrame, batch_id: int) -> None:
-        """One micro-batch: raw packets in, outputs and state of ``batch_id`` out."""
-        self._run(raw, batch_id, close_all=False)
+    def process(self, raw: DataFrame, batch_id: int, source: str = DIRECT) -> None:
+        """One micro-batch: raw packets in, outputs and state of the next commit out.
+
+        ``source`` tells streams apart, whose batches are numbered by their checkpoints.
+        """
+        last = self._committed()
+        if last is not None and last.source == source and batch_id <= last.source_batch:
+            return
+        self._run(raw, last, source, batch_id, close_all=False)
+
+    def flush(self) -> None:
+        """Evaluate what is still held back, at the end of a finite input.
 
-    def flush(self, batch_id: int | None = None) -> None:
-        """Evaluate what is still held back, at the end of a finite input."""
-        last, _ = self._committed()
+        The boundary it leaves is binding: a reading at or before it that comes later is late.
+        """
+        last = self._committed()
         if last is None:
             return
         empty = self.spark.createDataFrame([], TELEMETRY).drop("event_time", "seq")
-        self._run(empty, last + 1 if batch_id is None else batch_id, close_all=True)
+        self._run(empty, last, last.source, last.source_batch, close_all=True)
 
     def alarms(self) -> DataFrame:
         return self._read("alarms", ALARMS)
@@ -91,59 +108,74 @@ class Monitor:
     def quarantine(self) -> DataFrame:
         return self._read("quarantine", REJECTS)
 
-    def state(self, batch_id: int | None = None) -> State:
-        """State after a batch (the last one by default)."""
-        batch = self._committed()[0] if batch_id is None else batch_id
+    def state(self) -> State:
+        """State after the last commit."""
+        last = self._committed()
+        number = None if last is None else last.batch_id
         return State(
-            self._state("step", batch, STEP_STATE), self._state("streak", batch, STREAK_STATE)
+            self._state("step", number, STEP_STATE), self._state("streak", number, STREAK_STATE)
         )
 
     def metrics(self) -> DataFrame:
-        """Per batch: boundary, evaluated rows, late rows, alarms."""
-        return self.spark.read.schema(BOUNDARY).parquet(f"{self.state_path}/boundary/*")
+        """Per commit: boundary, number, evaluated rows, late rows, alarms."""
+        names = ("boundary", "batch_id", "rows", "late", "alarms")
+        return self.spark.read.schema(BOUNDARY).parquet(f"{self.output}/metrics/*").select(*names)
 
-    def _run(self, raw: DataFrame, batch_id: int, close_all: bool) -> None:
+    def _run(self, raw: DataFrame, last, source: str, source_batch: int, close_all: bool) -> None:
         staging = Staging(self.spark)
-        previous, closed_to = self._committed(before=batch_id)
+        previous, closed_to = (None, BEGINNING) if last is None else (last.batch_id, last.boundary)
+        number = 0 if previous is None else previous + 1
         moment = F.unix_micros("event_time")
         try:
             cleaned = sanitize(raw)
+            clean = cleaned.clean
+            if ARRIVAL not in clean.columns:
+                clean = clean.withColumn(ARRIVAL, F.lit(""))
             arrived = self._pending(previous).unionByName(
-                cleaned.clean.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+                clean.withColumn("batch_id", F.lit(number).cast("bigint"))
             )
             # Order of evaluation: event time, then arrival. Numbered once, then reread.
             numbered = staging(
                 arrived.withColumn("late", moment < closed_to)
-                .orderBy("event_time", "batch_id", "seq")
+                .orderBy("event_time", "batch_id", ARRIVAL, "seq")
                 .withColumn("order", F.monotonically_increasing_id()),
                 "arrived",
             )
             on_time = numbered.filter("NOT late")
             boundary = self._next_boundary(on_time, closed_to, close_all)
             closed = on_time.filter(moment < boundary)
+            before = None
+            if previous is not None:
+                before = State(
+                    self._state("step", previous, STEP_STATE), self._state("streak", previous, STREAK_STATE)
+                )
             result = evaluate(
-                closed.drop("seq", "late", "batch_id").withColumnRenamed("order", "seq"),
+                closed.drop("seq", "late", "batch_id", ARRIVAL).withColumnRenamed("order", "seq"),
                 self.rules,
-                self.state(previous) if previous is not None else None,
+                before,
                 self.slice_rows,
                 staging,
             )
-            found = self._write_outputs(result, batch_id)
-            self._write_quarantine(cleaned.rejects, numbered.filter("late"), batch_id)
+            found = self._write_outputs(result, number)
+            self._write_quarantine(cleaned.rejects, numbered.filter("late"), number)
             after = result.state_out
             held = on_time.filter(moment >= boundary)
-            self._put(after.step, "step", batch_id)
-            self._put(after.streak, "streak", batch_id)
-            self._put(held.drop("order", "late"), "pending", batch_id)
+            self._put(after.step, "step", number)
+            self._put(after.streak, "streak", number)
+            self._put(held.drop("order", "late"), "pending", number)
             facts = numbered.agg(
                 F.lit(boundary).cast("bigint").alias("boundary"),
-                F.lit(batch_id).cast("bigint").alias("batch_id"),
+                F.lit(number).cast("bigint").alias("batch_id"),
                 F.count_if(~F.col("late") & (moment < boundary)).alias("rows"),
                 F.count_if("late").alias("late"),
                 F.lit(found).cast("bigint").alias("alarms"),
+                F.lit(source).alias("source"),
+                F.lit(source_batch).cast("bigint").alias("source_batch"),
             )
-            self._put(facts, "boundary", batch_id)
-            self._forget(batch_id - KEPT_BATCHES)
+            facts = staging(facts, "facts")
+            self._out(facts, "metrics", number)
+            self._put(facts, "boundary", number)
+            self._forget(number - KEPT_COMMITS)
         finally:
             staging.drop()
 
@@ -179,7 +211,7 @@ class Monitor:
             lines = {
                 "alarms_text": alarm_lines(result.alarms),
                 "nominal_text": nominal_lines(
-                    self._output("nominal", batch_id, NOMINAL).orderBy("timestamp", "line")
+                    self._output("nominal", batch_id, NOMINAL).orderBy("timestamp")
                 ),
             }
             for name, df in lines.items():
@@ -209,29 +241,29 @@ class Monitor:
     def _put(self, df: DataFrame, name: str, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.state_path}/{name}/batch={batch_id}")
 
-    def _state(self, name: str, batch: int | None, schema) -> DataFrame:
-        if batch is None:
+    def _state(self, name: str, number: int | None, schema) -> DataFrame:
+        if number is None:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(f"{self.state_path}/{name}/batch={batch}")
+        return self.spark.read.schema(schema).parquet(f"{self.state_path}/{name}/batch={number}")
 
-    def _pending(self, batch: int | None) -> DataFrame:
+    def _pending(self, number: int | None) -> DataFrame:
         schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in TELEMETRY)
-        return self._state("pending", batch, f"{schema}, batch_id bigint")
+        return self._state("pending", number, f"{schema}, {ARRIVAL} string, batch_id bigint")
 
-    def _committed(self, before: int | None = None) -> tuple[int | None, int]:
-        """Latest committed batch and its boundary; a batch writes its boundary last."""
-        try:
-            done = self.metrics()
-        except AnalysisException:
-            return None, BEGINNING
-        if before is not None:
-            done = done.filter(F.col("batch_id") < before)
-        row = done.agg(
-            F.max("batch_id").alias("batch"), F.max_by("boundary", "batch_id").alias("boundary")
-        ).first()
-        return (None, BEGINNING) if row.batch is None else (row.batch, row.boundary)
-
-    def _forget(self, batch_id: int) -> None:
-        """Drop state no replay can need any more."""
-        for name in ("step", "streak", "pending"):
-            remove(self.spark, f"{self.state_path}/{name}/batch={batch_id}")
+    def _committed(self):
+        """The latest commit, of which the folder of boundaries holds a few; None before the first.
+
+        A boundary without its success mark was not written to the end.
+        """
+        names = [n for n in children(self.spark, f"{self.state_path}/boundary") if n.startswith("batch=")]
+        for number in sorted((int(n.removeprefix("batch=")) for n in names), reverse=True):
+            path = f"{self.state_path}/boundary/batch={number}"
+            if "_SUCCESS" in children(self.spark, path):
+                return self.spark.read.schema(BOUNDARY).parquet(path).first()
+        return None
+
+    def _forget(self, number: int) -> None:
+        """Drop the state of a commit that has two later ones."""
+        if number >= 0:
+            for name in ("boundary", "step", "streak", "pending"):
+                remove(self.spark, f"{self.state_path}/{name}/batch={number}")

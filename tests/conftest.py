@@ -5,14 +5,15 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-from telewarden.session import local_session  # noqa: E402
+from telewarden.session import Staging, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def spark():
     session = local_session()
     session.sparkContext.setLogLevel("ERROR")
-    return session
+    yield session
+    Staging.drop_all()
 
 
 def frame(spark, rows):

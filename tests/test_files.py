@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from telewarden.functions import fmt_value
 from telewarden.operators.sanitize import reject_counts, sanitize
-from telewarden.sinks import pack_nominal, write_alarms, write_nominal
+from telewarden.session import Staging
+from telewarden.sinks import pack_nominal, text, write_alarms, write_nominal
 from telewarden.sources import load_rules, load_sensors, read_csv, read_json
 
 
@@ -20,27 +21,33 @@ def kept(df):
 
 def test_damaged_rows_are_dropped(spark):
     rows = [
-        ("2026-04-24T10:00Z", "TEMP-01", "25.5", "HIGH"), ("2026-04-24T10:01Z", None, "26.0", "LOW"),
-        ("2026-04-24T10:02Z", "TEMP-03", "SENSOR_BROKEN", "HIGH"), ("TIME_STAMP_MALFORMED", "TEMP-04", "28.5", "LOW"),
-        ("12", "TEMP-05", "29.0", "HIGH"), ("2026-04-24T10:05Z", "13", "24.0", "LOW"),
-        ("2026-04-24T10:06Z", "TEMP-07", "23.5", "12"),
+        ("2031-03-09T08:00:00Z", "pump", "1.5", "low"),
+        ("2031-03-09T08:00:00Z", "valve", "-2", None),
+        ("2031-03-09T08:00:00Z", "42", "3", "Medium"),
+        (None, "pump", "4", "LOW"),
+        ("2031-03-09T08:00:00Z", "", "5", "LOW"),
+        ("2031-03-09T08:00:00Z", "pump", "six", "LOW"),
+        ("yesterday", "pump", "7", "LOW"),
+        ("1741507200", "pump", "8", "LOW"),
+        ("2031-03-09T08:00:00Z", "pump", "9", "URGENT"),
+        ("2031-03-09T08:00:00Z", "pump", "10", "7"),
     ]
     clean, rejects = sanitize(raw(spark, rows))
-    assert kept(clean) == [("2026-04-24T10:00Z", "TEMP-01", 25.5, "HIGH"), ("2026-04-24T10:05Z", "13", 24.0, "LOW")]
+    assert [r[1:] for r in kept(clean)] == [("pump", 1.5, "LOW"), ("valve", -2.0, "LOW"), ("42", 3.0, "MEDIUM")]
     assert {r.reject_reason: r.rows for r in reject_counts(rejects).collect()} == {
-        "schema_missing_field": 1, "type_value": 1, "type_timestamp": 2, "schema_priority": 1,
+        "schema_missing_field": 2, "type_value": 1, "type_timestamp": 2, "schema_priority": 2,
     }
 
 
-@pytest.mark.parametrize("text,ok", [
+@pytest.mark.parametrize("written,ok", [
     ("2026-05-01T10:00:00Z", True), ("2026-05-01T10:00Z", True), ("2026-05-01 10:00:00", True),
     ("2026-05-01T10:00", True), ("2026-05-01T10:00:00.123456Z", True), ("2026-05-01T10:00:00+02:00", True),
     ("2026-05-01T10:00+0200", True), ("10:00", False), ("2026", False), ("2026-05", False), ("2026-05-01", False),
     ("2026-13-01T10:00:00Z", False), ("2026-05-01T25:00:00Z", False), ("2026-05-01T10:00:00 Europe/Rome", False),
     (" 2026-05-01T10:00:00Z", False), ("2026-5-1T10:00:00Z", False), ("2026-05-01T1a:00:00Z", False),
 ])
-def test_timestamps(spark, text, ok):
-    assert sanitize(raw(spark, [(text, "S", "1", "LOW")])).clean.count() == ok
+def test_timestamps(spark, written, ok):
+    assert sanitize(raw(spark, [(written, "S", "1", "LOW")])).clean.count() == ok
 
 
 def test_numbers(spark):
@@ -56,8 +63,8 @@ def test_numbers(spark):
 
 
 def test_missing_columns(spark):
-    no_priority = raw(spark, [("2026-04-24T10:00Z", "T", "25.5")], "timestamp string, sensor_id string, value string")
-    assert kept(sanitize(no_priority).clean) == [("2026-04-24T10:00Z", "T", 25.5, "LOW")]
+    no_priority = raw(spark, [("2031-03-09T08:00Z", "pump", "0.25")], "timestamp string, sensor_id string, value string")
+    assert kept(sanitize(no_priority).clean) == [("2031-03-09T08:00Z", "pump", 0.25, "LOW")]
     clean, rejects = sanitize(no_priority.drop("value"))
     assert clean.count() == 0 and rejects.count() == 0 and dict(clean.dtypes)["value"] == "double"
 
@@ -68,7 +75,7 @@ def test_csv_lines(spark, tmp_path):
         "S1,2026-05-01T10:00:00Z,1.0,HIGH,x\n"
         "S2,2026-05-01T10:00:00Z,2.0\n"
         'S3,2026-05-01T10:00:00Z,3.0,"HIGH\n'
-        "GARBAGE_NOISE_TRANSMISSION_LOST\n"
+        "line lost\n"
         "NA,2026-05-01T10:00:00Z,4.0,LOW,x\n"
         "S5,2026-05-01T10:00:00Z,null,LOW,x\n"
         "S6,2026-05-01T10:00:00Z,6.0,,x\n"
@@ -129,21 +136,35 @@ def test_value_text(spark):
     assert {r.v: r.t for r in rows} == cases
 
 
-def test_packing_sorts_sensors(spark):
-    rows = [("2026-04-14T08:00:00Z", "TEMP-01", 25.5), ("2026-04-14T08:00:00Z", "ACCEL-02", 1.2)]
-    packed = pack_nominal(frame(spark, rows)).collect()
-    assert [(p.timestamp, p.status, p.sensor_string) for p in packed] == [
-        ("2026-04-14T08:00:00Z", "NOMINAL", "ACCEL-02:1.2|TEMP-01:25.5")
+def test_packing_sorts_sensors_and_keeps_arrival(spark):
+    rows = [("t2", "valve", 3), ("t1", "valve", 1), ("t1", "pump", 0.5), ("t1", "valve", 7), ("t1", "Pump", 2)]
+    packed = pack_nominal(frame(spark, rows)).orderBy("timestamp").collect()
+    assert [tuple(p) for p in packed] == [
+        ("t1", "NOMINAL", "Pump:2.0|pump:0.5|valve:1.0|valve:7.0"), ("t2", "NOMINAL", "valve:3.0"),
     ]
 
 
+def test_a_line_that_no_row_holds_is_refused_by_name(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(text, "MAX_BYTES", 30)
+    rows = [("short", "pump", 1)] + [("long", "pump", i) for i in range(9)]
+    with pytest.raises(ValueError, match="line of long"):
+        write_nominal(frame(spark, rows), str(tmp_path / "out"), stage=Staging(spark))
+
+
+def test_files_with_another_header_are_refused(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("timestamp,sensor_id,value\n2031-03-09T08:00:00Z,pump,1\n")
+    (tmp_path / "b.csv").write_text("sensor_id,timestamp,value\npump,2031-03-09T08:00:00Z,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(tmp_path)).collect()
+
+
 def test_sinks_refuse_what_they_should(spark, tmp_path, caplog):
     out = tmp_path / "out"
-    readings = frame(spark, [("T", "S", 1)])
+    readings = frame(spark, [("noon", "pump", 1)])
     assert not write_alarms(readings, str(out)) and "missing columns" in caplog.text
     assert not write_nominal(readings.limit(0), str(out))
     assert not write_nominal(spark.createDataFrame([], ""), str(out))
     assert not write_alarms(spark.createDataFrame([], ""), str(out))
     assert not out.exists()
     assert write_nominal(readings, str(out)) and write_nominal(readings, str(out))
-    assert sorted(r.value for r in spark.read.text(str(out)).collect()) == ["T;NOMINAL;S:1.0"] * 2
+    assert sorted(r.value for r in spark.read.text(str(out)).collect()) == ["noon;NOMINAL;pump:1.0"] * 2

@@ -6,11 +6,11 @@ from telewarden.operators.scan import State
 from telewarden.plans.evaluate import evaluate
 from telewarden.plans.rules import Rule, RuleSet, normalise_rules, order_rules, rules_frame
 
-R1 = Rule("R1", "simple", "MEDIUM", "TEMP-01", ">", 50.0)
-R2 = Rule("R2", "step_difference", "LOW", "PRES-01", "<", -2.0)
-R3 = Rule("R3", "stateful", "HIGH", "VOLT-MAIN", "<", 20.0, 3)
-R4 = Rule("R4", "correlation", "HIGH", logic="AND", conditions=("R1", "R2"))
-R5 = Rule("R5", "correlation", "MEDIUM", logic="OR", conditions=("R1", "R3"))
+HOT = Rule("hot", "simple", "LOW", "pump", ">=", 70.0)
+FALL = Rule("fall", "step_difference", "HIGH", "tank", "<=", -6.0)
+SHUT = Rule("shut", "stateful", "MEDIUM", "valve", "==", 0.0, 2)
+BOTH = Rule("both", "correlation", "HIGH", logic="AND", conditions=("hot", "fall"))
+ANY = Rule("any", "correlation", "LOW", logic="OR", conditions=("shut", "hot"))
 
 
 def judge(spark, rules, rows, state=None, **options):
@@ -29,96 +29,92 @@ def carried(spark, step=(), streak=()):
 
 
 def test_simple(spark):
-    rows = [("T1", "TEMP-01", 40), ("T2", "TEMP-01", 55), ("T3", "OTHER", 60)]
-    assert fired(judge(spark, [R1], rows)) == [("T2", "R1", "TEMP-01", "55.0")]
+    rows = [("a", "pump", 69.9), ("b", "pump", 70), ("c", "tank", 99), ("d", "pump", 200)]
+    assert fired(judge(spark, [HOT], rows)) == [("b", "hot", "pump", "70.0"), ("d", "hot", "pump", "200.0")]
 
 
 def test_step_uses_carried_value_and_carries_out(spark):
     result = judge(
-        spark, [R2], [("T1", "PRES-01", 97), ("T2", "PRES-01", 96)],
-        carried(spark, step=[("PRES-01", 100.0), ("GONE", 1.0)]),
+        spark, [FALL], [("a", "tank", 31), ("b", "tank", 26), ("c", "tank", 20)],
+        carried(spark, step=[("tank", 37.5), ("elsewhere", 4.0)]),
     )
-    assert [a[:2] for a in fired(result)] == [("T1", "R2")]
-    assert {tuple(r) for r in result.state_out.step.collect()} == {("PRES-01", 96.0), ("GONE", 1.0)}
+    assert [a[:2] for a in fired(result)] == [("a", "fall"), ("c", "fall")]
+    assert {tuple(r) for r in result.state_out.step.collect()} == {("tank", 20.0), ("elsewhere", 4.0)}
 
 
 def test_step_cold_start_compares_zero(spark):
-    rule = Rule("C", "step_difference", "LOW", "S", "<", 5.0)
-    rows = [("T1", "S", 100), ("T2", "S", 110), ("T3", "S", 111)]
-    assert [a[0] for a in fired(judge(spark, [rule], rows))] == ["T1", "T3"]
+    rule = Rule("flat", "step_difference", "LOW", "tank", "<", 3.0)
+    rows = [("a", "tank", 500), ("b", "tank", 503), ("c", "tank", 505.5)]
+    assert [a[0] for a in fired(judge(spark, [rule], rows))] == ["a", "c"]
 
 
 def test_two_step_rules_share_the_previous_value(spark):
-    rules = [Rule("A", "step_difference", "LOW", "S", ">", 5.0), Rule("B", "step_difference", "LOW", "S", "<", -5.0)]
-    rows = [("T1", "S", 0), ("T2", "S", 10), ("T3", "S", 0)]
-    assert [a[:2] for a in fired(judge(spark, rules, rows))] == [("T2", "A"), ("T3", "B")]
+    rise = Rule("rise", "step_difference", "LOW", "tank", ">", 1.0)
+    rows = [("a", "tank", 8), ("b", "tank", 2), ("c", "tank", 9)]
+    assert [a[:2] for a in fired(judge(spark, [FALL, rise], rows))] == [("b", "fall"), ("c", "rise")]
 
 
 def test_streak_fires_on_every_long_enough_reading(spark):
-    values = [25, 19, 18, 17, 16, 22, 1]
-    rows = [(f"T{i}", "VOLT-MAIN", v) for i, v in enumerate(values)]
-    result = judge(spark, [R3], rows)
-    assert [a[0] for a in fired(result)] == ["T3", "T4"]
-    assert [tuple(r) for r in result.state_out.streak.collect()] == [("R3", "VOLT-MAIN", 1)]
+    values = [0, 1, 0, 0, 0, 0, 5, 0]
+    result = judge(spark, [SHUT], [(f"t{i}", "valve", v) for i, v in enumerate(values)])
+    assert [a[0] for a in fired(result)] == ["t3", "t4", "t5"]
+    assert [tuple(r) for r in result.state_out.streak.collect()] == [("shut", "valve", 1)]
 
 
 def test_streak_is_zero_after_a_good_reading(spark):
-    result = judge(spark, [R3], [("T1", "VOLT-MAIN", 1), ("T2", "VOLT-MAIN", 30)],
-                   carried(spark, streak=[("R3", "VOLT-MAIN", 2), ("R9", "X", 7)]))
-    assert [a[0] for a in fired(result)] == ["T1"]
-    assert {tuple(r) for r in result.state_out.streak.collect()} == {("R3", "VOLT-MAIN", 0), ("R9", "X", 7)}
+    result = judge(spark, [SHUT], [("a", "valve", 0), ("b", "valve", 4)],
+                   carried(spark, streak=[("shut", "valve", 1), ("other", "door", 12)]))
+    assert [a[0] for a in fired(result)] == ["a"]
+    assert {tuple(r) for r in result.state_out.streak.collect()} == {("shut", "valve", 0), ("other", "door", 12)}
 
 
 def test_and(spark):
-    rows = [("T1", "TEMP-01", 55), ("T1", "PRES-01", 97), ("T2", "TEMP-01", 45), ("T2", "PRES-01", 93)]
-    result = judge(spark, [R1, R2, R4], rows, carried(spark, step=[("PRES-01", 100.0)]))
+    rows = [("a", "pump", 80), ("a", "tank", 11), ("b", "tank", 2), ("b", "pump", 10), ("c", "pump", 75)]
+    result = judge(spark, [HOT, FALL, BOTH], rows, carried(spark, step=[("tank", 18.0)]))
     assert fired(result) == [
-        ("T1", "R4", "TEMP-01,PRES-01", "55.0,97.0"), ("T1", "R1", "TEMP-01", "55.0"),
-        ("T1", "R2", "PRES-01", "97.0"), ("T2", "R2", "PRES-01", "93.0"),
+        ("a", "both", "pump,tank", "80.0,11.0"), ("a", "fall", "tank", "11.0"), ("a", "hot", "pump", "80.0"),
+        ("b", "fall", "tank", "2.0"), ("c", "hot", "pump", "75.0"),
     ]
     assert result.valid.count() == 0
 
 
 def test_or_with_carried_streak(spark):
-    rows = [("T1", "TEMP-01", 40), ("T1", "VOLT-MAIN", 15)]
-    result = judge(spark, [R1, R3, R5], rows, carried(spark, streak=[("R3", "VOLT-MAIN", 2)]))
-    assert [a[1] for a in fired(result)] == ["R3", "R5"]
+    rows = [("a", "valve", 0), ("a", "pump", 3)]
+    result = judge(spark, [HOT, SHUT, ANY], rows, carried(spark, streak=[("shut", "valve", 1)]))
+    assert fired(result) == [("a", "shut", "valve", "0.0"), ("a", "any", "valve,pump", "0.0,3.0")]
 
 
 def test_missing_sensor(spark):
-    result = judge(spark, [R1, R2, R3], [("T1", "PRES-02", 101.3)])
+    result = judge(spark, [HOT, FALL, SHUT], [("a", "door", 1)])
     assert fired(result) == [] and result.valid.count() == 1
 
 
 def test_unknown_operator_and_no_rules(spark):
-    bad = [Rule("B", kind, "HIGH", "TEMP-01", "MAGIC", 50.0, 1) for kind in ("simple",)]
-    rows = [("T1", "TEMP-01", 40)]
+    bad = [Rule(kind, kind, "HIGH", "pump", "~=", 1.0, 1) for kind in ("simple", "step_difference", "stateful")]
+    rows = [("a", "pump", 1)]
     assert fired(judge(spark, bad, rows)) == []
     nothing = judge(spark, [], rows)
     assert fired(nothing) == [] and nothing.valid.count() == 1
-    assert judge(spark, [R1], []).alarms.count() == 0
+    assert judge(spark, [HOT], []).alarms.count() == 0
 
 
 def test_priority_order(spark):
-    rules = [
-        Rule("R1", "simple", "LOW", "A", ">", 50.0), Rule("R2", "simple", "HIGH", "B", "<", 100.0),
-        Rule("R3", "simple", "MEDIUM", "C", "<", 20.0),
-    ]
-    rows = [("T1", "A", 60), ("T1", "B", 95), ("T1", "C", 10)]
-    assert [a[1] for a in fired(judge(spark, rules, rows))] == ["R2", "R3", "R1"]
+    rules = [Rule(f"r{i}", "simple", level, "pump", ">", float(i)) for i, level in enumerate(["MEDIUM", "LOW", "HIGH", "MEDIUM"])]
+    assert [a[1] for a in fired(judge(spark, rules, [("a", "pump", 9)]))] == ["r2", "r0", "r3", "r1"]
 
 
 def test_three_way_and_or(spark):
-    base = [Rule(f"B{i}", "simple", "LOW", f"S{i}", ">", 10.0) for i in (1, 2, 3)]
+    base = [Rule(f"low{i}", "simple", "LOW", f"cell{i}", "<", 2.0) for i in (1, 2, 3)]
+    names = ("low3", "low1", "low2")
     both = [
-        Rule("ALL", "correlation", "HIGH", logic="AND", conditions=("B1", "B2", "B3")),
-        Rule("ANY", "correlation", "HIGH", logic="OR", conditions=("B1", "B2", "B3")),
+        Rule("ALL", "correlation", "HIGH", logic="AND", conditions=names),
+        Rule("ANY", "correlation", "HIGH", logic="OR", conditions=names),
     ]
-    rows = [("T1", "S1", 15), ("T1", "S2", 20), ("T1", "S3", 25), ("T2", "S1", 5), ("T2", "S2", 60)]
+    rows = [("a", "cell1", 0), ("a", "cell2", 1), ("a", "cell3", 1.5), ("b", "cell3", 9), ("b", "cell1", 1), ("c", "cell1", 5)]
     found = [a for a in fired(judge(spark, [*base, *both], rows)) if a[1] in ("ALL", "ANY")]
     assert found == [
-        ("T1", "ALL", "S1,S2,S3", "15.0,20.0,25.0"), ("T1", "ANY", "S1,S2,S3", "15.0,20.0,25.0"),
-        ("T2", "ANY", "S1,S2,S3", "5.0,60.0,NaN"),
+        ("a", "ALL", "cell3,cell1,cell2", "1.5,0.0,1.0"), ("a", "ANY", "cell3,cell1,cell2", "1.5,0.0,1.0"),
+        ("b", "ANY", "cell3,cell1,cell2", "9.0,1.0,NaN"),
     ]
 
 
@@ -137,8 +133,8 @@ def test_correlation_reports_first_reading_unknown_parent_and_nesting(spark):
 
 def test_cycles_are_left_out():
     rules = RuleSet.of([
-        R1, Rule("P", "correlation", "LOW", logic="AND", conditions=("Q",)),
-        Rule("Q", "correlation", "LOW", logic="AND", conditions=("P", "R1")),
+        HOT, Rule("P", "correlation", "LOW", logic="AND", conditions=("Q",)),
+        Rule("Q", "correlation", "LOW", logic="AND", conditions=("P", "hot")),
     ])
     assert rules.cyclic == ("P", "Q") and rules.correlations == ()
 

@@ -5,8 +5,9 @@ import random
 import pytest
 from conftest import frame
 
+from telewarden.operators import scan
 from telewarden.plans import relational
-from telewarden.plans.evaluate import evaluate, nominal_rows
+from telewarden.plans.evaluate import evaluate
 from telewarden.plans.rules import Rule, RuleSet, rules_frame
 from telewarden.session import Staging
 from telewarden.sinks import pack_nominal
@@ -101,28 +102,50 @@ def test_parts_with_carried_state_equal_one_pass(spark):
     assert sorted(found) == brute(rows)[0]
 
 
+def rule_table(spark, rules):
+    names = ("rule_id", "type", "sensor_id", "operator", "value", "consecutive_measurements", "logic", "priority")
+    return rules_frame(spark, [{n: getattr(r, n) for n in names} | {"conditions": list(r.conditions)} for r in rules])
+
+
 def test_rule_table_equals_compiled_rules(spark):
     rows = readings(9)
-    table = rules_frame(spark, [
-        {"rule_id": r.rule_id, "type": r.type, "sensor_id": r.sensor_id, "operator": r.operator, "value": r.value,
-         "consecutive_measurements": r.consecutive_measurements, "logic": r.logic,
-         "conditions": list(r.conditions), "priority": r.priority}
-        for r in RULES
-    ])
-    found = [tuple(a) for a in relational.alarms(frame(spark, rows), table, slice_rows=32).collect()]
+    nested = [
+        Rule("K", "correlation", "LOW", logic="OR", conditions=("H", "G", "none")),
+        Rule("L", "correlation", "HIGH", logic="AND", conditions=("K", "F")),
+        Rule("M", "correlation", "HIGH", logic="OR", conditions=("N", "F")),
+        Rule("N", "correlation", "HIGH", logic="OR", conditions=("M",)),
+        Rule("O", "correlation", "HIGH", logic="OR", conditions=("M", "A")),
+    ]
+    rules = RuleSet.of([*RULES, *nested])
+    assert rules.cyclic == ("M", "N", "O")
+    df, table = frame(spark, rows), rule_table(spark, [*RULES, *nested])
+    assert sorted(a[:5] for a in alarms(relational.evaluate(df, rule_table(spark, RULES), slice_rows=32))) == brute(rows)[0]
+    whole, as_table = evaluate(df, rules, slice_rows=32), relational.evaluate(df, table, slice_rows=32)
+    assert alarms(as_table) == alarms(whole)
+    for name in ("step", "streak"):
+        assert set(getattr(as_table.state_out, name).collect()) == set(getattr(whole.state_out, name).collect())
+    nominal = [sorted(tuple(r) for r in e.valid.select("timestamp", "sensor_id", "value").collect()) for e in (whole, as_table)]
+    assert nominal[0] == nominal[1]
+
+
+def test_rule_table_carries_state(spark):
+    rows = [(f"T{i // 4:03d}", s, v) for i, (_, s, v) in enumerate(readings(6, 240))]
+    whole, table = frame(spark, rows), rule_table(spark, RULES)
+    first = relational.evaluate(whole.filter("seq < 120"), table, slice_rows=16)
+    second = relational.evaluate(whole.filter("seq >= 120"), table, first.state_out, 16)
+    assert sorted(alarms(first) + alarms(second)) == brute(rows)[0]
+
+
+def test_many_blocks_of_slices_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(scan, "BLOCK_SLICES", 3)
+    rows = readings(11)
+    found = alarms(evaluate(frame(spark, rows), RuleSet.of(RULES), slice_rows=4))
     assert sorted(found) == brute(rows)[0]
 
 
-def test_hot_timestamp_is_packed_in_several_whole_lines(spark):
+def test_hot_timestamp_is_one_line(spark):
     rows = [("T1", f"S{i % 3}", i) for i in range(40)] + [("T2", "S0", 1), ("T2", "S1", 2)]
-    df = frame(spark, rows)
-    rules = RuleSet.of([])
-    result = evaluate(df, rules, slice_rows=8)
-    packed = pack_nominal(nominal_rows(result.scanned.readings, result.moments, rules, max_line=16)).collect()
-    assert [p.sensor_string for p in packed if p.timestamp == "T2"] == ["S0:1.0|S1:2.0"]
-    hot = [p.sensor_string.split("|") for p in packed if p.timestamp == "T1"]
-    assert sorted(len(line) for line in hot) == [8, 16, 16]
-    assert sorted(x for line in hot for x in line) == sorted(f"{s}:{float(v)}" for t, s, v in rows if t == "T1")
-    assert all([x.split(":")[0] for x in line] == sorted(x.split(":")[0] for x in line) for line in hot)
-    one = pack_nominal(df, max_line=16).filter("timestamp = 'T1'").count()
-    assert one == 3
+    result = evaluate(frame(spark, rows), RuleSet.of([]), slice_rows=8)
+    packed = {p.timestamp: p.sensor_string for p in pack_nominal(result.valid).collect()}
+    hot = [f"S{k}:{float(i)}" for k in range(3) for i in range(40) if i % 3 == k]
+    assert packed == {"T1": "|".join(hot), "T2": "S0:1.0|S1:2.0"}

@@ -1,6 +1,8 @@
 """Micro-batches: held timestamps, late readings, replay, state."""
 
 import json
+import os
+import time
 
 import pytest
 
@@ -51,6 +53,78 @@ def test_held_late_and_replayed(spark, tmp_path):
     assert "".join(t.read_text() for t in text).splitlines()[0] == "2026-05-01T10:00:03Z;A;HIGH;S1;8.0"
 
 
+def test_flush_is_binding_and_nothing_written_is_lost(spark, tmp_path):
+    monitor = Monitor(spark, RULES, str(tmp_path / "out"), str(tmp_path / "state"))
+    monitor.process(batch(spark, [packet(1, "S1", 1), packet(2, "S1", 1)]), 0)
+    monitor.flush()
+    monitor.flush()
+    before = sorted(n.timestamp for n in monitor.nominal().collect())
+    assert [t[17:19] for t in before] == ["01", "02"]
+    again = [packet(2, "S1", 9), packet(3, "S1", 9), packet(4, "S1", 9), packet(5, "S1", 9)]
+    monitor.process(batch(spark, again), 1)
+    monitor.process(batch(spark, again), 1)  # replayed after its commit
+    monitor.process(batch(spark, [packet(6, "S1", 9)]), 2)
+    assert sorted(n.timestamp[17:19] for n in monitor.nominal().collect()) == ["01", "02", "03", "04"]
+    assert alarms(monitor) == [("05", "A", "S1", "9.0")]
+    assert [(r.timestamp[17:19], r.reject_reason) for r in monitor.quarantine().collect()] == [("02", "late")]
+    kept = sorted(p.name for p in (tmp_path / "state" / "boundary").iterdir())
+    assert kept == ["batch=3", "batch=4"] and monitor.metrics().count() == 5
+
+
+def test_a_batch_that_broke_off_is_run_again(spark, tmp_path, monkeypatch):
+    monitor = Monitor(spark, RULES, str(tmp_path / "out"), str(tmp_path / "state"))
+    monitor.process(batch(spark, [packet(1, "S1", 9), packet(2, "S1", 9)]), 0)
+    put = Monitor._put
+
+    def broken(self, df, name, number):
+        if name == "boundary":
+            raise OSError("killed")
+        put(self, df, name, number)
+
+    with monkeypatch.context() as patch, pytest.raises(OSError):
+        patch.setattr(Monitor, "_put", broken)
+        monitor.process(batch(spark, [packet(3, "S1", 9), packet(4, "S1", 9)]), 1)
+    monitor.process(batch(spark, [packet(3, "S1", 9), packet(4, "S1", 9)]), 1)
+    monitor.flush()
+    assert alarms(monitor) == [("03", "A", "S1", "9.0"), ("04", "A", "S1", "9.0")]
+
+
+def test_a_damaged_state_is_an_error_and_no_fresh_start(spark, tmp_path):
+    monitor = Monitor(spark, RULES, str(tmp_path / "out"), str(tmp_path / "state"))
+    monitor.process(batch(spark, [packet(1, "S1", 9), packet(2, "S1", 9)]), 0)
+    for part in (tmp_path / "state" / "pending" / "batch=0").glob("part-*"):
+        part.write_bytes(b"no parquet")
+    with pytest.raises(Exception):
+        monitor.process(batch(spark, [packet(3, "S1", 9)]), 1)
+
+
+def test_a_stream_keeps_running_and_follows_arrival(spark, tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    keys = ("timestamp", "sensor_id", "value", "priority")
+
+    def write(name, packets, written):
+        path = tmp_path / name
+        path.write_text("".join(json.dumps(dict(zip(keys, p))) + "\n" for p in packets))
+        os.utime(path, (written, written))
+        path.rename(source / name)
+
+    # The file that was written first is judged first, whatever its name.
+    write("b.json", [packet(1, "S2", 0)], 1_900_000_000)
+    write("a.json", [packet(1, "S2", 5), packet(2, "S2", 5)], 1_900_000_100)
+    monitor = Monitor(spark, RULES, str(tmp_path / "out"), str(tmp_path / "state"))
+    query = monitor.start(read_stream(spark, str(source)), str(tmp_path / "checkpoint"), "1 second")
+    try:
+        deadline = time.time() + 120
+        while not (tmp_path / "state" / "boundary").exists() or not alarms(monitor):
+            assert time.time() < deadline and query.isActive
+            time.sleep(0.5)
+        assert alarms(monitor) == [("01", "B", "S2", "5.0")]
+        assert query.isActive
+    finally:
+        query.stop()
+
+
 def test_complete_timestamps_close_early_and_a_stream_resumes(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
