@@ -25,6 +25,14 @@ def held_out(key: Column | str = "doc_id") -> Column:
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the frame does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def slices(batches: Iterable[pa.RecordBatch], column: int, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches into runs of rows with about ``limit`` bytes of one text column, one row at least."""
     for batch in batches:

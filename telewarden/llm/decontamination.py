@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import Staging
-from .common import flat, map_text, mixed, run_hashes, runs
+from .common import flat, map_text, mixed, run_hashes, runs, unused
 
 SEED = 3
 RARE = 1e-7
@@ -252,5 +252,6 @@ def matches(
 
 def clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """All columns of the documents that match no benchmark item; rows without key stay."""
-    bad = Staging(spark)(matches(spark, docs, benchmark, key, text).select(F.col(key).alias("bad_key")).distinct(), "matched")
-    return docs.join(bad, docs[key] == F.col("bad_key"), "left_anti")
+    name = unused(docs, "matched_key")
+    bad = matches(spark, docs, benchmark, key, text).select(F.col(key).alias(name)).distinct()
+    return docs.join(Staging(spark)(bad, "matched"), F.col(key) == F.col(name), "left_anti")

@@ -33,8 +33,8 @@ TABLES = 5
 BLOCKS = 2
 #: Cells beside the home in which a vector is listed.
 PROBES = 2
-#: Length of a projected unit vector over the root of the share of its numbers that are kept.
-SCALE = 3.0
+#: Usual length of the eight numbers of a projected unit vector; lattice points are at least 1.41 apart.
+LENGTH = 1.06
 #: Nodes of a cell that are compared in one go; larger cells are dealt to pairs of parts.
 GROUP = 512
 SEED = 20240
@@ -72,9 +72,12 @@ def shortest() -> np.ndarray:
 
 
 def projection(size: int, table: int, block: int) -> np.ndarray:
-    """Eight orthonormal directions, scaled to the spread of a unit vector over all of them."""
+    """Eight random directions, orthogonal where there is room, scaled to ``LENGTH``."""
     random = np.random.default_rng((SEED, size, table, block))
-    return np.linalg.qr(random.standard_normal((size, 8)))[0] * SCALE if size >= 8 else random.standard_normal((size, 8)) * SCALE / np.sqrt(8)
+    drawn = random.standard_normal((size, 8))
+    if size < 8:
+        return drawn * LENGTH / np.sqrt(8)
+    return np.linalg.qr(drawn)[0] * LENGTH * np.sqrt(size / 8)
 
 
 def cells(units: np.ndarray) -> np.ndarray:

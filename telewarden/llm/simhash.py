@@ -7,7 +7,8 @@ nodes of a key are compared in numpy; what leaves a task is a star for each set
 its pairs. Keys with many nodes are dealt to pairs of parts, so no task holds a whole one.
 
 Null and empty texts have the fingerprint zero and are linked like any other. A row without doc_id
-has no component and links with nothing. Rows that repeat a doc_id count as one document. An empty
+has no component and links with nothing. A doc_id names one text: rows that repeat it get the same
+result, a row each; should it have several texts, their fingerprints may count as linked. An empty
 table gives an empty one; other columns are not read.
 """
 
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import Staging
-from .common import components, dealt, flat, linked, map_text, together, whole_runs
+from .common import components, dealt, flat, linked, map_text, together, unused, whole_runs
 
 #: Bits of the blocks of a 64-bit fingerprint.
 BLOCKS = (11, 11, 11, 11, 10, 10)
@@ -140,8 +141,10 @@ def keep_one(spark: SparkSession, docs: DataFrame, shingle: int = 3, distance: i
     """
     staging = Staging(spark)
     found = near_duplicates(spark, docs, shingle, distance, key, text, staging)
-    own = found.filter(F.col(key) == F.col("component_id")).groupBy(key).agg(F.count("*").alias("rows"))
-    own = staging(own, "kept").select(F.col(key).alias("kept_key"), "rows")
-    single = docs.join(own.filter("rows = 1"), docs[key] == F.col("kept_key"), "left_semi")
-    several = docs.join(own.filter("rows > 1"), docs[key] == F.col("kept_key"), "left_semi").dropDuplicates([key])
-    return single.unionByName(several).unionByName(docs.filter(docs[key].isNull()))
+    name = unused(docs, "kept_key")
+    own = found.filter(F.col(key) == F.col("component_id")).groupBy(F.col(key).alias(name))
+    own = staging(own.agg(F.count("*").alias("times")), "kept")
+    same = F.col(key) == F.col(name)
+    single = docs.join(own.filter("times = 1").select(name), same, "left_semi")
+    several = docs.join(own.filter("times > 1").select(name), same, "left_semi").dropDuplicates([key])
+    return single.unionByName(several).unionByName(docs.filter(F.col(key).isNull()))
