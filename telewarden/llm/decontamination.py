@@ -27,8 +27,8 @@ from ..session import Staging
 from .common import flat, map_text, mixed, run_hashes, runs, unused
 
 SEED = 3
-RARE = 1e-7
-LEAST = 4
+RARE = 1e-6
+LEAST = 8
 SHARE = 0.5
 LONG = 40
 #: Alignment scores; a match is 1.
