@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import bpe, decontamination, html_text, langid, lattice, licenses, pii, quality, simhash, wordpiece
 from .common import held_out, ship
+from .oracle import ORACLE as ORACLE
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -79,4 +80,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op6_bpe, op7_language_id, op8_decontamination, op9_token_counts, op10_license_scans,
     )
 }
-ORACLE: dict[str, str] = {}
