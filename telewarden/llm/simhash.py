@@ -141,10 +141,12 @@ def keep_one(spark: SparkSession, docs: DataFrame, shingle: int = 3, distance: i
     """
     staging = Staging(spark)
     found = near_duplicates(spark, docs, shingle, distance, key, text, staging)
-    name = unused(docs, "kept_key")
-    own = found.filter(F.col(key) == F.col("component_id")).groupBy(F.col(key).alias(name))
-    own = staging(own.agg(F.count("*").alias("times")), "kept")
+    name = unused(docs, "other_key")
+    keys = found.filter(F.col(key).isNotNull()).groupBy(F.col(key).alias(name))
+    keys = keys.agg(F.bool_or(F.col(key) == F.col("component_id")).alias("kept"), F.count("*").alias("times"))
+    # What goes is usually the smaller part, and the texts stay where they are if Spark can broadcast it.
+    other = staging(keys.filter("NOT kept OR times > 1"), "other")
     same = F.col(key) == F.col(name)
-    single = docs.join(own.filter("times = 1").select(name), same, "left_semi")
-    several = docs.join(own.filter("times > 1").select(name), same, "left_semi").dropDuplicates([key])
-    return single.unionByName(several).unionByName(docs.filter(F.col(key).isNull()))
+    single = docs.join(other.select(name), same, "left_anti")
+    several = docs.join(other.filter("kept").select(name), same, "left_semi").dropDuplicates([key])
+    return single.unionByName(several)
