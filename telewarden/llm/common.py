@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..session import Staging
 
 #: Bytes of text handled at once inside a task.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def held_out(key: Column | str = "doc_id") -> Column:

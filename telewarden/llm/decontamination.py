@@ -39,7 +39,7 @@ WORD_BITS = 20
 SEED_BITS = 24
 #: The row that counts all words.
 ALL = 0
-SLICE = 4 << 20
+SLICE = 2 << 20
 
 
 def tables() -> tuple[np.ndarray, np.ndarray]:
