@@ -91,8 +91,8 @@ def main() -> None:
         rules = job_rules()
         body = staging(job_readings(spark, sf_dir, staging), "body")
         count = body.count()
-        for target in sorted({min(1_000_000, job_rows), job_rows}):
-            copies = max(1, round(target / count))
+        targets = (min(1_000_000, job_rows), job_rows)
+        for copies in sorted({max(1, round(target / count)) for target in targets}):
             source = f"{staging.root}/csv_{copies}"
             copied = replicate(body, copies, count, 2_592_000)
             copied.orderBy("seq").select("timestamp", "sensor_id", "value", "priority").write.option(
