@@ -39,19 +39,23 @@ def join_pieces(pieces: DataFrame, ordered: bool = False) -> DataFrame:
     """``timestamp, status, sensor_string``: one line per timestamp, sorted by sensor, then arrival.
 
     ``ordered`` spreads the pieces by ranges of timestamps, which leaves the lines in global
-    order without another shuffle.
+    order without another shuffle. A line that is longer than a row can hold is an error that
+    names its timestamp.
     """
     if ordered:
         pieces = pieces.repartitionByRange("timestamp")
     part = F.struct("sensor_id", "slice", "piece")
+    too_long = F.concat(F.lit("the nominal line is longer than a row holds: "), "timestamp")
+    line = F.when(F.col("bytes") > MAX_BYTES, F.raise_error(too_long)).otherwise(
+        F.array_join(F.col("parts.piece"), "|")
+    )
     packed = (
         pieces.groupBy("timestamp")
-        .agg(F.sort_array(F.collect_list(part)).alias("parts"))
-        .select(
-            "timestamp",
-            F.lit("NOMINAL").alias("status"),
-            F.array_join(F.col("parts.piece"), "|").alias("sensor_string"),
+        .agg(
+            F.sort_array(F.collect_list(part)).alias("parts"),
+            F.sum(F.octet_length("piece") + 1).alias("bytes"),
         )
+        .select("timestamp", F.lit("NOMINAL").alias("status"), line.alias("sensor_string"))
     )
     return packed.sortWithinPartitions("timestamp") if ordered else packed
 
@@ -61,16 +65,6 @@ def pack_nominal(valid: DataFrame, ordered: bool = False) -> DataFrame:
     return join_pieces(nominal_pieces(valid), ordered)
 
 
-def check_lines(pieces: DataFrame) -> None:
-    """Fail with the timestamp's name if its line is longer than a row can hold."""
-    size = F.sum(F.octet_length("piece") + 1)
-    longest = (
-        pieces.groupBy("timestamp").agg(size.alias("bytes")).filter(F.col("bytes") > MAX_BYTES).first()
-    )
-    if longest is not None:
-        raise ValueError(f"the nominal line of {longest.timestamp} has {longest.bytes} bytes, more than a row holds")
-
-
 def nominal_lines(packed: DataFrame) -> DataFrame:
     return packed.select(F.concat_ws(";", "timestamp", "status", "sensor_string").alias("value"))
 
@@ -82,14 +76,13 @@ def alarm_lines(alarms: DataFrame) -> DataFrame:
 def write_nominal(valid: DataFrame, path: str, mode: str = "append", stage=None) -> int:
     """Write packed lines in timestamp order; the number of lines comes back.
 
-    ``stage`` keeps the pieces, which the range shuffle reads twice, and has them checked.
+    ``stage`` keeps the pieces, which the range shuffle reads twice.
     """
     if not valid.columns:
         return 0
     pieces = nominal_pieces(valid)
     if stage:
         pieces = stage(pieces, "pieces")
-        check_lines(pieces)
     return _write_lines(nominal_lines(join_pieces(pieces, ordered=True)), path, mode)
 
 
