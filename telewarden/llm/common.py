@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from itertools import count
 from pathlib import Path
 
 import numpy as np
@@ -164,28 +165,30 @@ def linked(n: int, a: np.ndarray, b: np.ndarray, labels: np.ndarray | None = Non
 def components(edges: DataFrame, staging: Staging, name: str) -> DataFrame:
     """Connected components of links (a, b): node and component, the smallest node reachable.
 
-    Each round gives every node the smallest label among its neighbours, then the label of that
-    label, so chains shorten by more than half. Both steps are joins whose smaller side has one
-    row per node; minima are combined before the shuffle. Rounds are written tables.
+    Each round gives every node the smallest label among its neighbours, and the node that names a
+    component the smallest label that any of its members hears; then every node takes the label of
+    its label. So whole components are hooked to lower ones and chains shorten by more than half.
+    Rounds go on until no node hears a lower label than its own. The joins' smaller side has one row
+    per node; minima are combined before the shuffle. Rounds are written tables.
     """
     both = edges.select("a", "b").filter("a != b")
     both = both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     both = staging(both, f"{name}_links")
     state = staging(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("component")), f"{name}_0")
-    for turn in range(1, 100):
+    for turn in count(1):
         heard = (
             both.join(state, F.col("b") == F.col("node"))
             .groupBy(F.col("a").alias("node"))
             .agg(F.min("component").alias("heard"))
         )
-        lower = state.join(heard, "node").select("node", F.least("component", "heard").alias("via"), F.col("component").alias("was"))
-        lower = staging(lower, f"{name}_{turn}_heard")
-        jump = lower.select(F.col("node").alias("via"), F.col("via").alias("component"))
-        new = staging(lower.join(jump, "via").select("node", "component", "was"), f"{name}_{turn}")
-        state = new.select("node", "component")
-        if new.filter("component != was").isEmpty():
+        told = staging(state.join(heard, "node").select("node", "component", "heard"), f"{name}_{turn}_heard")
+        if told.filter("heard < component").isEmpty():
             return state
-    raise RuntimeError("links did not settle in 100 rounds")
+        hooks = told.groupBy(F.col("component").alias("node")).agg(F.min("heard").alias("hook"))
+        lower = told.join(hooks, "node", "left").select("node", F.least("component", "heard", "hook").alias("via"))
+        lower = staging(lower, f"{name}_{turn}_lower")
+        jump = lower.select(F.col("node").alias("via"), F.col("via").alias("component"))
+        state = staging(lower.join(jump, "via").select("node", "component"), f"{name}_{turn}")
 
 
 def dealt(rows: DataFrame, keys: list[str], who: str, most: int, staging: Staging, name: str, counted: DataFrame | None = None) -> DataFrame:
@@ -195,9 +198,9 @@ def dealt(rows: DataFrame, keys: list[str], who: str, most: int, staging: Stagin
     ``who``, and each row goes to the pairs (p, q), p <= q, of its part with every part. Rows of the
     same part are to be compared in the pair (p, p) alone. ``counted`` may be the bare key columns.
     """
-    count = (rows if counted is None else counted).groupBy(*keys).agg(F.count("*").alias("n"))
+    sizes = (rows if counted is None else counted).groupBy(*keys).agg(F.count("*").alias("n"))
     parts = F.ceil(F.col("n") / most).cast("int").alias("parts")
-    large = staging(count.filter(F.col("n") > most).select(*keys, parts), name)
+    large = staging(sizes.filter(F.col("n") > most).select(*keys, parts), name)
     return (
         rows.join(large, keys, "left")
         .withColumn("parts", F.coalesce("parts", F.lit(1)))

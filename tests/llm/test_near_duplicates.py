@@ -164,3 +164,15 @@ def test_decoded_points_are_the_nearest():
 def test_vectors_of_an_empty_table(spark):
     given = spark.createDataFrame([], "vec_id long, embedding array<double>")
     assert lattice.near_duplicates(spark, given).collect() == []
+
+
+def test_components_of_chains_in_any_order(spark):
+    """Labels that must cross many basins: 0, N, N-1, ..., 1 along the path, and shuffled ids."""
+    edges, expected = [], {}
+    for part, order in enumerate([[0, *range(1200, 0, -1)], np.random.default_rng(3).permutation(1500).tolist()]):
+        order = [part * 10_000 + i for i in order]
+        edges += zip(order, order[1:])
+        expected |= dict.fromkeys(order, part * 10_000)
+    given = spark.createDataFrame(edges, "a long, b long")
+    found = {r.node: r.component for r in common.components(given, Staging(spark), "any").collect()}
+    assert found == expected
