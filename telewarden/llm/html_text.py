@@ -1,9 +1,12 @@
 """Main text of web pages by smoothed text-to-tag ratios.
 
 The standard parser's events are read as a stream. Block elements begin new lines; a line counts its
-letters outside links and its tags. What stands in elements or classes that name menus, adverts,
-forms and the like counts no letters and is never taken, and a page with an article or main element
-has its text there. The letters a tag of the lines are smoothed by a Gaussian over neighbouring
+letters outside links and its tags. What stands in elements that hold menus, adverts and the like or
+are hidden counts no letters and is never taken. The same goes for forms and for elements that a
+class, id or role names so, but a name is ignored where it does not tell the text from the rest: if
+its elements hold most of the page's letters (nearly all, if the whole name is one of the words), as
+wrappers do, or hold the article. A name on an article counts only inside another article. A page with
+an article or main element has its text there. The letters a tag of the lines are smoothed by a Gaussian over neighbouring
 lines, and lines are clustered by a threshold on the smoothed ratio. A container with a line above it
 is a content region: inside an article all its lines are taken, elsewhere those from the first to the
 last line above the threshold.
@@ -27,6 +30,9 @@ from .common import map_text, strings
 #: Spread of the smoothing in lines, and the share of the mean ratio that a content line reaches.
 SPREAD = 1.5
 SHARE = 0.3
+#: Shares of the page's letters outside links above which a name is ignored: one with a word in it, and one that is a word.
+MOST = 0.5
+NEARLY_ALL = 0.9
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer"
     " form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol option p pre section select summary"
@@ -36,10 +42,10 @@ CONTAINERS = frozenset("article body div main section aside form footer header n
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that hold no main text.
 OUT = frozenset(
-    "aside button canvas datalist dialog footer form head iframe input label math menu nav noscript object option script"
+    "aside button canvas datalist dialog footer head iframe input label math menu nav noscript object option script"
     " select style svg template textarea title video audio".split()
 )
-#: Words in class, id or role that say the same.
+#: Words in class, id or role that say the same, unless the name is ignored.
 OUT_WORDS = frozenset(
     "ad ads adbox advert adverts advertisement advertising alert banner breadcrumb breadcrumbs byline comment comments"
     " complementary consent contentinfo cookie cookies dialog disqus disclaimer footer form gdpr login masthead menu"
@@ -51,25 +57,34 @@ HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 WORD = re.compile(r"[a-z0-9]+")
 
 
+NONE: frozenset[str] = frozenset()
+#: Stands for the form element among the names.
+FORM = "<form>"
+
+
 class Lines(HTMLParser):
-    """Collects lines: text, letters outside links, tags, container, whether inside an article, whether out."""
+    """Collects lines: text, letters outside links, tags, container, article, whether out, names inside and around the article.
+
+    The article is the number of the outermost article or main element, or 0; outside, all names are inside names.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, bool, int, bool, bool]] = []  # tag, out, container, article, link
-        self.lines: list[tuple[str, int, int, int, bool, bool]] = []
-        self.regions = 0
+        #: tag, out, container, article, link, names inside, names around
+        self.stack: list[tuple[str, bool, int, int, bool, frozenset[str], frozenset[str]]] = []
+        self.lines: list[tuple[str, int, int, int, int, bool, frozenset[str], frozenset[str]]] = []
+        self.regions = self.articles = 0
         self.parts: list[str] = []
         self.linked = self.tags = 0
 
     def state(self):
-        return self.stack[-1] if self.stack else ("", False, 0, False, False)
+        return self.stack[-1] if self.stack else ("", False, 0, 0, False, NONE, NONE)
 
     def flush(self):
         text = " ".join("".join(self.parts).split())
         if text:
-            _, out, container, article, _ = self.state()
-            self.lines.append((text, max(0, len(text) - self.linked), self.tags, container, article, out))
+            _, out, container, article, _, inside, around = self.state()
+            self.lines.append((text, max(0, len(text) - self.linked), self.tags, container, article, out, inside, around))
             self.linked = self.tags = 0
         self.parts.clear()
 
@@ -83,16 +98,20 @@ class Lines(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        _, out, container, article, link = self.state()
+        _, out, container, article, link, inside, around = self.state()
         if not out:
-            out = tag in OUT or self._named_out(tag, attrs, article)
-            if out:
+            out = tag in OUT or self._hidden(tag, attrs, article)
+            names = self._names(tag, attrs)
+            if out or names:
                 self.flush()
+            inside |= names
         if tag in CONTAINERS:
             self.regions += 1
             container = self.regions
-        article = article or (tag in ("article", "main") and not out)
-        self.stack.append((tag, out, container, article, link or tag == "a"))
+        if tag in ("article", "main") and not out and not article:
+            self.articles += 1
+            article, inside, around = self.articles, NONE, inside
+        self.stack.append((tag, out, container, article, link or tag == "a", inside, around))
 
     def _close_paragraph(self, tag):
         """A block ends an open paragraph, a list item the open item, with what is open inside."""
@@ -105,29 +124,37 @@ class Lines(HTMLParser):
             if name in BLOCKS or name in ("td", "th", "button"):
                 return
 
-    def _named_out(self, tag, attrs, article):
+    def _hidden(self, tag, attrs, article):
         if tag == "header" and not article:
             return True
-        if tag in ("html", "body", "main", "article"):
-            checked = ("class", "id") if tag == "article" else ()
-        else:
-            checked = ("class", "id", "role")
         for name, value in attrs:
             if name == "hidden" or (name == "aria-hidden" and value == "true"):
                 return True
             if name == "style" and value and HIDDEN.search(value):
                 return True
-            if name in checked and value and not OUT_WORDS.isdisjoint(WORD.findall(value.lower())):
-                return True
         return False
 
+    def _names(self, tag, attrs):
+        """Names of the element that are one of the words or hold one."""
+        if tag in ("html", "body", "main") or (tag == "article" and not any(s[0] == "article" for s in self.stack)):
+            return NONE
+        found = {FORM} if tag == "form" else set()
+        for name, value in attrs:
+            if name in ("class", "id", "role") and value:
+                for own in value.lower().split():
+                    if own in OUT_WORDS or (tag != "article" and not OUT_WORDS.isdisjoint(WORD.findall(own))):
+                        found.add(own)
+        return frozenset(found)
+
     def handle_endtag(self, tag):
         if tag in BLOCKS:
             self.flush()
         self.tags += 1
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == tag:
-                if self.stack[i][1] and not (i and self.stack[i - 1][1]):
+                _, out, *_, inside, around = self.stack[i]
+                _, out_above, *_, inside_above, around_above = self.stack[i - 1] if i else ("", False, NONE, NONE)
+                if (out, inside, around) != (out_above, inside_above, around_above):
                     self.flush()
                 del self.stack[i:]
                 return
@@ -151,6 +178,36 @@ def smoothed(values: np.ndarray) -> np.ndarray:
     return spread(values) / spread(np.ones(len(values)))
 
 
+def ignored(lines: list[tuple]) -> set[str]:
+    """Names that hold so many of the page's letters that they do not tell the text from the rest."""
+    held: dict[str, int] = {}
+    total = 0
+    for _, letters, *_, out, inside, around in lines:
+        if not out:
+            total += letters
+            for name in inside | around:
+                held[name] = held.get(name, 0) + letters
+    found = {n for n, letters in held.items() if letters > total * (NEARLY_ALL if n in OUT_WORDS else MOST)}
+    # What is made from an ignored name by a suffix belongs to the same family.
+    stems = tuple(n + end for n in found if n not in OUT_WORDS for end in "-_")
+    return found | {n for n in held if n.startswith(stems)} if stems else found
+
+
+def open_lines(lines: list[tuple]) -> np.ndarray:
+    """Lines that may be taken: those of articles if there are any, and none that is out or has a name that counts."""
+    no = ignored(lines)
+    letters = np.array([line[1] for line in lines], float)
+    clean = np.array([not line[5] and line[6] <= no for line in lines], bool)
+    free = clean & np.array([line[7] <= no for line in lines], bool)
+    article = np.array([line[4] > 0 for line in lines], bool)
+    if (free & article).any():
+        return free & article
+    # An article that stands only inside named elements, unless there is more text elsewhere.
+    if (clean & article).any() and letters[clean & article].sum() >= letters[free].sum():
+        return clean & article
+    return free
+
+
 def main_text(html: str) -> str:
     """Blocks of the main text in page order, one a line."""
     if not html:
@@ -160,17 +217,14 @@ def main_text(html: str) -> str:
     parser.close()
     parser.flush()
     lines = parser.lines
-    if any(line[4] and not line[5] for line in lines):
-        open_ = np.array([line[4] and not line[5] for line in lines])
-    else:
-        open_ = np.array([not line[5] for line in lines], bool)
+    open_ = open_lines(lines)
     if not open_.any():
         return ""
     letters = np.array([line[1] for line in lines], float) * open_
     ratio = smoothed(letters / np.array([1 + line[2] for line in lines]))
     above = open_ & (ratio >= SHARE * ratio[open_].mean())
     region = np.array([line[3] for line in lines])
-    article = np.array([line[4] for line in lines])
+    article = np.array([line[4] > 0 for line in lines])
     taken = np.zeros(len(lines), bool)
     for own in np.unique(region[above]):
         inside = open_ & (region == own)

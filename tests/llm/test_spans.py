@@ -147,6 +147,31 @@ def test_main_text(html, text):
     assert html_text.main_text(html) == text
 
 
+FURNITURE = ("<div class='site-nav'><a href=x>Home</a> and more</div><p class='cookie-notice'>We use cookies here, as all do.</p>"
+             "%s<div class='widget-area'><p>A word from our friends, not long.</p></div>")
+PARAGRAPHS = [f"Paragraph {i} of the text, which has about as many letters as such a paragraph has." for i in range(9)]
+BLOCK = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+COMMENTS = "<ol class='comment-list'><li><article class='comment'><p>I do not agree with any of this at all.</p></article></ol>"
+
+
+@pytest.mark.parametrize("html", [
+    FURNITURE % f"<div class='content no-sidebar'>{BLOCK}</div>",
+    FURNITURE % f"<div class='content no-sidebar'>{BLOCK}<div class='sidebar'><p>Side text, a little.</p></div></div>",
+    FURNITURE % "".join(f"<div class='elementor-widget elementor-widget-text-editor'>{BLOCK[a:b]}</div>" for a, b in (
+        (0, BLOCK.index("<p>Paragraph 4")), (BLOCK.index("<p>Paragraph 4"), len(BLOCK)))),
+    FURNITURE % f"<div class='elementor-widget elementor-widget-heading'><h2>{PARAGRAPHS[0]}</h2></div>"
+    f"<div class='elementor-widget elementor-widget-text-editor'>{BLOCK[BLOCK.index('<p>Paragraph 1'):]}</div>",
+    FURNITURE % f"<article class='post category-reviews'>{BLOCK}</article>",
+    FURNITURE % f"<main><article class='post category-reviews'>{BLOCK}</article></main>",
+    FURNITURE % f"<div class='widget'><main>{BLOCK}</main></div>",
+    FURNITURE % f"<article>{BLOCK}{COMMENTS}</article>{COMMENTS}",
+    f"<body><form action=x>{FURNITURE % f'<div id=content>{BLOCK}</div>'}<input name=q></form></body>",
+    FURNITURE % f"<div id=content>{BLOCK}</div>{COMMENTS}<form><p>Your name and your mail</p></form>",
+])
+def test_wrappers_with_the_names_of_furniture(html):
+    assert html_text.main_text(html) == "\n".join(PARAGRAPHS)
+
+
 def test_pages(spark):
     pages = spark.createDataFrame(
         [(1, "u", PAGE % f"<article>{BODY}</article>", "x"), (1, "u", None, "x"), (None, None, "", "y"), (2, "v", "<p>é", None)],
