@@ -7,9 +7,9 @@ class, id or role names so, but a name is ignored where it does not tell the tex
 its elements hold most of the page's letters (nearly all, if the whole name is one of the words), as
 wrappers do, or hold the article. A name on an article counts only inside another article. A page with
 an article or main element has its text there. The letters a tag of the lines are smoothed by a Gaussian over neighbouring
-lines, and lines are clustered by a threshold on the smoothed ratio. A container with a line above it
-is a content region: inside an article all its lines are taken, elsewhere those from the first to the
-last line above the threshold.
+lines, and lines are clustered by a threshold on the smoothed ratio, a share of its usual value, which
+a very long line hardly moves. An article with a line above it is taken whole, with all containers in
+it. Elsewhere a container with a line above it gives its lines from the first to the last one above.
 
 Null and empty pages give the empty text, and so do pages without content. Broken markup is read as
 far as it goes. Repeated rows get the same text, a row each. An empty table gives an empty one.
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from .common import map_text, strings
 
-#: Spread of the smoothing in lines, and the share of the mean ratio that a content line reaches.
+#: Spread of the smoothing in lines, and the share of the usual ratio that a content line reaches.
 SPREAD = 1.5
 SHARE = 0.3
 #: Shares of the page's letters outside links above which a name is ignored: one with a word in it, and one that is a word.
@@ -178,6 +178,11 @@ def smoothed(values: np.ndarray) -> np.ndarray:
     return spread(values) / spread(np.ones(len(values)))
 
 
+def usual(ratios: np.ndarray) -> float:
+    """Median or geometric mean, whichever is less: a few very long lines hardly move it."""
+    return min(float(np.median(ratios)), float(np.exp(np.log(ratios).mean())))
+
+
 def ignored(lines: list[tuple]) -> set[str]:
     """Names that hold so many of the page's letters that they do not tell the text from the rest."""
     held: dict[str, int] = {}
@@ -222,16 +227,15 @@ def main_text(html: str) -> str:
         return ""
     letters = np.array([line[1] for line in lines], float) * open_
     ratio = smoothed(letters / np.array([1 + line[2] for line in lines]))
-    above = open_ & (ratio >= SHARE * ratio[open_].mean())
+    some = open_ & (ratio > 0)
+    above = some & (ratio >= SHARE * usual(ratio[some])) if some.any() else open_
     region = np.array([line[3] for line in lines])
-    article = np.array([line[4] > 0 for line in lines])
-    taken = np.zeros(len(lines), bool)
-    for own in np.unique(region[above]):
-        inside = open_ & (region == own)
-        if not article[inside].any():
-            at = np.flatnonzero(above & inside)
-            inside &= (np.arange(len(lines)) >= at[0]) & (np.arange(len(lines)) <= at[-1])
-        taken |= inside
+    article = np.array([line[4] for line in lines])
+    taken = open_ & (article > 0) & np.isin(article, article[above])
+    for own in np.unique(region[above & (article == 0)]):
+        inside = open_ & (article == 0) & (region == own)
+        at = np.flatnonzero(above & inside)
+        taken |= inside & (np.arange(len(lines)) >= at[0]) & (np.arange(len(lines)) <= at[-1])
     return "\n".join(line[0] for line, keep in zip(lines, taken) if keep)
 
 

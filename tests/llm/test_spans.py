@@ -172,6 +172,20 @@ def test_wrappers_with_the_names_of_furniture(html):
     assert html_text.main_text(html) == "\n".join(PARAGRAPHS)
 
 
+@pytest.mark.parametrize("opening,closing", [("<article>", "</article>"), ("<main>", "</main>"), ("<div id=content>", "</div>")])
+@pytest.mark.parametrize("letters", [300, 10_000, 200_000])
+def test_short_sections_beside_a_very_long_paragraph(opening, closing, letters):
+    long = ("many words " * (letters // 11)).strip()
+    short = [f"Section {i} with some text of its own, " + "which goes on for a while " * 4 + "and ends." for i in range(20)]
+    body = f"<p>{long}</p>" + "".join(f"<{t}><p>{s}</p></{t}>" for s, t in zip(short, ["section", "div"] * 10))
+    assert html_text.main_text(PAGE % f"{opening}{body}{closing}") == "\n".join([long, *short])
+
+
+def test_sections_of_links_belong_to_the_article():
+    html = PAGE % f"<article>{BLOCK}<section><ul>{'<li><a href=x>A source</a>' * 12}</ul></section></article>"
+    assert html_text.main_text(html) == "\n".join([*PARAGRAPHS, *["A source"] * 12])
+
+
 def test_pages(spark):
     pages = spark.createDataFrame(
         [(1, "u", PAGE % f"<article>{BODY}</article>", "x"), (1, "u", None, "x"), (None, None, "", "y"), (2, "v", "<p>é", None)],
