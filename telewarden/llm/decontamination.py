@@ -3,13 +3,14 @@
 Words are runs of letters, digits and bytes beyond ASCII, with A-Z as a-z. Every run of ``SEED``
 words of a benchmark item is a seed if it is rare, that is, if words as frequent as its own, counted
 over all documents, would stand side by side by chance less than ``RARE`` times a word; each item's
-``LEAST`` rarest runs are seeds in any case. Counting words and not runs keeps a passage rare that has
+``LEAST`` rarest runs are seeds in any case. Where a run is not rare, the shortest longer one that is
+rare is a seed, so that seeds cover the places of items of frequent words too. Counting words and not runs keeps a passage rare that has
 been copied into many documents. Runs of a document that may be seeds (a bitmap of fixed size says
 so) make windows with as many words around them as the longest item has. Windows and items that
 share a seed are joined by Spark and aligned by words.
 
-An item matches if the alignment scores ``SHARE`` of its words or ``LONG`` words, whichever is less.
-Items of fewer than ``SEED`` words match nothing. Null texts are empty. Rows without doc_id or
+An item matches if the alignment scores ``SHARE`` of its words or ``LONG`` words, whichever is less,
+but ``EVIDENCE`` words at least: a shorter item must stand in the document whole and unedited. Items of fewer than ``SEED`` words match nothing. Null texts are empty. Rows without doc_id or
 item_id are left out of the result; rows that repeat an id count as one, with the best score. An
 empty table on either side gives an empty result; other columns are not read.
 """
@@ -31,6 +32,8 @@ RARE = 1e-6
 LEAST = 8
 SHARE = 0.5
 LONG = 40
+#: The least score of a match; a shorter item needs all its words.
+EVIDENCE = 8
 #: Alignment scores; a match is 1.
 MISMATCH = -1.0
 GAP = -1.0
@@ -93,25 +96,48 @@ def marked(hashes: np.ndarray, bits_set: np.ndarray, bits: int) -> np.ndarray:
     return (bits_set[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) != 0
 
 
-def item_runs(items: DataFrame) -> DataFrame:
-    """item, place, run and the hashes of its words, for each run of SEED words of each item."""
+def power_sum(hashes: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the run of ``size`` words at each of the places, as ``run_of`` has it."""
+    total = np.zeros(len(at), np.uint64)
+    for i in range(size):
+        total = total * np.uint64(1_000_003) + hashes[at + i]
+    return mixed(total)
+
+
+def item_words(items: DataFrame) -> DataFrame:
+    """item, version (a hash of the words), n_words and the word hashes of each item with SEED words or more."""
 
     def work():
         def step(batch):
             hashes, _, _, texts, _, _ = words(batch.column(1))
-            found, inside = run_of(hashes, texts)
-            at = np.flatnonzero(inside)
-            owner = np.searchsorted(texts, at, "right") - 1
-            columns = [batch.column(0).take(pa.array(owner)), pa.array((at - texts[owner]).astype(np.int32))]
-            columns += [pa.array(found[at].view(np.int64)), pa.array((texts[owner + 1] - texts[owner]).astype(np.int32))]
-            columns += [pa.array(hashes[at + i].view(np.int64)) for i in range(SEED)]
-            yield pa.RecordBatch.from_arrays(columns, ["item", "place", "run", "n_words", *(f"w{i}" for i in range(SEED))])
+            columns = [batch.column(0), pa.ListArray.from_arrays(pa.array(texts, pa.int32()), pa.array(hashes.view(np.int64)))]
+            yield pa.RecordBatch.from_arrays(columns, ["item", "words"])
 
         return step
 
     kind = items.schema["item"].dataType.simpleString()
-    schema = f"item {kind}, place int, run long, n_words int, " + ", ".join(f"w{i} long" for i in range(SEED))
-    return map_text(items, work, schema, ["item", "text"], SLICE)
+    found = map_text(items, work, f"item {kind}, words array<long>", ["item", "text"], SLICE)
+    found = found.filter(F.size("words") >= SEED).select("item", F.xxhash64("words").alias("version"), F.size("words").alias("n_words"), "words")
+    return found.dropDuplicates(["item", "version"])
+
+
+def chosen(chances: np.ndarray) -> list[tuple[int, int]]:
+    """Begin and size of the runs of an item that are seeds, from the logarithms of its words' frequencies."""
+    n, bar = len(chances), math.log(RARE)
+    total = np.concatenate([[0.0], np.cumsum(chances)])
+    runs_of_seed = total[SEED:] - total[:-SEED]
+    found = {(int(i), SEED) for i in np.argsort(runs_of_seed, kind="stable")[:LEAST]}
+    reached = 0
+    for begin in range(n - SEED + 1):
+        # The sums fall from word to word, so the first that is low enough is found by bisection.
+        end = max(begin + SEED, int(np.searchsorted(-total, -(total[begin] + bar))))
+        if end <= n:
+            found.add((begin, end - begin))
+            reached = max(reached, end)
+    if reached < n and total[n] <= bar:
+        begin = min(n - SEED, int(np.searchsorted(-total, -(total[n] - bar), "right")) - 1)
+        found.add((begin, n - begin))
+    return sorted(found)
 
 
 class Counts:
@@ -141,36 +167,62 @@ class Counts:
 
 
 def seeds(docs: DataFrame, every: DataFrame, staging: Staging) -> DataFrame:
-    """run and item of the rare runs of the items."""
-    names = [f"w{i}" for i in range(SEED)]
-    vocabulary = every.select(F.explode(F.array(*names)).alias("word")).distinct()
+    """run, size, prefix (its first SEED words as a run) and item of the rare runs of the items."""
+    places = every.select("item", "version", F.posexplode("words").alias("place", "word"))
+    vocabulary = places.select("word").distinct()
     bits_set = bitmap(vocabulary, "word", WORD_BITS)
     counted = map_text(docs, lambda: Counts(bits_set), "word long, n long", ["text"], SLICE)
     counted = staging(counted.groupBy("word").agg(F.sum("n").alias("n")), "word_counts")
     total = (counted.filter(F.col("word") == ALL).agg(F.sum("n").alias("n")).first().n or 0) + 1
     known = staging(vocabulary.join(counted, "word", "left").select("word", F.coalesce("n", F.lit(0)).alias("n")), "frequencies")
-    chance = F.lit(0.0)
-    rows = every
-    for name in names:
-        rows = rows.join(known.select(F.col("word").alias(name), F.col("n").alias(f"n_{name}")), name)
-        chance = chance + F.log((F.col(f"n_{name}") + 1) / F.lit(float(total)))
-    rows = rows.select("item", "run", "place", chance.alias("chance"))
-    rank = F.row_number().over(Window.partitionBy("item").orderBy("chance", "place"))
-    rows = rows.withColumn("rank", rank).filter((F.col("chance") <= math.log(RARE)) | (F.col("rank") <= LEAST))
-    return staging(rows.select("run", "item").distinct(), "seeds")
-
-
-def windows(docs: DataFrame, bits_set: np.ndarray, around: int) -> DataFrame:
-    """doc, begin (its first word), text and the runs of each window around runs that may be seeds."""
+    chance = F.least(F.log((F.col("n") + 1) / F.lit(float(total))), F.lit(0.0))
+    rows = places.join(known, "word").groupBy("item", "version").agg(F.sort_array(F.collect_list(F.struct("place", "word", chance.alias("chance")))).alias("at"))
+    rows = rows.select("item", F.col("at.word").alias("words"), F.col("at.chance").alias("chances"))
+
+    def run(batches):
+        for batch in batches:
+            items, found = [], []
+            for i in range(len(batch)):
+                own = batch.column(1)[i].values.to_numpy().view(np.uint64)
+                for begin, size in chosen(batch.column(2)[i].values.to_numpy()):
+                    at = np.array([begin])
+                    items.append(i)
+                    found.append((power_sum(own, at, size)[0], size, power_sum(own, at, SEED)[0]))
+            of, size, prefix = (np.array([f[k] for f in found], t) for k, t in enumerate((np.uint64, np.int32, np.uint64)))
+            columns = [pa.array(of.view(np.int64)), pa.array(size), pa.array(prefix.view(np.int64)), batch.column(0).take(pa.array(items, pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["run", "size", "prefix", "item"])
+
+    kind = every.schema["item"].dataType.simpleString()
+    return staging(rows.mapInArrow(run, f"run long, size int, prefix long, item {kind}").distinct(), "seeds")
+
+
+def windows(docs: DataFrame, prefixes: np.ndarray, bits_set: np.ndarray, sizes: list[int], around: int) -> DataFrame:
+    """doc, begin (its first word), text and the runs of each window around runs that may be seeds.
+
+    Runs of all sizes are looked up where their first SEED words may begin a seed.
+    """
     kind = docs.schema["doc"].dataType.simpleString()
 
     def work():
         def step(batch):
             hashes, starts, ends, texts, _, data = words(batch.column(1))
             found, inside = run_of(hashes, texts)
-            at = np.flatnonzero(inside & marked(found, bits_set, SEED_BITS)) if len(found) else np.empty(0, np.int64)
+            open_ = np.flatnonzero(inside & marked(found, prefixes, SEED_BITS)) if len(found) else np.empty(0, np.int64)
+            if not len(open_):
+                return
+            room = texts[np.searchsorted(texts, open_, "right")] - open_
+            at, of = [], []
+            for size in sizes:
+                own = open_[room >= size]
+                hashed = found[own] if size == SEED else power_sum(hashes, own, size)
+                known = marked(hashed, bits_set, SEED_BITS)
+                at.append(own[known])
+                of.append(hashed[known])
+            at, of = np.concatenate(at), np.concatenate(of)
             if not len(at):
                 return
+            order = np.argsort(at, kind="stable")
+            at, of = at[order], of[order]
             owner = np.searchsorted(texts, at, "right") - 1
             new = np.ones(len(at), bool)
             new[1:] = (owner[1:] != owner[:-1]) | (np.diff(at) > 2 * around)
@@ -181,7 +233,7 @@ def windows(docs: DataFrame, bits_set: np.ndarray, around: int) -> DataFrame:
             cut = [data[a:b].tobytes().decode("utf-8", "replace") for a, b in zip(starts[begin], ends[end - 1])]
             columns = [batch.column(0).take(pa.array(owner[first])), pa.array((begin - texts[owner[first]]).astype(np.int64))]
             bounds = np.append(first, len(at)).astype(np.int32)
-            columns += [pa.array(cut, pa.string()), pa.ListArray.from_arrays(pa.array(bounds), pa.array(found[at].view(np.int64)))]
+            columns += [pa.array(cut, pa.string()), pa.ListArray.from_arrays(pa.array(bounds), pa.array(of.view(np.int64)))]
             yield pa.RecordBatch.from_arrays(columns, ["doc", "begin", "text", "runs"])
 
         return step
@@ -236,13 +288,16 @@ def matches(
     staging = Staging(spark)
     docs = docs.select(F.col(key).alias("doc"), F.col(text).alias("text")).filter("doc is not null")
     items = benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("text")).filter("item is not null")
-    every = staging(item_runs(items), "item_runs")
+    every = staging(item_words(items), "item_words")
     longest = every.agg(F.max("n_words").alias("n")).first().n or 0
     rare = seeds(docs, every, staging)
-    found = staging(windows(docs, bitmap(rare, "run", SEED_BITS), longest), "windows")
-    shared = found.select("doc", "begin", F.explode("runs").alias("run")).join(rare, "run").select("doc", "begin", "item").distinct()
+    sizes = sorted(r.size for r in rare.select("size").distinct().collect())
+    bits = [bitmap(rare, column, SEED_BITS) for column in ("prefix", "run")]
+    found = staging(windows(docs, *bits, sizes, longest), "windows") if sizes else staging(docs.limit(0).selectExpr("doc", "0L begin", "text", "array(0L) runs"), "windows")
+    shared = found.select("doc", "begin", F.explode("runs").alias("run")).join(rare.select("run", "item"), "run").select("doc", "begin", "item").distinct()
     pairs = shared.join(found.select("doc", "begin", F.col("text").alias("window")), ["doc", "begin"]).join(items, "item")
-    good = scored(pairs).filter(F.col("score") >= F.least(F.col("n_words") * SHARE, F.lit(float(LONG))))
+    least = F.greatest(F.col("n_words") * SHARE, F.least("n_words", F.lit(EVIDENCE)))
+    good = scored(pairs).filter((F.col("n_words") >= SEED) & (F.col("score") >= F.least(least, F.lit(float(LONG)))))
     best = good.groupBy("doc", "item").agg(F.max(F.struct("score", "n_words", "end")).alias("best"))
     return best.select(
         F.col("doc").alias(key), F.col("item").alias(item), "best.score",

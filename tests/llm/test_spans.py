@@ -270,3 +270,42 @@ def test_a_passage_in_many_documents_stays_a_seed(spark):
     benchmark = spark.createDataFrame([(5, item)], "item_id long, text string")
     found = decontamination.matches(spark, documents(spark, rows), benchmark).collect()
     assert sorted(r.doc_id for r in found) == [i for i in range(300) if i % 3 == 0]
+
+
+def test_short_items_need_all_their_words(spark):
+    items = ["What is the capital of France?", "one two three four five six seven", "never seen here"]
+    texts = [
+        "Nobody knows what is the best way", "the capital of Spain", "Q: what is the capital of france, please",
+        "one two three four five and a six seven", "he counts one two three four five six seven eight", "what is the",
+    ]
+    docs = documents(spark, [(i, t, None, None) for i, t in enumerate(texts)])
+    benchmark = spark.createDataFrame([*enumerate(items)], "item_id long, text string")
+    found = {(r.doc_id, r.item_id, r.score) for r in decontamination.matches(spark, docs, benchmark).collect()}
+    assert found == {(2, 0, 6.0), (4, 1, 7.0)}
+    assert sorted(r.doc_id for r in decontamination.clean(spark, docs, benchmark).collect()) == [0, 1, 3, 5]
+
+
+def test_items_of_frequent_words_are_found_when_edited(spark):
+    random = np.random.default_rng(4)
+    # Words of 2 to 3 in a hundred, ten of them a little rarer; the rarer ones stand together in the item and are edited.
+    weights = np.array([1.0] * 30 + [0.8] * 10)
+    weights /= weights.sum()
+    item = [f"f{i}" for i in (*random.permutation(30)[:12], *random.permutation(10)[:9] + 30, *random.permutation(30)[:12])]
+    copy = [f"x{w}" if int(w[1:]) >= 30 and i % 2 == 0 else w for i, w in enumerate(item)]
+    rows = [(i, " ".join(f"f{x}" for x in random.choice(40, 200, p=weights)), None, None) for i in range(200)]
+    rows.append((900, " ".join(copy), None, None))
+    benchmark = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    own, other = words_of([" ".join(item), " ".join(copy)])
+    assert decontamination.aligned(own, other)[0] >= len(item) * decontamination.SHARE
+    assert [r.doc_id for r in decontamination.matches(spark, documents(spark, rows), benchmark).collect()] == [900]
+
+
+def test_seeds_reach_every_place():
+    random = np.random.default_rng(8)
+    for n in (3, 10, 40, 200):
+        chances = np.log(random.choice([0.3, 0.05, 0.01, 1e-4], n))
+        covered = np.zeros(n, bool)
+        for begin, size in decontamination.chosen(chances):
+            assert begin >= 0 and size >= decontamination.SEED and begin + size <= n
+            covered[begin : begin + size] = True
+        assert covered.all() or chances.sum() > np.log(decontamination.RARE)
