@@ -38,6 +38,8 @@ GROUP = re.compile(r"[0-9]+")
 INNER_PHONE = re.compile(r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])")
 PLAIN_PHONE = re.compile(r"(?<![0-9+(.-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9-])")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+#: Letters and digits of the shortest account number of any country; less is not tried when a run is cut.
+SHORTEST = 15
 SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 #: Context words of a kind.
 WORDS = {
@@ -62,6 +64,24 @@ def mod_97(account: str) -> bool:
     return int("".join(str(int(c, 36)) for c in moved)) % 97 == 1
 
 
+def accounts(text: str) -> Iterator[tuple[int, int]]:
+    """Account numbers; what follows one in capitals or digits is cut off word by word until the check holds."""
+    at = 0
+    while m := IBAN.search(text, at):
+        start, end = m.span()
+        at = end
+        while end - start >= 12:
+            number = text[start:end].replace(" ", "")
+            if (end == m.end() or len(number) >= SHORTEST) and IBAN.fullmatch(text, start, end) and mod_97(number):
+                yield start, end
+                at = end
+                break
+            end = text.rfind(" ", start, end)
+        else:
+            # The number may begin in a later word of the run.
+            at = start + 1
+
+
 def digits(text: str) -> str:
     return "".join(GROUP.findall(text))
 
@@ -136,7 +156,7 @@ def more_spans(text: str, base: list[tuple[int, int, str]]) -> Iterator[tuple[in
     if "+" in text:
         found += [(*m.span(), "phone", 0.7) for m in INNER_PHONE.finditer(text) if 10 <= len(digits(m[0])) <= 15]
     found += [(*m.span(), "phone", 0.3) for m in PLAIN_PHONE.finditer(text)]
-    found += [(*m.span(), "iban", 0.7) for m in IBAN.finditer(text) if mod_97(m[0].replace(" ", ""))]
+    found += [(*s, "iban", 0.7) for s in accounts(text)]
     for m in SSN.finditer(text):
         area, group, serial = m[0].split("-")
         if area not in ("000", "666") and area < "900" and group != "00" and serial != "0000":

@@ -73,6 +73,17 @@ def test_spans_of_the_method(text, expected):
     assert [f"{k}:{s}:{e}" for k, s, e, *_ in pii.find_spans(text)] == expected
 
 
+@pytest.mark.parametrize("text,expected", [
+    ("BE68 5390 0754 7034 BIC GKCCBEBB", ["iban:0:19"]), ("to ES9121000418450200051332 EUR", ["iban:3:27"]),
+    ("BE68539007547034 IBAN", ["iban:0:16"]), ("DE89 3704 0044 0532 0130 00 BE68 5390 0754 7034", ["iban:0:27", "iban:28:47"]),
+    ("BE68 5390 0754 7035 BIC", []), ("NR12 3456 DE89 3704 0044 0532 0130 00", ["iban:10:37"]),
+    ("NL91ABNA0417164300 NOTE", ["iban:0:18"]), ("NO9386011117947 SWIFT", ["iban:0:15"]),
+])
+def test_accounts_before_other_capitals(text, expected):
+    found = [f"{k}:{s}:{e}" for k, s, e, *_ in pii.find_spans(text) if k == "iban"]
+    assert found == expected
+
+
 def test_personal_data_over_documents(spark):
     rows = [*ROWS, (8, "é a@b.cd and +49 30 1234567, 4111-1111 1111 1111; 10.0.0.1", "en", "d")]
     found = by_id(pii.digests(pii.detect(documents(spark, rows))).collect())
