@@ -3,6 +3,7 @@
 spark-submit job.py --input_path ... --output_path ... --rules_path ...
     --sensors_path ... [--format csv|json] [--mode overwrite|append] [--quarantine]
     [--rules_as_table]
+spark-submit job.py ... --stream [--state_store] [--delay_seconds N] [--trigger '10 seconds'] [--flush]
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from telewarden.schemas import MANDATORY
 from telewarden.session import Staging, observed_row
 from telewarden.sinks import Publication, write_alarms, write_nominal
 from telewarden.sources import load_rules, load_sensors, read_csv, read_json, read_stream
-from telewarden.streaming import Monitor
+from telewarden.streaming import KeyedMonitor, Monitor
 
 logger = logging.getLogger(__name__)
 
@@ -141,6 +142,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--delay_seconds", type=int, default=0)
     parser.add_argument("--max_files_per_trigger", type=int)
     parser.add_argument("--trigger", help="keep running with this interval, such as '10 seconds'")
+    parser.add_argument("--state_store", action="store_true", help="stream with the state in Spark's state store")
     parser.add_argument("--flush", action="store_true", help="close held timestamps at the end")
     args = parser.parse_args(argv)
     if args.slice_rows <= 0:
@@ -154,10 +156,15 @@ def main(argv: list[str] | None = None) -> None:
         Staging.drop_all()
         return
     sensors = load_sensors(spark, args.sensors_path).count()
-    monitor = Monitor(
-        spark, _rules(spark, args.rules_path), args.output_path, f"{args.output_path}/state",
-        args.delay_seconds, sensors, args.slice_rows, text=True,
-    )
+    rules = _rules(spark, args.rules_path)
+    if args.state_store:
+        monitor = KeyedMonitor(
+            spark, rules, args.output_path, f"{args.output_path}/checkpoint", args.delay_seconds, args.slice_rows, text=True
+        )
+    else:
+        monitor = Monitor(
+            spark, rules, args.output_path, f"{args.output_path}/state", args.delay_seconds, sensors, args.slice_rows, text=True
+        )
     stream = read_stream(spark, args.input_path, args.format, args.max_files_per_trigger)
     monitor.start(stream, f"{args.output_path}/checkpoint", args.trigger).awaitTermination()
     if args.flush:

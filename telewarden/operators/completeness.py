@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .numbering import Stage, row_numbers
+
+#: Sensors of a word of a bitmap.
+WORD = 64
+
 
 def sensor_counts(df: DataFrame) -> DataFrame:
     """Distinct sensors and readings per timestamp."""
@@ -16,20 +21,32 @@ def sensor_counts(df: DataFrame) -> DataFrame:
     )
 
 
-def missing_readings(df: DataFrame, sensors: list[str]) -> DataFrame:
-    """One row per (timestamp, catalogue sensor) without a reading.
+def missing_readings(df: DataFrame, catalogue: DataFrame, stage: Stage) -> DataFrame:
+    """One row per (timestamp, catalogue sensor) without a reading; ``catalogue`` has ``sensor_id``.
 
-    Only catalogue sensors enter the per-timestamp set, so its size is bounded by the
-    catalogue and it is combined before the shuffle.
+    Catalogue sensors are numbered. The sensors seen at a timestamp are bits of words, combined
+    before the shuffle, and are taken away from the catalogue's words; only bits that are left become
+    rows. The catalogue stays a table, and no set of sensors is gathered anywhere.
     """
-    known = F.col("sensor_id").isin(sensors)
-    seen = df.groupBy("timestamp").agg(
-        F.collect_set(F.when(known, F.col("sensor_id"))).alias("seen")
-    )
-    expected = F.array(*(F.lit(s) for s in sensors))
-    return seen.select(
-        "timestamp", F.explode(F.array_except(expected, F.col("seen"))).alias("sensor_id")
-    )
+    numbers = row_numbers(catalogue.select("sensor_id").distinct(), stage, ["sensor_id"], "sensors")
+    place = {"word": F.floor(F.col("row") / WORD), "bit": (F.col("row") % WORD).cast("int")}
+    numbers = stage(numbers.withColumns(place).select("sensor_id", "word", "bit"), "numbers")
+    one = F.expr("shiftleft(1L, bit)")
+    expected = stage(numbers.groupBy("word").agg(F.bit_or(one).alias("expected")), "expected")
+    words = expected.count()
+    if not words:
+        return df.select("timestamp", "sensor_id").limit(0)
+    # Readings of other sensors make their timestamp known but set no bit.
+    met = df.select("timestamp", "sensor_id").join(numbers, "sensor_id", "left")
+    seen = met.groupBy("timestamp", F.coalesce("word", F.lit(0)).alias("word"))
+    seen = stage(seen.agg(F.coalesce(F.bit_or(one), F.lit(0)).alias("seen")), "seen")
+    moments = seen.select("timestamp").distinct()
+    every = moments.select("timestamp", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(words - 1).cast("long"))).alias("word"))
+    left = every.join(seen, ["timestamp", "word"], "left").join(expected, "word")
+    left = left.withColumn("missing", F.col("expected").bitwiseAND(F.bitwise_not(F.coalesce("seen", F.lit(0)))))
+    bits = F.expr(f"filter(sequence(0, {WORD - 1}), b -> getbit(missing, b) = 1)")
+    open_ = left.filter("missing <> 0").select("timestamp", "word", F.explode(bits).alias("bit"))
+    return open_.join(numbers, ["word", "bit"]).select("timestamp", "sensor_id")
 
 
 def unknown_sensors(df: DataFrame, sensors: list[str]) -> DataFrame:

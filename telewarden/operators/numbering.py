@@ -9,8 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from itertools import accumulate
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 Stage = Callable[[DataFrame, str], DataFrame]
 
@@ -51,3 +54,20 @@ def running_sum(df: DataFrame, order: list[str], weight: str, stage: Stage, name
     earlier = Window.partitionBy("part").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     before = F.col("offset") + F.coalesce(F.sum(weight).over(earlier), F.lit(0))
     return weighted.withColumn("before", before).drop("part", "offset", "place")
+
+
+def counted_rows(df: DataFrame, name: str) -> DataFrame:
+    """``name``: how many rows the task has read before this one; streams have no other number.
+
+    It rises along each split of a file, so (split, number) is the order in which packets were written.
+    """
+    schema = T.StructType([*df.schema.fields, T.StructField(name, T.LongType())])
+
+    def number(batches):
+        before = 0
+        for batch in batches:
+            counts = pa.array(np.arange(before, before + len(batch)), pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, counts], [*batch.schema.names, name])
+            before += len(batch)
+
+    return df.mapInArrow(number, schema)

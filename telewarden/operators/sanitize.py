@@ -53,6 +53,23 @@ def split(marked: DataFrame) -> Sanitized:
     return Sanitized(clean, _rejects(marked))
 
 
+def packets_of(marked: DataFrame) -> DataFrame:
+    """Clean readings and rejects in one frame: ``reason`` and ``text`` (the raw value) tell a reject."""
+    good = F.col("reject_reason").isNull()
+    extra = [ARRIVAL] if ARRIVAL in marked.columns else []
+    return marked.select(
+        *(F.when(good, F.col(name)).otherwise(null_tokens(F.col(name))).alias(name) for name in ("timestamp", "sensor_id")),
+        F.when(good, F.col("value").try_cast("double")).alias("value"),
+        F.when(~good, null_tokens(F.col("value").cast("string"))).alias("text"),
+        F.when(good, _priority()).otherwise(null_tokens(F.col("priority"))).alias("priority"),
+        F.col("reject_reason").alias("reason"),
+        F.when(good, event_time("timestamp")).alias("event_time"),
+        "seq",
+        _line(marked).alias("line"),
+        *extra,
+    )
+
+
 def _rejects(marked: DataFrame) -> DataFrame:
     return marked.filter(F.col("reject_reason").isNotNull()).select(
         null_tokens(F.col("timestamp")).alias("timestamp"),
@@ -61,9 +78,17 @@ def _rejects(marked: DataFrame) -> DataFrame:
         null_tokens(F.col("priority")).alias("priority"),
         "seq",
         "reject_reason",
+        _line(marked).alias("line"),
     )
 
 
+def _line(marked: DataFrame) -> Column:
+    """The text of a reject that was damaged as a whole."""
+    if CORRUPT not in marked.columns:
+        return F.lit(None).cast("string")
+    return F.when(F.col("reject_reason") == "malformed", F.col(CORRUPT))
+
+
 def sanitize(raw: DataFrame) -> Sanitized:
     """Clean readings and rejects; a missing mandatory column leaves nothing."""
     spark = raw.sparkSession

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import slice_of
+from .numbering import row_numbers, running_sum
 from ..plans.rules import RuleSet
 
 Stage = Callable[[DataFrame, str], DataFrame]
@@ -290,3 +291,22 @@ def keep_old(new: DataFrame, old: DataFrame, keys: list[str], value: str) -> Dat
         .join(old.select(*keys, F.col(value).alias("old")), keys, "full_outer")
         .select(*keys, F.coalesce("new", "old").alias(value))
     )
+
+
+def islands(df: DataFrame, good: Column, stage: Stage) -> DataFrame:
+    """Streaks by another plan: ``streak`` counts the rows since the sensor's last good one.
+
+    Rows are numbered by sensor and arrival, and good rows are summed up along that order. The rows
+    after a good one share its sum and are an island, whose streaks are distances from its first row.
+    Both sums run over ranges of the order, so no task holds a sensor or an island; an island enters
+    the join as one row.
+    """
+    marked = df.select("sensor_id", "seq", F.coalesce(good, F.lit(False)).alias("is_good"))
+    marked = marked.withColumn("weight", F.col("is_good").cast("int"))
+    summed = stage(running_sum(marked, ["sensor_id", "seq"], "weight", stage, "sums"), "summed")
+    rows = row_numbers(summed, stage, ["sensor_id", "seq"], "numbered")
+    rows = rows.withColumn("island", F.col("before") + F.col("weight"))
+    first = rows.groupBy("sensor_id", "island").agg(F.min("row").alias("start"), F.max_by("is_good", -F.col("row")).alias("led"))
+    # Only the sensor's first island may begin with a row that is not good.
+    streak = F.col("row") - F.col("start") + F.when(F.col("led"), 0).otherwise(1)
+    return rows.join(first, ["sensor_id", "island"]).select("sensor_id", "seq", streak.alias("streak"))

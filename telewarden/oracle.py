@@ -239,6 +239,11 @@ AS_TEXT = "WITH {q} SELECT concat_ws(';', timestamp, rule_id, priority, sensor_i
 FILE_ROWS = f"""WITH {TEL} SELECT CAST(row_number() OVER (ORDER BY seq) - 1 AS BIGINT) AS row,
     timestamp, sensor_id, value, priority FROM tel"""
 
+# Payloads that can be read, and why the others can not.
+READABLE = f"{TEL}, readable AS (SELECT * FROM tel WHERE seq % 50 NOT BETWEEN 7 AND 11)"
+PAYLOAD_REASON = """CASE seq % 50 WHEN 7 THEN 'malformed' WHEN 8 THEN 'malformed' WHEN 11 THEN 'type_value'
+    ELSE 'schema_missing_field' END"""
+
 ORACLE = {
     "simple_rule": f"WITH {TEL}, {hits([R1, R4], 'tel')} {base_alarms()}",
     "all_operators": f"""WITH {TEL}, ops AS (
@@ -347,8 +352,8 @@ ORACLE = {
         count(*) AS rows FROM tel GROUP BY ALL""",
     "rules_json": f"""WITH {SUPPLIER_RULES}
         SELECT rule_id, type, priority, logic, operator, value FROM valid""",
-    "sensors_yaml": """SELECT replace(n_name, ' ', '_') AS id, CAST(NULL AS VARCHAR) AS sampling_rate,
-        'r' || n_regionkey AS unit, 'N-1' AS spacecraft_id FROM nation""",
+    "sensors_yaml": """SELECT 'S' || s_suppkey AS id, CAST(NULL AS VARCHAR) AS sampling_rate,
+        'r' || s_nationkey AS unit, 'N-' || s_suppkey // 500 AS spacecraft_id FROM supplier""",
     "absent_sensor": f"""WITH {TEL} SELECT sensor_id, arg_max(value, seq) AS last_value
         FROM tel WHERE sensor_id = 'click' GROUP BY sensor_id UNION ALL SELECT 'refund', 7.5""",
     "no_rules": f"""WITH {TEL} SELECT timestamp, 'NOMINAL' AS status,
@@ -368,6 +373,47 @@ ORACLE = {
         FROM (SELECT DISTINCT timestamp FROM tel) t CROSS JOIN {CATALOGUE}
         WHERE NOT EXISTS (SELECT 1 FROM tel WHERE tel.timestamp = t.timestamp
             AND tel.sensor_id = c.sensor_id)""",
+    "supplier_completeness": """WITH l AS (SELECT DISTINCT strftime(date_trunc('week', l_shipdate), '%Y-%m-%d') AS timestamp,
+            l_suppkey FROM lineitem)
+        SELECT t.timestamp, s_suppkey AS sensor_id FROM (SELECT DISTINCT timestamp FROM l) t CROSS JOIN supplier
+        WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.timestamp = t.timestamp AND l_suppkey = s_suppkey)""",
+    "islands_streak": f"""WITH {TEL}, {scanned('tel', STREAK_35)}
+        SELECT seq, sensor_id, CAST(streak_s AS BIGINT) AS streak FROM scanned""",
+    "damaged_lines": f"""WITH {TEL} SELECT 'malformed' AS reject_reason, 'noise ' || seq AS line, NULL AS seq FROM tel WHERE seq % 10 = 2
+        UNION ALL SELECT {PAYLOAD_REASON}, CASE seq % 50 WHEN 7 THEN 'noise ' || seq
+            WHEN 8 THEN substr('{{"timestamp":"' || timestamp || '","sensor_id"', 1, 30) END, seq FROM tel WHERE seq % 50 BETWEEN 7 AND 11""",
+    "appended_positions": f"""WITH {TEL}, {hits([R1, R4], 'tel')}, lines AS (SELECT seq % 3 AS run,
+            concat_ws(';', timestamp, rule_id, priority, sensor_id, CAST(value AS VARCHAR)) AS line, timestamp, rule_id, sensor_id, seq FROM hits)
+        SELECT CAST(row_number() OVER (ORDER BY run, timestamp, rule_id, sensor_id, seq) - 1 AS BIGINT) AS row, line FROM lines""",
+    "refused_arguments": f"""SELECT rule_id, count(*) AS alarms, CAST(4 AS BIGINT) AS refused,
+        false AS left_behind FROM ({all_alarms()}) GROUP BY rule_id""",
+    "keyed_stream_alarms": all_alarms(READABLE, "readable"),
+    "keyed_stream_nominal": f"""WITH {judged(BASE, READABLE, 'readable')} SELECT timestamp, 'NOMINAL' AS status,
+        string_agg(sensor_id || ':' || CAST(value AS VARCHAR), '|' ORDER BY sensor_id, seq) AS sensor_string
+        FROM readable WHERE timestamp NOT IN (SELECT timestamp FROM hits) GROUP BY timestamp""",
+    "keyed_stream_state": f"""WITH {READABLE}, {scanned('readable', BASE_STREAKS)}
+        SELECT 'R2' AS name, sensor_id, CAST(arg_max(streak_r2, seq) AS DOUBLE) AS last_value FROM scanned
+            WHERE sensor_id = 'view' GROUP BY sensor_id
+        UNION ALL SELECT 'last', sensor_id, arg_max(value, seq) FROM readable WHERE sensor_id = 'click' GROUP BY sensor_id""",
+    "keyed_stream_quarantine": f"""WITH {READABLE}, r AS (SELECT *, seq % 50 AS k FROM tel)
+        SELECT CASE WHEN k IN (9, 11) THEN timestamp END AS timestamp, CASE k WHEN 11 THEN sensor_id END AS sensor_id,
+            CASE k WHEN 9 THEN CAST(value AS VARCHAR) WHEN 11 THEN 'n/a' END AS value, CASE WHEN k IN (9, 11) THEN priority END AS priority,
+            seq, {PAYLOAD_REASON} AS reject_reason, CASE k WHEN 7 THEN 'noise ' || seq
+                WHEN 8 THEN substr('{{"timestamp":"' || timestamp || '","sensor_id"', 1, 30) END AS line
+        FROM r, (VALUES (1), (2)) c(copy) WHERE k BETWEEN 7 AND 11 AND (copy = 1 OR seq % 97 = 0)
+        UNION ALL SELECT timestamp, sensor_id, CAST(value AS VARCHAR), priority, seq, 'late', NULL FROM readable WHERE seq % 97 = 0""",
+    "stream_progress": f"""WITH {READABLE}, e AS (SELECT max(seq) + 1 AS e FROM tel),
+        parts AS (SELECT tel.*, CASE WHEN seq < e // 3 THEN 0 WHEN seq < 2 * e // 3 THEN 1 ELSE 2 END AS part FROM tel, e),
+        newest AS (SELECT part, max(max(CASE WHEN seq % 50 NOT BETWEEN 7 AND 11 THEN timestamp END)) OVER (ORDER BY part) AS newest
+            FROM parts GROUP BY part),
+        came AS (SELECT 2 * part AS batch_id, count(*) AS arrived, 0 AS rows, count(*) FILTER (seq % 50 BETWEEN 7 AND 11) AS rejected
+            FROM parts GROUP BY part),
+        closed AS (SELECT 2 * part + 1 AS batch_id, 0 AS arrived,
+                (SELECT count(*) FROM readable r WHERE r.timestamp < n.newest) AS total, 0 AS rejected FROM newest n),
+        every AS (SELECT * FROM came UNION ALL SELECT batch_id, arrived, total - coalesce(lag(total) OVER (ORDER BY batch_id), 0), rejected FROM closed)
+        SELECT CAST(batch_id AS BIGINT) AS batch_id, CAST(arrived AS BIGINT) AS arrived, CAST(rows AS BIGINT) AS rows, CAST(0 AS BIGINT) AS late,
+            CAST(rejected AS BIGINT) AS rejected, CAST(arrived AS BIGINT) AS seen_arrived, CAST(rows AS BIGINT) AS seen_rows,
+            CAST(0 AS BIGINT) AS seen_late, CAST(rejected AS BIGINT) AS seen_rejected FROM every""",
     "sensor_counts": f"""WITH {TEL} SELECT timestamp, count(DISTINCT sensor_id) AS sensors,
         count(*) AS readings FROM tel GROUP BY timestamp""",
     "unknown_sensors": f"""WITH {TEL} SELECT sensor_id, count(*) AS readings FROM tel

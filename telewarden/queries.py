@@ -14,13 +14,14 @@ from .operators import completeness
 from .operators.numbering import INDEX
 from .operators.numbering import row_numbers as row_numbers_of
 from .operators.sanitize import reject_counts, sanitize
-from .operators.scan import State, scan
+from .operators.scan import State, islands, scan
 from .plans import relational
 from .plans.evaluate import SLICE_ROWS, Result, evaluate
 from .plans.rules import Rule, RuleSet, normalise_rules, order_rules
 from .session import Staging, exists
 from .sinks import pack_nominal, write_alarms, write_nominal
 from .sources import (
+    from_payloads,
     from_table,
     load_rules,
     load_sensors,
@@ -29,7 +30,7 @@ from .sources import (
     read_stream,
     with_time_seq,
 )
-from .streaming import Monitor
+from .streaming import KeyedMonitor, Monitor, Progress
 
 SENSORS = ["click", "error", "purchase", "signup", "view"]
 
@@ -260,6 +261,11 @@ def segmented_streak(spark, sf):
     return _streaks(df, SHORT_SLICE)
 
 
+def islands_streak(spark, sf):
+    """The streaks of ``stateful_streak`` by running sums instead of the scan."""
+    return islands(telemetry(spark, sf), F.col("value") >= 35.0, Staging(spark)).select("seq", "sensor_id", "streak")
+
+
 def stateful_rule(spark, sf):
     """Two stateful rules on one sensor and one on another; alarms on every long streak."""
     return judged(
@@ -366,7 +372,7 @@ def sanitize_clean(spark, sf):
 
 
 def sanitize_rejects(spark, sf):
-    return sanitize(dirty(spark, sf)).rejects
+    return sanitize(dirty(spark, sf)).rejects.drop("line")
 
 
 def rejects_by_reason(spark, sf):
@@ -437,7 +443,17 @@ def rules_table_state(spark, sf):
 
 
 def completeness_report(spark, sf):
-    return completeness.missing_readings(telemetry(spark, sf), [*SENSORS, "refund"])
+    catalogue = spark.createDataFrame([(s,) for s in [*SENSORS, "refund"]], "sensor_id string")
+    return completeness.missing_readings(telemetry(spark, sf), catalogue, Staging(spark))
+
+
+def supplier_completeness(spark, sf):
+    """Suppliers without a delivery in a week; the catalogue is a table as large as the suppliers."""
+    lines = table(spark, sf, "lineitem").select(
+        F.date_format(F.date_trunc("week", "l_shipdate"), "yyyy-MM-dd").alias("timestamp"), F.col("l_suppkey").alias("sensor_id")
+    )
+    catalogue = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("sensor_id"))
+    return completeness.missing_readings(lines, catalogue, Staging(spark))
 
 
 def sensor_counts(spark, sf):
@@ -582,6 +598,35 @@ def damaged_csv(spark, sf):
     return outcome.groupBy("outcome", "priority").agg(F.count("*").alias("rows"))
 
 
+def damaged_lines(spark, sf):
+    """Lines and payloads that could not be read, whole, as the quarantine keeps them."""
+    path = f"{Staging(spark).root}/damaged"
+    noise = F.concat(F.lit("noise "), F.col("seq"))
+    full = F.concat_ws(",", "timestamp", "sensor_id", F.col("value").cast("string"), "priority")
+    line = F.when(F.col("seq") % 10 == 2, noise).otherwise(full)
+    lines = telemetry(spark, sf).select(line.alias("timestamp,sensor_id,value,priority"))
+    lines.write.options(header=True, sep="\u0001", quote="", escapeQuotes=False).csv(path)
+    payloads = _payloads(spark, sf)
+    read = sanitize(read_csv(spark, path)).rejects.select("reject_reason", "line", F.lit(None).cast("bigint").alias("seq"))
+    parsed = sanitize(from_payloads(payloads, F.col("payload"), F.col("offset"))).rejects
+    return read.unionByName(parsed.select("reject_reason", "line", "seq"))
+
+
+def _payloads(spark, sf) -> DataFrame:
+    """Telemetry as records of an offset and a JSON payload, some of them damaged."""
+    k = F.col("seq") % 50
+    value = F.when(k == 11, F.lit("n/a")).otherwise(F.col("value").cast("string"))
+    packet = F.to_json(F.struct("timestamp", "sensor_id", value.alias("value"), "priority"))
+    bare = F.to_json(F.struct("timestamp", value.alias("value"), "priority"))
+    payload = (
+        F.when(k == 7, F.concat(F.lit("noise "), F.col("seq")))
+        .when(k == 8, F.substring(packet, 1, 30))
+        .when(k == 9, bare)
+        .when(k != 10, packet)
+    )
+    return telemetry(spark, sf).select(F.col("seq").alias("offset"), payload.alias("payload"))
+
+
 def rules_json(spark, sf):
     """The supplier rules written as JSON arrays, one a file, and read back."""
     path = f"{Staging(spark).root}/rules"
@@ -597,12 +642,14 @@ def rules_json(spark, sf):
 
 
 def sensors_yaml(spark, sf):
-    """The nations as a sensor catalogue in YAML, read back."""
+    """The suppliers as sensor catalogues in YAML, a file for every 500 keys, read back."""
     path = f"{Staging(spark).root}/sensors"
-    entry = F.format_string("- {id: %s, unit: r%d}", F.regexp_replace("n_name", " ", "_"), "n_regionkey")
-    lines = table(spark, sf, "nation").agg(F.array_sort(F.collect_list(entry)).alias("lines"))
-    text = F.concat(F.lit("sensors:\n"), F.array_join("lines", "\n"), F.lit("\nspacecraft_id: N-1"))
-    lines.select(text).write.text(path)
+    block = F.floor(F.col("s_suppkey") / 500)
+    entry = F.format_string("- {id: S%d, unit: r%d}", "s_suppkey", "s_nationkey")
+    lines = table(spark, sf, "supplier").groupBy(block.alias("block")).agg(F.array_sort(F.collect_list(entry)).alias("lines"))
+    text = F.concat(F.lit("sensors:\n"), F.array_join("lines", "\n"), F.lit("\nspacecraft_id: N-"), "block")
+    # A line of the text sink may hold line breaks: each row is a file of its own.
+    lines.select(text).write.option("maxRecordsPerFile", 1).text(path)
     return load_sensors(spark, path)
 
 
@@ -632,6 +679,34 @@ def published_lines(spark, sf):
     return lines.groupBy(F.col("value").alias("line")).agg(F.count("*").alias("copies"))
 
 
+def appended_positions(spark, sf):
+    """Alarm lines of three runs, the last two appended, with their place over all part files."""
+    staging = Staging(spark)
+    raw = telemetry(spark, sf).withColumn("value", F.col("value").cast("string"))
+    for part, mode in enumerate(("overwrite", "append", "append")):
+        run_readings(spark, raw.filter(F.col("seq") % 3 == part), f"{staging.root}/out", RuleSet.of((R1, R4)), mode, slice_rows=SHORT_SLICE)
+    return _file_rows(spark, f"{staging.root}/out/alarms")
+
+
+def refused_arguments(spark, sf):
+    """Arguments that the monitor and the job refuse, beside what the same readings give with good ones."""
+    root = Staging(spark).root
+    readings = telemetry(spark, sf)
+    refused = 0
+    for delay, sensors in ((-1, None), (0, 0), (0, -5)):
+        try:
+            Monitor(spark, ALL, f"{root}/out", f"{root}/state", delay, sensors)
+        except ValueError:
+            refused += 1
+    try:
+        run_readings(spark, readings, f"{root}/out", ALL, "replace")
+    except ValueError:
+        refused += 1
+    left = exists(spark, f"{root}/out")
+    counted = evaluate(readings, ALL).found.groupBy("rule_id").agg(F.count("*").alias("alarms"))
+    return counted.withColumns({"refused": F.lit(refused).cast("bigint"), "left_behind": F.lit(left)})
+
+
 def refused_outputs(spark, sf):
     """Frames that must not be written: without a column, and without rows."""
     root = Staging(spark).root
@@ -713,6 +788,62 @@ def stream_state(spark, sf):
     return _streamed(spark, sf).state().streak
 
 
+def _keyed(spark, sf, listener: Progress | None = None, again: bool = False) -> KeyedMonitor:
+    """Payloads in three parts, each judged by a stream that is started anew, and a flush."""
+    root = Staging(spark).root
+    payloads = _payloads(spark, sf)
+    end = payloads.agg(F.max("offset").alias("m")).first().m + 1
+
+    def arrive(which) -> KeyedMonitor:
+        payloads.filter(which).write.mode("append").parquet(f"{root}/records")
+        records = spark.readStream.schema(payloads.schema).parquet(f"{root}/records")
+        monitor = KeyedMonitor(spark, ALL, f"{root}/out", f"{root}/checkpoint")
+        query = monitor.start(from_payloads(records, F.col("payload"), F.col("offset")))
+        query.awaitTermination()
+        if listener is not None:
+            listener.wait(query.runId)
+        return monitor
+
+    for part in range(3):
+        monitor = arrive((F.col("offset") >= end * part // 3) & (F.col("offset") < end * (part + 1) // 3))
+    if listener is None:
+        monitor.flush()
+    return arrive(F.col("offset") % 97 == 0) if again else monitor
+
+
+def keyed_stream_alarms(spark, sf):
+    return _keyed(spark, sf).alarms()
+
+
+def keyed_stream_nominal(spark, sf):
+    return _keyed(spark, sf).nominal()
+
+
+def keyed_stream_state(spark, sf):
+    """Streaks and last values in the state store after the flush, by name."""
+    state = _keyed(spark, sf).state()
+    last = state.step.select(F.lit("last").alias("name"), "sensor_id", "last_value")
+    streak = state.streak.select(F.col("rule_id").alias("name"), "sensor_id", F.col("streak").cast("double").alias("last_value"))
+    return last.unionByName(streak)
+
+
+def keyed_stream_quarantine(spark, sf):
+    """Rejected payloads, and readings that come again after the flush."""
+    return _keyed(spark, sf, again=True).quarantine()
+
+
+def stream_progress(spark, sf):
+    """What a listener was told of each batch beside the metrics that the batch has written."""
+    listener = Progress()
+    spark.streams.addListener(listener)
+    try:
+        monitor = _keyed(spark, sf, listener)
+    finally:
+        spark.streams.removeListener(listener)
+    seen = listener.frame(spark).select("batch_id", *(F.col(n).alias(f"seen_{n}") for n in ("arrived", "rows", "late", "rejected")))
+    return monitor.metrics().select("batch_id", "arrived", "rows", "late", "rejected").join(seen, "batch_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -729,6 +860,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         nominal_lines_written, stream_alarms, stream_nominal, stream_state, rules_table_nominal,
         rules_table_state, alarm_positions, nominal_positions, rule_positions, damaged_csv, rules_json,
         sensors_yaml, absent_sensor, no_rules, published_lines, refused_outputs, counted_rejects,
-        late_readings, bounded_stream,
+        late_readings, bounded_stream, supplier_completeness, islands_streak, damaged_lines, appended_positions,
+        refused_arguments, keyed_stream_alarms, keyed_stream_nominal, keyed_stream_state, keyed_stream_quarantine,
+        stream_progress,
     )
 }

@@ -26,6 +26,8 @@ REJECTS = T.StructType(
         T.StructField("priority", T.StringType()),
         T.StructField("seq", T.LongType()),
         T.StructField("reject_reason", T.StringType()),
+        # The line or payload as it came, where it could not be read.
+        T.StructField("line", T.StringType()),
     ]
 )
 

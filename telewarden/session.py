@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkAssertionError
@@ -69,6 +71,20 @@ class Staging:
             staging.drop()
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once a session; what runs in Python there needs it."""
+    context = spark.sparkContext
+    if getattr(context, "_telewarden_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="telewarden-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(target))
+    context._telewarden_shipped = True
+
+
 def observed_row(observation: Observation) -> dict[str, int]:
     """Counts taken while writing. A plan found empty reports nothing."""
     try:

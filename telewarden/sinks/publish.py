@@ -13,6 +13,9 @@ from pyspark.sql import SparkSession
 
 from ..session import children, exists, move, remove, touch
 
+# Parts of a run that was appended: their names come after those of all earlier runs.
+PART = "part-"
+LATER = "part-r"
 RUNS = "_runs"
 READY = "_READY"
 
@@ -52,6 +55,16 @@ def recover(spark: SparkSession, output: str) -> None:
             remove(spark, root)
 
 
+def _run_number(spark: SparkSession, root: str, name: str, target: str) -> int:
+    """One more than the last run appended to the folder, chosen once for a run."""
+    chosen = children(spark, f"{root}/_number_{name}")
+    if not chosen:
+        runs = [int(p.removeprefix(LATER).split("-")[0]) for p in children(spark, target) if p.startswith(LATER)]
+        chosen = [str(max(runs, default=0) + 1)]
+        touch(spark, f"{root}/_number_{name}/{chosen[0]}")
+    return int(chosen[0])
+
+
 def _publish(spark: SparkSession, output: str, root: str) -> None:
     """Move what is still in the run's folder; may be repeated after a crash at any point."""
     names = children(spark, f"{root}/_names")[0].split(",")
@@ -68,9 +81,10 @@ def _publish(spark: SparkSession, output: str, root: str) -> None:
                 touch(spark, f"{root}/_moved_{name}")
                 move(spark, source, target)
         else:
+            number = _run_number(spark, root, name, target)
             for part in children(spark, source):
                 if not part.startswith(("_", ".")):
-                    move(spark, f"{source}/{part}", f"{target}/{part}")
+                    move(spark, f"{source}/{part}", f"{target}/{LATER}{number:06d}-{part.removeprefix(PART)}")
         touch(spark, done)
     remove(spark, root)
     if not children(spark, f"{output}/{RUNS}"):

@@ -2,6 +2,7 @@
 
 from .catalogues import load_rules, load_sensors, sensor_frame
 from .telemetry import (
+    from_payloads,
     from_table,
     read_csv,
     read_json,
@@ -10,6 +11,7 @@ from .telemetry import (
 )
 
 __all__ = [
+    "from_payloads",
     "from_table",
     "load_rules",
     "load_sensors",

@@ -52,9 +52,9 @@ def read_json(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def read_stream(
     spark: SparkSession, path: str, fmt: str = "json", max_files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Packets (or CSV lines in the same column order) landing in a folder.
+    """Packets, or CSV lines with a header, landing in a folder.
 
-    ``arrival`` orders splits by the time their file was written, its name and their place in it.
+    A CSV file whose header is not that of the packets, in their order, is refused. ``arrival`` orders splits by the time their file was written, its name and their place in it.
     """
     reader = (
         spark.readStream.schema(PACKET)
@@ -63,12 +63,29 @@ def read_stream(
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    rows = reader.option("header", True).csv(path) if fmt == "csv" else reader.format(fmt).load(path)
+    if fmt == "csv":
+        rows = reader.option("header", True).option("enforceSchema", False).option("columnPruning", False).csv(path)
+    else:
+        rows = reader.format(fmt).load(path)
     written = F.lpad(F.unix_micros("_metadata.file_modification_time").cast("string"), 20, "0")
     start = F.lpad(F.col("_metadata.file_block_start").cast("string"), 20, "0")
     return rows.select("*", F.concat_ws(" ", written, "_metadata.file_path", start).alias(ARRIVAL))
 
 
+def from_payloads(records: DataFrame, payload: Column, offset: Column, arrival: Column | None = None) -> DataFrame:
+    """Packets that come as a JSON payload beside an offset, as brokers hand them over; batch or stream.
+
+    A payload that is no JSON object is kept whole as damaged text. ``offset`` numbers the records;
+    with ``arrival``, text that sorts, it does so only among equal ones, such as those of one file.
+    """
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    packet = F.from_json(payload.cast("string"), PACKET, options)
+    rows = records.select(
+        packet.alias("packet"), offset.cast("bigint").alias("seq"), *([] if arrival is None else [arrival.alias(ARRIVAL)])
+    )
+    return rows.select("packet.*", *rows.columns[1:])
+
+
 def from_table(
     df: DataFrame,
     timestamp: Column,

@@ -226,6 +226,7 @@ class Monitor:
             "priority",
             "seq",
             F.lit("late").alias("reject_reason"),
+            F.lit(None).cast("string").alias("line"),
         )
         self._out(rejects.unionByName(too_late), "quarantine", batch_id)
 

@@ -2,13 +2,14 @@
 
 import pytest
 from conftest import frame
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from telewarden.functions import fmt_value
 from telewarden.operators.sanitize import reject_counts, sanitize
 from telewarden.session import Staging
 from telewarden.sinks import pack_nominal, text, write_alarms, write_nominal
-from telewarden.sources import load_rules, load_sensors, read_csv, read_json
+from telewarden.sources import from_payloads, load_rules, load_sensors, read_csv, read_json, read_stream
 
 
 def raw(spark, rows, columns="timestamp string, sensor_id string, value string, priority string"):
@@ -168,3 +169,40 @@ def test_sinks_refuse_what_they_should(spark, tmp_path, caplog):
     assert not out.exists()
     assert write_nominal(readings, str(out)) and write_nominal(readings, str(out))
     assert sorted(r.value for r in spark.read.text(str(out)).collect()) == ["noon;NOMINAL;pump:1.0"] * 2
+
+
+def test_a_csv_stream_refuses_another_header(spark, tmp_path):
+    def run(header):
+        folder = tmp_path / str(len(header)) / header.split(",")[0]
+        folder.mkdir(parents=True)
+        (folder / "a.csv").write_text(f"{header}\nS1,2026-05-01T10:00:00Z,1.0,LOW\n")
+        query = read_stream(spark, str(folder), "csv").writeStream.format("noop")
+        query.option("checkpointLocation", f"{folder}-c").trigger(availableNow=True).start().awaitTermination()
+
+    run("timestamp,sensor_id,value,priority")
+    with pytest.raises(StreamingQueryException):
+        run("sensor_id,timestamp,value,priority")
+
+
+def test_sensor_catalogues_of_a_folder(spark, tmp_path):
+    (tmp_path / "s").mkdir()
+    (tmp_path / "s" / "a.yaml").write_text("sensors:\n- {id: A, sampling_rate: 10}\nspacecraft_id: X\n")
+    (tmp_path / "s" / "b.yaml").write_text("sensors:\n- {id: B}\n- {id: C}\n")
+    (tmp_path / "s" / "c.yaml").write_text("")
+    rows = sorted(tuple(r) for r in load_sensors(spark, str(tmp_path / "s")).collect())
+    assert rows == [("A", "10", None, "X"), ("B", None, None, None), ("C", None, None, None)]
+
+
+def test_damaged_text_is_kept(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("timestamp,sensor_id,value,priority\nnoise, lost\n2026-05-01T10:00:00Z,S1,x,LOW\n")
+    rejects = sanitize(read_csv(spark, str(tmp_path / "a.csv"))).rejects.collect()
+    assert sorted((r.reject_reason, r.line) for r in rejects) == [("malformed", "noise, lost"), ("type_value", None)]
+    records = spark.createDataFrame(
+        [(5, bytearray(b'{"timestamp": "2026-05-01T10:00:00Z", "sensor_id": "S1", "value": 1.5}')), (6, bytearray(b'{"timest')), (7, None)],
+        "offset long, value binary",
+    )
+    clean, rejects = sanitize(from_payloads(records, F.col("value"), F.col("offset")))
+    assert [(r.seq, r.value) for r in clean.collect()] == [(5, 1.5)]
+    assert sorted((r.seq, r.reject_reason, r.line) for r in rejects.collect()) == [
+        (6, "malformed", '{"timest'), (7, "schema_missing_field", None),
+    ]
