@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -183,6 +184,53 @@ def test_wrappers_with_the_names_of_furniture(html):
     assert html_text.main_text(html) == "\n".join(PARAGRAPHS)
 
 
+REMARK = "<p>I think that this remark says quite a lot about the text above it, number %d.</p>"
+PLACES = (
+    "<article>%s%s</article>", "<main>%s%s</main>", "<div id=content>%s%s</div>", "<body><div><article>%s</article>%s</div>", "%s%s",
+    "<main><article>%s</article>%s</main>", "<div class='content no-sidebar'>%s%s</div>",
+)
+
+
+@pytest.mark.parametrize("name", [
+    "comments-area", "comments", "comment-thread", "comments-list", "sidebar-right", "sidebar", "newsletter-form", "related-posts",
+])
+def test_named_furniture_of_any_size_is_left_out(name):
+    """From a tenth to nearly all of the page's letters."""
+    text = BLOCK.split("<p>Paragraph 3")[0]
+    for place in PLACES:
+        for element in ("<div id='%s'>%s</div>", "<section class='%s'>%s</section>", "<div class='x %s'><div>%s</div></div>"):
+            for number in (1, 8, 64, 400):
+                html = place % (text, element % (name, "".join(REMARK % i for i in range(number))))
+                assert html_text.main_text(html) == "\n".join(PARAGRAPHS[:3]), html[:300]
+
+
+@pytest.mark.parametrize("place", PLACES)
+def test_forms_of_any_size_are_left_out(place):
+    for number in (1, 8, 64, 400):
+        html = place % (BLOCK, "<form>" + "".join(REMARK % i for i in range(number)) + "</form>")
+        assert html_text.main_text(html) == "\n".join(PARAGRAPHS)
+
+
+def test_marks_inside_a_paragraph_do_not_end_it():
+    html = ("<article><p>Let <math><mi>x</mi></math> be a number, press <button>OK</button> now <svg><title>i</title></svg>and"
+            " <span class='ad'>buy</span> go<script>f()</script> on.</p></article>")
+    assert html_text.main_text(html) == "Let x be a number, press now and go on."
+
+
+@pytest.mark.parametrize("made", [
+    lambda n: "<div>some text here</div>" * n, lambda n: "<div><b>" * n + "x", lambda n: "<b>" * n + "</i>" * n + "<p>x" * n,
+    lambda n: "<div>" + "<b><i></b>" * n + "<p>y", lambda n: "<article>" + "<p>words and words<section>" * n,
+])
+def test_time_follows_the_length_of_the_page(made):
+    def seconds(n):
+        started = time.process_time()
+        html_text.main_text(made(n))
+        return time.process_time() - started
+
+    seconds(100)
+    assert seconds(32_000) < 8 * 2.5 * seconds(4_000) + 0.2
+
+
 @pytest.mark.parametrize("opening,closing", [("<article>", "</article>"), ("<main>", "</main>"), ("<div id=content>", "</div>")])
 @pytest.mark.parametrize("letters", [300, 10_000, 200_000])
 def test_short_sections_beside_a_very_long_paragraph(opening, closing, letters):
