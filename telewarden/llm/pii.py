@@ -14,6 +14,7 @@ searched whole. Repeated rows and extra columns pass unchanged; an empty table g
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -145,26 +146,48 @@ def inner_cards(text: str, base: list[tuple[int, int, str]]) -> Iterator[tuple[i
             first += step
 
 
-def more_spans(text: str, base: list[tuple[int, int, str]]) -> Iterator[tuple[int, int, str, float]]:
-    """Proposals beside the base spans with prior and validator's score."""
-    held = sorted((a, b) for a, b, _ in base)
+class Held:
+    """Spans that hold a part of the text, merged where they overlap and sorted."""
+
+    def __init__(self):
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+
+    def free(self, start: int, end: int) -> bool:
+        at = bisect_left(self.starts, end)
+        return not at or self.ends[at - 1] <= start
 
-    def taken(start: int, end: int) -> bool:
-        return any(a < end and start < b for a, b in held)
+    def hold(self, spans: list[tuple[int, int]]) -> None:
+        """All at once, as one more span alone would move all that follow it."""
+        before, self.starts, self.ends = [*zip(self.starts, self.ends), *spans], [], []
+        for start, end in sorted(before):
+            if self.ends and start < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
 
-    found = [(*s, "card", 0.6) for s in inner_cards(text, base)]
+
+def more_spans(text: str, base: list[tuple[int, int, str]]) -> Iterator[tuple[int, int, str, float]]:
+    """Proposals beside the base spans with prior and validator's score."""
+    held = Held()
+    held.hold([(a, b) for a, b, _ in base])
+    found = [("card", 0.6, list(inner_cards(text, base)))]
     if "+" in text:
-        found += [(*m.span(), "phone", 0.7) for m in INNER_PHONE.finditer(text) if 10 <= len(digits(m[0])) <= 15]
-    found += [(*m.span(), "phone", 0.3) for m in PLAIN_PHONE.finditer(text)]
-    found += [(*s, "iban", 0.7) for s in accounts(text)]
+        found.append(("phone", 0.7, [m.span() for m in INNER_PHONE.finditer(text) if 10 <= len(digits(m[0])) <= 15]))
+    found.append(("phone", 0.3, [m.span() for m in PLAIN_PHONE.finditer(text)]))
+    found.append(("iban", 0.7, list(accounts(text))))
+    numbers = []
     for m in SSN.finditer(text):
         area, group, serial = m[0].split("-")
         if area not in ("000", "666") and area < "900" and group != "00" and serial != "0000":
-            found.append((*m.span(), "ssn", 0.3))
-    for start, end, kind, score in sorted(found, key=lambda s: -s[3]):
-        if not taken(start, end):
-            held.append((start, end))
-            yield start, end, kind, score
+            numbers.append(m.span())
+    found.append(("ssn", 0.3, numbers))
+    # Proposals of one pattern don't overlap with each other.
+    for kind, score, spans in sorted(found, key=lambda f: -f[1]):
+        spans = [s for s in spans if held.free(*s)]
+        held.hold(spans)
+        yield from ((start, end, kind, score) for start, end in spans)
 
 
 def find_spans(text: str) -> list[tuple[str, int, int, bool, float]]:

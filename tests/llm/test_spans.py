@@ -62,6 +62,18 @@ def test_long_runs_take_linear_time():
         pii.find_spans(text)
 
 
+def seconds(work, *arguments):
+    started = time.process_time()
+    work(*arguments)
+    return time.process_time() - started
+
+
+@pytest.mark.parametrize("line", ["me@x.org 4111111111111111 555-123-4567 tel, ", "call 555-123-4567, ", "DE89 3704 0044 0532 0130 00, "])
+def test_many_spans_take_linear_time(line):
+    seconds(pii.find_spans, line * 100)
+    assert seconds(pii.find_spans, line * 32_000) < 8 * 2.5 * seconds(pii.find_spans, line * 4_000) + 0.2
+
+
 @pytest.mark.parametrize("text,expected", [
     ("+1 (555) 123-4567 4111111111111111", ["phone:0:17", "card:18:34"]),
     ("+49 30 1234567 4111-1111 1111 1111 10.0.0.1", ["phone:0:14", "card:15:34", "ip:35:43"]),
@@ -130,6 +142,20 @@ def test_licenses_equal_a_plain_search(spark):
     assert licenses.scan(spark, empty(spark)).collect() == []
 
 
+def test_long_texts_take_linear_time(spark):
+    """Forty times the words must not take more than some times as long, most of which is fixed cost."""
+    def scanned(n):
+        return licenses.scan(spark, documents(spark, [(1, "some other words and mit license " * n, None, None)], clashing=False)).collect()
+
+    scanned(10)
+    started = time.time()
+    short = scanned(1_000)
+    middle = time.time()
+    long = scanned(40_000)
+    assert time.time() - middle < 10 * (middle - started) + 5
+    assert [(r.n_words, r.n_base) for r in (*short, *long)] == [(6_000, 1_000), (240_000, 40_000)]
+
+
 def test_edited_license_passages(spark):
     mit = licenses.PASSAGES[0][0].split()
     inserted = " ".join([*mit[:9], "really", *mit[9:]])
