@@ -3,7 +3,9 @@
 Texts are cut before spaces that follow other than white space, where no piece of the split pattern
 can cross. Distinct chunks are numbered; only chunks not met before are split and merged. All their
 symbols lie in one array. A round looks up every neighbouring pair by binary search in the sorted
-pair keys, takes each word's lowest rank and merges it throughout the word.
+pair keys, takes each word's lowest rank and merges it throughout the word. Words of more than
+``LONG`` bytes would need many rounds over all their symbols; theirs are linked, a round merges the
+lowest rank there is in all of them, and only pairs that have changed are looked up again.
 
 Null text is empty text: no ids, and the empty text comes back. Strings of added tokens become
 their ids. Repeated rows, ties and extra columns pass unchanged; an empty table gives an empty one.
@@ -14,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from heapq import heappop, heappush
 from itertools import islice
 
 import numpy as np
@@ -28,6 +31,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: Chunks remembered by a Python worker; beyond it the memory starts anew, ids stay the same.
 REMEMBERED = 300_000
 NONE = np.iinfo(np.int32).max
+#: Bytes of a word that is merged with others of its kind by links; ids are the same.
+LONG = 256
 
 
 def byte_letters() -> list[str]:
@@ -125,20 +130,88 @@ class Chunks:
         return out, special
 
 
+def pair_ranks(vocabulary: Vocabulary, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Ranks of pairs of symbols, found in the sorted keys; ``NONE`` where no pair merges."""
+    if not len(vocabulary.keys):
+        return np.full(len(left), NONE, np.int32)
+    pair = left * vocabulary.size + right
+    place = np.minimum(np.searchsorted(vocabulary.keys, pair), len(vocabulary.keys) - 1)
+    return np.where(vocabulary.keys[place] == pair, vocabulary.ranks[place], NONE).astype(np.int32)
+
+
+def merge_linked(vocabulary: Vocabulary, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Like ``merge``; each round takes the places of one rank from a queue and follows links to their neighbours."""
+    lengths = np.array([len(w) for w in words], np.int64)
+    symbols = vocabulary.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
+    owner = np.repeat(np.arange(len(words)), lengths)
+    n = len(symbols)
+    after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+    edge = np.flatnonzero(np.diff(owner)) + 1
+    after[edge - 1], before[edge] = -1, -1
+    after[-1:] = -1
+    ranks = np.full(n, NONE, np.int32)
+    alive = np.ones(n, bool)
+    waiting: dict[int, list[np.ndarray]] = {}
+    queue: list[int] = []
+
+    def look_up(at: np.ndarray) -> None:
+        ranks[at] = NONE
+        at = at[after[at] >= 0]
+        ranks[at] = pair_ranks(vocabulary, symbols[at], symbols[after[at]])
+        at = at[ranks[at] < NONE]
+        own = ranks[at]
+        order = np.argsort(own, kind="stable")
+        at, own = at[order], own[order]
+        starts = np.flatnonzero(np.diff(own, prepend=-1))
+        for rank, part in zip(own[starts].tolist(), np.split(at, starts[1:])):
+            if rank not in waiting:
+                waiting[rank] = []
+                heappush(queue, rank)
+            waiting[rank].append(part)
+
+    look_up(np.arange(n))
+    while queue:
+        rank = heappop(queue)
+        at = np.unique(np.concatenate(waiting.pop(rank)))
+        at = at[alive[at] & (ranks[at] == rank)]
+        if not len(at):
+            continue
+        new_run = np.ones(len(at), bool)  # in runs like aaa every other pair merges, from the left
+        new_run[1:] = after[at[:-1]] != at[1:]
+        run_start = np.maximum.accumulate(np.where(new_run, np.arange(len(at)), 0))
+        at = at[(np.arange(len(at)) - run_start) % 2 == 0]
+        gone = after[at]
+        far = after[gone]
+        symbols[at] = vocabulary.results[rank]
+        alive[gone] = False
+        after[at] = far
+        before[far[far >= 0]] = at[far >= 0]
+        left = before[at]
+        look_up(np.unique(np.concatenate([at, left[left >= 0]])))
+    return symbols[alive].astype(np.int32), np.bincount(owner[alive], minlength=len(words))
+
+
 def merge(vocabulary: Vocabulary, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all words one after the other, and the number of ids of each word."""
     lengths = np.array([len(w) for w in words], np.int64)
+    long = np.flatnonzero(lengths > LONG)
+    if len(long):
+        ids, sizes = merge_linked(vocabulary, [words[i] for i in long])
+        short = np.flatnonzero(lengths <= LONG)
+        rest, rest_sizes = merge(vocabulary, [words[i] for i in short])
+        counts = np.empty(len(words), np.int64)
+        counts[long], counts[short] = sizes, rest_sizes
+        starts = np.empty(len(words), np.int64)
+        starts[long] = np.cumsum(sizes) - sizes
+        starts[short] = len(ids) + np.cumsum(rest_sizes) - rest_sizes
+        return np.concatenate([ids, rest])[gather(starts, counts)], counts
     symbols = vocabulary.byte_ids[np.frombuffer(b"".join(words), np.uint8)]
     owner = np.repeat(np.arange(len(words)), lengths)
     done_symbols, done_owner = [], []
-    last = len(vocabulary.keys) - 1
     while len(symbols):
-        pair = symbols[:-1] * vocabulary.size + symbols[1:]
-        place = np.minimum(np.searchsorted(vocabulary.keys, pair), last) if last >= 0 else None
         ranks = np.full(len(symbols), NONE, np.int32)
-        if last >= 0:
-            hit = (vocabulary.keys[place] == pair) & (owner[1:] == owner[:-1])
-            ranks[:-1][hit] = vocabulary.ranks[place[hit]]
+        inside = owner[1:] == owner[:-1]
+        ranks[:-1][inside] = pair_ranks(vocabulary, symbols[:-1], symbols[1:])[inside]
         begins = np.flatnonzero(np.diff(owner, prepend=-1))
         lowest = np.minimum.reduceat(ranks, begins)
         sizes = np.diff(begins, append=len(owner))

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -180,3 +181,26 @@ def test_pooling_ignores_neighbouring_texts():
     texts = ["one two", "", "two two three!", None, "x"]
     alone = np.concatenate([quality.pooled(vectors, pa.array([t], pa.string())) for t in texts])
     assert np.allclose(quality.pooled(vectors, pa.array(texts, pa.string())), alone, atol=1e-5)
+
+
+def test_long_words_equal_the_library_and_take_linear_time():
+    """Words without spaces, merged by links."""
+    library = tokenizers.Tokenizer.from_file(vocabulary_path())
+    library.no_truncation()
+    library.no_padding()
+    r = random.Random(1)
+    alphabets = ("abcdefghijklmnopqrstuvwxyz", "ab", "a", "éüñßл中文", "0123456789", "etaoin", "-_=+.", "the")
+    texts = ["".join(r.choice(a) for _ in range(n)) for a in alphabets for n in (255, 256, 257, 1000, 5000)]
+    texts += [" " * 3000 + "x", "aaaa" * 700 + " bbb" * 10, "x" * 100_000, "".join(r.choice(alphabets[0]) for _ in range(100_000))]
+    encoder = bpe.Encoder(bpe.Vocabulary(vocabulary_path()))
+    ids, bounds = encoder.encode(texts)
+    for i, text in enumerate(texts):
+        assert ids[bounds[i] : bounds[i + 1]].tolist() == library.encode(text, add_special_tokens=False).ids
+
+    def seconds(n):
+        text = "".join(r.choice(alphabets[0]) for _ in range(n))
+        started = time.process_time()
+        bpe.merge(encoder.vocabulary, [text.encode()])
+        return time.process_time() - started
+
+    assert seconds(320_000) < 8 * 2.5 * seconds(40_000) + 0.5
