@@ -42,6 +42,8 @@ PASSAGES = [
     ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "isc"),
     ("this is free and unencumbered software released into the public domain", "unlicense"),
 ]
+#: Fixed: the letters that are lower-cased.
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 GAP = 3
 COVER = 0.8
 #: The template that stands for the text itself and carries its word count.
@@ -66,18 +68,28 @@ def scan(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str =
     rows = docs.select(
         F.col(key).alias("id"),
         F.xxhash64(whole).alias("of"),
-        F.array_remove(F.split(F.lower(whole), SEPARATORS), "").alias("words"),
+        F.array_remove(F.split(F.translate(whole, UPPER, UPPER.lower()), SEPARATORS), "").alias("words"),
     )
-    pairs = F.transform("words", lambda w, i: F.xxhash64(w, F.get("words", i + 1)))
-    hashes = F.concat(pairs, F.array(F.lit(0).cast("long")))  # the last one stands for the text itself
-    n = F.size("words")
-    hits = rows.select("id", "of", "words", F.posexplode(hashes).alias("at", "h")).join(F.broadcast(positions(spark)), "h")
-    same = (F.get("words", F.col("at")) == F.col("one")) & (F.get("words", F.col("at") + 1) == F.col("two"))
-    hits = hits.filter(F.when(F.col("template") == TEXT, F.col("at") == n).otherwise(same)).select(
+    places = positions(spark)
+    known = [r.h for r in places.select("h").distinct().collect()]  # as many as the templates have word pairs
+
+    def pair(w, i):
+        after = F.get("words", i + 1)
+        return F.struct(i.alias("at"), F.xxhash64(w, after).alias("h"), w.alias("first_word"), after.alias("second_word"))
+
+    # What leaves a text is its pairs that some template has, with their words, and one row that stands for the text.
+    pairs = F.filter(F.transform("words", pair), lambda p: p["h"].isin(known) & (p["at"] < F.size("words") - 1))
+    none = F.lit(None).cast("string")
+    text_row = F.struct(
+        F.size("words").alias("at"), F.lit(0).cast("long").alias("h"), none.alias("first_word"), none.alias("second_word")
+    )
+    hits = rows.select("id", "of", F.inline(F.concat(pairs, F.array(text_row)))).join(F.broadcast(places), "h")
+    same = (F.col("first_word") == F.col("one")) & (F.col("second_word") == F.col("two"))
+    hits = hits.filter((F.col("template") == TEXT) & F.col("first_word").isNull() | same).select(
         "id", "of", "template", "label", "base", "pairs",
         F.when(F.col("template") == TEXT, 0).otherwise(F.col("at") - F.col("place")).alias("diagonal"),
         "bit",
-        n.cast("long").alias("n"),
+        F.when(F.col("template") == TEXT, F.col("at")).cast("long").alias("n"),
     )
     votes = hits.groupBy("id", "of", "template", "label", "base", "pairs", "diagonal").agg(
         F.bit_or("bit").alias("bits"), F.max("n").alias("n"), F.count("*").alias("rows")

@@ -31,7 +31,7 @@ LINKS = """WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM emb
 #: Word pairs joined to template positions, votes by diagonal, neighbouring diagonals merged.
 LICENSES = f"""WITH {_templates()},
   d AS (SELECT row_number() OVER () AS rid, doc_id,
-    list_filter(string_split_regex(lower(coalesce(text, '')), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w FROM documents),
+    list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w FROM documents),
   p AS (SELECT rid, k, w[k + 1] AS one, w[k + 2] AS two FROM (SELECT rid, w, unnest(range(0, len(w) - 1)) AS k FROM d)),
   votes AS (SELECT rid, template, label, base, pairs, k - place AS diagonal, bit_or(bit) AS bits
     FROM p JOIN t ON t.one = p.one AND t.two = p.two GROUP BY ALL),
