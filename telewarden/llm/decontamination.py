@@ -9,6 +9,14 @@ been copied into many documents. Runs of a document that may be seeds (a bitmap
 so) make windows with as many words around them as the longest item has. Windows and items that
 share a seed are joined by Spark and aligned by words.
 
+A seed that more than ``SHARED`` items have, such as an instruction that stands in all questions, says
+little of any of them. There the join asks for one word more, one of the item's telling words. Words
+of an item inside an alignment that have no partner lower its score, so if the telling words, the
+rarest ones that few items have, were all without, no stretch of the item could reach the score of a
+match, even if all its other words had a partner. Items whose common words alone reach it are joined
+by the seed as before. So the same pairs match, and pairs that share a common seed alone are not
+aligned.
+
 An item matches if the alignment scores ``SHARE`` of its words or ``LONG`` words, whichever is less,
 but ``EVIDENCE`` words at least: a shorter item must stand in the document whole and unedited. Items of fewer than ``SEED`` words match nothing. Null texts are empty. Rows without doc_id or
 item_id are left out of the result; rows that repeat an id count as one, with the best score. An
@@ -18,16 +26,19 @@ empty table on either side gives an empty result; other columns are not read.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import Staging
 from .common import flat, map_text, mixed, run_hashes, runs, unused
 
 SEED = 3
+#: Items that share a seed, or a word, beyond which it is common.
+SHARED = 8
 RARE = 1e-6
 LEAST = 8
 SHARE = 0.5
@@ -40,7 +51,7 @@ GAP = -1.0
 #: Bits of the bitmap of words and of seeds: 128 KB and 2 MB.
 WORD_BITS = 20
 SEED_BITS = 24
-#: The row that counts all words.
+#: The row that counts all words, and the word that stands for any.
 ALL = 0
 SLICE = 2 << 20
 
@@ -166,18 +177,56 @@ class Counts:
         yield pa.RecordBatch.from_arrays(columns, ["word", "n"])
 
 
-def seeds(docs: DataFrame, every: DataFrame, staging: Staging) -> DataFrame:
-    """run, size, prefix (its first SEED words as a run) and item of the rare runs of the items."""
+def least_score(n: Column) -> Column:
+    """The score from which an item of n words matches."""
+    return F.least(F.greatest(n * SHARE, F.least(n, F.lit(EVIDENCE))), F.lit(float(LONG)))
+
+
+def most_without(item: np.ndarray, missing: np.ndarray) -> float:
+    """The score that no alignment passes if these words of the item have no partner in the window."""
+    worth = np.where(np.isin(item, missing), max(MISMATCH, GAP), 1.0)
+    total = np.concatenate([[0.0], np.cumsum(worth)])
+    return float((total - np.minimum.accumulate(total)).max())
+
+
+def telling(batches):
+    """item and word: one of these words stands in each window that the item matches; ``ALL`` if there is none such.
+
+    Rows are item, words, logarithms of their frequencies, and how many items have each.
+    """
+    for batch in batches:
+        items, found = [], []
+        for i in range(len(batch)):
+            own, chances, shared = (batch.column(k)[i].values.to_numpy() for k in (1, 2, 3))
+            n = len(own)
+            needed = math.ceil(min(max(n * SHARE, min(n, EVIDENCE)), LONG))
+            special, first = np.unique(own[shared <= SHARED], return_index=True)
+            special = special[np.argsort(chances[shared <= SHARED][first], kind="stable")]
+            if most_without(own, special) >= needed:
+                rare = np.array([ALL])
+            else:
+                enough = bisect_left(range(len(special)), True, key=lambda k: most_without(own, special[:k]) < needed)
+                rare = special[:enough]
+            items += [i] * len(rare)
+            found.append(rare)
+        words_of = np.concatenate([*found, np.empty(0, np.int64)]).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(items, pa.int64())), pa.array(words_of)], ["item", "word"])
+
+
+def seeds(docs: DataFrame, every: DataFrame, staging: Staging) -> tuple[DataFrame, DataFrame]:
+    """run, size, prefix (its first SEED words as a run) and item of the rare runs of the items; item and telling words."""
     places = every.select("item", "version", F.posexplode("words").alias("place", "word"))
-    vocabulary = places.select("word").distinct()
+    vocabulary = staging(places.groupBy("word").agg(F.count_distinct("item").alias("items")), "vocabulary")
     bits_set = bitmap(vocabulary, "word", WORD_BITS)
     counted = map_text(docs, lambda: Counts(bits_set), "word long, n long", ["text"], SLICE)
     counted = staging(counted.groupBy("word").agg(F.sum("n").alias("n")), "word_counts")
     total = (counted.filter(F.col("word") == ALL).agg(F.sum("n").alias("n")).first().n or 0) + 1
-    known = staging(vocabulary.join(counted, "word", "left").select("word", F.coalesce("n", F.lit(0)).alias("n")), "frequencies")
+    known = vocabulary.join(counted, "word", "left").select("word", F.coalesce("n", F.lit(0)).alias("n"), "items")
+    known = staging(known, "frequencies")
     chance = F.least(F.log((F.col("n") + 1) / F.lit(float(total))), F.lit(0.0))
-    rows = places.join(known, "word").groupBy("item", "version").agg(F.sort_array(F.collect_list(F.struct("place", "word", chance.alias("chance")))).alias("at"))
-    rows = rows.select("item", F.col("at.word").alias("words"), F.col("at.chance").alias("chances"))
+    at = F.struct("place", "word", chance.alias("chance"), "items")
+    rows = places.join(known, "word").groupBy("item", "version").agg(F.sort_array(F.collect_list(at)).alias("at"))
+    rows = staging(rows.select("item", F.col("at.word").alias("words"), F.col("at.chance").alias("chances"), "at.items"), "item_rows")
 
     def run(batches):
         for batch in batches:
@@ -193,7 +242,38 @@ def seeds(docs: DataFrame, every: DataFrame, staging: Staging) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["run", "size", "prefix", "item"])
 
     kind = every.schema["item"].dataType.simpleString()
-    return staging(rows.mapInArrow(run, f"run long, size int, prefix long, item {kind}").distinct(), "seeds")
+    found = rows.select("item", "words", "chances").mapInArrow(run, f"run long, size int, prefix long, item {kind}")
+    words_of = rows.select("item", "words", "chances", "items").mapInArrow(telling, f"item {kind}, word long")
+    return staging(found.distinct(), "seeds"), words_of.distinct()
+
+
+def candidates(found: DataFrame, rare: DataFrame, telling_words: DataFrame, staging: Staging) -> DataFrame:
+    """doc, begin and item of windows and items that share a seed, and a telling word where the seed is common."""
+    common = staging(rare.groupBy("run").agg(F.count("*").alias("n")).filter(F.col("n") > SHARED).select("run"), "common_seeds")
+    held = staging(found.select("doc", "begin", F.explode("runs").alias("run")).distinct(), "held_seeds")
+    own = held.join(rare.select("run", "item").join(common, "run", "left_anti"), "run").select("doc", "begin", "item")
+    many = held.join(common, "run", "left_semi")
+    kind = found.schema["doc"].dataType.simpleString()
+
+    def work():
+        def step(batch):
+            hashes, _, _, texts, _, _ = words(batch.column(3))
+            sizes = np.diff(texts)
+            row = np.repeat(np.arange(len(batch)), sizes)
+            # Each word of a window once, and the word that stands for any.
+            pairs = np.unique(np.stack([row, hashes.view(np.int64)]), axis=1)
+            row = np.concatenate([pairs[0], np.arange(len(batch))])
+            word = np.concatenate([pairs[1], np.full(len(batch), ALL)])
+            take = pa.array(row)
+            columns = [batch.column(i).take(take) for i in range(3)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(word)], ["doc", "begin", "run", "word"])
+
+        return step
+
+    texts = many.join(found.select("doc", "begin", "text"), ["doc", "begin"])
+    at = map_text(texts, work, f"doc {kind}, begin long, run long, word long", ["doc", "begin", "run", "text"], SLICE)
+    wanted = rare.select("run", "item").join(common, "run", "left_semi").join(telling_words, "item")
+    return own.unionByName(at.join(staging(wanted, "wanted"), ["run", "word"]).select("doc", "begin", "item")).distinct()
 
 
 def windows(docs: DataFrame, prefixes: np.ndarray, bits_set: np.ndarray, sizes: list[int], around: int) -> DataFrame:
@@ -290,14 +370,13 @@ def matches(
     items = benchmark.select(F.col(item).alias("item"), F.col(item_text).alias("text")).filter("item is not null")
     every = staging(item_words(items), "item_words")
     longest = every.agg(F.max("n_words").alias("n")).first().n or 0
-    rare = seeds(docs, every, staging)
+    rare, telling_words = seeds(docs, every, staging)
     sizes = sorted(r.size for r in rare.select("size").distinct().collect())
     bits = [bitmap(rare, column, SEED_BITS) for column in ("prefix", "run")]
     found = staging(windows(docs, *bits, sizes, longest), "windows") if sizes else staging(docs.limit(0).selectExpr("doc", "0L begin", "text", "array(0L) runs"), "windows")
-    shared = found.select("doc", "begin", F.explode("runs").alias("run")).join(rare.select("run", "item"), "run").select("doc", "begin", "item").distinct()
+    shared = candidates(found, rare, telling_words, staging)
     pairs = shared.join(found.select("doc", "begin", F.col("text").alias("window")), ["doc", "begin"]).join(items, "item")
-    least = F.greatest(F.col("n_words") * SHARE, F.least("n_words", F.lit(EVIDENCE)))
-    good = scored(pairs).filter((F.col("n_words") >= SEED) & (F.col("score") >= F.least(least, F.lit(float(LONG)))))
+    good = scored(pairs).filter((F.col("n_words") >= SEED) & (F.col("score") >= least_score(F.col("n_words"))))
     best = good.groupBy("doc", "item").agg(F.max(F.struct("score", "n_words", "end")).alias("best"))
     return best.select(
         F.col("doc").alias(key), F.col("item").alias(item), "best.score",

@@ -349,6 +349,45 @@ def test_matches_equal_a_search_of_all_pairs(spark):
     assert decontamination.matches(spark, docs, benchmark.limit(0)).collect() == []
 
 
+def test_a_phrase_that_many_items_share_is_no_reason_to_align(spark, monkeypatch):
+    """200 questions and 200 documents have one phrase; what matches is the same as in all pairs."""
+    phrase = "zorp quell the vundim"
+    items = [phrase + " " + " ".join(invented(int(n), 5000 + i)) for i, n in enumerate(np.random.default_rng(2).integers(6, 30, 200))]
+    items[7] = phrase + " answer all of these in a line"
+    random = np.random.default_rng(3)
+    rows = []
+    for i in range(200):
+        body = invented(int(random.integers(20, 120)), 9000 + i)
+        at = int(random.integers(0, len(body)))
+        body[at:at] = phrase.split()
+        if i % 5 == 0:  # a copy, every other word or so of the question's own edited
+            own = items[i].split()
+            for j in range(4, len(own), int(random.integers(2, 6))):
+                own[j] = "edited"
+            body[at:at] = own
+        rows.append((i, " ".join(body), None, None))
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    aligned = []
+    real = decontamination.scored
+
+    def counted(pairs):
+        aligned.append(pairs.count())
+        return real(pairs)
+
+    monkeypatch.setattr(decontamination, "scored", counted)
+    found = {(r.doc_id, r.item_id): r.score for r in decontamination.matches(spark, documents(spark, rows), benchmark).collect()}
+    texts, tests, expected = words_of([r[1] for r in rows]), words_of(items), {}
+    own = [set(t.tolist()) for t in texts]
+    for i, text in enumerate(texts):
+        for j, item in enumerate(tests):
+            # Fewer words in common than a match needs can't be one.
+            need = min(max(len(item) * decontamination.SHARE, min(len(item), decontamination.EVIDENCE)), decontamination.LONG)
+            if np.isin(item, text).sum() >= need and (score := decontamination.aligned(item, text)[0]) >= need:
+                expected[i, j] = score
+    assert found == expected and len(expected) >= 15
+    assert aligned[0] < 10 * len(rows)
+
+
 def test_a_passage_in_many_documents_stays_a_seed(spark):
     item = " ".join(invented(30, 7))
     rows = [(i, " ".join(invented(40, 1000 + i)) + " " + item if i % 3 == 0 else " ".join(invented(60, i)), None, None) for i in range(300)]
