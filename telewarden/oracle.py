@@ -333,6 +333,17 @@ ORACLE = {
         FROM lineitem JOIN valid r ON r.sensor_id = 'S' || l_suppkey AND r.type = 'simple'
         WHERE {OP_HOLDS.format(m='l_quantity')}""",
     "rules_table_alarms": TABLE_ALARMS,
+    "many_rules_hits": f"""WITH {TEL}, {scanned('tel', {})},
+        tops AS (SELECT event_type, max(value) AS top FROM events GROUP BY event_type),
+        r AS (SELECT 'M_' || event_type || '_' || k AS rule_id, event_type, k % 2 AS step,
+            CASE k % 7 WHEN 0 THEN '>' WHEN 1 THEN '>=' WHEN 2 THEN '<' WHEN 3 THEN '<=' WHEN 4 THEN '==' WHEN 5 THEN '!=' ELSE '~' END AS operator,
+            CASE WHEN k % 7 = 5 THEN CASE WHEN k < 40 THEN floor(top) END
+                ELSE round(top * CASE WHEN k % 7 < 2 THEN k * 0.0002 + 0.8 WHEN k % 7 < 4 THEN k * -0.0002 ELSE k * 0.001 END, 2) END AS value
+            FROM tops, range(1000) t(k)),
+        m AS (SELECT rule_id, r.value, operator, s.seq, CASE step WHEN 1 THEN s.diff ELSE s.value END AS measure
+            FROM r JOIN scanned s ON s.sensor_id = event_type WHERE r.value IS NOT NULL)
+        SELECT rule_id, count(*) AS hits, min(seq) AS first_seq, max(seq) AS last_seq FROM m r
+        WHERE {OP_HOLDS.format(m='measure')} GROUP BY rule_id""",
     "rules_table_nominal": f"""{DATA_RULES} SELECT timestamp, 'NOMINAL' AS status,
         string_agg(sensor_id || ':' || CAST(value AS VARCHAR), '|' ORDER BY sensor_id, seq) AS sensor_string
         FROM tel WHERE timestamp NOT IN (SELECT timestamp FROM hits) GROUP BY timestamp""",

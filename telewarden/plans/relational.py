@@ -1,7 +1,9 @@
 """Evaluate a rule catalogue as a table, for catalogues too large to compile.
 
 Rules are joined to the readings by sensor, once for all kinds. Carries between arrival slices are
-those of the compiled scan, by sensor for steps and by rule for streaks. Correlations are joins and
+those of the compiled scan, by sensor for steps and by rule for streaks. The thresholds of a sensor's
+simple and step rules are sorted arrays, one for each kind and operator: a reading finds its place in
+each by bisection, and only the rules on the right side of it become rows. Correlations are joins and
 counts over the distinct (timestamp, rule) pairs that fired, one level of nesting after another. No
 join carries a hint: Spark broadcasts a rule table whose staged size is below its threshold; else it
 shuffles, and splits the readings of a hot sensor.
@@ -12,23 +14,69 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import cached_property, reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fmt_value, op_case, priority_rank, slice_of
+from ..functions.thresholds import OPERATORS
 from ..operators.scan import BLOCK_SLICES, Stage, State, across_slices, keep_old
 from ..session import Staging
 from .evaluate import SLICE_ROWS, nominal_rows, sort_alarms
 from .rules import UNKNOWN_SENSOR
 
+# Rules of one sensor, kind and operator: fewer than two to this power.
+BITS = 20
 HIT = ("timestamp", "rule_id", "priority", "sensor_id", "value", "seq")
 
 
 def simple_hits(df: DataFrame, rules: DataFrame) -> DataFrame:
     """One row per (simple rule, reading) that fires."""
-    wanted = _wanted(rules.filter("type = 'simple'"))
-    met = df.select("timestamp", "sensor_id", "value", "seq").join(wanted, "sensor_id")
-    return met.filter(op_case(F.col("value"), F.col("op"), F.col("threshold"))).select(*HIT)
+    readings = df.select("timestamp", "sensor_id", "value", "seq").withColumn("diff", F.lit(None).cast("double"))
+    return instant_hits(readings, rules.filter("type = 'simple'"))
+
+
+def instant_hits(readings: DataFrame, rules: DataFrame) -> DataFrame:
+    """One row per (simple or step rule, reading with ``diff``) that fires.
+
+    A reading meets one row for each kind and operator that its sensor's rules have; beyond that the
+    work follows the rules that fire.
+    """
+    own = ["sensor_id", "type", "op"]
+    rules = _wanted(rules.filter(F.col("type").isin("simple", "step_difference") & F.col("operator").isin(*OPERATORS)))
+    # A window over the rules of one sensor, kind and operator: rules are many, but they are no data.
+    place = F.row_number().over(Window.partitionBy(*own).orderBy("threshold", "rule_id")) - 1
+    levels = rules.select(*own, "rule_id", "priority", "threshold", place.alias("place"))
+    sorted_levels = F.sort_array(F.collect_list(F.struct("place", "threshold")))
+    groups = levels.groupBy(*own).agg(sorted_levels["threshold"].alias("thresholds"), F.count("*").cast("int").alias("n"))
+    measure = F.when(F.col("type") == "step_difference", F.col("diff")).otherwise(F.col("value"))
+    met = readings.join(groups, "sensor_id").withColumn("measure", measure)
+    met = met.withColumns({"below": _found("<"), "upto": _found("<=")})
+    return (
+        met.select("timestamp", *own, "value", "seq", F.explode(_fired_places()).alias("place"))
+        .join(levels.drop("threshold"), [*own, "place"])
+        .select(*HIT)
+    )
+
+
+def _found(compare: str) -> Column:
+    """How many of the sorted thresholds compare so with the measure, by bisection."""
+    return F.expr(
+        f"""aggregate(transform(sequence(1, {BITS}), b -> shiftleft(1, {BITS} - b)), 0,
+        (at, step) -> if(at + step <= n AND get(thresholds, at + step - 1) {compare} measure, at + step, at))"""
+    )
+
+
+def _fired_places() -> Column:
+    """Places of the thresholds that the measure breaches."""
+
+    def span(first: str, end: str) -> str:
+        return f"if({end} > {first}, sequence({first}, {end} - 1), cast(array() AS array<int>))"
+
+    return F.expr(
+        f"""CASE op WHEN '>' THEN {span('0', 'below')} WHEN '>=' THEN {span('0', 'upto')}
+        WHEN '<' THEN {span('upto', 'n')} WHEN '<=' THEN {span('below', 'n')} WHEN '==' THEN {span('below', 'upto')}
+        ELSE concat({span('0', 'below')}, {span('upto', 'n')}) END"""
+    )
 
 
 @dataclass
@@ -38,6 +86,7 @@ class TableResult:
     readings: DataFrame
     rules: DataFrame
     steps: DataFrame
+    instant: DataFrame
     judged: DataFrame
     streaks: DataFrame
     state_in: State | None
@@ -46,17 +95,15 @@ class TableResult:
     @cached_property
     def hits(self) -> DataFrame:
         """One row per (base rule, reading) that fires."""
-        instant = self.judged.filter("type <> 'stateful'").select(*HIT)
         streak = F.when(F.col("last_ok_0").isNull(), F.col("rn") + F.col("entry_0")).otherwise(
             F.col("rn") - F.col("last_ok_0")
         )
         entries = self.streaks.select(F.col("watch").alias("rule_id"), "slice", "entry_0")
         long = (
-            self.judged.filter("type = 'stateful'")
-            .join(entries, ["rule_id", "slice"])
+            self.judged.join(entries, ["rule_id", "slice"])
             .filter(streak >= F.col("consecutive_measurements"))
         )
-        return self.stage(instant.unionByName(long.select(*HIT)), "hits")
+        return self.stage(self.instant.unionByName(long.select(*HIT)), "hits")
 
     @cached_property
     def found(self) -> DataFrame:
@@ -110,25 +157,24 @@ def evaluate(
     stepped = readings.join(entry, ["sensor_id", "slice"]).withColumn(
         "diff", F.col("value") - F.coalesce("previous", "entry_value", "value")
     )
-    met = stepped.join(_wanted(rules.filter("type <> 'correlation'")), "sensor_id")
-    measure = F.when(F.col("type") == "step_difference", F.col("diff")).otherwise(F.col("value"))
-    met = met.withColumn("holds", op_case(measure, F.col("op"), F.col("threshold")))
-    met = met.filter((F.col("type") == "stateful") | F.col("holds"))
+    met = stepped.join(_wanted(rules.filter("type = 'stateful'")), "sensor_id")
+    met = met.withColumn("holds", op_case(F.col("value"), F.col("op"), F.col("threshold")))
     run = Window.partitionBy("rule_id", "slice").orderBy("seq")
     so_far = run.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     met = met.withColumn("rn", F.row_number().over(run).cast("bigint")).withColumn(
         "last_ok_0", F.max(F.when(~F.col("holds"), F.col("rn"))).over(so_far)
     )
     judged = stage(
-        met.select(*HIT, "slice", "type", "consecutive_measurements", "rn", "last_ok_0"), "judged"
+        met.select(*HIT, "slice", "consecutive_measurements", "rn", "last_ok_0"), "judged"
     )
     if state is not None:
         before = state.streak.select(
             F.col("rule_id").alias("watch"), F.lit(None).cast("double").alias("state_value"), F.col("streak").alias("state_0")
         )
-    stateful = judged.filter("type = 'stateful'").withColumn("watch", F.col("rule_id"))
+    stateful = judged.withColumn("watch", F.col("rule_id"))
     streaks = stage(across_slices(stateful, 1, before, block_rows), "streaks")
-    return TableResult(readings.drop("previous").withColumn("watch", F.lit(-1)), rules, steps, judged, streaks, state, stage)
+    instant = instant_hits(stepped, rules)
+    return TableResult(readings.drop("previous").withColumn("watch", F.lit(-1)), rules, steps, instant, judged, streaks, state, stage)
 
 
 def alarms(df: DataFrame, rules: DataFrame, slice_rows: int = SLICE_ROWS, stage: Stage | None = None) -> DataFrame:

@@ -429,6 +429,38 @@ def rules_table_alarms(spark, sf):
     return relational.alarms(df, data_rules(spark, sf), SHORT_SLICE)
 
 
+def many_rules(spark, sf) -> DataFrame:
+    """A thousand rules for each sensor: thresholds spread over its values, of two kinds and all operators."""
+    top = F.max("value").alias("top")
+    sensors = table(spark, sf, "events").groupBy(F.col("event_type").alias("sensor_id")).agg(top)
+    k = F.col("k")
+    kinds = F.array(F.lit("simple"), F.lit("step_difference"))
+    operators = F.array(*(F.lit(o) for o in (">", ">=", "<", "<=", "==", "!=", "~")))
+    spread = F.col("top") * F.when(k % 7 < 2, k * 0.0002 + 0.8).when(k % 7 < 4, k * -0.0002).otherwise(k * 0.001)
+    rules = sensors.select("sensor_id", "top", F.explode(F.sequence(F.lit(0), F.lit(999))).alias("k")).select(
+        F.concat_ws("_", F.lit("M"), "sensor_id", "k").alias("rule_id"),
+        kinds[k % 2].alias("type"),
+        "sensor_id",
+        operators[k % 7].alias("operator"),
+        # Hardly any reading differs from a threshold, so those rules are few and next to nothing equals one.
+        F.when(k % 7 == 5, F.when(k < 40, F.floor("top"))).otherwise(F.round(spread, 2)).alias("value"),
+        F.lit(None).cast("int").alias("consecutive_measurements"),
+        F.lit(None).cast("string").alias("logic"),
+        F.lit(None).cast("array<string>").alias("conditions"),
+        F.lit("LOW").alias("priority"),
+        k.cast("bigint").alias("pos"),
+    )
+    return normalise_rules(rules)[0]
+
+
+def many_rules_hits(spark, sf):
+    """How often each of thousands of rules fired, and first and last on which reading."""
+    result = relational.evaluate(telemetry(spark, sf), many_rules(spark, sf), slice_rows=SHORT_SLICE)
+    return result.hits.groupBy("rule_id").agg(
+        F.count("*").alias("hits"), F.min("seq").alias("first_seq"), F.max("seq").alias("last_seq")
+    )
+
+
 def rules_table_nominal(spark, sf):
     df = telemetry(spark, sf)
     return pack_nominal(relational.evaluate(df, data_rules(spark, sf), slice_rows=SHORT_SLICE).valid)
@@ -860,7 +892,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         nominal_lines_written, stream_alarms, stream_nominal, stream_state, rules_table_nominal,
         rules_table_state, alarm_positions, nominal_positions, rule_positions, damaged_csv, rules_json,
         sensors_yaml, absent_sensor, no_rules, published_lines, refused_outputs, counted_rejects,
-        late_readings, bounded_stream, supplier_completeness, islands_streak, damaged_lines, appended_positions,
+        late_readings, bounded_stream, many_rules_hits, supplier_completeness, islands_streak, damaged_lines, appended_positions,
         refused_arguments, keyed_stream_alarms, keyed_stream_nominal, keyed_stream_state, keyed_stream_quarantine,
         stream_progress,
     )
