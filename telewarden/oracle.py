@@ -344,6 +344,15 @@ ORACLE = {
             FROM r JOIN scanned s ON s.sensor_id = event_type WHERE r.value IS NOT NULL)
         SELECT rule_id, count(*) AS hits, min(seq) AS first_seq, max(seq) AS last_seq FROM m r
         WHERE {OP_HOLDS.format(m='measure')} GROUP BY rule_id""",
+    "many_streaks": f"""WITH {TEL}, tops AS (SELECT event_type, max(value) AS top FROM events GROUP BY event_type),
+        r AS (SELECT 'N_' || event_type || '_' || k AS rule_id, event_type, k % 4 + 1 AS n, round(top * (k * 0.004 + 0.001), 2) AS value,
+            CASE k % 6 WHEN 0 THEN '>' WHEN 1 THEN '>=' WHEN 2 THEN '<' WHEN 3 THEN '<=' WHEN 4 THEN '==' ELSE '!=' END AS operator
+            FROM tops, range(200) t(k)),
+        m AS (SELECT rule_id, event_type, n, seq, {OP_HOLDS.format(m='tel.value')} AS holds FROM r JOIN tel ON sensor_id = event_type),
+        g AS (SELECT *, sum(CASE WHEN holds THEN 0 ELSE 1 END) OVER (PARTITION BY rule_id ORDER BY seq) AS good FROM m),
+        s AS (SELECT *, sum(CASE WHEN holds THEN 1 ELSE 0 END) OVER (PARTITION BY rule_id, good ORDER BY seq) AS streak FROM g)
+        SELECT rule_id, event_type AS sensor_id, CAST(arg_max(streak, seq) AS BIGINT) AS streak, count(*) FILTER (streak >= n) AS hits
+        FROM s GROUP BY rule_id, event_type""",
     "rules_table_nominal": f"""{DATA_RULES} SELECT timestamp, 'NOMINAL' AS status,
         string_agg(sensor_id || ':' || CAST(value AS VARCHAR), '|' ORDER BY sensor_id, seq) AS sensor_string
         FROM tel WHERE timestamp NOT IN (SELECT timestamp FROM hits) GROUP BY timestamp""",

@@ -3,7 +3,10 @@
 Rules are joined to the readings by sensor, once for all kinds. Carries between arrival slices are
 those of the compiled scan, by sensor for steps and by rule for streaks. The thresholds of a sensor's
 simple and step rules are sorted arrays, one for each kind and operator: a reading finds its place in
-each by bisection, and only the rules on the right side of it become rows. Correlations are joins and
+each by bisection, and only the rules on the right side of it become rows. Stateful rules of one
+operator have nested breaches: the last N readings all breach a threshold if their least or greatest
+value does, so a sliding extreme finds its place among the thresholds in the same way, and the last
+good reading of every threshold follows from the last reading at each place. Correlations are joins and
 counts over the distinct (timestamp, rule) pairs that fired, one level of nesting after another. No
 join carries a hint: Spark broadcasts a rule table whose staged size is below its threshold; else it
 shuffles, and splits the readings of a hot sensor.
@@ -19,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fmt_value, op_case, priority_rank, slice_of
 from ..functions.thresholds import OPERATORS
+from ..operators.numbering import running_sum
 from ..operators.scan import BLOCK_SLICES, Stage, State, across_slices, keep_old
 from ..session import Staging
 from .evaluate import SLICE_ROWS, nominal_rows, sort_alarms
@@ -41,23 +45,37 @@ def instant_hits(readings: DataFrame, rules: DataFrame) -> DataFrame:
     A reading meets one row for each kind and operator that its sensor's rules have; beyond that the
     work follows the rules that fire.
     """
-    own = ["sensor_id", "type", "op"]
     rules = _wanted(rules.filter(F.col("type").isin("simple", "step_difference") & F.col("operator").isin(*OPERATORS)))
-    # A window over the rules of one sensor, kind and operator: rules are many, but they are no data.
-    place = F.row_number().over(Window.partitionBy(*own).orderBy("threshold", "rule_id")) - 1
-    levels = rules.select(*own, "rule_id", "priority", "threshold", place.alias("place"))
-    sorted_levels = F.sort_array(F.collect_list(F.struct("place", "threshold")))
-    groups = levels.groupBy(*own).agg(sorted_levels["threshold"].alias("thresholds"), F.count("*").cast("int").alias("n"))
+    levels = _levels(rules, "type")
     measure = F.when(F.col("type") == "step_difference", F.col("diff")).otherwise(F.col("value"))
-    met = readings.join(groups, "sensor_id").withColumn("measure", measure)
-    met = met.withColumns({"below": _found("<"), "upto": _found("<=")})
+    met = _met(readings.join(_groups(levels, "type"), "sensor_id").withColumn("measure", measure))
     return (
-        met.select("timestamp", *own, "value", "seq", F.explode(_fired_places()).alias("place"))
-        .join(levels.drop("threshold"), [*own, "place"])
+        met.select("timestamp", "sensor_id", "type", "op", "value", "seq", F.explode(_fired_places()).alias("place"))
+        .join(levels, ["sensor_id", "type", "op", "place"])
         .select(*HIT)
     )
 
 
+def _levels(rules: DataFrame, kind: str) -> DataFrame:
+    """Rules with their place among those of the same sensor, kind and operator, by threshold.
+
+    The window holds the rules of one sensor, kind and operator: they may be many, but they are no data.
+    """
+    place = F.row_number().over(Window.partitionBy("sensor_id", kind, "op").orderBy("threshold", "rule_id")) - 1
+    return rules.withColumn("place", place)
+
+
+def _groups(levels: DataFrame, kind: str) -> DataFrame:
+    """The sorted thresholds of each sensor, kind and operator."""
+    in_order = F.sort_array(F.collect_list(F.struct("place", "threshold")))
+    return levels.groupBy("sensor_id", kind, "op").agg(in_order["threshold"].alias("thresholds"), F.count("*").cast("int").alias("n"))
+
+
+def _met(rows: DataFrame) -> DataFrame:
+    """Rows with a measure and thresholds: how many of these are below it, or up to it."""
+    return rows.withColumns({"below": _found("<"), "upto": _found("<=")})
+
+
 def _found(compare: str) -> Column:
     """How many of the sorted thresholds compare so with the measure, by bisection."""
     return F.expr(
@@ -79,6 +97,97 @@ def _fired_places() -> Column:
     )
 
 
+# Operators whose breaches are nested by threshold, or that only equal values breach.
+NESTED = (">", ">=", "<", "<=", "==")
+
+
+def numbered_places(readings: DataFrame, stage: Stage) -> DataFrame:
+    """Readings with ``rn`` inside (sensor, slice): adds ``p``, the place among the sensor's readings, from 1."""
+    counts = readings.groupBy("sensor_id", "slice").agg(F.count("*").alias("n"))
+    summed = stage(running_sum(counts, ["sensor_id", "slice"], "n", stage, "slice_counts"), "slices_before")
+    start = summed.groupBy("sensor_id").agg(F.min("before").alias("start"))
+    before = summed.join(start, "sensor_id").select("sensor_id", "slice", (F.col("before") - F.col("start")).alias("rows_before"))
+    return readings.join(before, ["sensor_id", "slice"]).withColumn("p", F.col("rows_before") + F.col("rn")).drop("rows_before")
+
+
+def streak_hits(placed: DataFrame, rules: DataFrame, carried: DataFrame | None, slice_rows: int) -> DataFrame:
+    """One row per (nested stateful rule, reading) that fires.
+
+    Readings are cut into stretches of their sensor; the last ones of a stretch stand before the next
+    one too, as many as the longest count needs. There is a sliding extreme for each distinct count.
+    """
+    counts = sorted(r.n for r in rules.select(F.col("consecutive_measurements").alias("n")).distinct().collect())
+    if not counts:
+        empty = "timestamp string, rule_id string, priority string, sensor_id string, value double, seq bigint"
+        return placed.sparkSession.createDataFrame([], empty)
+    rows, halo = max(slice_rows, counts[-1]), counts[-1] - 1
+    own = F.floor((F.col("p") - 1) / rows)
+    watched = placed.join(rules.select("sensor_id").distinct(), "sensor_id", "left_semi").withColumn("own", own)
+    again = F.when(F.col("p") > (F.col("own") + 1) * rows - halo, F.array("own", F.col("own") + 1)).otherwise(F.array("own"))
+    spread = watched.select("timestamp", "sensor_id", "value", "seq", "p", "own", F.explode(again).alias("stretch"))
+    by = Window.partitionBy("sensor_id", "stretch").orderBy("p")
+    extremes = F.array(
+        *(
+            F.struct(
+                F.lit(n).alias("count"),
+                F.min("value").over(by.rowsBetween(1 - n, 0)).alias("low"),
+                F.max("value").over(by.rowsBetween(1 - n, 0)).alias("high"),
+            )
+            for n in counts
+        )
+    )
+    slid = spread.withColumn("extremes", extremes).filter("own = stretch").drop("own", "stretch")
+    levels = _levels(rules.withColumnRenamed("consecutive_measurements", "count"), "count")
+    groups = _groups(levels, "count")
+    # Each reading meets a row for each count and operator of its sensor's rules.
+    met = slid.join(groups, "sensor_id").withColumn("at", F.filter("extremes", lambda e: e["count"] == F.col("count"))[0])
+    low = F.col("op").isin(">", ">=") | ((F.col("op") == "==") & (F.col("at.low") == F.col("at.high")))
+    measure = F.when(low, F.col("at.low")).when(F.col("op") != "==", F.col("at.high"))
+    met = _met(met.withColumn("measure", measure).filter("measure IS NOT NULL").drop("extremes", "at"))
+    full = met.filter("p >= count").select("timestamp", "sensor_id", "count", "op", "value", "seq", F.explode(_fired_places()).alias("place"))
+    hits = full.join(levels, ["sensor_id", "count", "op", "place"]).select(*HIT)
+    if carried is None:
+        return hits
+    # The first readings of a sensor may go on with a streak that was carried in.
+    early = met.filter("p < count").select("timestamp", "sensor_id", "count", "op", "value", "seq", "p", F.explode(_fired_places()).alias("place"))
+    early = early.join(levels, ["sensor_id", "count", "op", "place"]).join(carried, "rule_id")
+    return hits.unionByName(early.filter(F.col("p") + F.col("carried") >= F.col("count")).select(*HIT))
+
+
+def streaks_out(placed: DataFrame, rules: DataFrame, carried: DataFrame | None) -> DataFrame:
+    """rule_id, sensor_id and streak of the nested stateful rules whose sensor has readings.
+
+    For each place among the thresholds the last reading there is kept; the last good reading of a
+    threshold is the last one at any place on its good side.
+    """
+    levels = _levels(rules, "type").select("rule_id", "sensor_id", "type", "op", "threshold", "place")
+    met = _met(placed.withColumn("measure", F.col("value")).join(_groups(levels, "type"), "sensor_id"))
+    place = F.when(F.col("op").isin(">", "<="), F.col("below")).when(F.col("op").isin(">=", "<"), F.col("upto"))
+    # Any other value is good for an equality: the last reading and the last one of another value decide.
+    last = met.groupBy("sensor_id", "op", place.alias("at")).agg(F.max("p").alias("last"))
+    ends = placed.groupBy("sensor_id").agg(F.max("p").alias("n"), F.max_by("value", "p").alias("end"))
+    other = placed.join(ends, "sensor_id").groupBy("sensor_id").agg(F.max(F.when(F.col("value") != F.col("end"), F.col("p"))).alias("other"))
+    ends = ends.join(other, "sensor_id")
+    marks = last.filter("op <> '=='").select("sensor_id", "op", "at", "last", F.lit(None).cast("string").alias("rule_id"))
+    asked = levels.filter("op <> '=='").select("sensor_id", "op", F.col("place").alias("at"), F.lit(None).cast("long").alias("last"), "rule_id")
+    both = marks.unionByName(asked)
+    # Good for > and >= is what stands at the threshold's place or before it, for < and <= what stands after it.
+    up = Window.partitionBy("sensor_id", "op").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    down = Window.partitionBy("sensor_id", "op").orderBy(F.desc("at")).rangeBetween(Window.unboundedPreceding, -1)
+    good = F.when(F.col("op").isin(">", ">="), F.max("last").over(up)).otherwise(F.max("last").over(down))
+    found = both.withColumn("good", good).filter("rule_id IS NOT NULL").select("rule_id", "sensor_id", "good")
+    equal = levels.filter("op = '=='").join(ends, "sensor_id").select(
+        "rule_id", "sensor_id", F.when(F.col("threshold") == F.col("end"), F.col("other")).otherwise(F.col("n")).alias("good")
+    )
+    found = found.unionByName(equal).join(ends.select("sensor_id", "n"), "sensor_id")
+    if carried is None:
+        found = found.withColumn("carried", F.lit(0))
+    else:
+        found = found.join(carried, "rule_id", "left")
+    streak = F.col("n") - F.coalesce("good", -F.coalesce("carried", F.lit(0)))
+    return found.select("rule_id", "sensor_id", streak.cast("long").alias("streak"))
+
+
 @dataclass
 class TableResult:
     """Outcome of a catalogue that stays a table; everything shared is staged."""
@@ -87,6 +196,8 @@ class TableResult:
     rules: DataFrame
     steps: DataFrame
     instant: DataFrame
+    nested: DataFrame
+    nested_ends: DataFrame
     judged: DataFrame
     streaks: DataFrame
     state_in: State | None
@@ -103,7 +214,7 @@ class TableResult:
             self.judged.join(entries, ["rule_id", "slice"])
             .filter(streak >= F.col("consecutive_measurements"))
         )
-        return self.stage(self.instant.unionByName(long.select(*HIT)), "hits")
+        return self.stage(self.instant.unionByName(self.nested).unionByName(long.select(*HIT)), "hits")
 
     @cached_property
     def found(self) -> DataFrame:
@@ -132,7 +243,7 @@ class TableResult:
         step = last.join(wanted, "sensor_id", "left_semi")
         names = self.rules.filter("type = 'stateful'").select("rule_id", "sensor_id")
         ends = self.streaks.groupBy(F.col("watch").alias("rule_id")).agg(F.max_by("exit_0", "slice").alias("streak"))
-        streak = names.join(ends, "rule_id").select("rule_id", "sensor_id", "streak")
+        streak = names.join(ends, "rule_id").select("rule_id", "sensor_id", "streak").unionByName(self.nested_ends)
         if self.state_in is not None:
             step = keep_old(step, self.state_in.step, ["sensor_id"], "last_value")
             streak = keep_old(streak, self.state_in.streak, ["rule_id", "sensor_id"], "streak")
@@ -148,7 +259,8 @@ def evaluate(
     block_rows = slice_rows * BLOCK_SLICES
     sliced = df.select("timestamp", "sensor_id", "value", "seq").withColumn("slice", slice_of(F.col("seq"), slice_rows))
     inside = Window.partitionBy("slice", "sensor_id").orderBy("seq")
-    readings = stage(sliced.withColumn("previous", F.lag("value").over(inside)), "readings")
+    marks = {"previous": F.lag("value").over(inside), "rn": F.row_number().over(inside).cast("bigint")}
+    readings = stage(sliced.withColumns(marks), "readings")
     before = None
     if state is not None:
         before = state.step.select(F.col("sensor_id").alias("watch"), F.col("last_value").alias("state_value"))
@@ -157,7 +269,12 @@ def evaluate(
     stepped = readings.join(entry, ["sensor_id", "slice"]).withColumn(
         "diff", F.col("value") - F.coalesce("previous", "entry_value", "value")
     )
-    met = stepped.join(_wanted(rules.filter("type = 'stateful'")), "sensor_id")
+    wanted = _wanted(rules.filter("type = 'stateful'"))
+    nested = wanted.filter(F.col("op").isin(*NESTED))
+    carried = None if state is None else state.streak.select("rule_id", F.col("streak").alias("carried"))
+    placed = stage(numbered_places(readings.select("timestamp", "sensor_id", "value", "seq", "slice", "rn"), stage), "placed")
+    # Breaches of "differs" are not nested, so those rules meet every reading of their sensor.
+    met = stepped.drop("rn").join(wanted.filter(~F.coalesce(F.col("op").isin(*NESTED), F.lit(False))), "sensor_id")
     met = met.withColumn("holds", op_case(F.col("value"), F.col("op"), F.col("threshold")))
     run = Window.partitionBy("rule_id", "slice").orderBy("seq")
     so_far = run.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -174,7 +291,10 @@ def evaluate(
     stateful = judged.withColumn("watch", F.col("rule_id"))
     streaks = stage(across_slices(stateful, 1, before, block_rows), "streaks")
     instant = instant_hits(stepped, rules)
-    return TableResult(readings.drop("previous").withColumn("watch", F.lit(-1)), rules, steps, instant, judged, streaks, state, stage)
+    hits = streak_hits(placed, nested, carried, slice_rows)
+    ends = streaks_out(placed, nested, carried)
+    whole = readings.drop("previous", "rn").withColumn("watch", F.lit(-1))
+    return TableResult(whole, rules, steps, instant, hits, ends, judged, streaks, state, stage)
 
 
 def alarms(df: DataFrame, rules: DataFrame, slice_rows: int = SLICE_ROWS, stage: Stage | None = None) -> DataFrame:

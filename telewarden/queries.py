@@ -461,6 +461,33 @@ def many_rules_hits(spark, sf):
     )
 
 
+def many_streaks(spark, sf):
+    """Hits and last streak of two hundred stateful rules a sensor, judged in two parts with carried state."""
+    top = F.max("value").alias("top")
+    sensors = table(spark, sf, "events").groupBy(F.col("event_type").alias("sensor_id")).agg(top)
+    k = F.col("k")
+    operators = F.array(*(F.lit(o) for o in (">", ">=", "<", "<=", "==", "!=")))
+    rules = sensors.select("sensor_id", "top", F.explode(F.sequence(F.lit(0), F.lit(199))).alias("k")).select(
+        F.concat_ws("_", F.lit("N"), "sensor_id", "k").alias("rule_id"),
+        F.lit("stateful").alias("type"),
+        "sensor_id",
+        operators[k % 6].alias("operator"),
+        F.round(F.col("top") * (k * 0.004 + 0.001), 2).alias("value"),
+        (k % 4 + 1).cast("int").alias("consecutive_measurements"),
+        F.lit(None).cast("string").alias("logic"),
+        F.lit(None).cast("array<string>").alias("conditions"),
+        F.lit("LOW").alias("priority"),
+        k.cast("bigint").alias("pos"),
+    )
+    rules = normalise_rules(rules)[0]
+    df, half = telemetry(spark, sf), 4 * SHORT_SLICE + 3
+    first = relational.evaluate(df.filter(F.col("seq") < half), rules, slice_rows=SHORT_SLICE)
+    rest = relational.evaluate(df.filter(F.col("seq") >= half), rules, first.state_out, SHORT_SLICE)
+    hits = first.hits.unionByName(rest.hits).groupBy("rule_id").agg(F.count("*").alias("hits"))
+    ends = rest.state_out.streak.select("rule_id", "sensor_id", "streak")
+    return ends.join(hits, "rule_id", "left").withColumn("hits", F.coalesce("hits", F.lit(0).cast("bigint")))
+
+
 def rules_table_nominal(spark, sf):
     df = telemetry(spark, sf)
     return pack_nominal(relational.evaluate(df, data_rules(spark, sf), slice_rows=SHORT_SLICE).valid)
@@ -892,7 +919,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         nominal_lines_written, stream_alarms, stream_nominal, stream_state, rules_table_nominal,
         rules_table_state, alarm_positions, nominal_positions, rule_positions, damaged_csv, rules_json,
         sensors_yaml, absent_sensor, no_rules, published_lines, refused_outputs, counted_rejects,
-        late_readings, bounded_stream, many_rules_hits, supplier_completeness, islands_streak, damaged_lines, appended_positions,
+        late_readings, bounded_stream, many_rules_hits, many_streaks, supplier_completeness, islands_streak, damaged_lines, appended_positions,
         refused_arguments, keyed_stream_alarms, keyed_stream_nominal, keyed_stream_state, keyed_stream_quarantine,
         stream_progress,
     )

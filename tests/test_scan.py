@@ -1,6 +1,7 @@
 """Sliced and carried evaluation against one pass, compiled rules against the rule table."""
 
 import random
+from itertools import product
 
 import pytest
 from conftest import frame
@@ -128,6 +129,25 @@ def test_rule_table_equals_compiled_rules(spark):
     assert nominal[0] == nominal[1]
 
 
+def test_nested_streaks_equal_compiled_rules(spark):
+    """All operators, several counts, equal thresholds, two parts with carried state."""
+    rules = [
+        Rule(f"Q{i}", "stateful", "LOW", f"S{i % 3}", op, threshold, n)
+        for i, (op, threshold, n) in enumerate(product((">", ">=", "<", "<=", "==", "!=", "~"), (2.0, 5.0), (1, 2, 5)))
+    ]
+    numbers = random.Random(4)
+    rows = [(f"T{i // 5:03d}", f"S{numbers.randint(0, 3)}", float(numbers.choice([1, 2, 2, 2, 5, 5, 6, 9]))) for i in range(400)]
+    whole, compiled, table = frame(spark, rows), RuleSet.of(rules), rule_table(spark, rules)
+    expected = evaluate(whole, compiled, slice_rows=32)
+    for cut, slice_rows in ((0, 16), (3, 7), (190, 1000)):
+        first = relational.evaluate(whole.filter(f"seq < {cut}"), table, slice_rows=slice_rows) if cut else None
+        state = first.state_out if first else None
+        second = relational.evaluate(whole.filter(f"seq >= {cut}"), table, state, slice_rows)
+        found = (alarms(first) if first else []) + alarms(second)
+        assert sorted(found) == sorted(alarms(expected))
+        assert set(second.state_out.streak.collect()) == set(expected.state_out.streak.collect())
+
+
 def test_rule_table_carries_state(spark):
     rows = [(f"T{i // 4:03d}", s, v) for i, (_, s, v) in enumerate(readings(6, 240))]
     whole, table = frame(spark, rows), rule_table(spark, RULES)
