@@ -136,6 +136,30 @@ def test_links_equal_all_pairs(spark, monkeypatch, group):
     assert found == expected and any(n > 40 for _, n, *_ in expected)
 
 
+def met_share(one, two):
+    """Share of pairs of rows that meet in some table."""
+    met = np.zeros(len(one), bool)
+    for table in range(lattice.TABLES):
+        met |= lattice.meets(one[:, table, 0], two[:, table]) | lattice.meets(two[:, table, 0], one[:, table])
+    return met.mean()
+
+
+@pytest.mark.parametrize("size", [8, 9, 16, 64, 384, 768])
+def test_recall_for_vectors_of_any_length(size):
+    random = np.random.default_rng(size)
+    for centres in (2000, 10):  # unrelated vectors, and such around few centres
+        u = lattice.unit(np.repeat(random.standard_normal((centres, size)), 2000 // centres, axis=0) + 0.5 * random.standard_normal((2000, size)))
+        v = random.standard_normal((2000, size))
+        v = lattice.unit(v - (v * u).sum(axis=1, keepdims=True) * u)
+        assert met_share(lattice.cells(u), lattice.cells(0.9 * u + np.sqrt(1 - 0.9**2) * v)) >= 0.925
+
+
+def test_unrelated_vectors_seldom_meet():
+    random = np.random.default_rng(7)
+    one, two = (lattice.cells(lattice.unit(random.standard_normal((20_000, 64)))) for _ in range(2))
+    assert met_share(one, two) < 0.006
+
+
 def test_recall_near_the_bound():
     random = np.random.default_rng(5)
     u = lattice.unit(random.standard_normal((2000, 64)))
