@@ -18,7 +18,7 @@ CHECKED = [
     "alarm_positions", "nominal_positions", "rule_positions", "damaged_csv", "rules_json", "sensors_yaml",
     "absent_sensor", "no_rules", "refused_outputs", "counted_rejects", "csv_scan",
     "many_rules_hits", "many_streaks", "supplier_completeness", "islands_streak", "damaged_lines", "appended_positions", "refused_arguments",
-    "keyed_stream_alarms", "keyed_stream_state", "keyed_stream_quarantine", "stream_progress",
+    "keyed_stream_quarantine", "stream_progress",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are absent")
