@@ -128,8 +128,8 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
 
 
-def listed(batches, bare: bool):
-    """A row for each cell of each vector: t, cell, then node, times, the vector's bytes and all its cells."""
+def celled(batches):
+    """node, times, the vector's bytes and all its cells, for rows of node, times and vector."""
     for batch in batches:
         for start in range(0, len(batch), 2000):
             part = batch.slice(start, 2000)
@@ -140,18 +140,27 @@ def listed(batches, bare: bool):
             for size in np.unique(sizes):
                 rows = np.flatnonzero(sizes == size)
                 own_values = values[first[rows][:, None] + np.arange(size)]
-                own = cells(unit(own_values))
-                times = TABLES * (1 + PROBES)
-                columns = [
-                    pa.array(np.tile(np.repeat(np.arange(TABLES, dtype=np.int32), 1 + PROBES), len(rows))),
-                    pa.array(own.reshape(-1)),
-                ]
-                if not bare:
-                    again = np.repeat(np.arange(len(rows)), times)
-                    columns += [part.column(i).take(pa.array(rows[again])) for i in (0, 1)]
-                    columns.append(pa.array([x.tobytes() for x in own_values], pa.binary()).take(pa.array(again)))
-                    columns.append(pa.array([c.tobytes() for c in own], pa.binary()).take(pa.array(again)))
-                yield pa.RecordBatch.from_arrays(columns, ["t", "cell", "node", "times", "vector", "cells"][: len(columns)])
+                columns = [part.column(i).take(pa.array(rows)) for i in (0, 1)]
+                columns.append(pa.array([x.tobytes() for x in own_values], pa.binary()))
+                columns.append(pa.array([c.tobytes() for c in cells(unit(own_values))], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, ["node", "times", "vector", "cells"])
+
+
+def listed(batches, bare: bool):
+    """A row for each cell of each vector: t, cell, and then all that ``celled`` gives."""
+    times = TABLES * (1 + PROBES)
+    for batch in batches:
+        for start in range(0, len(batch), 2000):
+            part = batch.slice(start, 2000)
+            own = np.frombuffer(b"".join(part.column(3).to_pylist()), np.int32)
+            columns = [
+                pa.array(np.tile(np.repeat(np.arange(TABLES, dtype=np.int32), 1 + PROBES), len(part))),
+                pa.array(own),
+            ]
+            if not bare:
+                again = pa.array(np.repeat(np.arange(len(part)), times))
+                columns += [column.take(again) for column in part.columns]
+            yield pa.RecordBatch.from_arrays(columns, ["t", "cell", "node", "times", "vector", "cells"][: len(columns)])
 
 
 def meets(homes_of: np.ndarray, cells_of: np.ndarray) -> np.ndarray:
@@ -216,7 +225,8 @@ def near_duplicates(
     named = staging(marked.select("node", "h", "g"), "vectors")
     nodes = marked.groupBy("h", "g").agg(F.min("node").alias("node"), F.count("*").alias("times"), F.first("v").alias("v"))
     nodes = staging(nodes, "nodes")
-    plain = nodes.select("node", "times", "v")
+    plain = nodes.select("node", "times", "v").mapInArrow(celled, "node long, times long, vector binary, cells binary")
+    plain = staging(plain, "cells")
     bare = plain.mapInArrow(partial(listed, bare=True), "t int, cell int")
     full = plain.mapInArrow(partial(listed, bare=False), "t int, cell int, node long, times long, vector binary, cells binary")
     parts = dealt(full, ["t", "cell"], "node", GROUP, staging, "large_cells", bare)
