@@ -186,6 +186,11 @@ def across_slices(
         F.max_by("value", "seq").alias("last_value"),
         *(F.max(f"last_ok_{j}").alias(f"last_ok_{j}") for j in range(slots)),
     )
+    return across_parts(parts, slots, entry, block_rows)
+
+
+def across_parts(parts: DataFrame, slots: int, entry: DataFrame | None, block_rows: int | None) -> DataFrame:
+    """``across_slices`` for slices summed up already: ``n``, ``last_value`` and ``last_ok_<j>`` by (watch, slice)."""
     block = F.lit(0).cast("bigint") if block_rows is None else slice_of(F.col("slice"), block_rows)
     inside = Window.partitionBy("watch", "block").orderBy("slice")
     earlier = inside.rowsBetween(Window.unboundedPreceding, -1)

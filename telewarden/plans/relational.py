@@ -6,7 +6,8 @@ simple and step rules are sorted arrays, one for each kind and operator: a readi
 each by bisection, and only the rules on the right side of it become rows. Stateful rules of one
 operator have nested breaches: the last N readings all breach a threshold if their least or greatest
 value does, so a sliding extreme finds its place among the thresholds in the same way, and the last
-good reading of every threshold follows from the last reading at each place. Correlations are joins and
+good reading of every threshold follows from the last reading at each place. A rule of "differs" fires
+where none of the last N readings equals its threshold. Correlations are joins and
 counts over the distinct (timestamp, rule) pairs that fired, one level of nesting after another. No
 join carries a hint: Spark broadcasts a rule table whose staged size is below its threshold; else it
 shuffles, and splits the readings of a hot sensor.
@@ -20,16 +21,14 @@ from functools import cached_property, reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import fmt_value, op_case, priority_rank, slice_of
+from ..functions import fmt_value, priority_rank, slice_of
 from ..functions.thresholds import OPERATORS
 from ..operators.numbering import running_sum
-from ..operators.scan import BLOCK_SLICES, Stage, State, across_slices, keep_old
+from ..operators.scan import BLOCK_SLICES, Stage, State, across_parts, across_slices, keep_old
 from ..session import Staging
 from .evaluate import SLICE_ROWS, nominal_rows, sort_alarms
 from .rules import UNKNOWN_SENSOR
 
-# Rules of one sensor, kind and operator: fewer than two to this power.
-BITS = 20
 HIT = ("timestamp", "rule_id", "priority", "sensor_id", "value", "seq")
 
 
@@ -66,20 +65,22 @@ def _levels(rules: DataFrame, kind: str) -> DataFrame:
 
 
 def _groups(levels: DataFrame, kind: str) -> DataFrame:
-    """The sorted thresholds of each sensor, kind and operator."""
+    """The sorted thresholds of each sensor, kind and operator, and the steps of a bisection among them."""
     in_order = F.sort_array(F.collect_list(F.struct("place", "threshold")))
-    return levels.groupBy("sensor_id", kind, "op").agg(in_order["threshold"].alias("thresholds"), F.count("*").cast("int").alias("n"))
+    groups = levels.groupBy("sensor_id", kind, "op").agg(in_order["threshold"].alias("thresholds"), F.count("*").cast("int").alias("n"))
+    return groups.withColumn("steps", F.expr("transform(sequence(length(bin(n)) - 1, 0, -1), b -> shiftleft(1, b))"))
 
 
 def _met(rows: DataFrame) -> DataFrame:
-    """Rows with a measure and thresholds: how many of these are below it, or up to it."""
-    return rows.withColumns({"below": _found("<"), "upto": _found("<=")})
+    """Rows with a measure and thresholds: how many of these are below it, or up to it, as the operator asks."""
+    below, upto = F.col("op").isin(">", "<=", "==", "!="), F.col("op").isin(">=", "<", "==", "!=")
+    return rows.withColumns({"below": F.when(below, _found("<")), "upto": F.when(upto, _found("<="))})
 
 
 def _found(compare: str) -> Column:
     """How many of the sorted thresholds compare so with the measure, by bisection."""
     return F.expr(
-        f"""aggregate(transform(sequence(1, {BITS}), b -> shiftleft(1, {BITS} - b)), 0,
+        f"""aggregate(steps, 0,
         (at, step) -> if(at + step <= n AND get(thresholds, at + step - 1) {compare} measure, at + step, at))"""
     )
 
@@ -110,8 +111,8 @@ def numbered_places(readings: DataFrame, stage: Stage) -> DataFrame:
     return readings.join(before, ["sensor_id", "slice"]).withColumn("p", F.col("rows_before") + F.col("rn")).drop("rows_before")
 
 
-def streak_hits(placed: DataFrame, rules: DataFrame, carried: DataFrame | None, slice_rows: int) -> DataFrame:
-    """One row per (nested stateful rule, reading) that fires.
+def streak_hits(placed: DataFrame, rules: DataFrame, slice_rows: int) -> DataFrame:
+    """One row per (nested stateful rule with its ``carried`` streak, reading) that fires.
 
     Readings are cut into stretches of their sensor; the last ones of a stretch stand before the next
     one too, as many as the longest count needs. There is a sliding extreme for each distinct count.
@@ -144,23 +145,71 @@ def streak_hits(placed: DataFrame, rules: DataFrame, carried: DataFrame | None,
     low = F.col("op").isin(">", ">=") | ((F.col("op") == "==") & (F.col("at.low") == F.col("at.high")))
     measure = F.when(low, F.col("at.low")).when(F.col("op") != "==", F.col("at.high"))
     met = _met(met.withColumn("measure", measure).filter("measure IS NOT NULL").drop("extremes", "at"))
-    full = met.filter("p >= count").select("timestamp", "sensor_id", "count", "op", "value", "seq", F.explode(_fired_places()).alias("place"))
-    hits = full.join(levels, ["sensor_id", "count", "op", "place"]).select(*HIT)
-    if carried is None:
-        return hits
+    places = met.select("timestamp", "sensor_id", "count", "op", "value", "seq", "p", F.explode(_fired_places()).alias("place"))
     # The first readings of a sensor may go on with a streak that was carried in.
-    early = met.filter("p < count").select("timestamp", "sensor_id", "count", "op", "value", "seq", "p", F.explode(_fired_places()).alias("place"))
-    early = early.join(levels, ["sensor_id", "count", "op", "place"]).join(carried, "rule_id")
-    return hits.unionByName(early.filter(F.col("p") + F.col("carried") >= F.col("count")).select(*HIT))
+    hits = places.join(levels, ["sensor_id", "count", "op", "place"]).filter(F.col("p") + F.col("carried") >= F.col("count"))
+    return hits.select(*HIT)
 
 
-def streaks_out(placed: DataFrame, rules: DataFrame, carried: DataFrame | None) -> DataFrame:
-    """rule_id, sensor_id and streak of the nested stateful rules whose sensor has readings.
+def differs_parts(readings: DataFrame, rules: DataFrame) -> DataFrame:
+    """What ``across_parts`` needs of the stateful rules that are not nested, by (rule, slice).
+
+    Only readings that equal a threshold become rows: they are good for "differs". For an operator that
+    is unknown all are.
+    """
+    ends = readings.groupBy("sensor_id", "slice").agg(
+        F.count("timestamp").alias("n"), F.max_by("value", "seq").alias("last_value"), F.max("rn").alias("rows")
+    )
+    known = F.coalesce(F.col("op") == "!=", F.lit(False))
+    names = rules.select("rule_id", "sensor_id", known.alias("known"))
+    equal = rules.filter(known).select("rule_id", "sensor_id", F.col("threshold").alias("value"))
+    good = readings.join(equal, ["sensor_id", "value"]).groupBy("rule_id", "slice").agg(F.max("rn").alias("good"))
+    last_ok = F.when(F.col("known"), F.col("good")).otherwise(F.col("rows"))
+    parts = ends.join(names, "sensor_id").join(good, ["rule_id", "slice"], "left")
+    return parts.select(F.col("rule_id").alias("watch"), "slice", "n", "last_value", last_ok.alias("last_ok_0"))
+
+
+def differs_hits(readings: DataFrame, rules: DataFrame, entries: DataFrame) -> DataFrame:
+    """One row per (stateful rule of "differs", reading) that fires.
+
+    A rule of count N fires where no threshold of its own is among the values of the last N readings. The
+    first readings of a slice ask for what entered it. Beyond the values seen the work follows the hits.
+    """
+    rules = rules.filter("op = '!='").withColumnRenamed("consecutive_measurements", "count")
+    counts = sorted(r["count"] for r in rules.select("count").distinct().collect())
+    if not counts:
+        return readings.filter("false").select("timestamp", F.lit("").alias("rule_id"), F.lit("").alias("priority"), *HIT[3:])
+    levels = _levels(rules, "count")
+    groups = _groups(levels, "count").drop("steps")
+    equal = rules.select("sensor_id", F.col("threshold").alias("value"), F.lit(True).alias("known")).distinct()
+    inside = Window.partitionBy("slice", "sensor_id").orderBy("seq")
+
+    def fired(some: DataFrame) -> DataFrame:
+        watched = some.join(rules.select("sensor_id").distinct(), "sensor_id", "left_semi")
+        marked = watched.join(equal, ["sensor_id", "value"], "left").withColumn("mark", F.when(F.col("known"), F.col("value")))
+        seen = F.create_map(*(x for n in counts for x in (F.lit(n), F.collect_set("mark").over(inside.rowsBetween(1 - n, 0)))))
+        met = marked.withColumn("seen", seen).join(groups, "sensor_id").withColumn("seen", F.col("seen")[F.col("count")])
+        place = F.expr(
+            """if(size(seen) = 0, sequence(0, n - 1),
+            filter(sequence(0, n - 1), i -> NOT array_contains(seen, get(thresholds, i))))"""
+        )
+        rows = met.select("timestamp", "sensor_id", "count", "op", "value", "seq", "slice", "rn", F.explode(place).alias("place"))
+        return rows.join(levels, ["sensor_id", "count", "op", "place"])
+
+    late = fired(readings).filter(F.col("rn") >= F.col("count"))
+    # A window does not look beyond the row, so these alone see what they did among all.
+    first = fired(readings.filter(F.col("rn") < counts[-1])).filter(F.col("rn") < F.col("count"))
+    early = first.join(entries, ["rule_id", "slice"]).filter(F.col("rn") + F.col("entry_0") >= F.col("count"))
+    return late.select(*HIT).unionByName(early.select(*HIT))
+
+
+def streaks_out(placed: DataFrame, rules: DataFrame) -> DataFrame:
+    """rule_id, sensor_id and streak of the nested stateful rules, given with ``carried``, whose sensor has readings.
 
     For each place among the thresholds the last reading there is kept; the last good reading of a
     threshold is the last one at any place on its good side.
     """
-    levels = _levels(rules, "type").select("rule_id", "sensor_id", "type", "op", "threshold", "place")
+    levels = _levels(rules, "type").select("rule_id", "sensor_id", "type", "op", "threshold", "place", "carried")
     met = _met(placed.withColumn("measure", F.col("value")).join(_groups(levels, "type"), "sensor_id"))
     place = F.when(F.col("op").isin(">", "<="), F.col("below")).when(F.col("op").isin(">=", "<"), F.col("upto"))
     # Any other value is good for an equality: the last reading and the last one of another value decide.
@@ -168,23 +217,19 @@ def streaks_out(placed: DataFrame, rules: DataFrame, carried: DataFrame | None)
     ends = placed.groupBy("sensor_id").agg(F.max("p").alias("n"), F.max_by("value", "p").alias("end"))
     other = placed.join(ends, "sensor_id").groupBy("sensor_id").agg(F.max(F.when(F.col("value") != F.col("end"), F.col("p"))).alias("other"))
     ends = ends.join(other, "sensor_id")
-    marks = last.filter("op <> '=='").select("sensor_id", "op", "at", "last", F.lit(None).cast("string").alias("rule_id"))
-    asked = levels.filter("op <> '=='").select("sensor_id", "op", F.col("place").alias("at"), F.lit(None).cast("long").alias("last"), "rule_id")
+    marks = last.filter("op <> '=='").select("sensor_id", "op", "at", "last", F.lit(None).cast("string").alias("rule_id"), F.lit(None).cast("long").alias("carried"))
+    asked = levels.filter("op <> '=='").select("sensor_id", "op", F.col("place").alias("at"), F.lit(None).cast("long").alias("last"), "rule_id", "carried")
     both = marks.unionByName(asked)
     # Good for > and >= is what stands at the threshold's place or before it, for < and <= what stands after it.
     up = Window.partitionBy("sensor_id", "op").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     down = Window.partitionBy("sensor_id", "op").orderBy(F.desc("at")).rangeBetween(Window.unboundedPreceding, -1)
     good = F.when(F.col("op").isin(">", ">="), F.max("last").over(up)).otherwise(F.max("last").over(down))
-    found = both.withColumn("good", good).filter("rule_id IS NOT NULL").select("rule_id", "sensor_id", "good")
+    found = both.withColumn("good", good).filter("rule_id IS NOT NULL").select("rule_id", "sensor_id", "good", "carried")
     equal = levels.filter("op = '=='").join(ends, "sensor_id").select(
-        "rule_id", "sensor_id", F.when(F.col("threshold") == F.col("end"), F.col("other")).otherwise(F.col("n")).alias("good")
+        "rule_id", "sensor_id", F.when(F.col("threshold") == F.col("end"), F.col("other")).otherwise(F.col("n")).alias("good"), "carried"
     )
     found = found.unionByName(equal).join(ends.select("sensor_id", "n"), "sensor_id")
-    if carried is None:
-        found = found.withColumn("carried", F.lit(0))
-    else:
-        found = found.join(carried, "rule_id", "left")
-    streak = F.col("n") - F.coalesce("good", -F.coalesce("carried", F.lit(0)))
+    streak = F.col("n") - F.coalesce("good", -F.col("carried"))
     return found.select("rule_id", "sensor_id", streak.cast("long").alias("streak"))
 
 
@@ -198,28 +243,25 @@ class TableResult:
     instant: DataFrame
     nested: DataFrame
     nested_ends: DataFrame
-    judged: DataFrame
+    differing: DataFrame
     streaks: DataFrame
     state_in: State | None
     stage: Stage
 
     @cached_property
     def hits(self) -> DataFrame:
-        """One row per (base rule, reading) that fires."""
-        streak = F.when(F.col("last_ok_0").isNull(), F.col("rn") + F.col("entry_0")).otherwise(
-            F.col("rn") - F.col("last_ok_0")
-        )
-        entries = self.streaks.select(F.col("watch").alias("rule_id"), "slice", "entry_0")
-        long = (
-            self.judged.join(entries, ["rule_id", "slice"])
-            .filter(streak >= F.col("consecutive_measurements"))
-        )
-        return self.stage(self.instant.unionByName(self.nested).unionByName(long.select(*HIT)), "hits")
+        """One row per (base rule, reading) that fires; as many as readings times rules, where most fire."""
+        return self.instant.unionByName(self.nested).unionByName(self.differing)
+
+    @cached_property
+    def kept_hits(self) -> DataFrame:
+        """The hits, staged for those who read them more than once."""
+        return self.stage(self.hits, "hits")
 
     @cached_property
     def found(self) -> DataFrame:
-        shown = self.hits.withColumn("value", fmt_value("value"))
-        correlated = correlation_alarms(self.readings, self.hits, self.rules, self.stage)
+        shown = self.kept_hits.withColumn("value", fmt_value("value"))
+        correlated = correlation_alarms(self.readings, self.kept_hits, self.rules, self.stage)
         found = shown.unionByName(correlated).withColumn("rank", priority_rank(F.col("priority")))
         return self.stage(found, "alarms")
 
@@ -229,7 +271,7 @@ class TableResult:
 
     @cached_property
     def anomalous(self) -> DataFrame:
-        return self.hits.select("timestamp").distinct()
+        return self.kept_hits.select("timestamp").distinct()
 
     @cached_property
     def valid(self) -> DataFrame:
@@ -271,30 +313,27 @@ def evaluate(
     )
     wanted = _wanted(rules.filter("type = 'stateful'"))
     nested = wanted.filter(F.col("op").isin(*NESTED))
-    carried = None if state is None else state.streak.select("rule_id", F.col("streak").alias("carried"))
+    if state is None:
+        nested = nested.withColumn("carried", F.lit(0).cast("bigint"))
+    else:
+        carried = state.streak.select("rule_id", "sensor_id", F.col("streak").alias("carried"))
+        # Staged, so that its size is known and it is no large table to the joins.
+        nested = stage(nested.join(carried, ["rule_id", "sensor_id"], "left").fillna(0, ["carried"]), "nested")
     placed = stage(numbered_places(readings.select("timestamp", "sensor_id", "value", "seq", "slice", "rn"), stage), "placed")
-    # Breaches of "differs" are not nested, so those rules meet every reading of their sensor.
-    met = stepped.drop("rn").join(wanted.filter(~F.coalesce(F.col("op").isin(*NESTED), F.lit(False))), "sensor_id")
-    met = met.withColumn("holds", op_case(F.col("value"), F.col("op"), F.col("threshold")))
-    run = Window.partitionBy("rule_id", "slice").orderBy("seq")
-    so_far = run.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    met = met.withColumn("rn", F.row_number().over(run).cast("bigint")).withColumn(
-        "last_ok_0", F.max(F.when(~F.col("holds"), F.col("rn"))).over(so_far)
-    )
-    judged = stage(
-        met.select(*HIT, "slice", "consecutive_measurements", "rn", "last_ok_0"), "judged"
-    )
+    others = wanted.filter(~F.coalesce(F.col("op").isin(*NESTED), F.lit(False)))
+    parts = stage(differs_parts(readings, others), "parts")
     if state is not None:
         before = state.streak.select(
             F.col("rule_id").alias("watch"), F.lit(None).cast("double").alias("state_value"), F.col("streak").alias("state_0")
         )
-    stateful = judged.withColumn("watch", F.col("rule_id"))
-    streaks = stage(across_slices(stateful, 1, before, block_rows), "streaks")
+    streaks = stage(across_parts(parts, 1, before, block_rows), "streaks")
+    entries = streaks.select(F.col("watch").alias("rule_id"), "slice", "entry_0")
     instant = instant_hits(stepped, rules)
-    hits = streak_hits(placed, nested, carried, slice_rows)
-    ends = streaks_out(placed, nested, carried)
+    hits = streak_hits(placed, nested, slice_rows)
+    ends = streaks_out(placed, nested)
+    differing = differs_hits(readings, others, entries)
     whole = readings.drop("previous", "rn").withColumn("watch", F.lit(-1))
-    return TableResult(whole, rules, steps, instant, hits, ends, judged, streaks, state, stage)
+    return TableResult(whole, rules, steps, instant, hits, ends, differing, streaks, state, stage)
 
 
 def alarms(df: DataFrame, rules: DataFrame, slice_rows: int = SLICE_ROWS, stage: Stage | None = None) -> DataFrame:

@@ -1,10 +1,15 @@
 """Single rules, correlations, state carry, and the catalogue."""
 
+from collections import Counter
+from random import Random
+
 from conftest import frame
 
 from telewarden.operators.scan import State
+from telewarden.plans import relational
 from telewarden.plans.evaluate import evaluate
 from telewarden.plans.rules import Rule, RuleSet, normalise_rules, order_rules, rules_frame
+from telewarden.session import Staging
 
 HOT = Rule("hot", "simple", "LOW", "pump", ">=", 70.0)
 FALL = Rule("fall", "step_difference", "HIGH", "tank", "<=", -6.0)
@@ -178,3 +183,40 @@ def test_catalogue_normalisation(spark):
         ("odd", "invalid_priority"), ("kind", "unknown_type"), ("nosensor", "missing_field"),
         ("n0", "invalid_consecutive"), ("hi", "duplicate_id"), ("xor", "invalid_logic"), ("none", "no_conditions"),
     }
+
+
+def test_many_differing_streaks_of_the_table_form(spark):
+    """Hits and streaks as counted by hand, across slices and carried state, without a row per reading and rule on the way."""
+    random = Random(5)
+    rows = [(f"t{i}", random.choice(["pump", "tank"]), random.choice([0, 0, 1, 2, 3, 4, 5, 6])) for i in range(300)]
+    catalogue = [
+        {"rule_id": f"{sensor}{i}", "type": "stateful", "sensor_id": sensor, "operator": "~" if i == 9 else "!=" if i % 4 else ">",
+         "value": float(i % 8), "consecutive_measurements": (1, 2, 3, 9)[i // 8]}
+        for sensor in ("pump", "tank") for i in range(32)
+    ]
+    rules = normalise_rules(rules_frame(spark, catalogue))[0]
+    old = {"pump5": 2, "pump29": 1, "tank12": 4, "tank30": 20}
+    before = carried(spark, streak=[(rule, rule[:4], n) for rule, n in old.items()])
+    expected, ends = Counter(), {}
+    for rule in catalogue:
+        streak, op = old.get(rule["rule_id"], 0), rule["operator"]
+        for seq, (_, sensor, value) in enumerate(rows):
+            if sensor == rule["sensor_id"]:
+                holds = value != rule["value"] if op == "!=" else value > rule["value"] if op == ">" else False
+                streak = streak + 1 if holds else 0
+                if streak >= rule["consecutive_measurements"]:
+                    expected[rule["rule_id"], seq] += 1
+        ends[rule["rule_id"]] = streak
+    staging, staged = Staging(spark), Counter()
+
+    def stage(df, name):
+        kept = staging(df, name)
+        staged[name] = kept.count()
+        return kept
+
+    result = relational.evaluate(frame(spark, rows), rules, before, 8, stage)
+    assert Counter((r.rule_id, r.seq) for r in result.hits.collect()) == expected
+    assert {r.rule_id: r.streak for r in result.state_out.streak.collect()} == ends
+    # A slice may have a row for each rule, a reading may not.
+    assert len(expected) > 4000 and max(staged.values()) < 4000
+    assert Counter((r.rule_id, r.timestamp) for r in result.alarms.collect()) == Counter((rule, f"t{seq}") for rule, seq in expected)
