@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fmt_value, slice_of
+from ..operators.numbering import INDEX
 from ..plans.evaluate import SLICE_ROWS
 from ..schemas import ALARMS
 from ..session import exists, observed, remove
@@ -97,6 +98,16 @@ def write_alarms(alarms: DataFrame, path: str, mode: str = "append") -> int:
     return _write_lines(alarm_lines(alarms), path, mode)
 
 
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Written lines with their ``file`` and ``position`` in it; an output without any has no folder."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], "line string, file string, position bigint")
+    place = F.col("_metadata.file_block_start") + F.monotonically_increasing_id().bitwiseAND(F.lit(INDEX))
+    return spark.read.text(path).select(
+        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"), place.alias("position")
+    )
+
+
 def _write_lines(lines: DataFrame, path: str, mode: str) -> int:
     """One pass: count while writing; an empty frame leaves no folder behind."""
     spark = lines.sparkSession

@@ -1,7 +1,9 @@
 """Registered queries against their SQL on the smallest tables."""
 
 import os
+from datetime import datetime
 
+import duckdb
 import pytest
 from compare import differences, tables
 
@@ -41,3 +43,15 @@ def test_query(spark, con, name):
 
 def test_entry(spark):
     assert driver.entry(spark).columns == ["timestamp", "rule_id", "priority", "sensor_id", "value"]
+
+
+@pytest.mark.parametrize("name", ["nominal_lines_written", "alarm_lines_written"])
+@pytest.mark.parametrize("value", [400.0, 1.0])
+def test_outputs_without_lines(spark, tmp_path, name, value):
+    """Events of which every hour has an alarm, and of which none has: one of the outputs leaves no folder."""
+    rows = [(i, datetime(2024, 1, 1, i), i, "purchase", value + i % 2, None) for i in range(6)]
+    schema = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW events AS SELECT * REPLACE (CAST(ts AS TIMESTAMP) AS ts) FROM '{tmp_path}/events.parquet/*.parquet'")
+    assert differences(driver.queries()[name](spark, str(tmp_path)), con, driver.oracle_sql()[name]) == ""
