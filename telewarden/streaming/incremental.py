@@ -1,8 +1,10 @@
 """Micro-batch evaluation with state tables.
 
-Every micro-batch runs the batch plan over its closed timestamps. What must survive is kept in
-parquet tables per commit: last values, streaks, readings of timestamps that are still open, and the
-boundary up to which timestamps are closed. Commits have numbers of their own, so that a flush can
+Every micro-batch runs the batch plan over its closed timestamps, if any closed. What must survive is
+kept in parquet tables per commit: last values, streaks, what arrived for timestamps that are still open,
+and the boundary up to which timestamps are closed. The boundary names the commits whose open readings
+still count, so that these are not written again in each batch; folders of one size are put together once
+there are ``MERGED`` of them, and one whose newest reading is closed is dropped. Commits have numbers of their own, so that a flush can
 stand between two batches of a stream. A commit writes its outputs into folders named by its number
 and its boundary last; until then the state before it is the latest, and a replayed batch overwrites
 the same folders. A batch that was committed is not judged again. Outputs are only ever added.
@@ -10,25 +12,41 @@ the same folders. A batch that was committed is not judged again. Outputs are on
 
 from __future__ import annotations
 
+from dataclasses import astuple, dataclass, replace
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.sanitize import sanitize
 from ..operators.scan import State
-from ..plans.evaluate import SLICE_ROWS, Result, evaluate
+from ..plans.evaluate import SLICE_ROWS, evaluate
 from ..plans.rules import RuleSet
 from ..schemas import ALARMS, ARRIVAL, REJECTS, STEP_STATE, STREAK_STATE, TELEMETRY
 from ..session import Staging, children, observed, remove
 from ..sinks import alarm_lines, nominal_lines, pack_nominal
 
 # Boundaries are event times in microseconds since the epoch.
-BOUNDARY = "boundary bigint, batch_id bigint, rows bigint, late bigint, alarms bigint, source string, source_batch bigint"
+OPEN = "array<struct<batch: bigint, oldest: bigint, newest: bigint, level: int>>"
+METRICS = "boundary bigint, batch_id bigint, rows bigint, late bigint, alarms bigint, source string, source_batch bigint"
+BOUNDARY = f"{METRICS}, pending {OPEN}"
 NOMINAL = "timestamp string, status string, sensor_string string"
 BEGINNING = -(1 << 62)
 # Named for batches outside a stream.
 DIRECT = "direct"
 # Commits whose state stays: the latest and the one before, for a reader that has just begun.
 KEPT_COMMITS = 2
+# Folders of open readings, of one level, that are put together into one of the next level.
+MERGED = 8
+
+
+@dataclass(frozen=True)
+class Held:
+    """Open readings of a commit: event times of the oldest and newest, and how often they were put together."""
+
+    batch: int
+    oldest: int
+    newest: int
+    level: int = 0
 
 
 class Monitor:
@@ -119,7 +137,7 @@ class Monitor:
     def metrics(self) -> DataFrame:
         """Per commit: boundary, number, evaluated rows, late rows, alarms."""
         names = ("boundary", "batch_id", "rows", "late", "alarms")
-        return self.spark.read.schema(BOUNDARY).parquet(f"{self.output}/metrics/*").select(*names)
+        return self.spark.read.schema(METRICS).parquet(f"{self.output}/metrics/*").select(*names)
 
     def _run(self, raw: DataFrame, last, source: str, source_batch: int, close_all: bool) -> None:
         staging = Staging(self.spark)
@@ -131,58 +149,63 @@ class Monitor:
             clean = cleaned.clean
             if ARRIVAL not in clean.columns:
                 clean = clean.withColumn(ARRIVAL, F.lit(""))
-            arrived = self._pending(previous).unionByName(
-                clean.withColumn("batch_id", F.lit(number).cast("bigint"))
-            )
-            # Order of evaluation: event time, then arrival. Numbered once, then reread.
-            numbered = staging(
-                arrived.withColumn("late", moment < closed_to)
-                .orderBy("event_time", "batch_id", ARRIVAL, "seq")
-                .withColumn("order", F.monotonically_increasing_id()),
-                "arrived",
+            marked = clean.withColumns({"batch_id": F.lit(number).cast("bigint"), "late": moment < closed_to})
+            arrived = staging(marked, "arrived")
+            fresh = arrived.filter("NOT late").drop("late")
+            on_time = F.when(~F.col("late"), moment)
+            came = arrived.agg(F.min(on_time).alias("oldest"), F.max(on_time).alias("newest"), F.count_if("late").alias("late")).first()
+            open_before = self._open(last)
+            held = open_before if came.newest is None else [*open_before, Held(number, came.oldest, came.newest)]
+            waiting = self._pending(open_before).filter(moment >= closed_to).unionByName(fresh)
+            boundary = self._next_boundary(waiting, max((h.newest for h in held), default=None), closed_to, close_all)
+            step, streak = (
+                self._state("step", previous, STEP_STATE), self._state("streak", previous, STREAK_STATE)
             )
-            on_time = numbered.filter("NOT late")
-            boundary = self._next_boundary(on_time, closed_to, close_all)
-            closed = on_time.filter(moment < boundary)
-            before = None
-            if previous is not None:
-                before = State(
-                    self._state("step", previous, STEP_STATE), self._state("streak", previous, STREAK_STATE)
+            rows = found = 0
+            if any(h.oldest < boundary for h in held):
+                # Order of evaluation: event time, then arrival. Numbered once, then reread.
+                closed = staging(
+                    waiting.filter(moment < boundary)
+                    .orderBy("event_time", "batch_id", ARRIVAL, "seq")
+                    .withColumn("order", F.monotonically_increasing_id()),
+                    "closed",
                 )
-            result = evaluate(
-                closed.drop("seq", "late", "batch_id", ARRIVAL).withColumnRenamed("order", "seq"),
-                self.rules,
-                before,
-                self.slice_rows,
-                staging,
-            )
-            found = self._write_outputs(result, number)
-            self._write_quarantine(cleaned.rejects, numbered.filter("late"), number)
-            after = result.state_out
-            held = on_time.filter(moment >= boundary)
-            self._put(after.step, "step", number)
-            self._put(after.streak, "streak", number)
-            self._put(held.drop("order", "late"), "pending", number)
-            facts = numbered.agg(
+                rows = closed.count()
+                result = evaluate(
+                    closed.drop("seq", "batch_id", ARRIVAL).withColumnRenamed("order", "seq"),
+                    self.rules,
+                    None if previous is None else State(step, streak),
+                    self.slice_rows,
+                    staging,
+                )
+                found = self._write_outputs(result.alarms, pack_nominal(result.valid, ordered=True), number)
+                step, streak = result.state_out.step, result.state_out.streak
+            else:
+                self._write_outputs(self._none(ALARMS), self._none(NOMINAL), number)
+            self._write_quarantine(cleaned.rejects, arrived.filter("late"), number)
+            self._put(step, "step", number)
+            self._put(streak, "streak", number)
+            still = [replace(h, oldest=max(h.oldest, boundary)) for h in held if h.newest >= boundary]
+            held = self._hold(fresh.filter(moment >= boundary), still, boundary, number)
+            facts = self.spark.range(1).select(
                 F.lit(boundary).cast("bigint").alias("boundary"),
                 F.lit(number).cast("bigint").alias("batch_id"),
-                F.count_if(~F.col("late") & (moment < boundary)).alias("rows"),
-                F.count_if("late").alias("late"),
+                F.lit(rows).cast("bigint").alias("rows"),
+                F.lit(came.late).cast("bigint").alias("late"),
                 F.lit(found).cast("bigint").alias("alarms"),
                 F.lit(source).alias("source"),
                 F.lit(source_batch).cast("bigint").alias("source_batch"),
             )
-            facts = staging(facts, "facts")
             self._out(facts, "metrics", number)
-            self._put(facts, "boundary", number)
-            self._forget(number - KEPT_COMMITS)
+            entries = F.array(*(F.struct(*map(F.lit, astuple(h))) for h in held)).cast(OPEN)
+            self._put(facts.withColumn("pending", entries), "boundary", number)
+            self._forget(number - KEPT_COMMITS, {h.batch for h in [*open_before, *held]})
         finally:
             staging.drop()
 
-    def _next_boundary(self, on_time: DataFrame, closed_to: int, close_all: bool) -> int:
-        """Event time below which every timestamp is closed; one row comes back."""
+    def _next_boundary(self, waiting: DataFrame, newest: int | None, closed_to: int, close_all: bool) -> int:
+        """Event time below which every timestamp is closed; at most one row comes back."""
         moment = F.unix_micros("event_time")
-        newest = on_time.agg(F.max(moment).alias("t")).first().t
         if newest is None:
             return closed_to
         if close_all:
@@ -190,7 +213,7 @@ class Monitor:
         held_from = newest - self.delay_seconds * 1_000_000
         if self.total_sensors is not None:
             incomplete = (
-                on_time.filter(moment >= held_from)
+                waiting.filter(moment >= held_from)
                 .groupBy("event_time", "sensor_id")
                 .agg(F.count("*").alias("n"))
                 .groupBy("event_time")
@@ -201,15 +224,30 @@ class Monitor:
             held_from = newest + 1 if first_open is None else first_open
         return max(held_from, closed_to)
 
-    def _write_outputs(self, result: Result, batch_id: int) -> int:
+    def _hold(self, fresh: DataFrame, held: list[Held], boundary: int, number: int) -> list[Held]:
+        """Write the open readings that came with this commit, with those of earlier commits whose turn it is."""
+        mine = [h for h in held if h.batch == number]
+        if not mine:
+            return held
+        older, level = [h for h in held if h.batch != number], 0
+        while len(same := [h for h in older if h.level == level]) >= MERGED - 1:
+            mine += same
+            older = [h for h in older if h.level != level]
+            level += 1
+        if len(mine) > 1:
+            again = self._pending([h for h in mine if h.batch != number])
+            fresh = fresh.unionByName(again.filter(F.unix_micros("event_time") >= boundary))
+        self._put(fresh, "pending", number)
+        return [*older, Held(number, min(h.oldest for h in mine), max(h.newest for h in mine), level)]
+
+    def _write_outputs(self, alarms: DataFrame, nominal: DataFrame, batch_id: int) -> int:
         """Write both outputs; the number of alarms comes back."""
         counted = Observation()
-        alarms = result.alarms.observe(counted, F.count(F.lit(1)).alias("alarms"))
-        self._out(alarms, "alarms", batch_id)
-        self._out(pack_nominal(result.valid, ordered=True), "nominal", batch_id)
+        self._out(alarms.observe(counted, F.count(F.lit(1)).alias("alarms")), "alarms", batch_id)
+        self._out(nominal, "nominal", batch_id)
         if self.text:
             lines = {
-                "alarms_text": alarm_lines(result.alarms),
+                "alarms_text": alarm_lines(alarms),
                 "nominal_text": nominal_lines(
                     self._output("nominal", batch_id, NOMINAL).orderBy("timestamp")
                 ),
@@ -244,12 +282,28 @@ class Monitor:
 
     def _state(self, name: str, number: int | None, schema) -> DataFrame:
         if number is None:
-            return self.spark.createDataFrame([], schema)
+            return self._none(schema)
         return self.spark.read.schema(schema).parquet(f"{self.state_path}/{name}/batch={number}")
 
-    def _pending(self, number: int | None) -> DataFrame:
-        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in TELEMETRY)
-        return self._state("pending", number, f"{schema}, {ARRIVAL} string, batch_id bigint")
+    def _none(self, schema) -> DataFrame:
+        return self.spark.createDataFrame([], schema).limit(0)
+
+    def _open(self, last) -> list[Held]:
+        """Open readings as the last commit names them; one of an earlier version has all in its own folder."""
+        if last is None:
+            return []
+        if last.pending is not None:
+            return [Held(*h) for h in last.pending]
+        moment = F.unix_micros("event_time")
+        ends = self._pending([Held(last.batch_id, 0, 0)]).agg(F.min(moment), F.max(moment)).first()
+        return [] if ends[0] is None else [Held(last.batch_id, *ends)]
+
+    def _pending(self, held: list[Held]) -> DataFrame:
+        fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in TELEMETRY)
+        schema = f"{fields}, {ARRIVAL} string, batch_id bigint"
+        if not held:
+            return self._none(schema)
+        return self.spark.read.schema(schema).parquet(*(f"{self.state_path}/pending/batch={h.batch}" for h in held))
 
     def _committed(self):
         """The latest commit, of which the folder of boundaries holds a few; None before the first.
@@ -263,8 +317,12 @@ class Monitor:
                 return self.spark.read.schema(BOUNDARY).parquet(path).first()
         return None
 
-    def _forget(self, number: int) -> None:
-        """Drop the state of a commit that has two later ones."""
+    def _forget(self, number: int, held: set[int]) -> None:
+        """Drop the state of a commit that has two later ones, and open readings that neither of these names."""
         if number >= 0:
-            for name in ("boundary", "step", "streak", "pending"):
+            for name in ("boundary", "step", "streak"):
                 remove(self.spark, f"{self.state_path}/{name}/batch={number}")
+        kept = {f"batch={h}" for h in held}
+        for name in children(self.spark, f"{self.state_path}/pending"):
+            if name not in kept:
+                remove(self.spark, f"{self.state_path}/pending/{name}")

@@ -147,3 +147,33 @@ def test_arguments(spark):
         Monitor(spark, RULES, "o", "s", delay_seconds=-1)
     with pytest.raises(ValueError):
         Monitor(spark, RULES, "o", "s", total_sensors=0)
+
+
+@pytest.mark.parametrize("delay", [10**6, 5])
+def test_open_readings_are_not_written_again_in_each_batch(spark, tmp_path, monkeypatch, delay):
+    """Nine batches, held to the end or closed in the middle of what came together, give what one batch gives."""
+    written = []
+    put = Monitor._put
+
+    def counted(self, df, name, number):
+        put(self, df, name, number)
+        if name == "pending":
+            written.append(spark.read.parquet(f"{self.state_path}/pending/batch={number}").count())
+
+    arriving = [[packet(i, "S1", 6 + i % 4), packet(i + 3, "S2", 5 * (i % 3)), packet(i, "S2", i)] for i in range(9)]
+    whole = Monitor(spark, RULES, str(tmp_path / "out0"), str(tmp_path / "state0"))
+    whole.process(batch(spark, [p for packets in arriving for p in packets]), 0)
+    whole.flush()
+    monkeypatch.setattr(Monitor, "_put", counted)
+    monkeypatch.setattr("telewarden.streaming.incremental.MERGED", 4, raising=False)
+    monitor = Monitor(spark, RULES, str(tmp_path / "out"), str(tmp_path / "state"), delay)
+    for number, packets in enumerate(arriving):
+        monitor.process(batch(spark, packets), number)
+    assert sum(written) <= 27 + 9 + 9  # with all that is open in each batch: 135 with the long delay
+    monitor.flush()
+    assert alarms(monitor) == alarms(whole) and len(alarms(monitor)) > 10
+    lines = [sorted(tuple(n) for n in m.nominal().collect()) for m in (monitor, whole)]
+    assert lines[0] == lines[1] and lines[0]
+    for name in ("step", "streak"):
+        assert sorted(getattr(monitor.state(), name).collect()) == sorted(getattr(whole.state(), name).collect())
+    assert sum(m.rows for m in monitor.metrics().collect()) == 27 and monitor.quarantine().count() == 0
