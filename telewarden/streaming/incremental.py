@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..operators.sanitize import sanitize
 from ..operators.scan import State
-from ..plans.evaluate import SLICE_ROWS, evaluate
+from ..plans.evaluate import SLICE_ROWS, Result, evaluate
 from ..plans.rules import RuleSet
 from ..schemas import ALARMS, ARRIVAL, REJECTS, STEP_STATE, STREAK_STATE, TELEMETRY
 from ..session import Staging, children, observed, remove
@@ -178,10 +178,10 @@ class Monitor:
                     self.slice_rows,
                     staging,
                 )
-                found = self._write_outputs(result.alarms, pack_nominal(result.valid, ordered=True), number)
+                found = self._write_outputs(result, number)
                 step, streak = result.state_out.step, result.state_out.streak
             else:
-                self._write_outputs(self._none(ALARMS), self._none(NOMINAL), number)
+                self._write_frames(self._none(ALARMS), self._none(NOMINAL), number)
             self._write_quarantine(cleaned.rejects, arrived.filter("late"), number)
             self._put(step, "step", number)
             self._put(streak, "streak", number)
@@ -240,8 +240,11 @@ class Monitor:
         self._put(fresh, "pending", number)
         return [*older, Held(number, min(h.oldest for h in mine), max(h.newest for h in mine), level)]
 
-    def _write_outputs(self, alarms: DataFrame, nominal: DataFrame, batch_id: int) -> int:
+    def _write_outputs(self, result: Result, batch_id: int) -> int:
         """Write both outputs; the number of alarms comes back."""
+        return self._write_frames(result.alarms, pack_nominal(result.valid, ordered=True), batch_id)
+
+    def _write_frames(self, alarms: DataFrame, nominal: DataFrame, batch_id: int) -> int:
         counted = Observation()
         self._out(alarms.observe(counted, F.count(F.lit(1)).alias("alarms")), "alarms", batch_id)
         self._out(nominal, "nominal", batch_id)
